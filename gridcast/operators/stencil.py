@@ -23,9 +23,10 @@ def _in_domain(i, j, grid: GridSpec):
     return (i >= 0) & (i < grid.nx) & (j >= 0) & (j < grid.ny)
 
 
-def contributions(state: DataFrame, grid: GridSpec, spec: FoldSpec) -> DataFrame:
-    """Weighted rows ``(i, j, w)`` that each cell sends to itself and its
-    neighbours, edge-filtered by the rule of ``spec``.
+def contributions(state: DataFrame, grid: GridSpec, spec: FoldSpec, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Weighted rows ``(keys.., i, j, v)`` that each cell sends to itself and
+    its neighbours, edge-filtered by the rule of ``spec``.  Extra ``keys``
+    (e.g. ``tick``) are carried through, so many grids step at once.
 
     * ``zero``: self keeps ``1-4C``; neighbours outside the grid are dropped.
     * ``fixed``: a border cell keeps all of its value; neighbour rows only go
@@ -42,40 +43,49 @@ def contributions(state: DataFrame, grid: GridSpec, spec: FoldSpec) -> DataFrame
             for di, dj in NEIGHBOURS
         ],
     )
-    ex = state.select("i", "j", "u", F.explode(offsets).alias("o"))
+    ex = state.select(*keys, "i", "j", "u", F.explode(offsets).alias("o"))
     ti, tj = F.col("i") + F.col("o.di"), F.col("j") + F.col("o.dj")
     is_self = (F.col("o.di") == 0) & (F.col("o.dj") == 0)
     target_ok = is_self | (
         is_interior(ti, tj, grid) if spec.edge == "fixed" else _in_domain(ti, tj, grid)
     )
     return ex.where(target_ok).select(
-        ti.cast("int").alias("i"), tj.cast("int").alias("j"), (F.col("u") * F.col("o.w")).alias("v")
+        *keys, ti.cast("int").alias("i"), tj.cast("int").alias("j"), (F.col("u") * F.col("o.w")).alias("v")
     )
 
 
-def source_terms(source: DataFrame, grid: GridSpec, spec: FoldSpec) -> DataFrame:
-    """Scaled source rows ``(i, j, v)``; under ``fixed`` only interior cells."""
-    s = source.select("i", "j", (F.col("f") * F.lit(float(spec.source_scale))).alias("v"))
+def source_terms(source: DataFrame, grid: GridSpec, spec: FoldSpec, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Scaled source rows ``(keys.., i, j, v)``; under ``fixed`` only interior cells."""
+    s = source.select(*keys, "i", "j", (F.col("f") * F.lit(float(spec.source_scale))).alias("v"))
     return s.where(is_interior("i", "j", grid)) if spec.edge == "fixed" else s.where(
         _in_domain(F.col("i"), F.col("j"), grid)
     )
 
 
 def neighbour_step(
-    state: DataFrame, source: DataFrame | None, grid: GridSpec, spec: FoldSpec
+    state: DataFrame,
+    source: DataFrame | None,
+    grid: GridSpec,
+    spec: FoldSpec,
+    keys: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Dense state ``(i, j, u)`` + sparse source ``(i, j, f)`` -> next ``(i, j, u)``.
+    """Dense state ``(keys.., i, j, u)`` + sparse source ``(keys.., i, j, f)``
+    -> next ``(keys.., i, j, u)``.
 
-    One exchange (hash on ``i, j``) after partial aggregation.
+    One exchange (hash on ``keys, i, j``) after partial aggregation.
     """
-    parts = contributions(state, grid, spec)
+    parts = contributions(state, grid, spec, keys)
     if source is not None:
-        parts = parts.unionByName(source_terms(source, grid, spec))
-    return parts.groupBy("i", "j").agg(F.sum("v").alias("u"))
+        parts = parts.unionByName(source_terms(source, grid, spec, keys))
+    return parts.groupBy(*keys, "i", "j").agg(F.sum("v").alias("u"))
 
 
 def step_by_lookup(
-    state: DataFrame, source: DataFrame | None, grid: GridSpec, spec: FoldSpec
+    state: DataFrame,
+    source: DataFrame | None,
+    grid: GridSpec,
+    spec: FoldSpec,
+    keys: tuple[str, ...] = (),
 ) -> DataFrame:
     """The same step as four left self-joins on shifted keys (cross-check form).
 
@@ -83,22 +93,23 @@ def step_by_lookup(
     tests and the SQL oracle compare the two.
     """
     c = float(spec.coeff)
-    base = state.select("i", "j", "u")
-    out = base
+    on = [*keys, "i", "j"]
+    out = state.select(*keys, "i", "j", "u")
     for k, (di, dj) in enumerate(NEIGHBOURS):
         nb = state.select(
+            *keys,
             (F.col("i") - F.lit(di)).cast("int").alias("i"),
             (F.col("j") - F.lit(dj)).cast("int").alias("j"),
             F.col("u").alias(f"n{k}"),
         )
-        out = out.join(nb, ["i", "j"], "left")
+        out = out.join(nb, on, "left")
     nsum = sum((missing_as_zero(f"n{k}") for k in range(4)), F.lit(0.0))
     if source is not None:
-        out = out.join(source.select("i", "j", "f"), ["i", "j"], "left")
+        out = out.join(source.select(*keys, "i", "j", "f"), on, "left")
         f = missing_as_zero("f") * F.lit(float(spec.source_scale))
     else:
         f = F.lit(0.0)
     updated = (F.lit(1.0 - 4.0 * c) * F.col("u")) + F.lit(c) * nsum + f
     if spec.edge == "fixed":
         updated = F.when(is_interior("i", "j", grid), updated).otherwise(F.col("u"))
-    return out.select("i", "j", updated.alias("u"))
+    return out.select(*keys, "i", "j", updated.alias("u"))

@@ -81,29 +81,31 @@ def to_results(states: DataFrame, grid: GridSpec, tick_ms: int, anchor: str = "n
     )
 
 
-def upsert_results(spark: SparkSession, rows: DataFrame, path: str, version: str | None = None) -> None:
-    """Upsert ``(tick_index, x, y, temp[, version])`` keyed by (tick_index, x, y).
-
-    Within the batch the highest ``version`` wins per key (any one row when
-    no version is given); against the table, new rows win.  Only the touched
+def upsert_results(
+    spark: SparkSession, rows: DataFrame, path: str, version: tuple[str, ...] = ()
+) -> None:
+    """Upsert ``(tick_index, x, y, temp, *version)`` keyed by (tick_index, x, y).
+
+    Within the batch the row with the largest ``version`` columns (compared
+    in order) wins per key; against the table, new rows win.  The choice is
+    one ``max_by`` aggregate, so a hot key is pre-reduced map-side.  Only the touched
     tick partitions are rewritten: existing rows of those partitions are
     merged in, staged in the shared scratch area, then swapped in with a
     dynamic partition overwrite.  Running the same upsert twice is a no-op.
     """
-    ver = F.col(version).cast("double") if version else F.lit(0.0)
-    new = rows.select("tick_index", "x", "y", "temp", ver.alias("_v"), F.lit(1).alias("_new"))
+    ver = F.struct(F.lit(1).alias("_new"), *[F.col(c) for c in version])
+    new = rows.select("tick_index", "x", "y", "temp", ver.alias("_v"))
     if _fs_exists(spark, path):
         touched = new.select("tick_index").distinct()
         old = (
             spark.read.schema(RESULTS_DDL)
             .parquet(path)
             .join(touched, "tick_index", "left_semi")
-            .select("tick_index", "x", "y", "temp", F.lit(None).cast("double").alias("_v"), F.lit(0).alias("_new"))
+            .select("tick_index", "x", "y", "temp")
         )
-        new = new.unionByName(old)
-    merged = new.groupBy("tick_index", "x", "y").agg(
-        F.max_by(F.col("temp"), F.struct(F.col("_new"), F.col("_v"))).alias("temp")
-    )
+        old_ver = F.struct(F.lit(0).alias("_new"), *[F.lit(None).cast(new.schema["_v"].dataType[c].dataType).alias(c) for c in version])
+        new = new.unionByName(old.withColumn("_v", old_ver))
+    merged = new.groupBy("tick_index", "x", "y").agg(F.max_by(F.col("temp"), F.col("_v")).alias("temp"))
     stage = scratch_path(spark, "upsert-stage")
     (
         merged.sortWithinPartitions("tick_index", "x", "y")
