@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.config import TEST_GRID, TEST_TICK_MS, FoldSpec, scratch_path
-from gridcast.functions.grid import stripe_of
+from gridcast.functions.grid import is_left_stripe_edge, is_right_stripe_edge, stripe_of
 from gridcast.operators.halo import halo_rows
 from gridcast.plans.fold import ALIGNED_DDL
 from gridcast.sources.store import read_states
@@ -69,19 +69,16 @@ def stream_dedup(spark, sf):
 
 
 def stream_interval_join(spark, sf):
-    """Full outer stream-stream join of closed readings with halo rows
-    derived from a second read of the stream, on (tick, i, j) with the tick
-    timestamp as the watermarked join key."""
-    left = closed_ticks(stream_events(spark, sf, GRID), T, DELAY, "last").withColumn(
-        "tick_ts", F.timestamp_millis("tick")
-    ).withWatermark("tick_ts", f"{DELAY} milliseconds")
-    h = halo_rows(
-        closed_ticks(stream_events(spark, sf, GRID), T, DELAY, "last"), NX, N_STRIPES, T
-    )
-    right = h.select(
-        F.col("tick").alias("h_tick"), F.col("i").alias("h_i"), F.col("j").alias("h_j"), "val",
-        F.timestamp_millis("tick").alias("h_ts"),
-    ).withWatermark("h_ts", f"{DELAY} milliseconds")
+    """Full outer stream-stream join of closed readings with the halo rows
+    of a second read of the stream, on (tick, i, j).
+
+    Both sides are per-tick aggregates (at most one row per key), so the
+    join never pairs up raw readings.  The equality on the watermarked
+    ``tick_ts`` column bounds the join state; unmatched rows are emitted
+    once the watermark passes them.
+    """
+    left = closed_ticks(stream_events(spark, sf, GRID), T, DELAY, "last", keep_ts=True)
+    right = halo_stream(closed_ticks(stream_events(spark, sf, GRID), T, DELAY, "last", keep_ts=True))
     cond = (left.tick_ts == right.h_ts) & (left.i == right.h_i) & (left.j == right.h_j)
     j = left.join(right, cond, "full_outer").select(
         F.coalesce("tick", "h_tick").alias("tick"),
@@ -93,6 +90,25 @@ def stream_interval_join(spark, sf):
     return spark.read.parquet(_files(spark, j, "interval-join")).select("tick", "i", "j", "f", "val")
 
 
+def halo_stream(closed: DataFrame) -> DataFrame:
+    """Halo rows of a closed-tick stream, keeping the event-time column
+    (shifted by one tick) so the watermark carries over."""
+    shift = F.expr(f"INTERVAL {T // 1000} SECONDS")
+
+    def side(pred, di):
+        return closed.where(pred).select(
+            (F.col("tick") + F.lit(T)).alias("h_tick"),
+            (F.col("tick_ts") + shift).alias("h_ts"),
+            (F.col("i") + F.lit(di)).cast("int").alias("h_i"),
+            F.col("j").alias("h_j"),
+            F.col("f").alias("val"),
+        )
+
+    return side(is_left_stripe_edge("i", NX, N_STRIPES), -1).unionByName(
+        side(is_right_stripe_edge("i", NX, N_STRIPES), 1)
+    )
+
+
 def stream_tee(spark, sf):
     out, halo = scratch_path(spark, "tee-out"), scratch_path(spark, "tee-halo")
     s = closed_ticks(stream_events(spark, sf, GRID), T, DELAY, "last")
@@ -131,9 +147,6 @@ def stream_queries(base, fold_base, fold_sql, window_sql, halo_sql, q, x, stripe
     pieces come from the catalog so both forms share one definition."""
     closed = f"(SELECT max(tick) FROM ticked) - {DELAY}"
 
-    def closed_windows(size, slide):
-        return f"SELECT * FROM ({window_sql(size, slide)}) WHERE time <= (SELECT max(time) FROM readings) - {DELAY}"
-
     tick_sql = f"""{base} SELECT seq, time, tick FROM ticked"""
     return {
         "stream_tick_snap": (stream_tick_snap, tick_sql),

@@ -15,19 +15,22 @@ from gridcast.operators.align import _dup_agg
 from gridcast.streaming.source import delay, with_event_time
 
 
-def closed_ticks(readings: DataFrame, tick_ms: int, delay_ms: int, dup: str = "last") -> DataFrame:
+def closed_ticks(
+    readings: DataFrame, tick_ms: int, delay_ms: int, dup: str = "last", keep_ts: bool = False
+) -> DataFrame:
     """Aligned ``(tick, i, j, f)`` rows, emitted once per tick when it closes.
 
     The tick timestamp is the event-time column; the watermark trails the
-    largest tick seen by ``delay_ms``.
+    largest tick seen by ``delay_ms``.  ``keep_ts`` keeps ``tick_ts`` so a
+    later stateful operator (a stream-stream join) inherits the watermark.
     """
-    return (
+    out = (
         with_event_time(readings, tick_ms)
         .withWatermark("tick_ts", delay(delay_ms))
         .groupBy("tick_ts", "tick", "i", "j")
         .agg(_dup_agg(dup).alias("f"))
-        .select("tick", "i", "j", "f")
     )
+    return out.select("tick_ts", "tick", "i", "j", "f") if keep_ts else out.select("tick", "i", "j", "f")
 
 
 def window_mean_stream(
