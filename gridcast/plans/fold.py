@@ -31,7 +31,7 @@ from gridcast.config import FoldSpec, GridSpec, scratch_path
 from gridcast.operators.densify import densify_state, tick_bounds
 from gridcast.operators.stencil import neighbour_step
 from gridcast.plans import tiled
-from gridcast.sources.store import read_states, read_tick, write_states, write_tick
+from gridcast.sources.store import _fs_exists, read_states, read_tick, write_states, write_tick
 
 ALIGNED_DDL = "i int, j int, f double, tick long"
 
@@ -52,25 +52,48 @@ class FoldResult:
         )
 
 
-def stage_sources(spark: SparkSession, aligned: DataFrame) -> str:
-    """Write aligned rows partitioned by tick; steps prune to their ticks."""
+def plan_rounds(
+    spark: SparkSession,
+    grid: GridSpec,
+    n_steps: int,
+    method: str,
+    tile: tuple[int, int] | None = None,
+    steps_per_round: int | None = None,
+) -> tuple[tuple[int, int], int]:
+    """Tile shape and steps per round (one shuffle per round)."""
+    if method == "step":
+        return (grid.nx, grid.ny), 1
+    if method != "tiled":
+        raise ValueError("method must be 'tiled' or 'step'")
+    tile = tile or tiled.default_tile(grid, spark.sparkContext.defaultParallelism)
+    return tile, tiled.round_length(grid, tile, steps_per_round, max(n_steps, 1))
+
+
+def stage_sources(spark: SparkSession, aligned: DataFrame, first_tick: int, tick_ms: int, k: int) -> str:
+    """Write aligned rows partitioned by round (``k`` ticks each) so every
+    round reads exactly one directory: no per-round listing of all ticks."""
     path = scratch_path(spark, "aligned")
+    rnd = F.call_function("div", F.col("tick") - F.lit(first_tick), F.lit(k * tick_ms))
     (
         aligned.select("tick", "i", "j", "f")
-        .sortWithinPartitions("tick", "i", "j")
+        .where(F.col("tick") >= F.lit(first_tick))
+        .withColumn("round", rnd.cast("long"))
+        .sortWithinPartitions("round", "tick", "i", "j")
         .write.mode("overwrite")
-        .partitionBy("tick")
+        .partitionBy("round")
         .parquet(path)
     )
     return path
 
 
-def _sources(spark: SparkSession, staged: str, lo: int, hi: int) -> DataFrame:
+def _round_sources(spark: SparkSession, staged: str, r: int, lo: int, hi: int) -> DataFrame:
+    path = f"{staged}/round={r}"
+    if not _fs_exists(spark, path):
+        return spark.createDataFrame([], "tick long, i int, j int, f double")
     return (
-        spark.read.schema(ALIGNED_DDL)
-        .parquet(staged)
+        spark.read.schema("tick long, i int, j int, f double")
+        .parquet(path)
         .where((F.col("tick") >= F.lit(lo)) & (F.col("tick") <= F.lit(hi)))
-        .select("tick", "i", "j", "f")
     )
 
 
@@ -98,18 +121,21 @@ def tick_fold(
     if bounds is None:
         return None
     first, last = bounds
+    n_steps = (last - first) // tick_ms + 1
+    tile, k = plan_rounds(spark, grid, n_steps, method, tile, steps_per_round)
     out_path = out_path or scratch_path(spark, "fold")
-    staged = stage_sources(spark, aligned)
+    staged = stage_sources(spark, aligned.where(F.col("tick") <= F.lit(last)), first, tick_ms, k)
     state0 = densify_state(spark, initial, grid)
     prev = first - tick_ms
     state = state0
     if include_initial:
         write_tick(state0, out_path, prev)
         state = read_tick(spark, out_path, prev)
-    advance(
-        spark, state, prev, last, lambda lo, hi: _sources(spark, staged, lo, hi),
-        grid, spec, tick_ms, out_path, method, steps_per_round, tile,
-    )
+
+    def sources(lo: int, hi: int) -> DataFrame:
+        return _round_sources(spark, staged, (lo - first) // (k * tick_ms), lo, hi)
+
+    advance(spark, state, prev, last, sources, grid, spec, tick_ms, out_path, method, tile, k)
     return FoldResult(out_path, first, last, tick_ms)
 
 
@@ -124,32 +150,26 @@ def advance(
     tick_ms: int,
     out_path: str,
     method: str = "tiled",
-    steps_per_round: int | None = None,
     tile: tuple[int, int] | None = None,
+    k: int | None = None,
 ) -> None:
     """Advance a dense ``(i, j, u)`` state at ``prev_tick`` up to ``last_tick``,
     writing every tick to ``out_path``.  ``sources(lo, hi)`` returns the
-    aligned rows of ticks ``lo..hi``."""
+    aligned rows of ticks ``lo..hi``; rounds of ``k`` ticks start at
+    ``prev_tick + T``."""
     n_steps = (last_tick - prev_tick) // tick_ms
     if n_steps <= 0:
         return
-    if method == "step":
-        for s in range(1, n_steps + 1):
-            t = prev_tick + s * tick_ms
-            src = sources(t, t).select("i", "j", "f")
-            write_tick(neighbour_step(state, src, grid, spec), out_path, t)
-            state = read_tick(spark, out_path, t)
-        return
-    if method != "tiled":
-        raise ValueError("method must be 'tiled' or 'step'")
-    tw, th = tile or tiled.default_tile(grid)
-    k = tiled.round_length(grid, (tw, th), steps_per_round)
+    if tile is None or k is None:
+        tile, k = plan_rounds(spark, grid, n_steps, method, tile, k)
     done = 0
     while done < n_steps:
         m = min(k, n_steps - done)
         t_prev = prev_tick + done * tick_ms
         src = sources(t_prev + tick_ms, t_prev + m * tick_ms)
-        out = tiled.advance_tiles(state, src, t_prev, m, grid, spec, tick_ms, (tw, th))
-        write_states(out, out_path)
+        if method == "step":
+            write_tick(neighbour_step(state, src.select("i", "j", "f"), grid, spec), out_path, t_prev + tick_ms)
+        else:
+            write_states(tiled.advance_tiles(state, src, t_prev, m, grid, spec, tick_ms, tile), out_path)
         done += m
         state = read_tick(spark, out_path, prev_tick + done * tick_ms)

@@ -2,7 +2,7 @@
 
 Cells are grouped into rectangular tiles of ``tw x th`` owned cells.  Each
 tile also receives the state and sources of a ``k``-cell halo around it (a
-cell is copied to at most the 3 x 3 surrounding tiles; ``explode`` of the
+cell is copied to the tiles whose halo reaches it; ``explode`` of the
 candidate offsets + a range filter, no join).  One ``applyInPandas`` call
 per tile runs ``k`` steps on a dense numpy array; a value near the halo's
 outer rim is wrong after a step, but the error moves one cell per step, so
@@ -22,46 +22,78 @@ from pyspark.sql import functions as F
 
 from gridcast.config import FoldSpec, GridSpec
 
-# Largest number of (cell, tick) values one group may emit per round.
-MAX_GROUP_VALUES = 1 << 22
-DEFAULT_TILE_SIDE = 256
-DEFAULT_ROUND = 64
+# Bounds on one tile group per round (they keep a group's memory and time
+# fixed however large the grid or the tick range is):
+MAX_GROUP_VALUES = 1 << 22  # owned (cell, tick) values emitted
+MAX_GROUP_WORK = 1 << 28  # extended cells x steps computed
+HALO_REDUNDANCY = 4.0  # extended area / owned area, once the area is large
+SMALL_AREA = 1 << 16  # below this many extended cells, redundancy is free
+# Tiles of at least 64 x 64 cells keep the per-tick files of small grids few.
+MIN_TILE_SIDE, MAX_TILE_SIDE = 64, 256
 OUT_SCHEMA = "tick long, i int, j int, u double"
 
 
-def default_tile(grid: GridSpec, side: int = DEFAULT_TILE_SIDE) -> tuple[int, int]:
+def default_tile(grid: GridSpec, parallelism: int = 8) -> tuple[int, int]:
+    """About ``parallelism`` tiles (at least), each side 16..256 cells."""
+    side = int((grid.n_cells / max(parallelism, 1)) ** 0.5)
+    side = max(MIN_TILE_SIDE, min(MAX_TILE_SIDE, side))
     return min(grid.nx, side), min(grid.ny, side)
 
 
-def round_length(grid: GridSpec, tile: tuple[int, int], steps_per_round: int | None) -> int:
-    """Steps per round: at most the tile width in every split dimension
-    (so a halo never reaches past the next tile) and a bounded output."""
+def _extended_area(grid: GridSpec, tile: tuple[int, int], k: int) -> int:
     tw, th = tile
-    k = steps_per_round or DEFAULT_ROUND
-    if tw < grid.nx:
-        k = min(k, tw)
-    if th < grid.ny:
-        k = min(k, th)
-    k = min(k, max(1, MAX_GROUP_VALUES // max(1, tw * th)))
-    return max(1, k)
+    return min(tw + 2 * k, grid.nx) * min(th + 2 * k, grid.ny)
 
 
-def _offsets(n_tiles: int):
-    return (-1, 0, 1) if n_tiles > 1 else (0,)
+def round_length(grid: GridSpec, tile: tuple[int, int], steps_per_round: int | None, n_steps: int) -> int:
+    """Steps per round (one shuffle each).
+
+    The largest ``k <= n_steps`` (or the requested value) whose group stays
+    within the output, work and halo-redundancy bounds above.
+    """
+    tw, th = tile
+    owned = tw * th
+
+    def fits(k: int) -> bool:
+        ext = _extended_area(grid, tile, k)
+        return (
+            owned * k <= MAX_GROUP_VALUES
+            and ext * k <= MAX_GROUP_WORK
+            and (ext <= SMALL_AREA or ext <= HALO_REDUNDANCY * owned)
+        )
+
+    hi = max(1, min(n_steps, steps_per_round or n_steps))
+    if fits(hi):
+        return hi
+    lo = 1
+    while lo < hi:  # fits() is monotone in k
+        mid = (lo + hi + 1) // 2
+        if fits(mid):
+            lo = mid
+        else:
+            hi = mid - 1
+    return lo
+
+
+def _offsets(n_tiles: int, tile_side: int, halo: int):
+    r = min(n_tiles - 1, -(-halo // tile_side)) if n_tiles > 1 else 0
+    return range(-r, r + 1)
 
 
 def replicate_to_tiles(
     df: DataFrame, grid: GridSpec, tile: tuple[int, int], halo: int
 ) -> DataFrame:
     """Copy each ``(i, j, ...)`` row to every tile whose extended range
-    (owned cells plus ``halo``) contains it; adds ``ti, tj``."""
+    (owned cells plus ``halo``) contains it; adds ``ti, tj``.  Candidate
+    tiles are the ``ceil(halo/side)`` rings around the owner: an ``explode``
+    of a literal offset array and a range filter, no join."""
     tw, th = tile
     ntx, nty = -(-grid.nx // tw), -(-grid.ny // th)
     cands = F.array(
         *[
             F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"))
-            for a in _offsets(ntx)
-            for b in _offsets(nty)
+            for a in _offsets(ntx, tw, halo)
+            for b in _offsets(nty, th, halo)
         ]
     )
     ti = F.call_function("div", F.col("i"), F.lit(tw)) + F.col("o.a")
@@ -171,7 +203,14 @@ def advance_tiles(
         "i",
         "j",
         F.col("f").alias("v"),
-    ).where((F.col("i") >= 0) & (F.col("i") < grid.nx) & (F.col("j") >= 0) & (F.col("j") < grid.ny))
+    ).where(
+        (F.col("m") >= 0)
+        & (F.col("m") < k)
+        & (F.col("i") >= 0)
+        & (F.col("i") < grid.nx)
+        & (F.col("j") >= 0)
+        & (F.col("j") < grid.ny)
+    )
     rows = replicate_to_tiles(st.unionByName(src), grid, tile, k)
     fn = _tile_fn(grid, spec, tile, k, k, t_prev, tick_ms)
     return rows.groupBy("ti", "tj").applyInPandas(fn, OUT_SCHEMA)

@@ -67,7 +67,7 @@ def fold_batch_fn(
         def sources(lo: int, hi: int) -> DataFrame:
             return rows.where((F.col("tick") >= lo) & (F.col("tick") <= hi)).select("tick", "i", "j", "f")
 
-        advance(spark, state, prev, last, sources, grid, spec, tick_ms, state_path, method, steps_per_round, tile)
+        advance(spark, state, prev, last, sources, grid, spec, tick_ms, state_path, method, tile, steps_per_round)
 
     return fn
 

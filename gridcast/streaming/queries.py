@@ -189,3 +189,8 @@ def _wrap(window_sql: str, delay: int) -> str:
 
 
 __all__ = ["stream_queries", "ALIGNED_DDL"]
+
+
+def stream_window_avg_query(spark, sf):
+    """Tumbling daily windows on the stream (the bench's streaming window)."""
+    return _window_query(DAY, None, "win")(spark, sf)
