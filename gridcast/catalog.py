@@ -56,7 +56,7 @@ from gridcast.operators import (
     window_mean,
 )
 from gridcast.plans.fold import tick_fold
-from gridcast.plans.serve import replay, snapshot
+from gridcast.plans.serve import replay, replay_loop, snapshot
 from gridcast.sources.readings import (
     grid_scaffold,
     load_readings,
@@ -650,6 +650,25 @@ def q_replay(spark, sf):
     )
 
 
+LOOP_FRAMES, LOOP_START = 5, -2
+
+
+@register(
+    "replay_loop",
+    f"""{FOLD_BASE}{fold_sql('zero')},
+    n AS (SELECT count(DISTINCT tick) AS n, min(tick) AS t FROM hist),
+    fr AS (SELECT CAST(f AS BIGINT) AS frame,
+                  n.t + ((((f + ({LOOP_START})) % n.n) + n.n) % n.n) * {T} AS tick FROM range({LOOP_FRAMES}) r(f), n)
+    SELECT fr.frame, h.tick, h.i, h.j, {Q('h.u')} AS temp_e6 FROM hist h JOIN fr ON h.tick = fr.tick""",
+)
+def q_replay_loop(spark, sf):
+    """A player that starts two ticks before the end and wraps to the start."""
+    res = _fold(spark, sf, "tiled")
+    n_stored = (res.last_tick - res.first_tick) // T + 2  # with the initial state
+    r = replay_loop(res.history(spark), res.first_tick - T, n_stored, T, LOOP_START, LOOP_FRAMES, GRID)
+    return r.select("frame", "tick", "i", "j", q6("temp").alias("temp_e6"))
+
+
 # ------------------------------------------------------------- halo, merge
 
 
@@ -708,6 +727,7 @@ for _name, (_fn, _sql) in sq.stream_queries(
     q=Q,
     x=X,
     stripe=STRIPE,
+    y=Y,
 ).items():
     register(_name, _sql)(_fn)
 

@@ -17,6 +17,7 @@ from gridcast.functions.grid import (
     is_right_stripe_edge_nominal,
     missing_as_zero,
     stripe_of,
+    value_label,
 )
 from gridcast.functions.ticks import event_time, tick_index, tick_snap, tick_ts
 
@@ -43,4 +44,5 @@ __all__ = [
     "tick_index",
     "tick_snap",
     "tick_ts",
+    "value_label",
 ]

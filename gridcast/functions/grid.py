@@ -92,6 +92,12 @@ def cell_label(i, j) -> Column:
     return F.format_string("(%d,%d)", _col(i), _col(j))
 
 
+def value_label(time, value) -> Column:
+    """Display form ``Time: <t> Temp: <v>`` of a timed value (the number text
+    of ``v`` follows Spark's double formatting)."""
+    return F.format_string("Time: %d Temp: %s", _col(time), _col(value).cast("string"))
+
+
 def missing_as_zero(c) -> Column:
     """An absent state or absent join side counts as 0."""
     return F.coalesce(_col(c), F.lit(0.0))

@@ -15,9 +15,13 @@ from gridcast.functions.colour import palette_bucket, red_scale
 from gridcast.functions.grid import coord_x, coord_y
 
 
-def present(states: DataFrame, grid: GridSpec, anchor: str = "node", levels: int = 1024) -> DataFrame:
-    """``(tick, i, j, u)`` -> SNAPSHOT rows plus the marker radius (= value)."""
+def present(
+    states: DataFrame, grid: GridSpec, anchor: str = "node", levels: int = 1024, extra: tuple[str, ...] = ()
+) -> DataFrame:
+    """``(tick, i, j, u)`` -> SNAPSHOT rows plus the marker radius (= value);
+    ``extra`` columns are carried through."""
     return states.select(
+        *extra,
         F.col("tick"),
         F.col("i"),
         F.col("j"),
@@ -45,3 +49,27 @@ def wrap_step(step: Column | str, n_ticks: int) -> Column:
     """Playback position that loops back to 0 after the last stored tick."""
     s = F.col(step) if isinstance(step, str) else step
     return F.pmod(s, F.lit(n_ticks))
+
+
+def replay_loop(
+    states: DataFrame,
+    first_stored: int,
+    n_stored: int,
+    tick_ms: int,
+    start: int,
+    n_frames: int,
+    grid: GridSpec,
+    anchor: str = "node",
+) -> DataFrame:
+    """A looping player: frame ``f`` shows stored tick number
+    ``pmod(start + f, n_stored)``, so playback wraps to the first tick after
+    the last one.  The frame list is a generated range of ``n_frames`` rows
+    equi-joined with the store on ``tick`` (no driver-side list)."""
+    spark = states.sparkSession
+    frames = spark.range(n_frames).select(
+        F.col("id").alias("frame"),
+        (F.lit(first_stored) + wrap_step(F.col("id") + F.lit(start), n_stored) * F.lit(tick_ms))
+        .cast("long")
+        .alias("tick"),
+    )
+    return present(states.join(frames, "tick"), grid, anchor, extra=("frame",)).orderBy("frame", "i", "j")

@@ -58,14 +58,30 @@ def read_tick(spark: SparkSession, path: str, tick: int) -> DataFrame:
     return spark.read.schema("i int, j int, u double").parquet(f"{path}/tick={tick}")
 
 
-def latest_tick_before(spark: SparkSession, path: str, tick: int) -> int | None:
-    """Newest stored tick strictly before ``tick`` (partition metadata only)."""
+def stored_ticks(spark: SparkSession, path: str, column: str = "tick") -> list[int]:
+    """Partition values present under ``path`` from a directory listing
+    (metadata only: no data file is opened)."""
     if not _fs_exists(spark, path):
-        return None
-    row = (
-        read_states(spark, path).where(F.col("tick") < F.lit(tick)).agg(F.max("tick").alias("t")).first()
-    )
-    return None if row is None or row["t"] is None else int(row["t"])
+        return []
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    prefix = f"{column}="
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        # a committed partition has no `_temporary` folder left in it
+        if st.isDirectory() and name.startswith(prefix) and not fs.exists(
+            jvm.org.apache.hadoop.fs.Path(st.getPath(), "_temporary")
+        ):
+            out.append(int(name[len(prefix):]))
+    return sorted(out)
+
+
+def latest_tick_before(spark: SparkSession, path: str, tick: int) -> int | None:
+    """Newest stored tick strictly before ``tick`` (directory listing only)."""
+    earlier = [t for t in stored_ticks(spark, path) if t < tick]
+    return earlier[-1] if earlier else None
 
 
 # --- results table: (tick_index, x, y, temp), key ((tick_index), x, y) -----
@@ -95,11 +111,17 @@ def upsert_results(
     """
     ver = F.struct(F.lit(1).alias("_new"), *[F.col(c) for c in version])
     new = rows.select("tick_index", "x", "y", "temp", ver.alias("_v"))
+    span = new.agg(F.min("tick_index").alias("lo"), F.max("tick_index").alias("hi")).first()
+    if span is None or span["lo"] is None:
+        return
     if _fs_exists(spark, path):
+        # static partition pruning: only the tick range of this batch is read
+        in_span = (F.col("tick_index") >= F.lit(span["lo"])) & (F.col("tick_index") <= F.lit(span["hi"]))
         touched = new.select("tick_index").distinct()
         old = (
             spark.read.schema(RESULTS_DDL)
             .parquet(path)
+            .where(in_span)
             .join(touched, "tick_index", "left_semi")
             .select("tick_index", "x", "y", "temp")
         )

@@ -24,7 +24,7 @@ from gridcast.config import FoldSpec, GridSpec
 from gridcast.operators.densify import densify_state, tick_bounds
 from gridcast.operators.halo import halo_rows
 from gridcast.plans.fold import ALIGNED_DDL, advance
-from gridcast.sources.store import latest_tick_before, read_tick, write_tick
+from gridcast.sources.store import latest_tick_before, read_states, read_tick, to_results, upsert_results, write_tick
 
 
 def _stage(batch: DataFrame, path: str) -> None:
@@ -47,8 +47,14 @@ def fold_batch_fn(
     method: str = "tiled",
     tile: tuple[int, int] | None = None,
     steps_per_round: int | None = None,
+    results_path: str | None = None,
+    anchor: str = "node",
 ):
-    """The ``foreachBatch`` body of :func:`stream_fold`."""
+    """The ``foreachBatch`` body of the streaming fold.
+
+    With ``results_path`` the newly computed ticks are also upserted into
+    the results table ``(tick_index, x, y, temp)`` (tee of the state).
+    """
 
     def fn(batch: DataFrame, epoch_id: int) -> None:
         staged = f"{stage_root}/epoch={epoch_id}"
@@ -68,6 +74,9 @@ def fold_batch_fn(
             return rows.where((F.col("tick") >= lo) & (F.col("tick") <= hi)).select("tick", "i", "j", "f")
 
         advance(spark, state, prev, last, sources, grid, spec, tick_ms, state_path, method, tile, steps_per_round)
+        if results_path is not None:
+            new = read_states(spark, state_path).where((F.col("tick") > F.lit(prev)) & (F.col("tick") <= F.lit(last)))
+            upsert_results(spark, to_results(new, grid, tick_ms, anchor), results_path)
 
     return fn
 

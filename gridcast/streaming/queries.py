@@ -142,7 +142,21 @@ def stream_fold(spark, sf):
     return read_states(spark, state).select("tick", "i", "j", q6("u").alias("u_e6"))
 
 
-def stream_queries(base, fold_base, fold_sql, window_sql, halo_sql, q, x, stripe):
+def stream_store_results(spark, sf):
+    """Streaming fold that also upserts every new tick into the results table."""
+    from gridcast.sources.store import read_results
+
+    state, results = scratch_path(spark, "sr-state"), scratch_path(spark, "sr-results")
+    s = closed_ticks(stream_events(spark, sf, GRID), T, DELAY, "avg")
+    fn = fold_batch_fn(
+        spark, GRID, FoldSpec(coeff=C), T, state, scratch_path(spark, "sr-stage"), results_path=results
+    )
+    run(to_batches(s, fn, scratch_path(spark, "sr-ckpt")))
+    r = read_results(spark, results)
+    return r.select("tick_index", q6("x").alias("x_e6"), q6("y").alias("y_e6"), q6("temp").alias("temp_e6"))
+
+
+def stream_queries(base, fold_base, fold_sql, window_sql, halo_sql, q, x, stripe, y=None):
     """``name -> (fn, oracle SQL)`` for the streaming queries; the SQL
     pieces come from the catalog so both forms share one definition."""
     closed = f"(SELECT max(tick) FROM ticked) - {DELAY}"
@@ -175,6 +189,12 @@ def stream_queries(base, fold_base, fold_sql, window_sql, halo_sql, q, x, stripe
             f"""{base} SELECT tick, i, j, f, CAST({stripe('i')} AS INTEGER) AS stripe FROM last_rows WHERE tick <= {closed}""",
         ),
         "stream_poll": (stream_poll, f"{base} SELECT tick, count(*) AS n_readings FROM ticked GROUP BY tick"),
+        "stream_store_results": (
+            stream_store_results,
+            f"""{fold_base}{fold_sql('zero', 'avg_rows', f'b.t1 - {DELAY}')}
+            SELECT tick // {T} AS tick_index, {q(x('i'))} AS x_e6, {q(y('j'))} AS y_e6, {q('u')} AS temp_e6
+            FROM hist WHERE tick >= (SELECT min(tick) FROM avg_rows)""",
+        ),
         "stream_fold": (
             stream_fold,
             f"{fold_base}{fold_sql('zero', 'avg_rows', f'b.t1 - {DELAY}')}\nSELECT tick, i, j, {q('u')} AS u_e6 FROM hist",
