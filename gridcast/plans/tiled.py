@@ -25,7 +25,7 @@ from gridcast.config import FoldSpec, GridSpec
 # Bounds on one tile group per round (they keep a group's memory and time
 # fixed however large the grid or the tick range is):
 MAX_GROUP_VALUES = 1 << 22  # owned (cell, tick) values emitted
-MAX_GROUP_WORK = 1 << 28  # extended cells x steps computed
+MAX_GROUP_WORK = 1 << 24  # extended cells x steps (dense source array: 128 MiB)
 HALO_REDUNDANCY = 4.0  # extended area / owned area, once the area is large
 SMALL_AREA = 1 << 16  # below this many extended cells, redundancy is free
 # Tiles of at least 64 x 64 cells keep the per-tick files of small grids few.
@@ -119,14 +119,16 @@ def run_steps(
     src: np.ndarray,
     interior: np.ndarray | None,
     coeff: float,
+    keep_slice: tuple[slice, slice] = (slice(None), slice(None)),
 ) -> np.ndarray:
-    """``len(src)`` steps on a dense array; returns the states after each.
+    """``len(src)`` steps on a dense array; returns ``u[keep_slice]`` after
+    each step (shape ``(k, ...)``).
 
     Cells outside the array count as 0.  With ``interior`` given (``fixed``
     rule), cells outside the mask keep their value and take no source.
     """
     k = src.shape[0]
-    out = np.empty((k,) + u.shape, dtype=np.float64)
+    out = np.empty((k,) + u[keep_slice].shape, dtype=np.float64)
     keep = 1.0 - 4.0 * coeff
     for m in range(k):
         nb = np.zeros_like(u)
@@ -138,7 +140,7 @@ def run_steps(
         if interior is not None:
             new = np.where(interior, new, u)
         u = new
-        out[m] = u
+        out[m] = u[keep_slice]
     return out
 
 
@@ -167,10 +169,9 @@ def _tile_fn(grid: GridSpec, spec: FoldSpec, tile, halo: int, k: int, t_prev: in
             gj = np.arange(jlo, jhi)
             interior = ((gi > 0) & (gi < nx - 1))[:, None] & ((gj > 0) & (gj < ny - 1))[None, :]
             src = src * interior[None, :, :]
-        states = run_steps(u, src, interior, coeff)
         oi0, oi1 = cti * tw - ilo, min((cti + 1) * tw, nx) - ilo
         oj0, oj1 = ctj * th - jlo, min((ctj + 1) * th, ny) - jlo
-        own = states[:, oi0:oi1, oj0:oj1]
+        own = run_steps(u, src, interior, coeff, (slice(oi0, oi1), slice(oj0, oj1)))
         ow, oh = own.shape[1], own.shape[2]
         ticks = t_prev + tick_ms * np.arange(1, k + 1, dtype=np.int64)
         return pd.DataFrame(
