@@ -31,7 +31,7 @@ from gridcast.config import FoldSpec, GridSpec, scratch_path
 from gridcast.operators.densify import densify_state, tick_bounds
 from gridcast.operators.stencil import neighbour_step
 from gridcast.plans import tiled
-from gridcast.sources.store import _fs_exists, read_states, read_tick, write_states, write_tick
+from gridcast.sources.store import _fs_exists, drop_scratch, read_states, read_tick, write_states, write_tick
 
 ALIGNED_DDL = "i int, j int, f double, tick long"
 
@@ -136,6 +136,7 @@ def tick_fold(
         return _round_sources(spark, staged, (lo - first) // (k * tick_ms), lo, hi)
 
     advance(spark, state, prev, last, sources, grid, spec, tick_ms, out_path, method, tile, k)
+    drop_scratch(spark, staged)  # intermediate copy of the sources
     return FoldResult(out_path, first, last, tick_ms)
 
 
@@ -170,6 +171,8 @@ def advance(
         if method == "step":
             write_tick(neighbour_step(state, src.select("i", "j", "f"), grid, spec), out_path, t_prev + tick_ms)
         else:
-            write_states(tiled.advance_tiles(state, src, t_prev, m, grid, spec, tick_ms, tile), out_path)
+            out = tiled.advance_tiles(state, src, t_prev, m, grid, spec, tick_ms, tile)
+            out = tiled.file_layout(out, grid, tile, m, spark.sparkContext.defaultParallelism)
+            write_states(out, out_path)
         done += m
         state = read_tick(spark, out_path, prev_tick + done * tick_ms)

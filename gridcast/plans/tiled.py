@@ -28,16 +28,25 @@ MAX_GROUP_VALUES = 1 << 22  # owned (cell, tick) values emitted
 MAX_GROUP_WORK = 1 << 24  # extended cells x steps (dense source array: 128 MiB)
 HALO_REDUNDANCY = 4.0  # extended area / owned area, once the area is large
 SMALL_AREA = 1 << 16  # below this many extended cells, redundancy is free
-# Tiles of at least 64 x 64 cells keep the per-tick files of small grids few.
-MIN_TILE_SIDE, MAX_TILE_SIDE = 64, 256
+# Tile sides; file sizes are handled by `file_layout`, not by the tile shape.
+MIN_TILE_SIDE, MAX_TILE_SIDE = 16, 256
 OUT_SCHEMA = "tick long, i int, j int, u double"
+# Target rows per written file of the state store.
+FILE_ROWS = 1 << 20
 
 
 def default_tile(grid: GridSpec, parallelism: int = 8) -> tuple[int, int]:
-    """About ``parallelism`` tiles (at least), each side 16..256 cells."""
-    side = int((grid.n_cells / max(parallelism, 1)) ** 0.5)
+    """Even tiles, about half as many as task slots (hash placement of few
+    groups is lumpy), each side 16..256 cells; large grids get as many
+    256 x 256 tiles as they need."""
+    side = int((grid.n_cells / max(parallelism / 2, 1)) ** 0.5)
     side = max(MIN_TILE_SIDE, min(MAX_TILE_SIDE, side))
-    return min(grid.nx, side), min(grid.ny, side)
+
+    def even(n: int) -> int:
+        parts = -(-n // side)
+        return -(-n // parts)
+
+    return even(grid.nx), even(grid.ny)
 
 
 def _extended_area(grid: GridSpec, tile: tuple[int, int], k: int) -> int:
@@ -215,3 +224,23 @@ def advance_tiles(
     rows = replicate_to_tiles(st.unionByName(src), grid, tile, k)
     fn = _tile_fn(grid, spec, tile, k, k, t_prev, tick_ms)
     return rows.groupBy("ti", "tj").applyInPandas(fn, OUT_SCHEMA)
+
+
+def file_layout(out: DataFrame, grid: GridSpec, tile: tuple[int, int], k: int, parallelism: int) -> DataFrame:
+    """Shape a round's output for the tick-partitioned write.
+
+    Each tile would write one file per tick; for tiles smaller than
+    ``FILE_ROWS`` that is a flood of tiny files.  Then rows are
+    hash-partitioned by ``(tick, cell block)`` with blocks of ``FILE_ROWS``
+    cells, so a tick becomes one file (or ~``FILE_ROWS``-row files on large
+    grids) and the files spread over all writer tasks.  Large tiles are
+    written as they are (no extra shuffle).
+    """
+    tw, th = tile
+    if tw * th >= FILE_ROWS:
+        return out
+    rows = grid.n_cells * k
+    blocks_per_tick = -(-grid.n_cells // FILE_ROWS)
+    n_out = max(1, min(k * blocks_per_tick, max(-(-rows // FILE_ROWS), parallelism)))
+    cblock = F.call_function("div", F.col("i") * F.lit(grid.ny) + F.col("j"), F.lit(FILE_ROWS))
+    return out.repartition(n_out, F.col("tick"), cblock)

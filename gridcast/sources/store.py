@@ -25,6 +25,16 @@ def _fs_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table this library created under its own
+    unique scratch path (never a user path)."""
+    if "/gridcast/" not in path:
+        raise ValueError(f"refusing to delete a path outside the gridcast scratch area: {path}")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def write_states(states: DataFrame, path: str) -> None:
     """Append-or-replace whole ticks of a ``(tick, i, j, u)`` frame.
 
