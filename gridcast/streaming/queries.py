@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from gridcast.config import TEST_GRID, TEST_TICK_MS, FoldSpec, scratch_path
 from gridcast.functions.grid import is_left_stripe_edge, is_right_stripe_edge, stripe_of
-from gridcast.operators.halo import halo_rows
 from gridcast.plans.fold import ALIGNED_DDL
 from gridcast.sources.store import read_states
 from gridcast.streaming.fold import fold_batch_fn, overwrite_batch_fn, poll_batch_fn, tee_batch_fn
