@@ -58,9 +58,11 @@ def grid_scaffold(spark: SparkSession, grid: GridSpec) -> DataFrame:
     )
 
 
-def readings_to_json(readings: DataFrame) -> DataFrame:
-    """One JSON object per reading with the text generator's field names."""
+def readings_to_json(readings: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One JSON object per reading (column ``value``) with the text
+    generator's field names; ``keep`` columns are carried alongside."""
     return readings.select(
+        *keep,
         F.to_json(
             F.struct(
                 F.col("i").alias("x"),

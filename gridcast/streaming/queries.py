@@ -155,6 +155,18 @@ def stream_store_results(spark, sf):
     return r.select("tick_index", q6("x").alias("x_e6"), q6("y").alias("y_e6"), q6("temp").alias("temp_e6"))
 
 
+def stream_log_round_trip(spark, sf):
+    """Readings written as a keyed JSON log by one stream and read back by a
+    second stream (the producer/consumer pair of a topic)."""
+    from gridcast.streaming.sinks import as_log_records
+    from gridcast.streaming.source import stream_log_readings
+
+    log = scratch_path(spark, "log")
+    run(to_files(as_log_records(stream_events(spark, sf, GRID)).select("value"), log, scratch_path(spark, "log-ckpt"), fmt="text"))
+    back = stream_log_readings(spark, "text", log)
+    return spark.read.parquet(_files(spark, back, "log-read")).select("time", "i", "j", "gen")
+
+
 def stream_queries(base, fold_base, fold_sql, window_sql, halo_sql, q, x, stripe, y=None):
     """``name -> (fn, oracle SQL)`` for the streaming queries; the SQL
     pieces come from the catalog so both forms share one definition."""
@@ -163,6 +175,7 @@ def stream_queries(base, fold_base, fold_sql, window_sql, halo_sql, q, x, stripe
     tick_sql = f"""{base} SELECT seq, time, tick FROM ticked"""
     return {
         "stream_tick_snap": (stream_tick_snap, tick_sql),
+        "stream_log_round_trip": (stream_log_round_trip, f"{base} SELECT time, i, j, gen FROM readings"),
         "stream_latest": (
             stream_latest,
             f"""{base} SELECT i, j, max(time) AS time, arg_max(gen, struct_pack(t := time, s := seq)) AS gen

@@ -55,3 +55,14 @@ def run(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery
     if exc is not None:
         raise RuntimeError(f"streaming query failed: {exc}")
     return query
+
+
+def as_log_records(readings: DataFrame) -> DataFrame:
+    """``(key, value)`` records of a reading log: the key is the packed cell
+    ``(i << 32) + j`` as text, the value the JSON record.  This is the shape a
+    Kafka sink takes; the ``text`` file sink writes the ``value`` column."""
+    from gridcast.functions.grid import cell_key
+    from gridcast.sources.readings import readings_to_json
+
+    keyed = readings.withColumn("key", cell_key("i", "j").cast("string"))
+    return readings_to_json(keyed, keep=("key",))

@@ -35,6 +35,23 @@ def stream_readings(spark: SparkSession, path: str, fmt: str = "parquet", max_fi
     return reader.load(path)
 
 
+def stream_log_readings(spark: SparkSession, fmt: str = "text", path: str | None = None, **options) -> DataFrame:
+    """READINGS from a log of JSON records.
+
+    ``fmt="text"`` reads a folder of JSON lines; ``fmt="kafka"`` (with e.g.
+    ``subscribe=..., startingOffsets="earliest"``) reads a topic whose value
+    is the JSON record.  Either way the JSON text is parsed with a fixed
+    schema (``timestamp`` as a double, documented field names accepted).
+    """
+    from gridcast.sources.readings import parse_json_readings
+
+    reader = spark.readStream.format(fmt)
+    for k, v in options.items():
+        reader = reader.option(k, v)
+    raw = reader.load(path) if path is not None else reader.load()
+    return parse_json_readings(raw.select(F.col("value").cast("string").alias("value")))
+
+
 def with_event_time(readings: DataFrame, tick_ms: int) -> DataFrame:
     """Add ``tick`` (snapped, halves down), ``event_time`` and ``tick_ts``."""
     return readings.select(
@@ -48,4 +65,4 @@ def delay(ms: int) -> str:
     return f"{int(ms)} milliseconds"
 
 
-__all__ = ["delay", "stream_events", "stream_readings", "with_event_time", "F"]
+__all__ = ["delay", "stream_events", "stream_log_readings", "stream_readings", "with_event_time"]
