@@ -134,3 +134,36 @@ def overwrite_batch_fn(out_path: str):
         batch.write.mode("overwrite").parquet(out_path)
 
     return fn
+
+
+def stream_tick_fold(
+    spark: SparkSession,
+    readings: DataFrame,
+    grid: GridSpec,
+    spec: FoldSpec,
+    tick_ms: int,
+    delay_ms: int,
+    state_path: str,
+    checkpoint: str,
+    dup: str = "last",
+    trigger: str | None = None,
+    results_path: str | None = None,
+    method: str = "tiled",
+):
+    """Start the streaming tick fold over a READINGS stream.
+
+    Closed ticks (watermark ``delay_ms`` behind the newest tick) are folded
+    into ``state_path`` micro-batch by micro-batch; ``trigger`` is a
+    processing-time interval such as ``"200 milliseconds"`` or None for
+    ``availableNow``.  Returns the running :class:`StreamingQuery`.
+    """
+    from gridcast.config import scratch_path
+    from gridcast.streaming.sinks import to_batches
+    from gridcast.streaming.windows import closed_ticks
+
+    closed = closed_ticks(readings, tick_ms, delay_ms, dup)
+    fn = fold_batch_fn(
+        spark, grid, spec, tick_ms, state_path, scratch_path(spark, "stream-fold-stage"),
+        method=method, results_path=results_path,
+    )
+    return to_batches(closed, fn, checkpoint, trigger=trigger)

@@ -17,7 +17,7 @@ from gridcast.config import TEST_GRID, TEST_TICK_MS, FoldSpec, scratch_path
 from gridcast.functions.grid import is_left_stripe_edge, is_right_stripe_edge, stripe_of
 from gridcast.plans.fold import ALIGNED_DDL
 from gridcast.sources.store import read_states
-from gridcast.streaming.fold import fold_batch_fn, overwrite_batch_fn, poll_batch_fn, tee_batch_fn
+from gridcast.streaming.fold import fold_batch_fn, overwrite_batch_fn, poll_batch_fn, stream_tick_fold, tee_batch_fn
 from gridcast.streaming.sinks import run, to_batches, to_files
 from gridcast.streaming.source import stream_events, with_event_time
 from gridcast.streaming.windows import closed_ticks, dedup_ticks, latest_stream, window_mean_stream
@@ -135,9 +135,11 @@ def stream_poll(spark, sf):
 
 def stream_fold(spark, sf):
     state = scratch_path(spark, "stream-fold-state")
-    s = closed_ticks(stream_events(spark, sf, GRID), T, DELAY, "avg")
-    fn = fold_batch_fn(spark, GRID, FoldSpec(coeff=C), T, state, scratch_path(spark, "stream-fold-stage"))
-    run(to_batches(s, fn, scratch_path(spark, "stream-fold-ckpt")))
+    q = stream_tick_fold(
+        spark, stream_events(spark, sf, GRID), GRID, FoldSpec(coeff=C), T, DELAY, state,
+        scratch_path(spark, "stream-fold-ckpt"), dup="avg",
+    )
+    run(q)
     return read_states(spark, state).select("tick", "i", "j", q6("u").alias("u_e6"))
 
 

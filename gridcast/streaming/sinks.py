@@ -57,6 +57,17 @@ def run(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery
     return query
 
 
+def drain(query: StreamingQuery) -> StreamingQuery:
+    """Process everything available now, then stop (for processing-time
+    triggers, which never finish on their own)."""
+    query.processAllAvailable()
+    query.stop()
+    exc = query.exception()
+    if exc is not None:
+        raise RuntimeError(f"streaming query failed: {exc}")
+    return query
+
+
 def as_log_records(readings: DataFrame) -> DataFrame:
     """``(key, value)`` records of a reading log: the key is the packed cell
     ``(i << 32) + j`` as text, the value the JSON record.  This is the shape a

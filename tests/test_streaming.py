@@ -106,3 +106,20 @@ def test_stream_source_reads_readings_files(spark, tmp_dir):
     out = f"{tmp_dir}/o"
     run(to_files(s, out, f"{tmp_dir}/ck"))
     assert spark.read.parquet(out).count() == 10
+
+
+def test_processing_time_trigger_fold_matches_available_now(spark):
+    from gridcast.streaming.fold import stream_tick_fold
+    from gridcast.streaming.sinks import drain
+
+    sf = "/root/testdata/sf0.001"
+    a_state, b_state = scratch_path(spark, "pt-a"), scratch_path(spark, "pt-b")
+    run(stream_tick_fold(spark, stream_events(spark, sf), GridSpec(12, 8), FoldSpec(), DAY, DAY, a_state, scratch_path(spark, "pt-ck-a")))
+    q = stream_tick_fold(
+        spark, stream_events(spark, sf), GridSpec(12, 8), FoldSpec(), DAY, DAY, b_state, scratch_path(spark, "pt-ck-b"),
+        trigger="200 milliseconds",
+    )
+    drain(q)
+    a = sorted((r.tick, r.i, r.j, round(r.u, 9)) for r in read_states(spark, a_state).collect())
+    b = sorted((r.tick, r.i, r.j, round(r.u, 9)) for r in read_states(spark, b_state).collect())
+    assert a == b and len(a) > 0
