@@ -29,7 +29,7 @@ def dense_ticks(
     """
     n_ticks = (last_tick - first_tick) // tick_ms + 1
     n = n_ticks * grid.n_cells
-    parts = max(1, min(n // 2_000_000 + 1, 8192))
+    parts = max(1, min(n // 2_000_000 + 1, 1 << 16))
     cells = F.lit(grid.n_cells)
     cell = F.col("id") % cells
     return spark.range(0, n, 1, parts).select(

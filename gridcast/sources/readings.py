@@ -51,7 +51,7 @@ def grid_scaffold(spark: SparkSession, grid: GridSpec) -> DataFrame:
     with the number of cells.
     """
     n = grid.n_cells
-    parts = max(1, min(n // 1_000_000 + 1, 4096))
+    parts = max(1, min(n // 1_000_000 + 1, 1 << 16))
     return spark.range(0, n, 1, parts).select(
         F.call_function("div", F.col("id"), F.lit(grid.ny)).cast("int").alias("i"),
         (F.col("id") % F.lit(grid.ny)).cast("int").alias("j"),
