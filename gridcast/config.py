@@ -6,10 +6,10 @@ Spark job is started by this module.
 
 from __future__ import annotations
 
-import math
 import os
 import tempfile
 import uuid
+import warnings
 from dataclasses import dataclass, replace
 
 from pyspark.sql import SparkSession
@@ -73,6 +73,11 @@ class FoldSpec:
     def __post_init__(self):
         if self.edge not in EDGE_RULES:
             raise ValueError(f"edge must be one of {EDGE_RULES}")
+        if not 0.0 <= self.coeff:
+            raise ValueError("coeff must be >= 0")
+        if self.coeff > 0.25:
+            # the cell's own weight 1 - 4C turns negative: values oscillate
+            warnings.warn("coeff > 0.25 gives a negative self weight", stacklevel=2)
 
     def with_(self, **kw) -> "FoldSpec":
         return replace(self, **kw)
@@ -129,16 +134,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared scratch area."""
     return f"{shared_dir(spark)}/gridcast/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def default_tile(grid: GridSpec, steps: int, target_cells: int = 1 << 16) -> tuple[int, int]:
-    """Tile shape for the tiled fold.
-
-    Tiles are at least ``2*steps`` wide (so the halo never reaches past the
-    neighbouring tile) and hold about ``target_cells`` owned cells, which
-    bounds the memory of one group however large the grid is.
-    """
-    side = max(int(math.sqrt(target_cells)), 2 * steps, 1)
-    tw = min(grid.nx, max(side, 2 * steps))
-    th = min(grid.ny, max(target_cells // max(tw, 1), 2 * steps, 1))
-    return tw, th

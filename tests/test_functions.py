@@ -77,3 +77,23 @@ def test_coordinates_node_and_center(spark):
     ).collect()
     assert (rows[0].x, rows[0].y, rows[0].xc) == (-10.0, -1.0, -7.5)
     assert (rows[1].x, rows[1].y) == (10.0, 1.0)
+
+
+def test_value_label_and_fold_spec_checks(spark):
+    import warnings
+
+    import pytest
+
+    from gridcast.config import FoldSpec
+    from gridcast.functions import value_label
+
+    df = spark.createDataFrame([(1000, 2.5)], "time long, v double")
+    assert df.select(value_label("time", "v").alias("s")).first().s == "Time: 1000 Temp: 2.5"
+    with pytest.raises(ValueError):
+        FoldSpec(edge="reflect")
+    with pytest.raises(ValueError):
+        FoldSpec(coeff=-0.1)
+    with warnings.catch_warnings(record=True) as w:
+        warnings.simplefilter("always")
+        FoldSpec(coeff=0.3)
+        assert any("negative self weight" in str(x.message) for x in w)
