@@ -80,6 +80,13 @@ def main() -> None:
         lambda: tick_fold(spark, align(load_readings(spark, sf_dir, ref_grid), ref_tick, "avg"), ref_grid, FoldSpec(), ref_tick),
     )
     ref_steps = (ref.last_tick - ref.first_tick) // ref_tick + 1
+    # a large grid: 1,000 x 1,000 cells, daily ticks over all readings
+    large = GridSpec(1000, 1000)
+    lg = timed(
+        "fold_tiled_daily_1000x1000",
+        lambda: tick_fold(spark, align(load_readings(spark, sf_dir, large), DAY, "avg"), large, FoldSpec(), DAY),
+    )
+    lg_updates = ((lg.last_tick - lg.first_tick) // DAY + 1) * large.n_cells
     small = align(load_readings(spark, sf_dir, SMALL), DAY, "avg")
     timed("fold_step_daily_12x8", lambda: tick_fold(spark, small, SMALL, FoldSpec(), DAY, method="step"))
     timed("fold_tiled_daily_12x8", lambda: tick_fold(spark, small, SMALL, FoldSpec(), DAY, method="tiled"))
@@ -102,6 +109,7 @@ def main() -> None:
                 "fold_ticks": n_ticks,
                 "fold_cells": BIG.n_cells,
                 "fold_cell_updates_per_sec": int(n_ticks * BIG.n_cells / fold_sec),
+                "fold_1000x1000_cell_updates_per_sec": int(lg_updates / times["fold_tiled_daily_1000x1000"]),
                 "fold_40x40_steps": ref_steps,
                 "fold_40x40_sec_per_step": round(times["fold_tiled_40x40_5000_steps"] / ref_steps, 5),
                 "reference_sec_per_step_40x40": REFERENCE_SEC_PER_STEP,
