@@ -212,7 +212,7 @@ def advance_tiles(
         F.call_function("div", F.col("tick") - F.lit(t_prev + tick_ms), F.lit(tick_ms)).cast("int").alias("m"),
         "i",
         "j",
-        F.col("f").alias("v"),
+        F.coalesce(F.col("f"), F.lit(0.0)).alias("v"),  # a missing value counts as 0
     ).where(
         (F.col("m") >= 0)
         & (F.col("m") < k)

@@ -119,7 +119,9 @@ def stream_tee(spark, sf):
 
 def stream_partitioned_sink(spark, sf):
     s = closed_ticks(stream_events(spark, sf, GRID), T, DELAY, "last")
-    s = s.withColumn("stripe", stripe_of("i", NX, N_STRIPES)).repartition(N_STRIPES, "stripe")
+    # one directory per stripe; tasks split by (stripe, tick) so a busy
+    # stripe is not written by a single task
+    s = s.withColumn("stripe", stripe_of("i", NX, N_STRIPES)).repartition(N_STRIPES, "stripe", "tick")
     out = _files(spark, s, "stripes", partition_by=("stripe",))
     return spark.read.schema("tick long, i int, j int, f double, stripe int").parquet(out).select(
         "tick", "i", "j", "f", "stripe"

@@ -134,3 +134,14 @@ def test_final_state_is_last_tick(spark):
     assert f.select(F.countDistinct("tick")).first()[0] == 1
     assert f.first().tick == 200
     assert f.count() == 9
+
+
+def test_null_source_counts_as_zero_in_both_forms(spark):
+    g = GridSpec(4, 4)
+    a = spark.createDataFrame(
+        [(100, 1, 1, 2.0), (100, 2, 2, None), (200, 2, 1, 1.0)], "tick long, i int, j int, f double"
+    )
+    x = _fold_array(spark, tick_fold(spark, a, g, FoldSpec(), 100, method="step"), g)
+    y = _fold_array(spark, tick_fold(spark, a, g, FoldSpec(), 100, method="tiled"), g)
+    assert x[0] == y[0]
+    assert np.allclose(x[1], y[1]) and not np.isnan(y[1]).any()
