@@ -16,8 +16,9 @@ to a tick-partitioned table, initial state included at ``first - T``):
   :mod:`gridcast.plans.tiled`).
 
 Sources are the aligned readings; ticks without readings are steps with
-source 0.  The aligned rows are first written partitioned by tick to the
-shared scratch area so that each step reads only its own ticks.
+source 0.  The aligned rows are first written to the shared scratch area,
+partitioned by round, so that each round reads exactly one directory (no
+listing of every tick per round); the copy is removed when the fold ends.
 """
 
 from __future__ import annotations
