@@ -25,7 +25,7 @@ from gridcast.config import FoldSpec, GridSpec
 # Bounds on one tile group per round (they keep a group's memory and time
 # fixed however large the grid or the tick range is):
 MAX_GROUP_VALUES = 1 << 22  # owned (cell, tick) values emitted
-MAX_GROUP_WORK = 1 << 24  # extended cells x steps (dense source array: 128 MiB)
+MAX_GROUP_WORK = 1 << 23  # extended cells x steps (dense sources: ~0.5 GB of rows at worst)
 HALO_REDUNDANCY = 4.0  # extended area / owned area, once the area is large
 SMALL_AREA = 1 << 16  # below this many extended cells, redundancy is free
 # Tile sides; file sizes are handled by `file_layout`, not by the tile shape.
