@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gridcast.config import TEST_GRID, TEST_TICK_MS, FoldSpec, GridSpec, set_utc
 from gridcast.operators.align import align
-from gridcast.operators.densify import tick_bounds
 from gridcast.plans.fold import tick_fold
 from gridcast.plans.serve import present
 from gridcast.sources.readings import load_readings
@@ -24,9 +22,8 @@ def first_ticks_state(
 ) -> DataFrame:
     set_utc(spark)
     aligned = align(load_readings(spark, sf_dir, grid), tick_ms, dup)
-    first, _ = tick_bounds(aligned)
-    res = tick_fold(spark, aligned, grid, spec, tick_ms, bounds=(first, first + (n_ticks - 1) * tick_ms))
+    res = tick_fold(spark, aligned, grid, spec, tick_ms, n_ticks=n_ticks)
     return present(res.final(spark), grid).orderBy("i", "j")
 
 
-__all__ = ["first_ticks_state", "F"]
+__all__ = ["first_ticks_state"]

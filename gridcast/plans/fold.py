@@ -16,23 +16,25 @@ to a tick-partitioned table, initial state included at ``first - T``):
   :mod:`gridcast.plans.tiled`).
 
 Sources are the aligned readings; ticks without readings are steps with
-source 0.  The aligned rows are first written to the shared scratch area,
-partitioned by round, so that each round reads exactly one directory (no
-listing of every tick per round); the copy is removed when the fold ends.
+source 0.  The aligned rows are written once to the shared scratch area,
+partitioned by tick (the only pass over the readings); the first and last
+tick come from the directory listing, each round names only its own tick
+directories to the reader, and the copy is removed when the fold ends.
 """
 
 from __future__ import annotations
 
+import bisect
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.config import FoldSpec, GridSpec, scratch_path
-from gridcast.operators.densify import densify_state, tick_bounds
+from gridcast.operators.densify import densify_state
 from gridcast.operators.stencil import neighbour_step
 from gridcast.plans import tiled
-from gridcast.sources.store import _fs_exists, drop_scratch, read_states, read_tick, write_states, write_tick
+from gridcast.sources.store import drop_scratch, read_states, stored_ticks, read_tick, write_states, write_tick
 
 ALIGNED_DDL = "i int, j int, f double, tick long"
 
@@ -70,31 +72,31 @@ def plan_rounds(
     return tile, tiled.round_length(grid, tile, steps_per_round, max(n_steps, 1))
 
 
-def stage_sources(spark: SparkSession, aligned: DataFrame, first_tick: int, tick_ms: int, k: int) -> str:
-    """Write aligned rows partitioned by round (``k`` ticks each) so every
-    round reads exactly one directory: no per-round listing of all ticks."""
+def stage_sources(spark: SparkSession, aligned: DataFrame) -> str:
+    """Write aligned rows once, partitioned by tick (the only pass over the
+    readings); tick bounds then come from the directory listing."""
     path = scratch_path(spark, "aligned")
-    rnd = F.call_function("div", F.col("tick") - F.lit(first_tick), F.lit(k * tick_ms))
     (
         aligned.select("tick", "i", "j", "f")
-        .where(F.col("tick") >= F.lit(first_tick))
-        .withColumn("round", rnd.cast("long"))
-        .sortWithinPartitions("round", "tick", "i", "j")
+        .sortWithinPartitions("tick", "i", "j")
         .write.mode("overwrite")
-        .partitionBy("round")
+        .partitionBy("tick")
         .parquet(path)
     )
     return path
 
 
-def _round_sources(spark: SparkSession, staged: str, r: int, lo: int, hi: int) -> DataFrame:
-    path = f"{staged}/round={r}"
-    if not _fs_exists(spark, path):
+def _tick_sources(spark: SparkSession, staged: str, present: list[int], lo: int, hi: int) -> DataFrame:
+    """Aligned rows of ticks ``lo..hi``: only those tick directories are
+    named to the reader, so no round lists the whole staged table."""
+    ticks = present[bisect.bisect_left(present, lo) : bisect.bisect_right(present, hi)]
+    if not ticks:
         return spark.createDataFrame([], "tick long, i int, j int, f double")
     return (
-        spark.read.schema("tick long, i int, j int, f double")
-        .parquet(path)
-        .where((F.col("tick") >= F.lit(lo)) & (F.col("tick") <= F.lit(hi)))
+        spark.read.schema("i int, j int, f double, tick long")
+        .option("basePath", staged)
+        .parquet(*[f"{staged}/tick={t}" for t in ticks])
+        .select("tick", "i", "j", "f")
     )
 
 
@@ -111,21 +113,28 @@ def tick_fold(
     steps_per_round: int | None = None,
     tile: tuple[int, int] | None = None,
     include_initial: bool = True,
+    n_ticks: int | None = None,
 ) -> FoldResult | None:
     """Fold ``aligned`` (tick, i, j, f) over the grid; return where it went.
 
     ``initial`` is an optional ``(i, j, u)`` state before the first tick
-    (missing cells are 0).  ``bounds`` overrides the (first, last) tick.
+    (missing cells are 0).  ``bounds`` overrides the (first, last) tick;
+    ``n_ticks`` stops after that many ticks from the first one.
     Returns None when there is no reading and no bound.
     """
-    bounds = bounds or tick_bounds(aligned)
+    staged = stage_sources(spark, aligned)
+    present = stored_ticks(spark, staged, "tick", check_committed=False)
     if bounds is None:
-        return None
+        if not present:
+            drop_scratch(spark, staged)
+            return None
+        bounds = (present[0], present[-1])
     first, last = bounds
+    if n_ticks is not None:
+        last = min(last, first + (n_ticks - 1) * tick_ms)
     n_steps = (last - first) // tick_ms + 1
     tile, k = plan_rounds(spark, grid, n_steps, method, tile, steps_per_round)
     out_path = out_path or scratch_path(spark, "fold")
-    staged = stage_sources(spark, aligned.where(F.col("tick") <= F.lit(last)), first, tick_ms, k)
     state0 = densify_state(spark, initial, grid)
     prev = first - tick_ms
     state = state0
@@ -134,7 +143,7 @@ def tick_fold(
         state = read_tick(spark, out_path, prev)
 
     def sources(lo: int, hi: int) -> DataFrame:
-        return _round_sources(spark, staged, (lo - first) // (k * tick_ms), lo, hi)
+        return _tick_sources(spark, staged, present, lo, hi)
 
     advance(spark, state, prev, last, sources, grid, spec, tick_ms, out_path, method, tile, k)
     drop_scratch(spark, staged)  # intermediate copy of the sources

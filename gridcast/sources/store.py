@@ -68,9 +68,10 @@ def read_tick(spark: SparkSession, path: str, tick: int) -> DataFrame:
     return spark.read.schema("i int, j int, u double").parquet(f"{path}/tick={tick}")
 
 
-def stored_ticks(spark: SparkSession, path: str, column: str = "tick") -> list[int]:
+def stored_ticks(spark: SparkSession, path: str, column: str = "tick", check_committed: bool = True) -> list[int]:
     """Partition values present under ``path`` from a directory listing
-    (metadata only: no data file is opened)."""
+    (metadata only: no data file is opened).  ``check_committed`` skips
+    directories a failed writer left half-written (one extra call each)."""
     if not _fs_exists(spark, path):
         return []
     jvm = spark.sparkContext._jvm
@@ -80,11 +81,12 @@ def stored_ticks(spark: SparkSession, path: str, column: str = "tick") -> list[i
     prefix = f"{column}="
     for st in fs.listStatus(p):
         name = st.getPath().getName()
+        if not (st.isDirectory() and name.startswith(prefix)):
+            continue
         # a committed partition has no `_temporary` folder left in it
-        if st.isDirectory() and name.startswith(prefix) and not fs.exists(
-            jvm.org.apache.hadoop.fs.Path(st.getPath(), "_temporary")
-        ):
-            out.append(int(name[len(prefix):]))
+        if check_committed and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_temporary")):
+            continue
+        out.append(int(name[len(prefix):]))
     return sorted(out)
 
 
@@ -112,48 +114,56 @@ def upsert_results(
 ) -> None:
     """Upsert ``(tick_index, x, y, temp, *version)`` keyed by (tick_index, x, y).
 
-    Within the batch the row with the largest ``version`` columns (compared
-    in order) wins per key; against the table, new rows win.  The choice is
-    one ``max_by`` aggregate, so a hot key is pre-reduced map-side.  Only the touched
-    tick partitions are rewritten: existing rows of those partitions are
-    merged in, staged in the shared scratch area, then swapped in with a
-    dynamic partition overwrite.  Running the same upsert twice is a no-op.
+    1. The batch is reduced to one row per key (largest ``version`` columns,
+       compared in order) with one ``max_by`` aggregate — a hot key is
+       pre-reduced map-side — and staged by ``tick_index``.  This is the only
+       pass over the input.
+    2. The touched partitions come from the staged listing; only those
+       partitions of the table are read (static partition pruning) and
+       merged, new rows winning.
+    3. The merged partitions replace the old ones (dynamic overwrite).
+    Running the same upsert twice leaves the table unchanged.
     """
-    ver = F.struct(F.lit(1).alias("_new"), *[F.col(c) for c in version])
-    new = rows.select("tick_index", "x", "y", "temp", ver.alias("_v"))
-    span = new.agg(F.min("tick_index").alias("lo"), F.max("tick_index").alias("hi")).first()
-    if span is None or span["lo"] is None:
-        return
-    if _fs_exists(spark, path):
-        # static partition pruning: only the tick range of this batch is read
-        in_span = (F.col("tick_index") >= F.lit(span["lo"])) & (F.col("tick_index") <= F.lit(span["hi"]))
-        touched = new.select("tick_index").distinct()
-        old = (
-            spark.read.schema(RESULTS_DDL)
-            .parquet(path)
-            .where(in_span)
-            .join(touched, "tick_index", "left_semi")
-            .select("tick_index", "x", "y", "temp")
-        )
-        old_ver = F.struct(F.lit(0).alias("_new"), *[F.lit(None).cast(new.schema["_v"].dataType[c].dataType).alias(c) for c in version])
-        new = new.unionByName(old.withColumn("_v", old_ver))
-    merged = new.groupBy("tick_index", "x", "y").agg(F.max_by(F.col("temp"), F.col("_v")).alias("temp"))
-    stage = scratch_path(spark, "upsert-stage")
+    key = ["tick_index", "x", "y"]
+    ver = F.struct(*[F.col(c) for c in version]) if version else F.lit(0)
+    stage_new = scratch_path(spark, "upsert-new")
     (
-        merged.sortWithinPartitions("tick_index", "x", "y")
+        rows.groupBy(*key)
+        .agg(F.max_by(F.col("temp"), ver).alias("temp"))
+        .sortWithinPartitions(*key)
         .write.mode("overwrite")
         .partitionBy("tick_index")
-        .parquet(stage)
+        .parquet(stage_new)
     )
+    touched = stored_ticks(spark, stage_new, "tick_index", check_committed=False)
+    if not touched:
+        drop_scratch(spark, stage_new)
+        return
+    merged = spark.read.schema(RESULTS_DDL).parquet(stage_new)
+    stage_merged = None
+    if _fs_exists(spark, path):
+        old = spark.read.schema(RESULTS_DDL).parquet(path).where(F.col("tick_index").isin(touched))
+        both = merged.withColumn("_new", F.lit(1)).unionByName(old.withColumn("_new", F.lit(0)))
+        stage_merged = scratch_path(spark, "upsert-merged")
+        (
+            both.groupBy(*key)
+            .agg(F.max_by(F.col("temp"), F.col("_new")).alias("temp"))
+            .sortWithinPartitions(*key)
+            .write.mode("overwrite")
+            .partitionBy("tick_index")
+            .parquet(stage_merged)
+        )
+        merged = spark.read.schema(RESULTS_DDL).parquet(stage_merged)
     (
-        spark.read.schema(RESULTS_DDL)
-        .parquet(stage)
-        .sortWithinPartitions("tick_index", "x", "y")
+        merged.sortWithinPartitions(*key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("tick_index")
         .parquet(path)
     )
+    drop_scratch(spark, stage_new)
+    if stage_merged:
+        drop_scratch(spark, stage_merged)
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:

@@ -21,10 +21,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.config import FoldSpec, GridSpec
-from gridcast.operators.densify import densify_state, tick_bounds
+from gridcast.operators.densify import densify_state
 from gridcast.operators.halo import halo_rows
-from gridcast.plans.fold import ALIGNED_DDL, advance
-from gridcast.sources.store import latest_tick_before, read_states, read_tick, to_results, upsert_results, write_tick
+from gridcast.plans.fold import _tick_sources, advance
+from gridcast.sources.store import (
+    latest_tick_before,
+    read_states,
+    read_tick,
+    stored_ticks,
+    to_results,
+    upsert_results,
+    write_tick,
+)
 
 
 def _stage(batch: DataFrame, path: str) -> None:
@@ -59,11 +67,10 @@ def fold_batch_fn(
     def fn(batch: DataFrame, epoch_id: int) -> None:
         staged = f"{stage_root}/epoch={epoch_id}"
         _stage(batch, staged)
-        rows = spark.read.schema(ALIGNED_DDL).parquet(staged)
-        bounds = tick_bounds(rows)
-        if bounds is None:
+        present = stored_ticks(spark, staged, "tick", check_committed=False)
+        if not present:
             return
-        first, last = bounds
+        first, last = present[0], present[-1]
         prev = latest_tick_before(spark, state_path, first)
         if prev is None:
             prev = first - tick_ms
@@ -71,7 +78,7 @@ def fold_batch_fn(
         state = read_tick(spark, state_path, prev)
 
         def sources(lo: int, hi: int) -> DataFrame:
-            return rows.where((F.col("tick") >= lo) & (F.col("tick") <= hi)).select("tick", "i", "j", "f")
+            return _tick_sources(spark, staged, present, lo, hi)
 
         advance(spark, state, prev, last, sources, grid, spec, tick_ms, state_path, method, tile, steps_per_round)
         if results_path is not None:

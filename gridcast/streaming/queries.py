@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from gridcast.config import TEST_GRID, TEST_TICK_MS, FoldSpec, scratch_path
 from gridcast.functions.grid import is_left_stripe_edge, is_right_stripe_edge, stripe_of
-from gridcast.plans.fold import ALIGNED_DDL
 from gridcast.sources.store import read_states
 from gridcast.streaming.fold import fold_batch_fn, overwrite_batch_fn, poll_batch_fn, stream_tick_fold, tee_batch_fn
 from gridcast.streaming.sinks import run, to_batches, to_files
@@ -224,7 +223,7 @@ def _wrap(window_sql: str, delay: int) -> str:
     return f"{head}, agg AS (SELECT {select})\n    SELECT * FROM agg WHERE time <= (SELECT max(time) FROM readings) - {delay}"
 
 
-__all__ = ["stream_queries", "ALIGNED_DDL"]
+__all__ = ["stream_queries"]
 
 
 def stream_window_avg_query(spark, sf):
