@@ -90,8 +90,56 @@ def stored_ticks(spark: SparkSession, path: str, column: str = "tick", check_com
     return sorted(out)
 
 
-def latest_tick_before(spark: SparkSession, path: str, tick: int) -> int | None:
-    """Newest stored tick strictly before ``tick`` (directory listing only)."""
+MARKER = "_last_tick"
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_marker(spark: SparkSession, path: str, tick: int) -> None:
+    """Record the newest folded tick next to the table (written to a temp
+    file, then renamed over the old marker)."""
+    jvm, p, fs = _fs(spark, f"{path}/{MARKER}")
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}/{MARKER}.tmp")
+    out = fs.create(tmp, True)
+    out.write(bytearray(str(int(tick)).encode()))
+    out.close()
+    fs.delete(p, False)
+    fs.rename(tmp, p)
+
+
+def read_marker(spark: SparkSession, path: str) -> int | None:
+    jvm, p, fs = _fs(spark, f"{path}/{MARKER}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return int(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip())
+    finally:
+        stream.close()
+
+
+def _has_tick(spark: SparkSession, path: str, tick: int) -> bool:
+    jvm, p, fs = _fs(spark, f"{path}/tick={tick}")
+    return bool(fs.exists(p)) and not fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_temporary"))
+
+
+def latest_tick_before(spark: SparkSession, path: str, tick: int, tick_ms: int | None = None) -> int | None:
+    """Newest stored tick strictly before ``tick``.
+
+    Every tick from the first one on is stored, so with ``tick_ms`` the
+    answer is usually ``tick - T`` (one existence check); otherwise the
+    progress marker names the newest folded tick.  Only a table without a
+    marker is listed.
+    """
+    if tick_ms is not None and _has_tick(spark, path, tick - tick_ms):
+        return tick - tick_ms
+    marked = read_marker(spark, path) if _fs_exists(spark, path) else None
+    if marked is not None and marked < tick:
+        return marked
     earlier = [t for t in stored_ticks(spark, path) if t < tick]
     return earlier[-1] if earlier else None
 

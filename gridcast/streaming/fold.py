@@ -26,11 +26,13 @@ from gridcast.operators.halo import halo_rows
 from gridcast.plans.fold import _tick_sources, advance
 from gridcast.sources.store import (
     latest_tick_before,
+    read_marker,
     read_states,
     read_tick,
     stored_ticks,
     to_results,
     upsert_results,
+    write_marker,
     write_tick,
 )
 
@@ -71,7 +73,7 @@ def fold_batch_fn(
         if not present:
             return
         first, last = present[0], present[-1]
-        prev = latest_tick_before(spark, state_path, first)
+        prev = latest_tick_before(spark, state_path, first, tick_ms)
         if prev is None:
             prev = first - tick_ms
             write_tick(densify_state(spark, None, grid), state_path, prev)
@@ -81,6 +83,9 @@ def fold_batch_fn(
             return _tick_sources(spark, staged, present, lo, hi)
 
         advance(spark, state, prev, last, sources, grid, spec, tick_ms, state_path, method, tile, steps_per_round)
+        marked = read_marker(spark, state_path)
+        if marked is None or marked < last:
+            write_marker(spark, state_path, last)
         if results_path is not None:
             new = read_states(spark, state_path).where((F.col("tick") > F.lit(prev)) & (F.col("tick") <= F.lit(last)))
             upsert_results(spark, to_results(new, grid, tick_ms, anchor), results_path)
