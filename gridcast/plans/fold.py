@@ -16,22 +16,22 @@ to a tick-partitioned table, initial state included at ``first - T``):
   :mod:`gridcast.plans.tiled`).
 
 Sources are the aligned readings; ticks without readings are steps with
-source 0.  The aligned rows are written once to the shared scratch area,
-partitioned by tick (the only pass over the readings); the first and last
-tick come from the directory listing, each round names only its own tick
-directories to the reader, and the copy is removed when the fold ends.
+source 0.  The aligned rows are persisted while the first/last tick is
+taken and they are written to the shared scratch area (one pass over the
+readings), partitioned by blocks of ticks; each round reads only the one or
+two blocks it overlaps, and the copy is removed when the fold ends.
 """
 
 from __future__ import annotations
 
-import bisect
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.config import FoldSpec, GridSpec, scratch_path
-from gridcast.operators.densify import densify_state
+from gridcast.operators.densify import densify_state, tick_bounds
 from gridcast.operators.stencil import neighbour_step
 from gridcast.plans import tiled
 from gridcast.sources.store import drop_scratch, read_states, stored_ticks, read_tick, write_states, write_tick
@@ -72,32 +72,69 @@ def plan_rounds(
     return tile, tiled.round_length(grid, tile, steps_per_round, max(n_steps, 1))
 
 
-def stage_sources(spark: SparkSession, aligned: DataFrame) -> str:
-    """Write aligned rows once, partitioned by tick (the only pass over the
-    readings); tick bounds then come from the directory listing."""
-    path = scratch_path(spark, "aligned")
+# A staged block holds at least this many ticks (and at least one round).
+MIN_BLOCK_TICKS = 64
+
+
+@dataclass
+class StagedSources:
+    """Aligned rows written once to the shared scratch area, partitioned by
+    blocks of ``block_ticks`` ticks counted from ``first``."""
+
+    spark: SparkSession
+    path: str
+    first: int
+    tick_ms: int
+    block_ticks: int
+    blocks: list[int]
+
+    def read(self, lo: int, hi: int) -> DataFrame:
+        """Rows of ticks ``lo..hi``: only the one or two block directories
+        that overlap the range are named to the reader."""
+        span = self.block_ticks * self.tick_ms
+        want = range((lo - self.first) // span, (hi - self.first) // span + 1)
+        have = set(self.blocks)
+        paths = [f"{self.path}/blk={b}" for b in want if b in have]
+        if not paths:
+            return self.spark.createDataFrame([], "tick long, i int, j int, f double")
+        return (
+            self.spark.read.schema("tick long, i int, j int, f double, blk long")
+            .option("basePath", self.path)
+            .parquet(*paths)
+            .where((F.col("tick") >= F.lit(lo)) & (F.col("tick") <= F.lit(hi)))
+            .select("tick", "i", "j", "f")
+        )
+
+    def drop(self) -> None:
+        drop_scratch(self.spark, self.path)
+
+
+def stage_sources(
+    spark: SparkSession,
+    aligned: DataFrame,
+    first: int,
+    last: int,
+    tick_ms: int,
+    block_ticks: int,
+    path: str | None = None,
+) -> StagedSources:
+    """Write the aligned rows of ticks ``first..last`` once, partitioned by
+    tick block, sorted by tick inside each file (so a round's tick filter
+    also prunes row groups).  Blocks keep the file count at about
+    ``tasks x blocks`` instead of ``tasks x ticks``."""
+    path = path or scratch_path(spark, "aligned")
+    blk = F.call_function("div", F.col("tick") - F.lit(first), F.lit(block_ticks * tick_ms))
     (
         aligned.select("tick", "i", "j", "f")
-        .sortWithinPartitions("tick", "i", "j")
+        .where((F.col("tick") >= F.lit(first)) & (F.col("tick") <= F.lit(last)))
+        .withColumn("blk", blk.cast("long"))
+        .sortWithinPartitions("blk", "tick", "i", "j")
         .write.mode("overwrite")
-        .partitionBy("tick")
+        .partitionBy("blk")
         .parquet(path)
     )
-    return path
-
-
-def _tick_sources(spark: SparkSession, staged: str, present: list[int], lo: int, hi: int) -> DataFrame:
-    """Aligned rows of ticks ``lo..hi``: only those tick directories are
-    named to the reader, so no round lists the whole staged table."""
-    ticks = present[bisect.bisect_left(present, lo) : bisect.bisect_right(present, hi)]
-    if not ticks:
-        return spark.createDataFrame([], "tick long, i int, j int, f double")
-    return (
-        spark.read.schema("i int, j int, f double, tick long")
-        .option("basePath", staged)
-        .parquet(*[f"{staged}/tick={t}" for t in ticks])
-        .select("tick", "i", "j", "f")
-    )
+    blocks = stored_ticks(spark, path, "blk", check_committed=False)
+    return StagedSources(spark, path, first, tick_ms, block_ticks, blocks)
 
 
 def tick_fold(
@@ -121,19 +158,23 @@ def tick_fold(
     (missing cells are 0).  ``bounds`` overrides the (first, last) tick;
     ``n_ticks`` stops after that many ticks from the first one.
     Returns None when there is no reading and no bound.
+
+    The aligned rows are persisted (memory and disk) while the tick bounds
+    are taken and the rows are staged, so the readings are scanned once.
     """
-    staged = stage_sources(spark, aligned)
-    present = stored_ticks(spark, staged, "tick", check_committed=False)
-    if bounds is None:
-        if not present:
-            drop_scratch(spark, staged)
+    cached = aligned.select("tick", "i", "j", "f").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        bounds = bounds or tick_bounds(cached)
+        if bounds is None:
             return None
-        bounds = (present[0], present[-1])
-    first, last = bounds
-    if n_ticks is not None:
-        last = min(last, first + (n_ticks - 1) * tick_ms)
-    n_steps = (last - first) // tick_ms + 1
-    tile, k = plan_rounds(spark, grid, n_steps, method, tile, steps_per_round)
+        first, last = bounds
+        if n_ticks is not None:
+            last = min(last, first + (n_ticks - 1) * tick_ms)
+        n_steps = (last - first) // tick_ms + 1
+        tile, k = plan_rounds(spark, grid, n_steps, method, tile, steps_per_round)
+        staged = stage_sources(spark, cached, first, last, tick_ms, max(k, MIN_BLOCK_TICKS))
+    finally:
+        cached.unpersist()
     out_path = out_path or scratch_path(spark, "fold")
     state0 = densify_state(spark, initial, grid)
     prev = first - tick_ms
@@ -141,12 +182,8 @@ def tick_fold(
     if include_initial:
         write_tick(state0, out_path, prev)
         state = read_tick(spark, out_path, prev)
-
-    def sources(lo: int, hi: int) -> DataFrame:
-        return _tick_sources(spark, staged, present, lo, hi)
-
-    advance(spark, state, prev, last, sources, grid, spec, tick_ms, out_path, method, tile, k)
-    drop_scratch(spark, staged)  # intermediate copy of the sources
+    advance(spark, state, prev, last, staged.read, grid, spec, tick_ms, out_path, method, tile, k)
+    staged.drop()  # intermediate copy of the sources
     return FoldResult(out_path, first, last, tick_ms)
 
 

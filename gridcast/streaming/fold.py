@@ -5,7 +5,7 @@ the whole grid would put everything in one task, so the fold state lives in
 the tick-partitioned state table instead:
 
 1. the stream emits closed ``(tick, i, j, f)`` rows once (watermark, append);
-2. each micro-batch writes them to a staged table under its epoch id;
+2. each micro-batch stages them (persisted once, written by tick block);
 3. it reads the newest stored state strictly before the first closed tick
    (or a zero grid), advances tick by tick up to the last closed tick
    (ticks with no readings are steps with source 0) and overwrites those
@@ -17,19 +17,19 @@ partitions, so a restart from the checkpoint gives the same table.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.config import FoldSpec, GridSpec
-from gridcast.operators.densify import densify_state
+from gridcast.operators.densify import densify_state, tick_bounds
 from gridcast.operators.halo import halo_rows
-from gridcast.plans.fold import _tick_sources, advance
+from gridcast.plans.fold import MIN_BLOCK_TICKS, advance, stage_sources
 from gridcast.sources.store import (
     latest_tick_before,
     read_marker,
     read_states,
     read_tick,
-    stored_ticks,
     to_results,
     upsert_results,
     write_marker,
@@ -37,16 +37,6 @@ from gridcast.sources.store import (
 )
 
 
-def _stage(batch: DataFrame, path: str) -> None:
-    (
-        batch.select("tick", "i", "j", "f")
-        .sortWithinPartitions("tick", "i", "j")
-        .write.mode("overwrite")
-        .partitionBy("tick")
-        .parquet(path)
-    )
-
-
 def fold_batch_fn(
     spark: SparkSession,
     grid: GridSpec,
@@ -67,25 +57,28 @@ def fold_batch_fn(
     """
 
     def fn(batch: DataFrame, epoch_id: int) -> None:
-        staged = f"{stage_root}/epoch={epoch_id}"
-        _stage(batch, staged)
-        present = stored_ticks(spark, staged, "tick", check_committed=False)
-        if not present:
-            return
-        first, last = present[0], present[-1]
+        cached = batch.select("tick", "i", "j", "f").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            bounds = tick_bounds(cached)
+            if bounds is None:
+                return
+            first, last = bounds
+            staged = stage_sources(
+                spark, cached, first, last, tick_ms, MIN_BLOCK_TICKS, f"{stage_root}/epoch={epoch_id}"
+            )
+        finally:
+            cached.unpersist()
         prev = latest_tick_before(spark, state_path, first, tick_ms)
         if prev is None:
             prev = first - tick_ms
             write_tick(densify_state(spark, None, grid), state_path, prev)
         state = read_tick(spark, state_path, prev)
-
-        def sources(lo: int, hi: int) -> DataFrame:
-            return _tick_sources(spark, staged, present, lo, hi)
-
+        sources = staged.read
         advance(spark, state, prev, last, sources, grid, spec, tick_ms, state_path, method, tile, steps_per_round)
         marked = read_marker(spark, state_path)
         if marked is None or marked < last:
             write_marker(spark, state_path, last)
+        staged.drop()
         if results_path is not None:
             new = read_states(spark, state_path).where((F.col("tick") > F.lit(prev)) & (F.col("tick") <= F.lit(last)))
             upsert_results(spark, to_results(new, grid, tick_ms, anchor), results_path)
