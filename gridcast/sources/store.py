@@ -157,56 +157,67 @@ def to_results(states: DataFrame, grid: GridSpec, tick_ms: int, anchor: str = "n
     )
 
 
-def upsert_results(
-    spark: SparkSession, rows: DataFrame, path: str, version: tuple[str, ...] = ()
+def upsert_by_key(
+    spark: SparkSession,
+    rows: DataFrame,
+    path: str,
+    key: tuple[str, ...],
+    part: str,
+    values: tuple[str, ...],
+    version: tuple[str, ...] = (),
 ) -> None:
-    """Upsert ``(tick_index, x, y, temp, *version)`` keyed by (tick_index, x, y).
+    """Upsert ``rows`` into a Parquet table partitioned by ``part``.
 
-    1. The batch is reduced to one row per key (largest ``version`` columns,
-       compared in order) with one ``max_by`` aggregate — a hot key is
-       pre-reduced map-side — and staged by ``tick_index``.  This is the only
+    1. The batch is reduced to one row per ``key`` (largest ``version``
+       columns, compared in order) with one ``max_by`` aggregate — a hot key
+       is pre-reduced map-side — and staged by ``part``.  This is the only
        pass over the input.
     2. The touched partitions come from the staged listing; only those
        partitions of the table are read (static partition pruning) and
        merged, new rows winning.
     3. The merged partitions replace the old ones (dynamic overwrite).
-    Running the same upsert twice leaves the table unchanged.
+    Running the same upsert twice leaves the table unchanged.  ``part`` must
+    be one of the key columns (an integral bucket of the key).
     """
-    key = ["tick_index", "x", "y"]
+    key, cols = list(key), [*key, *values]
     ver = F.struct(*[F.col(c) for c in version]) if version else F.lit(0)
+    vals = F.struct(*[F.col(c) for c in values])
     stage_new = scratch_path(spark, "upsert-new")
     (
         rows.groupBy(*key)
-        .agg(F.max_by(F.col("temp"), ver).alias("temp"))
+        .agg(F.max_by(vals, ver).alias("_v"))
+        .select(*key, *[F.col(f"_v.{c}").alias(c) for c in values])
         .sortWithinPartitions(*key)
         .write.mode("overwrite")
-        .partitionBy("tick_index")
+        .partitionBy(part)
         .parquet(stage_new)
     )
-    touched = stored_ticks(spark, stage_new, "tick_index", check_committed=False)
-    if not touched:
+    schema = spark.read.parquet(stage_new).schema if _fs_exists(spark, stage_new) else None
+    touched = stored_ticks(spark, stage_new, part, check_committed=False)
+    if not touched or schema is None:
         drop_scratch(spark, stage_new)
         return
-    merged = spark.read.schema(RESULTS_DDL).parquet(stage_new)
+    merged = spark.read.schema(schema).parquet(stage_new).select(*cols)
     stage_merged = None
     if _fs_exists(spark, path):
-        old = spark.read.schema(RESULTS_DDL).parquet(path).where(F.col("tick_index").isin(touched))
+        old = spark.read.schema(schema).parquet(path).where(F.col(part).isin(touched)).select(*cols)
         both = merged.withColumn("_new", F.lit(1)).unionByName(old.withColumn("_new", F.lit(0)))
         stage_merged = scratch_path(spark, "upsert-merged")
         (
             both.groupBy(*key)
-            .agg(F.max_by(F.col("temp"), F.col("_new")).alias("temp"))
+            .agg(F.max_by(vals, F.col("_new")).alias("_v"))
+            .select(*key, *[F.col(f"_v.{c}").alias(c) for c in values])
             .sortWithinPartitions(*key)
             .write.mode("overwrite")
-            .partitionBy("tick_index")
+            .partitionBy(part)
             .parquet(stage_merged)
         )
-        merged = spark.read.schema(RESULTS_DDL).parquet(stage_merged)
+        merged = spark.read.schema(schema).parquet(stage_merged).select(*cols)
     (
         merged.sortWithinPartitions(*key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("tick_index")
+        .partitionBy(part)
         .parquet(path)
     )
     drop_scratch(spark, stage_new)
@@ -214,5 +225,14 @@ def upsert_results(
         drop_scratch(spark, stage_merged)
 
 
+def upsert_results(
+    spark: SparkSession, rows: DataFrame, path: str, version: tuple[str, ...] = ()
+) -> None:
+    """Upsert ``(tick_index, x, y, temp, *version)`` into the results table,
+    keyed by (tick_index, x, y) and partitioned by tick index (see
+    :func:`upsert_by_key`)."""
+    upsert_by_key(spark, rows, path, ("tick_index", "x", "y"), "tick_index", ("temp",), version)
+
+
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RESULTS_DDL).parquet(path).select("tick_index", "x", "y", "temp")

@@ -31,6 +31,7 @@ from gridcast.sources.store import (
     read_states,
     read_tick,
     to_results,
+    upsert_by_key,
     upsert_results,
     write_marker,
     write_tick,
@@ -132,15 +133,23 @@ def poll_batch_fn(out_path: str, tick_ms: int):
     return fn
 
 
-def overwrite_batch_fn(out_path: str):
-    """Complete-mode result: each batch carries the whole table; replace it."""
+def latest_batch_fn(out_path: str, block: int = 64):
+    """Update-mode result of the per-cell latest reading: each batch carries
+    only the cells that changed; they are upserted into a table partitioned
+    by column block ``i div block``, so a batch rewrites only the blocks it
+    touched."""
 
     def fn(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+        rows = batch.withColumn("cblock", F.call_function("div", F.col("i"), F.lit(block)).cast("int"))
+        upsert_by_key(spark_of(batch), rows, out_path, ("cblock", "i", "j"), "cblock", ("time", "gen"))
 
     return fn
 
 
+def spark_of(df: DataFrame) -> SparkSession:
+    return df.sparkSession
+
+
 def stream_tick_fold(
     spark: SparkSession,
     readings: DataFrame,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from gridcast.config import TEST_GRID, TEST_TICK_MS, FoldSpec, scratch_path
 from gridcast.functions.grid import is_left_stripe_edge, is_right_stripe_edge, stripe_of
 from gridcast.sources.store import read_states
-from gridcast.streaming.fold import fold_batch_fn, overwrite_batch_fn, poll_batch_fn, stream_tick_fold, tee_batch_fn
+from gridcast.streaming.fold import fold_batch_fn, latest_batch_fn, poll_batch_fn, stream_tick_fold, tee_batch_fn
 from gridcast.streaming.sinks import run, to_batches, to_files
 from gridcast.streaming.source import stream_events, with_event_time
 from gridcast.streaming.windows import closed_ticks, dedup_ticks, latest_stream, window_mean_stream
@@ -47,9 +47,10 @@ def stream_tick_snap(spark, sf):
 
 
 def stream_latest(spark, sf):
+    """Upsert view per cell: update mode, only changed cells are rewritten."""
     out = scratch_path(spark, "latest-out")
-    run(to_batches(latest_stream(stream_events(spark, sf, GRID)), overwrite_batch_fn(out), scratch_path(spark, "latest-ckpt"), mode="complete"))
-    return spark.read.parquet(out).select("i", "j", "time", "gen")
+    run(to_batches(latest_stream(stream_events(spark, sf, GRID)), latest_batch_fn(out), scratch_path(spark, "latest-ckpt"), mode="update"))
+    return spark.read.schema("i int, j int, time long, gen double, cblock int").parquet(out).select("i", "j", "time", "gen")
 
 
 def _window_query(size: int, slide: int | None, name: str):

@@ -122,3 +122,29 @@ def test_processing_time_trigger_fold_matches_available_now(spark):
     a = sorted((r.tick, r.i, r.j, round(r.u, 9)) for r in read_states(spark, a_state).collect())
     b = sorted((r.tick, r.i, r.j, round(r.u, 9)) for r in read_states(spark, b_state).collect())
     assert a == b and len(a) > 0
+
+
+def test_latest_per_cell_update_mode_over_several_batches(spark, tmp_dir):
+    from gridcast.operators import latest_per_cell
+    from gridcast.streaming.fold import latest_batch_fn
+    from gridcast.streaming.windows import latest_stream
+
+    src = f"{tmp_dir}/in"
+    batches = [
+        [(0, 10, 1, 1, 1.0), (1, 20, 2, 2, 2.0), (2, 30, 70, 3, 3.0)],
+        [(3, 40, 1, 1, 4.0), (4, 5, 2, 2, 9.0)],  # (2,2) is older: no change
+        [(5, 40, 1, 1, 5.0), (6, 50, 70, 3, 6.0)],  # same time, larger seq wins
+    ]
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, READINGS).coalesce(1).write.parquet(f"{src}/b{k}")
+        for f in os.listdir(f"{src}/b{k}"):
+            os.utime(f"{src}/b{k}/{f}", (2_000_000 + k, 2_000_000 + k))
+    stream = spark.readStream.schema(READINGS).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(src)
+    out = f"{tmp_dir}/latest"
+    q = run(to_batches(latest_stream(stream), latest_batch_fn(out), f"{tmp_dir}/ck", mode="update"))
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
+    got = sorted(spark.read.schema("i int, j int, time long, gen double, cblock int").parquet(out).select("i", "j", "time", "gen").collect())
+    allrows = spark.createDataFrame([r for b in batches for r in b], READINGS)
+    want = sorted(latest_per_cell(allrows).collect())
+    assert got == want
+    assert {r.gen for r in got} == {5.0, 2.0, 6.0}
