@@ -141,15 +141,11 @@ def latest_batch_fn(out_path: str, block: int = 64):
 
     def fn(batch: DataFrame, epoch_id: int) -> None:
         rows = batch.withColumn("cblock", F.call_function("div", F.col("i"), F.lit(block)).cast("int"))
-        upsert_by_key(spark_of(batch), rows, out_path, ("cblock", "i", "j"), "cblock", ("time", "gen"))
+        upsert_by_key(batch.sparkSession, rows, out_path, ("cblock", "i", "j"), "cblock", ("time", "gen"))
 
     return fn
 
 
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
-
-
 def stream_tick_fold(
     spark: SparkSession,
     readings: DataFrame,
