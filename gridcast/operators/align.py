@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridcast.config import DUP_POLICIES
-from gridcast.functions.ticks import event_time, tick_index, tick_snap
+from gridcast.functions.ticks import event_time, tick_snap
 
 
 def with_tick(readings: DataFrame, tick_ms: int) -> DataFrame:
@@ -83,7 +83,3 @@ def window_mean(
             F.col("n").alias("n_readings"),
         )
     )
-
-
-def with_tick_index(df: DataFrame, tick_ms: int, time_col: str = "tick") -> DataFrame:
-    return df.withColumn("tick_index", tick_index(time_col, tick_ms))

@@ -19,10 +19,6 @@ from gridcast.functions.grid import is_interior, missing_as_zero
 NEIGHBOURS = ((-1, 0), (1, 0), (0, -1), (0, 1))
 
 
-def _in_domain(i, j, grid: GridSpec):
-    return (i >= 0) & (i < grid.nx) & (j >= 0) & (j < grid.ny)
-
-
 def _sql_interior(i: str, j: str, grid: GridSpec) -> str:
     return f"({i} > 0 AND {i} < {grid.nx - 1} AND {j} > 0 AND {j} < {grid.ny - 1})"
 
