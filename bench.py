@@ -22,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from gridcast.config import FoldSpec, GridSpec  # noqa: E402
 from gridcast.operators import align, halo_rows, merge_halo, window_mean  # noqa: E402
 from gridcast.plans.fold import tick_fold  # noqa: E402
-from gridcast.plans.serve import replay, snapshot  # noqa: E402
+from gridcast.plans.serve import replay_table, snapshot_table  # noqa: E402
 from gridcast.session import local_session  # noqa: E402
 from gridcast.sources.readings import load_readings  # noqa: E402
 
@@ -68,10 +68,9 @@ def main() -> None:
         lambda: tick_fold(spark, align(big_readings, HOUR, "avg"), BIG, FoldSpec(), HOUR, method="tiled"),
     )
     n_ticks = (res.last_tick - res.first_tick) // HOUR + 1
-    hist = res.history(spark)
     mid = res.first_tick + (n_ticks // 2) * HOUR
-    timed("snapshot_one_tick", lambda: _run(snapshot(hist, mid, BIG)))
-    timed("replay_24_ticks", lambda: _run(replay(hist, mid, mid + 23 * HOUR, BIG)))
+    timed("snapshot_one_tick", lambda: _run(snapshot_table(spark, res.path, mid, BIG)))
+    timed("replay_24_ticks", lambda: _run(replay_table(spark, res.path, mid, mid + 23 * HOUR, BIG)))
     # the shape of the reference's published batch run: 40 x 40 cells,
     # 5,000 steps (the 30 days of readings cut into 518.4 s ticks)
     ref_grid, ref_tick = GridSpec(40, 40), 518_400

@@ -78,10 +78,9 @@ def cmd_stream(spark, args) -> None:
 
 
 def cmd_snapshot(spark, args) -> None:
-    from gridcast.plans.serve import snapshot
-    from gridcast.sources.store import read_states
+    from gridcast.plans.serve import snapshot_table
 
-    s = snapshot(read_states(spark, args.state), args.tick, _grid(args), args.anchor)
+    s = snapshot_table(spark, args.state, args.tick, _grid(args), args.anchor)
     s.orderBy("i", "j").write.mode("overwrite").parquet(args.out)
 
 

@@ -55,7 +55,7 @@ from gridcast.operators import (
     window_mean,
 )
 from gridcast.plans.fold import tick_fold
-from gridcast.plans.serve import replay, replay_loop, snapshot
+from gridcast.plans.serve import replay_loop, replay_table, snapshot_table
 from gridcast.sources.readings import (
     grid_scaffold,
     load_readings,
@@ -617,7 +617,7 @@ SNAP_TICK_SQL = f"(SELECT min(tick) FROM avg_rows) + {SNAPSHOT_OFFSET_TICKS * T}
 )
 def q_snapshot(spark, sf):
     res = _fold(spark, sf, "tiled")
-    s = snapshot(res.history(spark), res.first_tick + SNAPSHOT_OFFSET_TICKS * T, GRID)
+    s = snapshot_table(spark, res.path, res.first_tick + SNAPSHOT_OFFSET_TICKS * T, GRID)
     return s.select(
         "tick",
         q6("x").alias("x_e6"),
@@ -638,7 +638,7 @@ def q_snapshot(spark, sf):
 def q_replay(spark, sf):
     res = _fold(spark, sf, "tiled")
     a = res.first_tick + SNAPSHOT_OFFSET_TICKS * T
-    r = replay(res.history(spark), a, a + (REPLAY_TICKS - 1) * T, GRID)
+    r = replay_table(spark, res.path, a, a + (REPLAY_TICKS - 1) * T, GRID)
     first_stored = res.first_tick - T
     return r.select(
         "tick",

@@ -34,7 +34,7 @@ from gridcast.config import FoldSpec, GridSpec, scratch_path
 from gridcast.operators.densify import densify_state, tick_bounds
 from gridcast.operators.stencil import neighbour_step
 from gridcast.plans import tiled
-from gridcast.sources.store import drop_scratch, read_states, stored_ticks, read_tick, write_states, write_tick
+from gridcast.sources.store import Layout, drop_scratch, ensure_layout, read_states, stored_ticks, read_tick, write_states, write_tick
 
 ALIGNED_DDL = "i int, j int, f double, tick long"
 
@@ -137,6 +137,19 @@ def stage_sources(
     return StagedSources(spark, path, first, tick_ms, block_ticks, blocks)
 
 
+# Target rows per block of the state store (one file per block and task).
+BLOCK_ROWS = 1 << 20
+
+
+def store_layout(grid: GridSpec, first: int, tick_ms: int, k: int, method: str) -> Layout:
+    """Ticks per stored block: about ``BLOCK_ROWS`` rows, at most one round,
+    one tick per block for the per-tick form and for grids of a million
+    cells or more (which is then one partition per tick)."""
+    if method == "step":
+        return Layout(first, tick_ms, 1)
+    return Layout(first, tick_ms, max(1, min(BLOCK_ROWS // grid.n_cells, k)))
+
+
 def tick_fold(
     spark: SparkSession,
     aligned: DataFrame,
@@ -172,17 +185,22 @@ def tick_fold(
             last = min(last, first + (n_ticks - 1) * tick_ms)
         n_steps = (last - first) // tick_ms + 1
         tile, k = plan_rounds(spark, grid, n_steps, method, tile, steps_per_round)
+        layout = store_layout(grid, first, tick_ms, k, method)
+        if layout.block_ticks > 1 and k < n_steps:
+            k = max(layout.block_ticks, k - k % layout.block_ticks)  # rounds cover whole blocks
         staged = stage_sources(spark, cached, first, last, tick_ms, max(k, MIN_BLOCK_TICKS))
     finally:
         cached.unpersist()
+    sole = out_path is None  # a new table is filled in tick order by this fold alone
     out_path = out_path or scratch_path(spark, "fold")
+    ensure_layout(spark, out_path, layout)
     state0 = densify_state(spark, initial, grid)
     prev = first - tick_ms
     state = state0
     if include_initial:
-        write_tick(state0, out_path, prev)
+        write_tick(state0, out_path, prev, sole=sole)
         state = read_tick(spark, out_path, prev)
-    advance(spark, state, prev, last, staged.read, grid, spec, tick_ms, out_path, method, tile, k)
+    advance(spark, state, prev, last, staged.read, grid, spec, tick_ms, out_path, method, tile, k, sole)
     staged.drop()  # intermediate copy of the sources
     return FoldResult(out_path, first, last, tick_ms)
 
@@ -200,6 +218,7 @@ def advance(
     method: str = "tiled",
     tile: tuple[int, int] | None = None,
     k: int | None = None,
+    sole: bool = False,
 ) -> None:
     """Advance a dense ``(i, j, u)`` state at ``prev_tick`` up to ``last_tick``,
     writing every tick to ``out_path``.  ``sources(lo, hi)`` returns the
@@ -210,16 +229,17 @@ def advance(
         return
     if tile is None or k is None:
         tile, k = plan_rounds(spark, grid, n_steps, method, tile, k)
+    layout = ensure_layout(spark, out_path, store_layout(grid, prev_tick + tick_ms, tick_ms, k, method))
     done = 0
     while done < n_steps:
         m = min(k, n_steps - done)
         t_prev = prev_tick + done * tick_ms
         src = sources(t_prev + tick_ms, t_prev + m * tick_ms)
         if method == "step":
-            write_tick(neighbour_step(state, src.select("i", "j", "f"), grid, spec), out_path, t_prev + tick_ms)
+            write_tick(neighbour_step(state, src.select("i", "j", "f"), grid, spec), out_path, t_prev + tick_ms, sole=sole)
         else:
             out = tiled.advance_tiles(state, src, t_prev, m, grid, spec, tick_ms, tile)
-            out = tiled.file_layout(out, grid, tile, m, spark.sparkContext.defaultParallelism)
-            write_states(out, out_path)
+            out = tiled.file_layout(out, grid, tile, m, spark.sparkContext.defaultParallelism, layout)
+            write_states(out, out_path, t_prev + tick_ms, t_prev + m * tick_ms, sole=sole)
         done += m
         state = read_tick(spark, out_path, prev_tick + done * tick_ms)

@@ -1,8 +1,7 @@
 """Serving stored states: snapshots and replays with coordinates and colours.
 
-Both are a pruned scan of the tick-partitioned store plus a projection; the
-tick filter becomes a partition filter, so only the requested tick
-directories are read.
+``snapshot_table`` / ``replay_table`` read only the store blocks that hold
+the requested ticks; ``snapshot`` / ``replay`` work on any state DataFrame.
 """
 
 from __future__ import annotations
@@ -73,3 +72,18 @@ def replay_loop(
         .alias("tick"),
     )
     return present(states.join(frames, "tick"), grid, anchor, extra=("frame",)).orderBy("frame", "i", "j")
+
+
+def snapshot_table(spark, path: str, tick: int, grid: GridSpec, anchor: str = "node") -> DataFrame:
+    """Snapshot straight from a state table: only the block holding ``tick``
+    is read."""
+    from gridcast.sources.store import read_ticks
+
+    return present(read_ticks(spark, path, tick, tick), grid, anchor)
+
+
+def replay_table(spark, path: str, first: int, last: int, grid: GridSpec, anchor: str = "node") -> DataFrame:
+    """Replay of ticks ``first..last`` reading only their blocks."""
+    from gridcast.sources.store import read_ticks
+
+    return present(read_ticks(spark, path, first, last), grid, anchor).orderBy("tick", "i", "j")

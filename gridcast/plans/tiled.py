@@ -226,21 +226,21 @@ def advance_tiles(
     return rows.groupBy("ti", "tj").applyInPandas(fn, OUT_SCHEMA)
 
 
-def file_layout(out: DataFrame, grid: GridSpec, tile: tuple[int, int], k: int, parallelism: int) -> DataFrame:
-    """Shape a round's output for the tick-partitioned write.
-
-    Each tile would write one file per tick; for tiles smaller than
-    ``FILE_ROWS`` that is a flood of tiny files.  Then rows are
-    hash-partitioned by ``(tick, cell block)`` with blocks of ``FILE_ROWS``
-    cells, so a tick becomes one file (or ~``FILE_ROWS``-row files on large
-    grids) and the files spread over all writer tasks.  Large tiles are
-    written as they are (no extra shuffle).
+def file_layout(out: DataFrame, grid: GridSpec, tile: tuple[int, int], k: int, parallelism: int, layout) -> DataFrame:
+    """Shape a round's output for the block-partitioned write.
+
+    Each tile would write one file per stored block; for tiles smaller than
+    ``FILE_ROWS`` that is a flood of small files.  Then rows are
+    hash-partitioned by ``(tick block, cell chunk)``, with chunks sized so a
+    file holds about ``FILE_ROWS`` rows, and the files spread over all
+    writer tasks.  Large tiles are written as they are (no extra shuffle).
     """
     tw, th = tile
     if tw * th >= FILE_ROWS:
         return out
+    chunk = max(1, FILE_ROWS // layout.block_ticks)
     rows = grid.n_cells * k
-    blocks_per_tick = -(-grid.n_cells // FILE_ROWS)
-    n_out = max(1, min(k * blocks_per_tick, max(-(-rows // FILE_ROWS), parallelism)))
-    cblock = F.call_function("div", F.col("i") * F.lit(grid.ny) + F.col("j"), F.lit(FILE_ROWS))
-    return out.repartition(n_out, F.col("tick"), cblock)
+    keys = (-(-k // layout.block_ticks) + 1) * -(-grid.n_cells // chunk)
+    n_out = max(1, min(keys, max(-(-rows // FILE_ROWS), parallelism)))
+    cchunk = F.call_function("div", F.col("i") * F.lit(grid.ny) + F.col("j"), F.lit(chunk))
+    return out.repartition(n_out, layout.block_col(), cchunk)

@@ -1,20 +1,30 @@
-"""The tick-partitioned state store and the results table.
-
-Layout: one Parquet partition directory per tick (``<root>/tick=<ms>/``).
-Writes replace whole tick partitions (dynamic partition overwrite), so a
-replayed write of the same ticks leaves the table unchanged.  Readers filter
-on the partition column and only touch the ticks they ask for.
+"""The state store and the results table.
+
+State layout: Parquet partitioned by ``tick_block`` (``<root>/tick_block=<b>/``),
+rows ``(tick, i, j, u)`` sorted by tick inside each file.  A block holds
+``block_ticks`` consecutive ticks counted from ``origin``; the three numbers
+are recorded in ``<root>/_layout``.  Large grids use one tick per block
+(one partition per tick); small grids put many ticks in a block so a table
+does not turn into one tiny file per tick.
+
+Writes that cover whole blocks replace them (dynamic partition overwrite);
+writes that cover part of a block merge into it (read-modify-write of that
+block only).  Either way a replayed write leaves the table unchanged.
+Readers name only the blocks of the ticks they ask for.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.config import GridSpec, scratch_path
 from gridcast.functions.grid import coord_x, coord_y
 
-STATE_DDL = "i int, j int, u double, tick long"
+STATE_DDL = "tick long, i int, j int, u double, tick_block long"
+LAYOUT = "_layout"
 RESULTS_DDL = "x double, y double, temp double, tick_index long"
 
 
@@ -35,27 +45,89 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def write_states(states: DataFrame, path: str) -> None:
-    """Append-or-replace whole ticks of a ``(tick, i, j, u)`` frame.
+@dataclass(frozen=True)
+class Layout:
+    """Ticks ``origin + n * tick_ms`` grouped ``block_ticks`` at a time."""
+
+    origin: int
+    tick_ms: int
+    block_ticks: int
+
+    @property
+    def span(self) -> int:
+        return self.tick_ms * self.block_ticks
+
+    def block(self, tick: int) -> int:
+        return (tick - self.origin) // self.span
+
+    def block_col(self, tick: str = "tick") -> Column:
+        d = F.col(tick) - F.lit(self.origin)
+        return F.call_function("div", d - F.pmod(d, F.lit(self.span)), F.lit(self.span)).cast("long")
+
+    def covers_whole_blocks(self, lo: int, hi: int) -> bool:
+        start = self.origin + self.block(lo) * self.span
+        end = self.origin + (self.block(hi) + 1) * self.span - self.tick_ms
+        return lo == start and hi == end
+
+
+PER_TICK = Layout(0, 1, 1)
+
 
-    Rows are sorted by (tick, i, j) inside each task, which also satisfies
-    the writer's own partition-column ordering (no extra sort).
+def read_layout(spark: SparkSession, path: str) -> Layout | None:
+    text = _read_text(spark, f"{path}/{LAYOUT}")
+    if text is None:
+        return None
+    origin, tick_ms, block_ticks = (int(v) for v in text.split())
+    return Layout(origin, tick_ms, block_ticks)
+
+
+def ensure_layout(spark: SparkSession, path: str, layout: Layout | None = None) -> Layout:
+    """The table's layout; a new table records ``layout`` (default: one
+    tick per block)."""
+    found = read_layout(spark, path)
+    if found is not None:
+        return found
+    layout = layout or PER_TICK
+    _write_text(spark, f"{path}/{LAYOUT}", f"{layout.origin} {layout.tick_ms} {layout.block_ticks}")
+    return layout
+
+
+def write_states(
+    states: DataFrame,
+    path: str,
+    lo: int | None = None,
+    hi: int | None = None,
+    layout: Layout | None = None,
+    sole: bool = False,
+) -> None:
+    """Write ``(tick, i, j, u)`` rows of ticks ``lo..hi``.
+
+    Whole blocks (and every write of a one-tick-per-block table) replace
+    their partitions; a partly covered block is merged, new rows winning.
+    ``sole=True`` tells that the touched blocks hold no other ticks (a table
+    being filled in tick order by one writer), so they are replaced too.
     """
-    (
-        states.select("tick", "i", "j", "u")
-        .sortWithinPartitions("tick", "i", "j")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("tick")
-        .parquet(path)
-    )
+    spark = states.sparkSession
+    lay = ensure_layout(spark, path, layout)
+    rows = states.select("tick", "i", "j", "u").withColumn("tick_block", lay.block_col())
+    whole = sole or lay.block_ticks == 1 or (lo is not None and hi is not None and lay.covers_whole_blocks(lo, hi))
+    if whole:
+        (
+            rows.sortWithinPartitions("tick_block", "tick", "i", "j")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("tick_block")
+            .parquet(path)
+        )
+    else:
+        upsert_by_key(spark, rows, path, ("tick_block", "tick", "i", "j"), "tick_block", ("u",))
 
 
-def write_tick(state: DataFrame, path: str, tick: int) -> None:
-    """Replace the partition of one tick with a dense ``(i, j, u)`` state."""
-    state.select("i", "j", "u").sortWithinPartitions("i", "j").write.mode("overwrite").parquet(
-        f"{path}/tick={tick}"
-    )
+def write_tick(
+    state: DataFrame, path: str, tick: int, layout: Layout | None = None, sole: bool = False
+) -> None:
+    """Write a dense ``(i, j, u)`` state as tick ``tick``."""
+    write_states(state.withColumn("tick", F.lit(tick).cast("long")), path, tick, tick, layout, sole)
 
 
 def read_states(spark: SparkSession, path: str) -> DataFrame:
@@ -63,9 +135,26 @@ def read_states(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STATE_DDL).parquet(path).select("tick", "i", "j", "u")
 
 
+def read_ticks(spark: SparkSession, path: str, lo: int, hi: int) -> DataFrame:
+    """Ticks ``lo..hi``: only the block directories that hold them are named
+    to the reader (no listing of the table), and the tick filter prunes row
+    groups inside the blocks."""
+    lay = read_layout(spark, path) or PER_TICK
+    blocks = [b for b in range(lay.block(lo), lay.block(hi) + 1) if _fs_exists(spark, f"{path}/tick_block={b}")]
+    if not blocks:
+        return spark.createDataFrame([], "tick long, i int, j int, u double")
+    return (
+        spark.read.schema(STATE_DDL)
+        .option("basePath", path)
+        .parquet(*[f"{path}/tick_block={b}" for b in blocks])
+        .where((F.col("tick") >= F.lit(lo)) & (F.col("tick") <= F.lit(hi)))
+        .select("tick", "i", "j", "u")
+    )
+
+
 def read_tick(spark: SparkSession, path: str, tick: int) -> DataFrame:
-    """Point read of one tick: only that partition directory is listed."""
-    return spark.read.schema("i int, j int, u double").parquet(f"{path}/tick={tick}")
+    """The dense ``(i, j, u)`` state of one tick."""
+    return read_ticks(spark, path, tick, tick).select("i", "j", "u")
 
 
 def stored_ticks(spark: SparkSession, path: str, column: str = "tick", check_committed: bool = True) -> list[int]:
@@ -99,49 +188,47 @@ def _fs(spark: SparkSession, path: str):
     return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def write_marker(spark: SparkSession, path: str, tick: int) -> None:
-    """Record the newest folded tick next to the table (written to a temp
-    file, then renamed over the old marker)."""
-    jvm, p, fs = _fs(spark, f"{path}/{MARKER}")
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}/{MARKER}.tmp")
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Small metadata file, written to a temp name and renamed into place."""
+    jvm, p, fs = _fs(spark, path)
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.tmp")
     out = fs.create(tmp, True)
-    out.write(bytearray(str(int(tick)).encode()))
+    out.write(bytearray(text.encode()))
     out.close()
     fs.delete(p, False)
     fs.rename(tmp, p)
 
 
-def read_marker(spark: SparkSession, path: str) -> int | None:
-    jvm, p, fs = _fs(spark, f"{path}/{MARKER}")
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    jvm, p, fs = _fs(spark, path)
     if not fs.exists(p):
         return None
     stream = fs.open(p)
     try:
-        return int(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip())
+        return str(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")).strip()
     finally:
         stream.close()
 
 
-def _has_tick(spark: SparkSession, path: str, tick: int) -> bool:
-    jvm, p, fs = _fs(spark, f"{path}/tick={tick}")
-    return bool(fs.exists(p)) and not fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_temporary"))
+def write_marker(spark: SparkSession, path: str, tick: int) -> None:
+    """Record the newest folded tick next to the table."""
+    _write_text(spark, f"{path}/{MARKER}", str(int(tick)))
 
 
-def latest_tick_before(spark: SparkSession, path: str, tick: int, tick_ms: int | None = None) -> int | None:
-    """Newest stored tick strictly before ``tick``.
+def read_marker(spark: SparkSession, path: str) -> int | None:
+    text = _read_text(spark, f"{path}/{MARKER}")
+    return None if text is None else int(text)
 
-    Every tick from the first one on is stored, so with ``tick_ms`` the
-    answer is usually ``tick - T`` (one existence check); otherwise the
-    progress marker names the newest folded tick.  Only a table without a
-    marker is listed.
-    """
-    if tick_ms is not None and _has_tick(spark, path, tick - tick_ms):
-        return tick - tick_ms
-    marked = read_marker(spark, path) if _fs_exists(spark, path) else None
-    if marked is not None and marked < tick:
-        return marked
-    earlier = [t for t in stored_ticks(spark, path) if t < tick]
-    return earlier[-1] if earlier else None
+
+def latest_tick_before(spark: SparkSession, path: str, tick: int, tick_ms: int) -> int | None:
+    """Newest stored tick strictly before ``tick``, from the progress marker
+    (no listing of the table).  Every tick from the first one up to the
+    marker is stored, so a replayed batch (marker at or past ``tick``) reads
+    ``tick - T``.  None for a table without a marker."""
+    marked = read_marker(spark, path)
+    if marked is None:
+        return None
+    return marked if marked < tick else tick - tick_ms
 
 
 # --- results table: (tick_index, x, y, temp), key ((tick_index), x, y) -----

@@ -7,9 +7,9 @@ the tick-partitioned state table instead:
 1. the stream emits closed ``(tick, i, j, f)`` rows once (watermark, append);
 2. each micro-batch stages them (persisted once, written by tick block);
 3. it reads the newest stored state strictly before the first closed tick
-   (or a zero grid), advances tick by tick up to the last closed tick
-   (ticks with no readings are steps with source 0) and overwrites those
-   tick partitions.
+   (or a zero grid), advances up to the last closed tick (ticks with no
+   readings are steps with source 0) and merges those ticks into their
+   blocks of the state table; a progress marker records the newest tick.
 
 Replaying an epoch reads the same earlier state and rewrites the same
 partitions, so a restart from the checkpoint gives the same table.
@@ -26,6 +26,8 @@ from gridcast.operators.densify import densify_state, tick_bounds
 from gridcast.operators.halo import halo_rows
 from gridcast.plans.fold import MIN_BLOCK_TICKS, advance, stage_sources
 from gridcast.sources.store import (
+    Layout,
+    ensure_layout,
     latest_tick_before,
     read_marker,
     read_states,
@@ -38,6 +40,10 @@ from gridcast.sources.store import (
 )
 
 
+# Target rows per stored block of a streaming state table.
+STREAM_BLOCK_ROWS = 1 << 16
+
+
 def fold_batch_fn(
     spark: SparkSession,
     grid: GridSpec,
@@ -72,6 +78,8 @@ def fold_batch_fn(
         prev = latest_tick_before(spark, state_path, first, tick_ms)
         if prev is None:
             prev = first - tick_ms
+            # micro-batches rewrite their current block: keep blocks small
+            ensure_layout(spark, state_path, Layout(first, tick_ms, max(1, STREAM_BLOCK_ROWS // grid.n_cells)))
             write_tick(densify_state(spark, None, grid), state_path, prev)
         state = read_tick(spark, state_path, prev)
         sources = staged.read

@@ -84,18 +84,19 @@ def test_range_partitions_are_disjoint(spark):
         assert (a[2], a[3]) < (b[0], b[1])
 
 
-def test_snapshot_prunes_partitions(spark, tmp_dir):
-    from gridcast.plans.serve import snapshot
-    from gridcast.sources.store import read_states, write_states
+def test_snapshot_reads_one_block(spark, tmp_dir):
+    from gridcast.plans.serve import snapshot, snapshot_table
+    from gridcast.sources.store import Layout, read_states, write_states
 
     g = GridSpec(3, 3)
     st = spark.createDataFrame(
         [(t, i, j, 0.5) for t in (0, 100, 200) for i in range(3) for j in range(3)], "tick long, i int, j int, u double"
     )
-    write_states(st, f"{tmp_dir}/s")
-    snap = snapshot(read_states(spark, f"{tmp_dir}/s"), 100, g)
+    write_states(st, f"{tmp_dir}/s", 0, 200, Layout(0, 100, 2))
+    snap = snapshot_table(spark, f"{tmp_dir}/s", 100, g)
     plan = snap._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "isnotnull(tick" in plan
+    assert "InMemoryFileIndex(1 paths)" in plan
+    assert sorted(snap.collect()) == sorted(snapshot(read_states(spark, f"{tmp_dir}/s"), 100, g).collect())
     rows = snap.collect()
     assert len(rows) == 9 and {r.colour for r in rows} == {"#7f0000"} and rows[0].bucket == 511
     assert snap.where(F.col("x") == -10.0).count() == 3
@@ -129,3 +130,18 @@ def test_hot_cell_holding_a_third_of_all_readings(spark):
             else:
                 want = g.sort_values(["time", "seq"]).gen.iloc[-1]
             assert got[(tick, i)] == pytest.approx(want), (dup, tick, i)
+
+
+def test_partial_block_writes_merge_and_replays_are_idempotent(spark, tmp_dir):
+    from gridcast.sources.store import Layout, read_states, write_states, write_tick
+
+    path = f"{tmp_dir}/s"
+    lay = Layout(0, 100, 4)
+    first = spark.createDataFrame([(t, 0, 0, float(t)) for t in (0, 100)], "tick long, i int, j int, u double")
+    write_states(first, path, 0, 100, lay)
+    second = spark.createDataFrame([(t, 0, 0, float(t)) for t in (200, 300, 400)], "tick long, i int, j int, u double")
+    write_states(second, path, 200, 400)
+    write_states(second, path, 200, 400)  # replay
+    write_tick(spark.createDataFrame([(0, 0, 7.0)], "i int, j int, u double"), path, 100)
+    got = sorted((r.tick, r.u) for r in read_states(spark, path).collect())
+    assert got == [(0, 0.0), (100, 7.0), (200, 200.0), (300, 300.0), (400, 400.0)]

@@ -4,7 +4,6 @@ from gridcast.config import FoldSpec, GridSpec
 from gridcast.operators import align, densify_state, neighbour_step
 from gridcast.plans import tiled
 from gridcast.sources.readings import load_readings
-from gridcast.sources.store import read_states, write_states
 
 SF = "/root/testdata/sf0.001"
 G = GridSpec(12, 8)
@@ -43,8 +42,13 @@ def test_tiled_round_has_one_exchange(spark, tmp_dir):
     assert "FlatMapGroupsInPandas" in p
 
 
-def test_tick_filter_is_a_partition_filter(spark, tmp_dir):
-    st = spark.createDataFrame([(t, 0, 0, 1.0) for t in (0, 100, 200)], "tick long, i int, j int, u double")
-    write_states(st, f"{tmp_dir}/s")
-    p = _plan(read_states(spark, f"{tmp_dir}/s").where("tick = 100"))
-    assert "PartitionFilters: [isnotnull(tick" in p and "(tick#" in p
+def test_point_read_names_one_block_and_pushes_the_tick_filter(spark, tmp_dir):
+    from gridcast.sources.store import Layout, read_ticks, write_states
+
+    st = spark.createDataFrame([(t, 0, 0, 1.0) for t in range(0, 800, 100)], "tick long, i int, j int, u double")
+    write_states(st, f"{tmp_dir}/s", 0, 700, Layout(0, 100, 4))
+    df = read_ticks(spark, f"{tmp_dir}/s", 500, 500)
+    p = _plan(df)
+    assert "InMemoryFileIndex(1 paths)" in p and "tick_block=1" in p
+    assert "EqualTo(tick,500)" in p or "GreaterThanOrEqual(tick,500)" in p
+    assert [r.tick for r in df.collect()] == [500]
