@@ -599,8 +599,9 @@ def q_store_upsert(spark, sf):
         "seq",
     )
     path = scratch_path(spark, "results")
-    upsert_results(spark, rows, path, version=("time", "seq"))
-    upsert_results(spark, rows, path, version=("time", "seq"))  # replayed batch: no change
+    block = max(1, (1 << 16) // GRID.n_cells)
+    upsert_results(spark, rows, path, version=("time", "seq"), block_ticks=block)
+    upsert_results(spark, rows, path, version=("time", "seq"), block_ticks=block)  # replayed batch: no change
     res = read_results(spark, path)
     return res.select("tick_index", q6("x").alias("x_e6"), q6("y").alias("y_e6"), "temp")
 

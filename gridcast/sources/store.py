@@ -25,7 +25,8 @@ from gridcast.functions.grid import coord_x, coord_y
 
 STATE_DDL = "tick long, i int, j int, u double, tick_block long"
 LAYOUT = "_layout"
-RESULTS_DDL = "x double, y double, temp double, tick_index long"
+RESULTS_DDL = "tick_index long, x double, y double, temp double, ti_block long"
+RESULTS_LAYOUT = "_results_layout"
 
 
 def _fs_exists(spark: SparkSession, path: str) -> bool:
@@ -313,13 +314,27 @@ def upsert_by_key(
 
 
 def upsert_results(
-    spark: SparkSession, rows: DataFrame, path: str, version: tuple[str, ...] = ()
+    spark: SparkSession,
+    rows: DataFrame,
+    path: str,
+    version: tuple[str, ...] = (),
+    block_ticks: int = 1,
 ) -> None:
     """Upsert ``(tick_index, x, y, temp, *version)`` into the results table,
-    keyed by (tick_index, x, y) and partitioned by tick index (see
-    :func:`upsert_by_key`)."""
-    upsert_by_key(spark, rows, path, ("tick_index", "x", "y"), "tick_index", ("temp",), version)
+    keyed by (tick_index, x, y) and partitioned by blocks of ``block_ticks``
+    tick indexes (see :func:`upsert_by_key`).  The block size is recorded
+    with the table on its first write and reused by every later writer."""
+    recorded = _read_text(spark, f"{path}/{RESULTS_LAYOUT}")
+    if recorded is None:
+        _write_text(spark, f"{path}/{RESULTS_LAYOUT}", str(int(block_ticks)))
+        recorded = str(int(block_ticks))
+    b = int(recorded)
+    blocked = rows.withColumn(
+        "ti_block", F.call_function("div", F.col("tick_index"), F.lit(b)).cast("long")
+    )
+    upsert_by_key(spark, blocked, path, ("ti_block", "tick_index", "x", "y"), "ti_block", ("temp",), version)
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """The results table as ``(tick_index, x, y, temp)``."""
     return spark.read.schema(RESULTS_DDL).parquet(path).select("tick_index", "x", "y", "temp")

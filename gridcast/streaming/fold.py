@@ -90,7 +90,10 @@ def fold_batch_fn(
         staged.drop()
         if results_path is not None:
             new = read_states(spark, state_path).where((F.col("tick") > F.lit(prev)) & (F.col("tick") <= F.lit(last)))
-            upsert_results(spark, to_results(new, grid, tick_ms, anchor), results_path)
+            upsert_results(
+                spark, to_results(new, grid, tick_ms, anchor), results_path,
+                block_ticks=max(1, STREAM_BLOCK_ROWS // grid.n_cells),
+            )
 
     return fn
 

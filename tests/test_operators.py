@@ -145,3 +145,17 @@ def test_partial_block_writes_merge_and_replays_are_idempotent(spark, tmp_dir):
     write_tick(spark.createDataFrame([(0, 0, 7.0)], "i int, j int, u double"), path, 100)
     got = sorted((r.tick, r.u) for r in read_states(spark, path).collect())
     assert got == [(0, 0.0), (100, 7.0), (200, 200.0), (300, 300.0), (400, 400.0)]
+
+
+def test_results_blocks_keep_the_recorded_size(spark, tmp_dir):
+    path = f"{tmp_dir}/results"
+    a = spark.createDataFrame(
+        [(t, 0.0, 0.0, float(t)) for t in range(10)], "tick_index long, x double, y double, temp double"
+    )
+    upsert_results(spark, a, path, block_ticks=4)
+    b = spark.createDataFrame([(5, 0.0, 0.0, 50.0), (11, 0.0, 0.0, 11.0)], "tick_index long, x double, y double, temp double")
+    upsert_results(spark, b, path, block_ticks=1)  # the recorded size (4) wins
+    got = {r.tick_index: r.temp for r in read_results(spark, path).collect()}
+    assert got == {**{t: float(t) for t in range(10)}, 5: 50.0, 11: 11.0}
+    dirs = sorted(d for d in __import__("os").listdir(path) if d.startswith("ti_block="))
+    assert dirs == ["ti_block=0", "ti_block=1", "ti_block=2"]
