@@ -20,7 +20,7 @@ def main() -> int:
     from gridcast.operators import align, densify_state, neighbour_step
     from gridcast.plans import tiled
     from gridcast.plans.fold import tick_fold
-    from gridcast.plans.serve import snapshot
+    from gridcast.plans.serve import snapshot_table
     from gridcast.session import local_session
     from gridcast.sources.readings import load_readings
 
@@ -38,7 +38,7 @@ def main() -> int:
         ),
     }
     res = tick_fold(spark, aligned, grid, FoldSpec(), TEST_TICK_MS)
-    sections["snapshot of one stored tick"] = snapshot(res.history(spark), res.last_tick, grid)
+    sections["snapshot of one stored tick (one block read)"] = snapshot_table(spark, res.path, res.last_tick, grid)
     for title, df in sections.items():
         print(f"===== {title}")
         df.explain("formatted")
