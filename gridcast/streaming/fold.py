@@ -80,7 +80,7 @@ def fold_batch_fn(
             prev = first - tick_ms
             # micro-batches rewrite their current block: keep blocks small
             ensure_layout(spark, state_path, Layout(first, tick_ms, max(1, STREAM_BLOCK_ROWS // grid.n_cells)))
-            write_tick(densify_state(spark, None, grid), state_path, prev)
+            write_tick(densify_state(spark, None, grid), state_path, prev, sole=True)  # new table
         state = read_tick(spark, state_path, prev)
         sources = staged.read
         advance(spark, state, prev, last, sources, grid, spec, tick_ms, state_path, method, tile, steps_per_round)
