@@ -106,7 +106,7 @@ class StagedSources:
         )
 
     def drop(self) -> None:
-        drop_scratch(self.spark, self.path)
+        drop_scratch(self.spark, self.path, created_here=True)
 
 
 def stage_sources(

@@ -36,10 +36,11 @@ def _fs_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def drop_scratch(spark: SparkSession, path: str) -> None:
-    """Delete an intermediate table this library created under its own
-    unique scratch path (never a user path)."""
-    if "/gridcast/" not in path:
+def drop_scratch(spark: SparkSession, path: str, created_here: bool = False) -> None:
+    """Delete an intermediate table this library created: a unique folder in
+    its own scratch area, or (``created_here``) a folder the caller's code
+    just wrote itself, such as one micro-batch's staged copy."""
+    if "/gridcast/" not in path and not created_here:
         raise ValueError(f"refusing to delete a path outside the gridcast scratch area: {path}")
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
