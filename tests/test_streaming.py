@@ -180,3 +180,24 @@ def test_stream_fold_over_many_batches_equals_batch_fold(spark, tmp_dir):
     j = streamed.alias("s").join(batch.where(F.col("tick") <= last).alias("b"), ["tick", "i", "j"], "full")
     assert j.where(F.col("s.u").isNull() | F.col("b.u").isNull()).count() == 0
     assert j.select(F.max(F.abs(F.col("s.u") - F.col("b.u")))).first()[0] < 1e-9
+
+
+def test_stream_fold_fills_gap_ticks_between_batches(spark, tmp_dir):
+    g = GridSpec(3, 3)
+    files = [[(0, 100, 1, 1, 1.0), (1, 200, 0, 1, 2.0)], [(2, 600, 2, 2, 3.0)]]
+    for k, rows in enumerate(files):
+        spark.createDataFrame(rows, READINGS).coalesce(1).write.parquet(f"{tmp_dir}/in/b{k}")
+        for f in os.listdir(f"{tmp_dir}/in/b{k}"):
+            os.utime(f"{tmp_dir}/in/b{k}/{f}", (4_000_000 + k, 4_000_000 + k))
+    stream = spark.readStream.schema(READINGS).option("maxFilesPerTrigger", 1).option(
+        "recursiveFileLookup", "true"
+    ).parquet(f"{tmp_dir}/in")
+    state = f"{tmp_dir}/state"
+    fn = fold_batch_fn(spark, g, FoldSpec(), 100, state, f"{tmp_dir}/stage")
+    run(to_batches(closed_ticks(stream, 100, 0, "last"), fn, f"{tmp_dir}/ck"))
+    streamed = sorted((r.tick, r.i, r.j, round(r.u, 12)) for r in read_states(spark, state).collect())
+    allrows = spark.createDataFrame([r for b in files for r in b], READINGS)
+    batch = tick_fold(spark, align(allrows, 100, "last"), g, FoldSpec(), 100).history(spark)
+    want = sorted((r.tick, r.i, r.j, round(r.u, 12)) for r in batch.collect())
+    assert [t for t in sorted({x[0] for x in streamed})] == [0, 100, 200, 300, 400, 500, 600]
+    assert streamed == want
