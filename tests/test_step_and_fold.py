@@ -145,3 +145,17 @@ def test_null_source_counts_as_zero_in_both_forms(spark):
     y = _fold_array(spark, tick_fold(spark, a, g, FoldSpec(), 100, method="tiled"), g)
     assert x[0] == y[0]
     assert np.allclose(x[1], y[1]) and not np.isnan(y[1]).any()
+
+
+def test_fold_into_given_table_twice_is_idempotent(spark, tmp_dir):
+    from gridcast.sources.readings import load_readings
+
+    g = GridSpec(12, 8)
+    a = align(load_readings(spark, "/root/testdata/sf0.001", g), 86_400_000, "avg")
+    ref = _fold_array(spark, tick_fold(spark, a, g, FoldSpec(), 86_400_000, steps_per_round=4), g)
+    path = f"{tmp_dir}/hist"
+    for _ in range(2):
+        res = tick_fold(spark, a, g, FoldSpec(), 86_400_000, out_path=path, steps_per_round=4)
+        got = _fold_array(spark, res, g)
+        assert got[0] == ref[0]
+        assert np.allclose(got[1], ref[1], atol=1e-12)
