@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, minhash, mixing, quality, shard, substring
+from . import decontam, linedup, minhash, mixing, quality, shard, substring, toxicity, urlfilter, warc
 from .common import load
 
 
+def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(load(spark, sf_dir, "pages"))
+
+
 def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(load(spark, sf_dir, "documents"))
 
@@ -17,6 +21,10 @@ def op3_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.assign(load(spark, sf_dir, "documents"))
 
 
+def op4_line_neighbourhood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linedup.dedup_lines(load(spark, sf_dir, "documents"))
+
+
 def op5_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_classes(load(spark, sf_dir, "documents"))
 
@@ -25,6 +33,17 @@ def op6_debruijn_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(load(spark, sf_dir, "documents"))
 
 
+def op7_blocked_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list: canonical URLs that were seen behind a tracking link."""
+    pages = load(spark, sf_dir, "pages")
+    listed = pages.where(pages["url"].rlike(r"[?&]utm_")).select(urlfilter.canonical(pages["url"]).alias("canon"))
+    return urlfilter.judge(pages, listed)
+
+
+def op8_pattern_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op9_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "source")
     rows = mixing.shuffled(mixing.replicate(docs))
@@ -38,13 +57,165 @@ def op10_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_warc_index,
         op2_line_frequency,
         op3_minimax_shards,
+        op4_line_neighbourhood,
         op5_bag_minhash,
         op6_debruijn_spans,
+        op7_blocked_bloom,
+        op8_pattern_grammar,
         op9_poisson_mix,
         op10_minhash_containment,
     )
 }
 
-ORACLE: dict[str, str] = {}
+_HOST = "translate(coalesce(regexp_extract(rest, '^([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE: dict[str, str] = {
+    "op1_warc_index": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+        ), d AS (
+            SELECT page_id, strlen(html) AS payload_bytes, min(page_id) OVER (PARTITION BY hex) AS first,
+                   list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                       (((('0x' || substr(hex, (i // 4) * 5 + 1, 5))::BIGINT) >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)), 'string_agg', '') AS payload_digest
+            FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id > first THEN first END AS refers_to
+        FROM d
+    """,
+    "op2_line_frequency": r"""
+        WITH base AS (
+            SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), grams AS (
+            SELECT r, i, list_slice(w, i, i + 2) AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM base)
+        ), twice AS (
+            SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM grams) WHERE n > 1
+        ), rep AS (
+            SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM twice, (SELECT unnest(range(3)) AS k) GROUP BY r
+        ), lines AS (
+            SELECT r, source, text, line, array_to_string(regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' ') AS norm,
+                   len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+            FROM (SELECT r, source, text, unnest(string_split(text, chr(10))) AS line FROM base)
+        ), dup AS (
+            SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines WHERE n > 0 GROUP BY r
+        ), over AS (
+            SELECT h.source, h.norm
+            FROM (SELECT source, norm, count(DISTINCT text) AS docs FROM lines WHERE n > 0 GROUP BY source, norm) h
+            JOIN (SELECT source, count(DISTINCT text) AS texts FROM base GROUP BY source) s ON h.source IS NOT DISTINCT FROM s.source
+            WHERE docs >= 10 AND docs > texts * 0.1
+        ), boiler AS (
+            SELECT l.r, sum(n)::BIGINT AS n_boiler_words, count(*) AS n_boiler_lines
+            FROM lines l JOIN over o ON l.norm = o.norm AND l.source IS NOT DISTINCT FROM o.source WHERE n > 0 GROUP BY l.r
+        ), m AS (
+            SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+                   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+                   coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+                   coalesce(n_boiler_words, 0) AS n_boiler_words, coalesce(n_boiler_lines, 0) AS n_boiler_lines
+            FROM base LEFT JOIN rep USING (r) LEFT JOIN dup USING (r) LEFT JOIN boiler USING (r)
+        )
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - n_boiler_words >= 0.3 * n_words AS kept
+        FROM m
+    """,
+    "op4_line_neighbourhood": r"""
+        WITH lines AS (
+            SELECT doc_id, i - 1 AS line_no, regexp_extract_all(s[i], '[^\x20\x09-\x0D]+') AS w
+            FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents))
+        ), named AS (
+            SELECT doc_id, line_no, array_to_string(w, ' ') AS line, w, len(w) AS n FROM lines WHERE len(w) > 0
+        ), firsts AS (
+            SELECT line, any_value(w) AS w, any_value(n) AS n, min((doc_id, line_no)) AS first FROM named GROUP BY line
+        ), variants AS (
+            SELECT line, n, first, i, array_to_string(list_concat(list_slice(w, 1, i - 1), list_slice(w, i + 1, n)), ' ') AS v
+            FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM firsts WHERE n >= 8)
+        ), groups AS (
+            SELECT n, i, v, min(first) AS other, count(*) AS size FROM variants GROUP BY n, i, v HAVING count(*) > 1
+        ), pairs AS (
+            SELECT DISTINCT a.line AS long, b.line AS short, a.first AS first_long, b.first AS first_short
+            FROM variants a JOIN firsts b ON a.v = b.line AND b.n >= 8
+        ), links AS (
+            SELECT line, size - 1 AS links, other FROM variants JOIN groups USING (n, i, v)
+            UNION ALL SELECT long, 1, first_short FROM pairs
+            UNION ALL SELECT short, 1, first_long FROM pairs
+        ), found AS (
+            SELECT line, sum(links)::BIGINT AS n_links, min(other) AS other FROM links GROUP BY line
+        ), info AS (
+            SELECT f.line, least(f.first, coalesce(x.other, f.first)) AS e, coalesce(n_links, 0) AS n_links
+            FROM firsts f LEFT JOIN found x ON f.line = x.line
+        )
+        SELECT doc_id, line_no, e[1] AS first_doc_id, e[2] AS first_line_no, n_links, (doc_id, line_no) = e AS kept
+        FROM named JOIN info USING (line)
+    """,
+    "op7_blocked_bloom": f"""
+        WITH a AS (
+            SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+        ), b AS (
+            SELECT page_id, url, {_HOST} AS host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+                   list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*[?]([^#]*)', 1), '&'),
+                       lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=.*)?$'))) AS q
+            FROM a
+        ), c AS (
+            SELECT page_id, url, host, path,
+                   CASE WHEN host <> '' THEN regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www[.]', '') || regexp_replace(path, '/+$', '')
+                       || CASE WHEN array_to_string(q, '&') <> '' THEN '?' || array_to_string(q, '&') ELSE '' END END AS canon
+            FROM b
+        ), l AS (
+            SELECT DISTINCT canon AS hit FROM c WHERE regexp_matches(url, '[?&]utm_') AND canon IS NOT NULL
+        ), r AS (
+            SELECT page_id, host, path, hit IS NOT NULL AS listed,
+                   CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+                        WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+                        WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+                        WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+                        WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule
+            FROM c LEFT JOIN l ON canon = hit
+        )
+        SELECT page_id, host, path, rule, listed,
+               CASE rule WHEN 'org/' THEN 'allow' WHEN 'com/fr/' THEN 'allow' ELSE
+                   CASE WHEN rule IS NOT NULL OR listed THEN 'block' ELSE 'allow' END END AS verdict
+        FROM r
+    """,
+    "op9_poisson_mix": """
+        WITH RECURSIVE s AS (
+            SELECT source, count(*) AS n, sqrt(count(*)) AS weight FROM documents GROUP BY source
+        ), t AS (
+            SELECT sum(weight) AS w, sum(n) AS d FROM s
+        ), rate AS (
+            SELECT source, weight / w * d / n AS rate FROM s, t
+        ), cdf AS (
+            SELECT source, rate, 0 AS k, -rate AS log, exp(-rate) AS sum FROM rate
+            UNION ALL
+            SELECT source, rate, k + 1, log + ln(rate) - ln(k + 1), sum + exp(log + ln(rate) - ln(k + 1)) FROM cdf WHERE k < ceil(rate + 12 * sqrt(rate) + 30)
+        ), u AS (
+            SELECT doc_id, source, ('0x' || substr(md5('20240601:draw:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0 AS u FROM documents
+        ), n AS (
+            SELECT row_number() OVER () AS r, doc_id, source, u FROM u
+        ), drawn AS (
+            SELECT n.r, n.doc_id, n.source, count(*) AS copies
+            FROM n JOIN cdf ON n.source IS NOT DISTINCT FROM cdf.source AND cdf.sum <= n.u GROUP BY ALL
+        )
+        SELECT doc_id, source, copy::INT AS copy, ('0x' || substr(md5('20240601:order:' || coalesce(doc_id::VARCHAR, '') || ':' || copy), 1, 15))::BIGINT AS shuffle_key
+        FROM (SELECT doc_id, source, unnest(range(copies)) AS copy FROM drawn)
+    """,
+    "op10_minhash_containment": r"""
+        WITH low AS (
+            SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), grams AS (
+            SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM low)
+        ), items AS (
+            SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM benchmark
+        ), wanted AS (
+            SELECT DISTINCT item_id, array_to_string(list_slice(w, i, i + 4), ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM items)
+        ), size AS (
+            SELECT item_id, count(*) AS n_shingles FROM wanted GROUP BY item_id
+        )
+        SELECT doc_id, item_id, count(*) AS n_shared, any_value(n_shingles) AS n_shingles
+        FROM grams JOIN wanted USING (g) JOIN size USING (item_id) GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * any_value(n_shingles)
+    """,
+}
