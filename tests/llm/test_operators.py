@@ -1,0 +1,283 @@
+"""Each operator against its plain definition: odd rows and a given table."""
+
+import random
+from collections import Counter
+
+import brute
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+
+from gridcast.llm import common, decontam, linedup, minhash, mixing, quality, shard, substring
+
+SF = "/root/testdata/sf0.001"
+
+
+def given(table):
+    return pq.read_table(f"{SF}/{table}.parquet").to_pydict()
+
+
+def rows_of(df, *cols):
+    return [tuple(r) for r in df.select(*cols).collect()]
+
+
+def test_quality(spark, odd, odd_rows, none):
+    got = Counter(map(tuple, quality.judge(odd).collect()))
+    assert got == Counter(brute.quality([(r[0], r[1], r[3]) for r in odd_rows])[0])
+    assert quality.judge(none).count() == 0
+    d = given("documents")
+    rules = quality.QualityRules(min_docs=2, max_share=0.02, min_left=0.9)
+    got = Counter(map(tuple, quality.judge(common.load(spark, SF, "documents"), rules).collect()))
+    want, over = brute.quality(list(zip(d["doc_id"], d["text"], d["source"], strict=True)), 2, 0.02, 0.9)
+    assert over and got == Counter(want)
+
+
+def test_quality_many_hosts_joins(spark):
+    docs = common.load(spark, SF, "documents")
+    rules = quality.QualityRules(min_docs=2, max_share=0.02)
+    few = quality.QualityRules(min_docs=2, max_share=0.02, broadcast_hosts=0)
+    assert Counter(map(tuple, quality.judge(docs, rules).collect())) == Counter(map(tuple, quality.judge(docs, few).collect()))
+
+
+def test_quality_clean(spark, odd, none):
+    words = [f"w{i}" for i in range(60)]
+    boiler = "All RIGHTS   reserved here"
+    rows = [(i, "\n".join([boiler, " ".join(words[: 50 + i % 7]) + f" {i}", boiler.lower()]), "en", "s", 1, None, None, None) for i in range(20)]
+    rows += [(100 + i, "\n".join([boiler] * 30), "en", "s", 1, None, None, None) for i in range(2)]
+    df = spark.createDataFrame(rows, odd.schema)
+    out = {r.doc_id: r for r in quality.clean(df).collect()}
+    assert set(out) == set(range(20))
+    for i in range(20):
+        assert out[i].text == " ".join(words[: 50 + i % 7]) + f" {i}"
+        assert out[i].n_chars == len(out[i].text)
+    assert quality.clean(odd).columns == odd.columns
+    assert quality.clean(none).count() == 0
+
+
+def check_shards(got, texts, shards):
+    by = {}
+    for doc_id, size, crc, law, sh, slot, grown in got:
+        assert (size, crc, law, grown) == (brute.size(texts[doc_id]), brute.crc(texts[doc_id]), "bytes", None)
+        by.setdefault(sh, []).append((slot, size))
+    assert all(sorted(s for s, _ in v) == list(range(len(v))) for v in by.values())
+    assert all(0 <= k < shards for k in by)
+    of = {}
+    for doc_id, _, _, _, sh, _, _ in got:
+        assert of.setdefault(texts[doc_id] or "", sh) == sh
+    return {k: sum(s for _, s in v) for k, v in by.items()}
+
+
+def test_shards(spark, odd, odd_rows, none):
+    texts = {r[0]: r[1] for r in odd_rows if r[0] is not None}
+    got = [r for r in map(tuple, shard.assign(odd).collect()) if r[0] is not None]
+    assert shard.assign(odd).count() == len(odd_rows)
+    assert shard.assign(none).count() == 0
+    plain = spark.createDataFrame([r for r in odd_rows if r[0] is not None][:22], odd.schema)
+    check_shards([tuple(r) for r in shard.assign(plain).collect()], texts, 40)
+    assert len(got) == len(odd_rows) - 2
+    d = given("documents")
+    texts = dict(zip(d["doc_id"], d["text"], strict=True))
+    for shards in (3, 40):
+        sizes = check_shards([tuple(r) for r in shard.assign(common.load(spark, SF, "documents"), shards).collect()], texts, shards)
+        assert len(sizes) == shards
+
+
+def optimum(sizes, shards):
+    """Smallest largest part over all contiguous partitions (dynamic programming)."""
+    total = np.concatenate(([0], np.cumsum(sizes)))
+    best = [float(x) for x in total]
+    for _ in range(shards - 1):
+        best = [0.0] + [min(max(best[j], total[i] - total[j]) for j in range(i + 1)) for i in range(1, len(total))]
+    return best[-1]
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_cuts_are_minimax(seed):
+    r = random.Random(seed)
+    sizes = sorted((r.choice([r.randint(16, 30), r.randint(16, 400), 500]) for _ in range(r.randint(1, 60))), reverse=True)
+    shards = r.randint(1, 9)
+    runs = sorted(Counter(sizes).items(), reverse=True)
+    first = shard.cuts(np.array([s for s, _ in runs]), np.array([n for _, n in runs]), shards)
+    assert first == sorted(first) and first[0] == 0 and len(first) == shards
+    parts = [sum(sizes[a:b]) for a, b in zip(first, [*first[1:], len(sizes)], strict=True)]
+    assert max(parts) == optimum(sizes, shards)
+
+
+def test_near_classes(spark, odd, odd_rows, none):
+    d = given("documents")
+    got = dict(rows_of(minhash.near_classes(common.load(spark, SF, "documents")), "doc_id", "class_id"))
+    assert got == brute.near_classes(list(zip(d["doc_id"], d["text"], strict=True)))
+    distinct = {r[0]: r[1] for r in odd_rows if r[0] is not None}
+    got = rows_of(minhash.near_classes(odd), "doc_id", "class_id")
+    assert len(got) == len(odd_rows)
+    assert {k: v for k, v in got if k is not None} == brute.near_classes(list(distinct.items()))
+    assert [v for k, v in got if k is None] == [None, None]
+    assert minhash.near_classes(none).count() == 0
+
+
+def test_near_copies_of_an_original_that_is_not_the_smallest(spark, none):
+    """Copies 0..59 differ from each other by more than the limit, but each
+    is near the original 60: one class, and a chain joins it."""
+    r = random.Random(5)
+    words = [f"w{r.randint(0, 10**6)}" for _ in range(400)]
+    rows = []
+    for i in range(60):
+        w = list(words)
+        for p in r.sample(range(5, 395), 8):
+            w[p] = f"x{i}y{p}"
+        rows.append((i, " ".join(w)))
+    rows.append((60, " ".join(words)))
+    rows += [(61, "\n".join(words)), (62, " ".join(words[:200] + [f"z{i}" for i in range(200)]))]
+    df = spark.createDataFrame([(i, t, None, None, None, None, None, None) for i, t in rows], none.schema)
+    got = dict(rows_of(minhash.near_classes(df), "doc_id", "class_id"))
+    assert got == brute.near_classes(rows)
+    assert got[60] == got[61] == 0 and got[62] == 62
+
+
+def test_keep_one(spark, odd, odd_rows, none):
+    out = minhash.keep_one(odd)
+    assert out.columns == odd.columns
+    kept = Counter(r.doc_id for r in out.collect())
+    classes = brute.near_classes(list({r[0]: r[1] for r in odd_rows if r[0] is not None}.items()))
+    assert {k for k in kept if k is not None} == set(classes.values())
+    assert all(n == 1 for k, n in kept.items() if k is not None) and kept[None] == 2
+    assert minhash.keep_one(none).count() == 0
+
+
+def test_signatures_are_unbiased():
+    r = np.random.default_rng(3)
+    n, registers = 40, 512
+    values = r.integers(0, 2**63, n).astype(np.uint64)
+    left, right = r.integers(0, 9, n), r.integers(0, 9, n)
+    both = np.concatenate((values[left > 0], values[right > 0]))
+    doc = np.concatenate((np.zeros((left > 0).sum(), np.int64), np.ones((right > 0).sum(), np.int64)))
+    weight = np.concatenate((left[left > 0], right[right > 0]))
+    hits = []
+    for seed in range(12):
+        s = minhash.signatures(both + np.uint64(seed * 1001), doc, weight, 2, registers)
+        hits.append((s[0] == s[1]).mean())
+    true = np.minimum(left, right).sum() / np.maximum(left, right).sum()
+    assert abs(np.mean(hits) - true) < 4 * np.sqrt(true * (1 - true) / (12 * registers))
+
+
+def test_repeats(spark, odd, odd_rows, none):
+    got = Counter(map(tuple, substring.remove_repeats(odd).collect()))
+    assert got == Counter(brute.without_repeats([(r[0], r[1]) for r in odd_rows]))
+    assert substring.remove_repeats(none).count() == 0
+    d = given("documents")
+    got = Counter(map(tuple, substring.remove_repeats(common.load(spark, SF, "documents")).collect()))
+    assert got == Counter(brute.without_repeats(list(zip(d["doc_id"], d["text"], strict=True))))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_repeats_in_tangled_passages(spark, none, seed):
+    r = random.Random(seed)
+    pool = [[r.choice("abcd") + str(r.randint(0, 3)) for _ in range(r.randint(5, 40))] for _ in range(8)]
+    rows = [(i, " ".join(w for _ in range(r.randint(1, 8)) for w in r.choice(pool))) for i in range(40)]
+    df = spark.createDataFrame([(i, t, None, None, None, None, None, None) for i, t in rows], none.schema)
+    got = Counter(map(tuple, substring.remove_repeats(df, window=12, kmer=4).collect()))
+    assert got == Counter(brute.without_repeats(rows, 12))
+
+
+def test_containment(spark, odd, odd_rows, none):
+    items = [(1, odd_rows[10][1]), (2, " ".join((odd_rows[10][1] or "").split(" ")[:20])), (3, "a b"), (4, None), (5, ""), (6, "The quick brown Fox jumps over"), (None, " ".join(odd_rows[5][1].split(" ")[3:40])), (7, odd_rows[10][1])]
+    bench = spark.createDataFrame([(i, t, 5) for i, t in items], "item_id long, text string, doc_id int")
+    got = Counter(map(tuple, decontam.contaminated(odd, bench).collect()))
+    docs = list({(r[0], r[1]) for r in odd_rows})
+    assert got == Counter(brute.contained(docs, items))
+    assert decontam.contaminated(none, bench).count() == 0
+    assert decontam.contaminated(odd, bench.limit(0)).count() == 0
+    left = decontam.decontaminate(odd, bench)
+    assert left.columns == odd.columns
+    hit = {k[0] for k in got}
+    assert sorted((r.doc_id for r in left.collect()), key=str) == sorted((r[0] for r in odd_rows if r[0] not in hit), key=str)
+    d, b = given("documents"), given("benchmark")
+    got = set(map(tuple, decontam.contaminated(common.load(spark, SF, "documents"), common.load(spark, SF, "benchmark")).collect()))
+    assert got == brute.contained(list(zip(d["doc_id"], d["text"], strict=True)), list(zip(b["item_id"], b["text"], strict=True)))
+
+
+def near_lines(rows, min_words=8):
+    """First line, links and fate of each line, by comparing all pairs."""
+    lines = [(i, n, " ".join(brute.words(x))) for i, t in rows for n, x in enumerate((t or "").split("\n")) if t is not None and brute.words(x)]
+    key = lambda i, n: (i is not None, i or 0, n)
+    first = {}
+    for i, n, x in lines:
+        first[x] = min(first.get(x, key(i, n)), key(i, n))
+
+    def near(a, b):
+        a, b = sorted((a, b), key=len)
+        if len(b) - len(a) > 1 or len(a) < min_words:
+            return False
+        p = 0
+        while p < len(a) and a[p] == b[p]:
+            p += 1
+        return a[p + (len(a) == len(b)) :] == b[p + 1 :]
+
+    words = {x: x.split(" ") for x in first}
+    info = {x: [first[x], 0] for x in first}
+    for x in first:
+        for y in first:
+            if x != y and near(words[x], words[y]):
+                info[x][0] = min(info[x][0], first[y])
+                info[x][1] += 1
+    back = lambda k: (k[1] if k[0] else None, k[2])
+    return Counter((i, n, *back(info[x][0]), info[x][1], key(i, n) == info[x][0]) for i, n, x in lines)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_lines(spark, odd, odd_rows, none, seed):
+    r = random.Random(seed)
+    base = [[r.choice("abc") for _ in range(r.randint(1, 12))] for _ in range(12)]
+    rows = [(x[0], x[1]) for x in odd_rows if x[0] not in (14, 15, 5)] if seed else []
+    for i in range(30, 60):
+        text = []
+        for _ in range(r.randint(0, 6)):
+            w = list(r.choice(base))
+            for _ in range(r.choice([0, 1, 1, 2])):
+                p = r.randrange(len(w) + 1)
+                w[p : p + r.randint(0, 1)] = [r.choice("abcd")] * r.randint(0, 1)
+            text.append(r.choice([" ", "  ", "\t"]).join(w))
+        rows.append((i, "\n".join(text)))
+    df = spark.createDataFrame([(i, t, None, None, None, None, None, None) for i, t in rows], none.schema)
+    assert Counter(map(tuple, linedup.dedup_lines(df).collect())) == near_lines(rows)
+    assert linedup.dedup_lines(none).count() == 0
+
+
+def test_template_lines_form_no_pairs(spark, none):
+    """3,000 lines that differ in one word: all linked to each other."""
+    rows = [(i, f"this is the shared line with number {i} inside it", None, None, None, None, None, None) for i in range(3000)]
+    out = linedup.dedup_lines(spark.createDataFrame(rows, none.schema)).collect()
+    assert {(r.first_doc_id, r.n_links) for r in out} == {(0, 2999)}
+    assert [r.doc_id for r in out if r.kept] == [0]
+
+
+def test_lines_join_instead_of_broadcast(spark, monkeypatch):
+    docs = common.load(spark, SF, "documents")
+    want = Counter(map(tuple, linedup.dedup_lines(docs).collect()))
+    monkeypatch.setattr(linedup, "BROADCAST_LINES", 0)
+    assert Counter(map(tuple, linedup.dedup_lines(docs).collect())) == want
+
+
+def test_mix(spark, odd, odd_rows, none):
+    out = mixing.mix(odd, {"s0": 3.0, "s1": 1.0, "gone": 1.0}, total=400)
+    assert out.columns == odd.columns
+    n = Counter(r.source for r in out.collect())
+    assert set(n) == {"s0", "s1"} and 150 < n["s0"] < 330 and 40 < n["s1"] < 140
+    assert mixing.mix(none).count() == 0
+    assert mixing.mix(odd, {}).count() == 0
+    again = mixing.mix(odd.repartition(5), {"s0": 3.0, "s1": 1.0, "gone": 1.0}, total=400)
+    assert Counter(map(str, out.collect())) == Counter(map(str, again.collect()))
+
+
+def test_mix_follows_the_poisson_law(spark):
+    docs = spark.range(20_000).selectExpr("id as doc_id", "if(id % 4 = 0, 'b', null) as source")
+    rate = {"b": 0.7 * 30_000 / 5_000}
+    out = mixing.replicate(docs, {"b": 0.7}, total=21_000)
+    copies = Counter(out.groupBy("doc_id").count().selectExpr("count").rdd.map(lambda r: r[0]).collect())
+    lam, p = rate["b"], np.exp(-rate["b"])
+    for k in range(0, 12):
+        share = (copies[k] if k else 5_000 - sum(copies.values())) / 5_000
+        assert abs(share - p) < 5 * np.sqrt(p * (1 - p) / 5_000) + 1e-4, k
+        p = p * lam / (k + 1)
+    rates = mixing.rates(docs, {"b": 1.0}, total=5_000 * 2_000).first()
+    assert rates["rate"] == 2000.0 and abs(rates["cdf"][-1] - 1) < 1e-9
