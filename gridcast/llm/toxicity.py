@@ -39,9 +39,10 @@ from .common import staged
 SAMPLE_ROWS = 20_000
 MIN_SUPPORT = 5
 MIN_SHARE = 0.005
-MIN_LOG_ODDS = 3.0
+MIN_LOG_ODDS = 1.8
+MIN_EVIDENCE = 16.0
 MAX_LEXICON = 2000
-STEMS = (4, 5)
+STEMS = (4, 5, 6, 7, 8)
 FOLDS = 5
 
 #: Function words of the grammar in four languages.
@@ -238,6 +239,12 @@ def _count_forms(wanted):
     return run
 
 
+def _evidence(n: int, m: int, bad: int, good: int) -> float:
+    """Likelihood ratio of a form in n of bad and m of good texts."""
+    share = (n + m) / (bad + good)
+    return 2 * sum(k * np.log(k / (total * p)) for k, total, p in ((n, bad, share), (bad - n, bad, 1 - share), (m, good, share), (good - m, good, 1 - share)) if k > 0 and p > 0)
+
+
 def learn_lexicon(rows: DataFrame, min_support: int = MIN_SUPPORT, max_size: int = MAX_LEXICON) -> Lexicon:
     """Insults from labelled rows (``text, toxic``)."""
     spark = rows.sparkSession
@@ -253,7 +260,8 @@ def learn_lexicon(rows: DataFrame, min_support: int = MIN_SUPPORT, max_size: int
     clean = rows.where("not toxic").select("text").mapInArrow(_count_forms(wanted), "form string, n long").groupBy("form").agg(F.sum("n").alias("n"))
     misses = {r["form"]: r["n"] for r in clean.collect()}
     odds = {f: float(np.log((n + 0.5) / (bad + 1)) - np.log((misses.get(f, 0) + 0.5) / (good + 1))) for f, n in hits.items()}
-    best = sorted((f for f in odds if odds[f] >= MIN_LOG_ODDS), key=lambda f: (-hits[f], f))[:max_size]
+    sure = {f: _evidence(n, misses.get(f, 0), bad, good) for f, n in hits.items() if odds[f] >= MIN_LOG_ODDS}
+    best = sorted((f for f in sure if sure[f] >= MIN_EVIDENCE), key=lambda f: (-sure[f], f))[:max_size]
     return Lexicon({f[1:]: odds[f] for f in best if f[0] == "="}, {f[:-1]: odds[f] for f in best if f[0] != "="})
 
 
