@@ -156,17 +156,19 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
     base = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).where("doc_id is not null")
     found = staged(base.mapInArrow(_emit_edges(window, kmer), "doc_id long, gram long, path long, first int, last int"), "graph-edges")
     # edges of two documents or more
-    shared = found.groupBy("gram").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("gram")
+    # (each small side is staged: a join of two plain shuffles is split where one key is hot)
+    shared = staged(found.groupBy("gram").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("gram"), "graph-shared")
     held = staged(found.join(shared, "gram"), "graph-held")
     # paths: first document; an edge with several paths branches
     paths = staged(held.groupBy("gram", "path").agg(F.min("doc_id").alias("source")), "graph-paths")
     later = held.join(paths, ["gram", "path"]).where("doc_id > source").select("doc_id", F.col("first").alias("lo"), (F.col("last") + window).alias("hi"))
-    forks = paths.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    opened = held.join(paths.join(forks, "gram"), ["gram", "path"]).where("doc_id = source").select("doc_id", F.struct("gram", "first", "last").alias("p"))
+    forks = staged(paths.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "graph-forks")
+    forked = staged(paths.join(forks, "gram"), "graph-forked")
+    opened = held.join(forked, ["gram", "path"]).where("doc_id = source").select("doc_id", F.struct("gram", "first", "last").alias("p"))
     per_doc = opened.distinct().groupBy("doc_id").agg(F.collect_list("p").alias("paths"))
     texts = base.join(per_doc, "doc_id").select("doc_id", "text", "paths")
     windows = staged(texts.mapInArrow(_emit_windows(window), "doc_id long, gram long, value long, at int"), "graph-windows")
-    firsts = windows.groupBy("gram", "value").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("most")).where("source < most").drop("most")
+    firsts = staged(windows.groupBy("gram", "value").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("most")).where("source < most").drop("most"), "graph-firsts")
     again = windows.join(firsts, ["gram", "value"]).where("doc_id > source").select("doc_id", F.col("at").alias("lo"), (F.col("at") + window).alias("hi"))
     return later.union(again)
 
