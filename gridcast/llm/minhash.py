@@ -15,12 +15,15 @@ bags agree in a register with probability equal to their weighted Jaccard
 similarity, without bias.
 
 Candidates: ``BANDS`` bands of ``ROWS`` registers.  Equal texts collapse
-first.  Inside a bucket no pairs are formed: its hub (the member that
-collides most) is paired with the others, pairs are verified by exact bag
-overlap, and components are formed.  Buckets that still hold several
-components get another hub in the next round, until every member has been
-hub or the bucket is one component.  So no link between components is lost,
-and a group of thousands of copies costs a star, not a square.
+first.  A bucket's hub (the member that collides most) is paired with the
+bucket's other members; pairs are verified by exact bag overlap and joined
+to components, so that a group of thousands of copies costs a star, not a
+square.  In a bucket that still holds several components the members'
+registers are compared inside a task (in blocks of ``BLOCK`` members, which
+bounds its memory); pairs of different components whose registers agree in
+the threshold less ``SCREEN`` or more, nearly four standard deviations, are
+verified as well.  So no bucket's link between components is left untried,
+and no pairs of a bucket are written out but the likely ones.
 
 Cases: texts without a word (null, empty, blank) have no shingle and are a
 class of their own each; texts of one to four words have their whole word
@@ -46,6 +49,8 @@ THRESHOLD = 0.8
 ROWS = 6
 BANDS = 36
 REGISTERS = ROWS * BANDS
+BLOCK = 2048
+SCREEN = 0.1  # below the threshold
 
 
 def bags(t: K.Texts, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -111,8 +116,10 @@ def _sign(shingle: int, rows: int, bands: int):
                 for r in range(rows):
                     key = K.mix(key + bits[:, :, r])
                 take = pa.array(some + t.lo)
+                raw = np.ascontiguousarray(bits.reshape(len(some), bands * rows).astype(np.uint16))
+                short = pa.FixedSizeBinaryArray.from_buffers(pa.binary(raw.shape[1] * 2), len(some), [None, pa.py_buffer(raw)]).cast(pa.binary())
                 lists = K.list_array(key.ravel().view(np.int64), np.full(len(some), bands), pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("key").take(take), lists], ["doc_id", "key", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("key").take(take), lists, short], ["doc_id", "key", "bands", "sig"])
 
     return run
 
@@ -168,58 +175,95 @@ def near_classes(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THR
     """``doc_id, class_id`` for every row; class_id is the smallest doc_id."""
     base = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     keyed = base.withColumn("key", text_key(F.col("text")))
-    signed = staged(keyed.where("doc_id is not null").mapInArrow(_sign(shingle, rows, bands), "doc_id long, key string, bands array<long>"), "minhash-bands")
+    signed = staged(keyed.where("doc_id is not null").mapInArrow(_sign(shingle, rows, bands), "doc_id long, key string, bands array<long>, sig binary"), "minhash-bands")
     # equal texts collapse to their smallest id
     groups = staged(signed.groupBy("key").agg(F.min("doc_id").alias("rep")), "minhash-groups")
     reps = signed.join(groups.select(F.col("rep").alias("doc_id"), "key"), ["doc_id", "key"]).dropDuplicates(["doc_id"])
     colliding = _buckets(reps)
-    links, labels = _link(colliding, base, shingle, threshold)
+    labels = _link(colliding, reps.select(F.col("doc_id").alias("id"), "sig"), base, shingle, threshold)
     members = signed.select("doc_id", "key").join(groups, "key").join(labels.withColumnRenamed("id", "rep"), "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("label", "rep")).alias("class_id"))
     return docs.select(docs["doc_id"].alias("doc_id")).join(members.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"), "left").select("doc_id", F.coalesce("class_id", F.col("doc_id").cast("long")).alias("class_id"))
 
 
 def _buckets(reps: DataFrame) -> DataFrame:
-    """``bucket, id, degree`` for buckets of two members or more."""
+    """``bucket, id, size, degree`` for buckets of two members or more."""
     members = reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    # (the small sides are staged: a join of two plain shuffles is split where one key is hot)
+    shared = staged(members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "minhash-shared")
     held = staged(members.join(shared, "bucket"), "minhash-buckets")
-    degree = held.groupBy("id").agg(F.sum("size").alias("degree"))
-    return staged(held.select("bucket", "id").join(degree, "id"), "minhash-members")
+    degree = staged(held.groupBy("id").agg(F.sum("size").alias("degree")), "minhash-degree")
+    return staged(held.join(degree, "id"), "minhash-members")
 
 
-def _link(members: DataFrame, base: DataFrame, shingle: int, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Verified star links of all rounds, and the components' labels."""
-    spark = members.sparkSession
-    open_ = members.withColumn("label", F.col("id"))
-    links = labels = None
-    tried = None
-    while True:
-        hubs = open_.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("id")).alias("least"))).alias("top")).select("bucket", (-F.col("top.least")).alias("hub"))
-        hub_label = open_.select("bucket", F.col("id").alias("hub"), F.col("label").alias("hub_label"))
-        star = open_.join(hubs.join(hub_label, ["bucket", "hub"]), "bucket").where((F.col("id") != F.col("hub")) & (F.col("label") != F.col("hub_label")))
-        pairs = star.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "minhash-pairs")
-        if not pairs.isEmpty():
-            new = _verified(pairs, base, shingle, threshold)
-            links = staged(new if links is None else links.union(new), "minhash-links")
-            labels = connected(links)
-        both = pairs.union(pairs.select("b", "a"))
-        tried = both if tried is None else tried.union(both)
-        # a hub is done in its bucket; a bucket of one component is done
-        rest = open_.drop("label").join(hubs, "bucket").where(F.col("id") != F.col("hub")).drop("hub")
-        if labels is None:
-            rest = rest.withColumn("label", F.col("id"))
-        else:
-            rest = rest.join(labels, "id", "left").select("bucket", "id", "degree", F.coalesce("label", "id").alias("label"))
-        spread = rest.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("bucket")
-        open_ = staged(rest.join(spread, "bucket"), "minhash-open")
-        if open_.isEmpty():
-            break
-    if labels is None:
-        labels = spark.createDataFrame([], "id long, label long")
-    return links, labels
+def _compare(threshold: float):
+    """Likely pairs of different labels among the members of each group."""
+
+    def likely(ids, labels, sigs, half) -> tuple[list, list]:
+        a, b = [], []
+        for i in range(len(ids)):
+            # inside one block every pair once, between two blocks across
+            other = np.flatnonzero((labels != labels[i]) & (half > half[i] if half.any() else np.arange(len(ids)) > i))
+            if len(other):
+                near = other[(sigs[other] == sigs[i]).mean(axis=1) >= threshold]
+                a += [int(ids[i])] * len(near)
+                b += ids[near].tolist()
+        return a, b
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            part = rows.column("part").to_numpy()
+            edge = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+            rest = rows.slice(int(edge[-1]))
+            yield from groups(rows.slice(0, int(edge[-1])), edge)
+        if rest is not None:
+            yield from groups(rest, np.array([0, len(rest)]))
+
+    def groups(rows: pa.Table, edge: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(rows):
+            return
+        ids, labels, half = (rows.column(c).to_numpy() for c in ("id", "label", "half"))
+        sigs = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint16).reshape(len(rows), -1)
+        a, b = [], []
+        for lo, hi in zip(edge, edge[1:], strict=False):
+            x, y = likely(ids[lo:hi], labels[lo:hi], sigs[lo:hi], half[lo:hi])
+            a, b = a + x, b + y
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _likely(open_: DataFrame, sigs: DataFrame, screen: float, block: int) -> DataFrame:
+    """Pairs across components (``a``, ``b``) in buckets of several, by the
+    members' registers.  A bucket of more than ``block`` members is compared
+    block by block: each member goes to every pair of blocks with its own."""
+    rows = open_.join(sigs, "id")
+    n = F.ceil(F.col("size") / block).cast("int")
+    rows = rows.withColumn("n", n).withColumn("own", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    pair = rows.withColumn("part", F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")))
+    # half tells the two blocks of a pair apart; one block alone has none
+    pair = pair.withColumn("half", F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2))
+    dealt = pair.select("part", "id", "label", "half", "sig").repartition("part").sortWithinPartitions("part", "id")
+    found = dealt.mapInArrow(_compare(screen), "a long, b long")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _link(members: DataFrame, sigs: DataFrame, base: DataFrame, shingle: int, threshold: float, block: int = BLOCK) -> DataFrame:
+    """Components (``id``, ``label``) of the verified links."""
+    hubs = members.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("id")).alias("least"))).alias("top"))
+    hubs = staged(hubs.select("bucket", (-F.col("top.least")).alias("hub")), "minhash-hubs")
+    star = members.join(hubs, "bucket").where("id <> hub")
+    tried = staged(star.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct(), "minhash-star")
+    links = staged(_verified(tried, base, shingle, threshold), "minhash-links")
+    labels = connected(links)
+    marked = staged(members.join(labels, "id", "left").select("bucket", "id", "size", F.coalesce("label", "id").alias("label")), "minhash-marked")
+    spread = staged(marked.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("bucket"), "minhash-spread")
+    open_ = marked.where("size > 2").join(spread, "bucket")
+    likely = _likely(open_, sigs, threshold - SCREEN, block).join(tried, ["a", "b"], "left_anti")
+    more = staged(_verified(staged(likely, "minhash-likely"), base, shingle, threshold), "minhash-more")
+    return labels if more.isEmpty() else connected(links.union(more))
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
@@ -229,4 +273,6 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHO
     lost = staged(classes.where("doc_id <> class_id").select(F.col("doc_id").alias("__lost")).distinct(), "minhash-lost")
     twice = classes.groupBy("doc_id").count().where("count > 1").where("doc_id is not null")
     rest = docs.join(lost, docs["doc_id"] == F.col("__lost"), "left_anti")
-    return rest if twice.isEmpty() else rest.dropDuplicates(["doc_id"])
+    if twice.isEmpty():
+        return rest
+    return rest.where("doc_id is not null").dropDuplicates(["doc_id"]).union(rest.where("doc_id is null"))
