@@ -18,12 +18,13 @@ Candidates: ``BANDS`` bands of ``ROWS`` registers.  Equal texts collapse
 first.  A bucket's hub (the member that collides most) is paired with the
 bucket's other members; pairs are verified by exact bag overlap and joined
 to components, so that a group of thousands of copies costs a star, not a
-square.  In a bucket that still holds several components the members'
-registers are compared inside a task (in blocks of ``BLOCK`` members, which
-bounds its memory); pairs of different components whose registers agree in
-the threshold less ``SCREEN`` or more, nearly four standard deviations, are
-verified as well.  So no bucket's link between components is left untried,
-and no pairs of a bucket are written out but the likely ones.
+square.  In a bucket that still holds several components the members are
+compared inside a task (in blocks of ``BLOCK`` members, which bounds its
+memory): registers first, and where these agree in the threshold less
+``SCREEN`` or more, nearly four standard deviations, the bags themselves.
+Only links leave the task, each from the first band that its texts share.
+So no link between components is left untried, and no pairs of a bucket are
+written out.
 
 Cases: texts without a word (null, empty, blank) have no shingle and are a
 class of their own each; texts of one to four words have their whole word
@@ -180,7 +181,7 @@ def near_classes(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THR
     groups = staged(signed.groupBy("key").agg(F.min("doc_id").alias("rep")), "minhash-groups")
     reps = signed.join(groups.select(F.col("rep").alias("doc_id"), "key"), ["doc_id", "key"]).dropDuplicates(["doc_id"])
     colliding = _buckets(reps)
-    labels = _link(colliding, reps.select(F.col("doc_id").alias("id"), "sig"), base, shingle, threshold)
+    labels = _link(colliding, reps, base, shingle, threshold)
     members = signed.select("doc_id", "key").join(groups, "key").join(labels.withColumnRenamed("id", "rep"), "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("label", "rep")).alias("class_id"))
     return docs.select(docs["doc_id"].alias("doc_id")).join(members.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"), "left").select("doc_id", F.coalesce("class_id", F.col("doc_id").cast("long")).alias("class_id"))
 
@@ -195,74 +196,107 @@ def _buckets(reps: DataFrame) -> DataFrame:
     return staged(held.join(degree, "id"), "minhash-members")
 
 
-def _compare(threshold: float):
-    """Likely pairs of different labels among the members of each group."""
+def _elements(shingle: int):
+    """Each text's bag as a sorted set: the hash of a shingle and its count
+    so far."""
 
-    def likely(ids, labels, sigs, half) -> tuple[list, list]:
-        a, b = [], []
-        for i in range(len(ids)):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in K.chunks(batch.column("text")):
+                values, doc = K.shingles(t, t.word_hashes(), shingle)
+                order, run_ = K.runs(values, doc)
+                size = np.diff(run_)
+                nth = np.arange(len(order)) - np.repeat(run_[:-1], size)
+                values, doc = K.mix(values[order] + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), doc[order]
+                order = np.lexsort((values, doc))
+                lists = K.list_array(values[order].view(np.int64), np.bincount(doc, minlength=t.n), pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(t.lo, t.n), lists], ["id", "elements"])
+
+    return run
+
+
+def _compare(threshold: float, screen: float):
+    """Links between different labels among the members of each group."""
+
+    def links(rows: pa.Table) -> tuple[list, list]:
+        ids, labels, half, band = (rows.column(c).to_numpy() for c in ("id", "label", "half", "band"))
+        sigs = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint16).reshape(len(rows), -1)
+        bands = rows.column("bands").combine_chunks()
+        bands = bands.flatten().to_numpy().reshape(len(rows), -1)[:, : int(band[0])]
+        held = [x.values.to_numpy().view(np.uint64) for x in rows.column("elements").combine_chunks()]
+        size = np.array([len(x) for x in held])
+        two, a, b = half.any(), [], []
+        for i in range(len(rows)):
             # inside one block every pair once, between two blocks across
-            other = np.flatnonzero((labels != labels[i]) & (half > half[i] if half.any() else np.arange(len(ids)) > i))
-            if len(other):
-                near = other[(sigs[other] == sigs[i]).mean(axis=1) >= threshold]
-                a += [int(ids[i])] * len(near)
-                b += ids[near].tolist()
+            other = np.flatnonzero((labels != labels[i]) & (half > half[i] if two else np.arange(len(rows)) > i))
+            other = other[np.minimum(size[other], size[i]) >= threshold * np.maximum(size[other], size[i])]
+            other = other[~(bands[other] == bands[i]).any(axis=1)]
+            other = other[(sigs[other] == sigs[i]).mean(axis=1) >= screen]
+            if not len(other):
+                continue
+            flat = np.concatenate([held[j] for j in other])
+            at = np.minimum(np.searchsorted(held[i], flat), size[i] - 1)
+            shared = np.add.reduceat((held[i][at] == flat).astype(np.int64), np.cumsum(size[other]) - size[other])
+            near = other[shared >= threshold * (size[other] + size[i] - shared)]
+            a += [int(ids[i])] * len(near)
+            b += ids[near].tolist()
         return a, b
 
+    def groups(rows: pa.Table, edge: np.ndarray) -> Iterator[pa.RecordBatch]:
+        a, b = [], []
+        for lo, hi in zip(edge, edge[1:], strict=False):
+            x, y = links(rows.slice(int(lo), int(hi - lo)))
+            a, b = a + x, b + y
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
-            rows = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            rows = pa.Table.from_batches([batch])
+            rows = rows if rest is None else pa.concat_tables([rest, rows])
             part = rows.column("part").to_numpy()
             edge = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
             rest = rows.slice(int(edge[-1]))
-            yield from groups(rows.slice(0, int(edge[-1])), edge)
+            yield from groups(rows, edge)
         if rest is not None:
             yield from groups(rest, np.array([0, len(rest)]))
 
-    def groups(rows: pa.Table, edge: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not len(rows):
-            return
-        ids, labels, half = (rows.column(c).to_numpy() for c in ("id", "label", "half"))
-        sigs = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint16).reshape(len(rows), -1)
-        a, b = [], []
-        for lo, hi in zip(edge, edge[1:], strict=False):
-            x, y = likely(ids[lo:hi], labels[lo:hi], sigs[lo:hi], half[lo:hi])
-            a, b = a + x, b + y
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
     return run
 
 
-def _likely(open_: DataFrame, sigs: DataFrame, screen: float, block: int) -> DataFrame:
-    """Pairs across components (``a``, ``b``) in buckets of several, by the
-    members' registers.  A bucket of more than ``block`` members is compared
-    block by block: each member goes to every pair of blocks with its own."""
-    rows = open_.join(sigs, "id")
-    n = F.ceil(F.col("size") / block).cast("int")
-    rows = rows.withColumn("n", n).withColumn("own", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
+def _across(open_: DataFrame, reps: DataFrame, base: DataFrame, shingle: int, threshold: float, block: int) -> DataFrame:
+    """Links across components (``a``, ``b``) in buckets of several.  A
+    bucket of more than ``block`` members is compared block by block: each
+    member goes to every pair of blocks with its own."""
+    ids = staged(open_.select(F.col("id").alias("i")).distinct(), "minhash-open")
+    texts = base.join(ids, F.col("doc_id") == F.col("i")).select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"])
+    bags_ = texts.mapInArrow(_elements(shingle), "id long, elements array<long>")
+    whole = staged(bags_.join(reps.select(F.col("doc_id").alias("id"), "sig", "bands"), "id"), "minhash-bags")
+    rows = open_.withColumn("n", F.ceil(F.col("size") / block).cast("int"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    pair = rows.withColumn("part", F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")))
+    rows = rows.withColumn("part", F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")))
     # half tells the two blocks of a pair apart; one block alone has none
-    pair = pair.withColumn("half", F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2))
-    dealt = pair.select("part", "id", "label", "half", "sig").repartition("part").sortWithinPartitions("part", "id")
-    found = dealt.mapInArrow(_compare(screen), "a long, b long")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rows = rows.withColumn("half", F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2))
+    full = rows.join(whole, "id").withColumn("band", F.array_position("bands", F.col("bucket")) - 1)
+    dealt = full.select("part", "id", "label", "half", "band", "sig", "bands", "elements").repartition("part").sortWithinPartitions("part", "id")
+    return dealt.mapInArrow(_compare(threshold, threshold - SCREEN), "a long, b long")
 
 
-def _link(members: DataFrame, sigs: DataFrame, base: DataFrame, shingle: int, threshold: float, block: int = BLOCK) -> DataFrame:
+def _link(members: DataFrame, reps: DataFrame, base: DataFrame, shingle: int, threshold: float, block: int = BLOCK) -> DataFrame:
     """Components (``id``, ``label``) of the verified links."""
     hubs = members.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("id")).alias("least"))).alias("top"))
     hubs = staged(hubs.select("bucket", (-F.col("top.least")).alias("hub")), "minhash-hubs")
     star = members.join(hubs, "bucket").where("id <> hub")
-    tried = staged(star.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct(), "minhash-star")
-    links = staged(_verified(tried, base, shingle, threshold), "minhash-links")
+    pairs = staged(star.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct(), "minhash-star")
+    links = staged(_verified(pairs, base, shingle, threshold), "minhash-links")
     labels = connected(links)
     marked = staged(members.join(labels, "id", "left").select("bucket", "id", "size", F.coalesce("label", "id").alias("label")), "minhash-marked")
     spread = staged(marked.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("bucket"), "minhash-spread")
-    open_ = marked.where("size > 2").join(spread, "bucket")
-    likely = _likely(open_, sigs, threshold - SCREEN, block).join(tried, ["a", "b"], "left_anti")
-    more = staged(_verified(staged(likely, "minhash-likely"), base, shingle, threshold), "minhash-more")
+    open_ = staged(marked.where("size > 2").join(spread, "bucket"), "minhash-several")
+    if open_.isEmpty():
+        return labels
+    more = staged(_across(open_, reps, base, shingle, threshold, block), "minhash-more")
     return labels if more.isEmpty() else connected(links.union(more))
 
 
