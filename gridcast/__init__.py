@@ -2,12 +2,9 @@
 
 import sys
 
+from pyspark import cloudpickle
+
 # Python workers may not have this package on their path (it is not
 # installed, only imported by the driver).  Pickling its functions by value
 # ships the code of the pandas UDFs with the task.
-try:
-    from pyspark import cloudpickle as _cp
-
-    _cp.register_pickle_by_value(sys.modules[__name__])
-except Exception:  # pragma: no cover - older cloudpickle without the hook
-    pass
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -58,7 +58,7 @@ def cmd_fold(spark, args) -> None:
     if args.results:
         upsert_results(
             spark, to_results(res.history(spark), grid, args.tick_ms, args.anchor), args.results,
-            block_ticks=max(1, (1 << 20) // grid.n_cells),
+            ("temp",), block_ticks=16,
         )
     print(f"stored ticks {res.first_tick - args.tick_ms}..{res.last_tick} in {res.path}")
 

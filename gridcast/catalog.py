@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from gridcast.config import TEST_GRID, TEST_TICK_MS, FoldSpec, scratch_path, set_utc
+from gridcast.config import TEST_GRID, TEST_TICK_MS, FoldSpec, GridSpec, scratch_path
 from gridcast.functions import (
     cell_key,
     cell_key_i,
@@ -38,9 +38,11 @@ from gridcast.functions import (
     stripe_of,
     tick_index,
     tick_snap,
+    value_label,
 )
 from gridcast.operators import (
     align,
+    align_windows,
     contributions,
     densify,
     halo_branch,
@@ -50,8 +52,10 @@ from gridcast.operators import (
     neighbour_step,
     range_partition,
     readings_per_tick,
+    split_by_grid,
     step_by_lookup,
-    tick_bounds,
+    striped_step,
+    reading_bounds,
     window_mean,
 )
 from gridcast.plans.fold import tick_fold
@@ -63,7 +67,7 @@ from gridcast.sources.readings import (
     readings_dump,
     readings_to_json,
 )
-from gridcast.sources.store import read_results, upsert_results
+from gridcast.sources.store import read_results, results_at, to_results, upsert_results
 from gridcast.streaming import queries as sq
 
 # Fixed parameters of the registered queries.
@@ -123,7 +127,7 @@ R_SQL = f"""readings AS (
 TICK_SQL = f"CAST(ceil(time / {D(T)} - {D(0.5)}) * {T} AS BIGINT)"
 TICKED_SQL = f"ticked AS (SELECT *, {TICK_SQL} AS tick FROM readings)"
 LAST_SQL = """last_rows AS (
-  SELECT tick, i, j, arg_max(gen, struct_pack(t := time, s := seq)) AS f
+  SELECT tick, i, j, arg_max(gen, struct_pack(t := time, s := seq, v := gen)) AS f
   FROM ticked GROUP BY tick, i, j)"""
 AVG_SQL = "avg_rows AS (SELECT tick, i, j, avg(gen) AS f FROM ticked GROUP BY tick, i, j)"
 CELLS_SQL = f"cells AS (SELECT CAST(a.i AS INTEGER) AS i, CAST(b.j AS INTEGER) AS j FROM range({NX}) a(i), range({NY}) b(j))"
@@ -338,6 +342,11 @@ def q_cell_label(spark, sf):
     return _r(spark, sf).select("seq", cell_label("i", "j").alias("label"))
 
 
+@register("value_label", f"{RBASE} SELECT seq, printf('Time: %d Temp: %d', time, CAST(floor(gen) AS BIGINT)) AS label FROM readings")
+def q_value_label(spark, sf):
+    return _r(spark, sf).select("seq", value_label("time", F.floor("gen")).alias("label"))
+
+
 @register(
     "cell_rank_order",
     f"""{RBASE}, c AS (SELECT DISTINCT i, j FROM readings)
@@ -406,13 +415,14 @@ def q_grid_scaffold(spark, sf):
     FROM t, cells c LEFT JOIN avg_rows a ON a.tick = t.tick AND a.i = c.i AND a.j = c.j""",
 )
 def q_densified(spark, sf):
-    d = densify(spark, _aligned(spark, sf, "avg"), GRID, T)
+    r = _r(spark, sf)
+    d = densify(spark, align(r, T, "avg"), GRID, T, reading_bounds(r, T))
     return d.select("tick", "i", "j", q6("f").alias("f_e6"))
 
 
 @register(
     "latest_per_cell",
-    f"""{RBASE} SELECT i, j, max(time) AS time, arg_max(gen, struct_pack(t := time, s := seq)) AS gen
+    f"""{RBASE} SELECT i, j, max(time) AS time, arg_max(gen, struct_pack(t := time, s := seq, v := gen)) AS gen
     FROM readings GROUP BY i, j""",
 )
 def q_latest_cell(spark, sf):
@@ -502,8 +512,8 @@ FROM g LEFT JOIN avg_rows a ON a.tick = g.tick AND a.i = g.i AND a.j = g.j"""
 def _step_inputs(spark, sf):
     """Dense per-tick state (u = that tick's mean reading, 0 if none) moved
     to the next tick, and the next tick's readings as the source."""
+    bounds = reading_bounds(_r(spark, sf), T)
     a = _aligned(spark, sf, "avg")
-    bounds = tick_bounds(a)
     d = densify(spark, a, GRID, T, bounds)
     state = d.select((F.col("tick") + F.lit(T)).alias("tick"), "i", "j", F.col("f").alias("u"))
     src = a.where(F.col("tick") > F.lit(bounds[0]))
@@ -522,6 +532,18 @@ def _step_query(edge: str, lookup: bool = False):
 
 register("step_zero_edge", _step_sql("zero"))(_step_query("zero"))
 register("step_fixed_edge", _step_sql("fixed"))(_step_query("fixed"))
+def _striped(n_stripes: int):
+    def fn(spark, sf):
+        state, src = _step_inputs(spark, sf)
+        before = state.select((F.col("tick") - F.lit(T)).alias("tick"), "i", "j", "u")
+        return striped_step(before, src, GRID, FOLD_SPEC, n_stripes, T).select("tick", "i", "j", q6("u").alias("u_e6"))
+
+    return fn
+
+
+register("step_striped", _step_sql("zero"))(_striped(N_STRIPES))
+register("step_striped_3", _step_sql("zero"))(_striped(3))
+register("step_striped_1", _step_sql("zero"))(_striped(1))
 register("step_by_lookup", _step_sql("zero"))(_step_query("zero", lookup=True))
 register("step_by_lookup_fixed", _step_sql("fixed"))(_step_query("fixed", lookup=True))
 
@@ -606,6 +628,75 @@ def q_store_upsert(spark, sf):
     return res.select("tick_index", q6("x").alias("x_e6"), q6("y").alias("y_e6"), "temp")
 
 
+def window_rows_sql(size: int, slide: int) -> str:
+    """Windowed means as aligned rows: CTE ``win_rows(tick, i, j, f)``."""
+    starts = "[" + ", ".join(f"(time // {slide}) * {slide} - {m * slide}" for m in range(size // slide)) + "]"
+    return f""", win_rows AS (SELECT CAST(ws + {size} AS BIGINT) AS tick, i, j, {D(C)} * sum(gen) / count(*) AS f
+    FROM (SELECT unnest({starts}) AS ws, i, j, gen FROM readings) GROUP BY ws, i, j)"""
+
+
+@register(
+    "fold_hopping",
+    f"{FOLD_BASE}{window_rows_sql(2 * DAY, DAY)}{fold_sql('zero', 'win_rows')}\nSELECT tick, i, j, {Q('u')} AS u_e6 FROM hist",
+)
+def q_fold_hopping(spark, sf):
+    """The fold fed by hopping means: two-day windows, one tick a day."""
+    a = align_windows(_r(spark, sf), 2 * DAY, DAY, C)
+    return _hist_q(tick_fold(spark, a, GRID, FOLD_SPEC, DAY, method="step").history(spark))
+
+
+RESULT_TICK_SQL = f"(SELECT min(tick) // {T} + {SNAPSHOT_OFFSET_TICKS} FROM ticked)"
+
+
+@register(
+    "results_at_tick",
+    f"""{BASE} SELECT tick // {T} AS tick_index, {Q(X('i'))} AS x_e6, {Q(Y('j'))} AS y_e6, f AS temp FROM last_rows
+    WHERE tick // {T} = {RESULT_TICK_SQL}""",
+)
+def q_results_at(spark, sf):
+    """Point read of the results table by tick index, as the viewers do."""
+    a = _aligned(spark, sf, "last")
+    rows = to_results(a.withColumnRenamed("f", "u"), GRID, T)
+    path = scratch_path(spark, "results")
+    upsert_results(spark, rows, path, ("temp",), block_ticks=4)
+    first = read_results(spark, path).agg(F.min("tick_index")).first()[0]
+    res = results_at(spark, path, first + SNAPSHOT_OFFSET_TICKS)
+    return res.select("tick_index", q6("x").alias("x_e6"), q6("y").alias("y_e6"), "temp")
+
+
+NARROW = GridSpec(9, 6)
+
+
+@register(
+    "rejected_readings",
+    f"""{RBASE} SELECT seq, i, j, NOT (i < {NARROW.nx} AND j < {NARROW.ny}) AS rejected FROM readings""",
+)
+def q_rejected(spark, sf):
+    """Readings of a larger grid than the fold's: kept and rejected rows."""
+    kept, rest = split_by_grid(_r(spark, sf), NARROW)
+    return kept.select("seq", "i", "j", F.lit(False).alias("rejected")).union(rest.select("seq", "i", "j", F.lit(True)))
+
+
+@register(
+    "fold_rejects",
+    f"""{BASE} SELECT tick, i, j, {Q('f')} AS f_e6 FROM avg_rows WHERE NOT (i < {NARROW.nx} AND j < {NARROW.ny})""",
+)
+def q_fold_rejects(spark, sf):
+    """The rows a fold of the smaller grid could not take."""
+    rejects = scratch_path(spark, "rejects")
+    tick_fold(spark, _aligned(spark, sf, "avg"), NARROW, FOLD_SPEC, T, rejects=rejects)
+    return spark.read.parquet(rejects).select("tick", "i", "j", q6("f").alias("f_e6"))
+
+
+@register(
+    "step_scaled",
+    f"{FOLD_BASE}, scaled AS (SELECT tick, i, j, f * {D(SOURCE_SCALE)} AS f FROM avg_rows){fold_sql('zero', 'scaled')}\nSELECT tick, i, j, {Q('u')} AS u_e6 FROM hist",
+)
+def q_step_scaled(spark, sf):
+    spec = FOLD_SPEC.with_(source_scale=SOURCE_SCALE)
+    return _hist_q(tick_fold(spark, _aligned(spark, sf, "avg"), GRID, spec, T, method="step").history(spark))
+
+
 SNAP_TICK_SQL = f"(SELECT min(tick) FROM avg_rows) + {SNAPSHOT_OFFSET_TICKS * T}"
 
 
@@ -665,7 +756,7 @@ def q_replay_loop(spark, sf):
     """A player that starts two ticks before the end and wraps to the start."""
     res = _fold(spark, sf, "tiled")
     n_stored = (res.last_tick - res.first_tick) // T + 2  # with the initial state
-    r = replay_loop(res.history(spark), res.first_tick - T, n_stored, T, LOOP_START, LOOP_FRAMES, GRID)
+    r = replay_loop(spark, res.path, res.first_tick - T, n_stored, T, LOOP_START, LOOP_FRAMES, GRID)
     return r.select("frame", "tick", "i", "j", q6("temp").alias("temp_e6"))
 
 
@@ -711,9 +802,20 @@ def q_halo_merge(spark, sf):
     return m.select("tick", "i", "j", q6("f").alias("f_e6"))
 
 
+@register(
+    "halo_of_state",
+    f"""{FOLD_BASE}{fold_sql('zero')}
+    SELECT tick, i, j, {Q('val')} AS val_e6 FROM ({_halo_sql_rows('(SELECT tick, i, j, u AS f FROM hist)')})""",
+)
+def q_halo_of_state(spark, sf):
+    """Halo rows of the folded states: what a stripe sends its neighbour."""
+    h = _fold(spark, sf, "step").history(spark)
+    return halo_rows(h, NX, N_STRIPES, T, "u").select("tick", "i", "j", q6("val").alias("val_e6"))
+
+
 @register("range_partitioned", f"{BASE} SELECT tick, i, j, f FROM last_rows")
 def q_range_partitioned(spark, sf):
-    return range_partition(_aligned(spark, sf, "last"), 4, "i", "j")
+    return range_partition(_aligned(spark, sf, "last"), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 # ---------------------------------------------------------------- streaming
@@ -728,20 +830,13 @@ for _name, (_fn, _sql) in sq.stream_queries(
     x=X,
     stripe=STRIPE,
     y=Y,
+    window_rows_sql=window_rows_sql,
 ).items():
     register(_name, _sql)(_fn)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    def bind(fn):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            set_utc(spark)
-            return fn(spark, sf_dir)
-
-        run.__name__ = fn.__name__
-        return run
-
-    return {k: bind(fn) for k, (fn, _) in QUERIES.items()}
+    return {k: fn for k, (fn, _) in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

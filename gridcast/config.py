@@ -83,11 +83,6 @@ class FoldSpec:
         return replace(self, **kw)
 
 
-# Fixed values of the reference (stated together, in their natural order):
-# tick length 100 ms, neighbour coefficient 0.1875, extents -10..10.
-REFERENCE_TICK_MS = 100
-REFERENCE_COEFF = 0.1875
-
 # The test-data adapter: a 12 x 8 grid and daily ticks over `events`.
 TEST_GRID = GridSpec(12, 8)
 TEST_TICK_MS = 86_400_000
@@ -98,12 +93,6 @@ def stripe_width(nx: int, n_stripes: int) -> int:
     return -(-nx // n_stripes)
 
 
-def set_utc(spark: SparkSession) -> None:
-    """Time-zone sensitive casts are resolved when the plan is built, so
-    this must run before any plan that casts TIMESTAMP_NTZ to TIMESTAMP."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Root of the cluster-shared scratch area.
 

@@ -1,29 +1,27 @@
-"""The flagship query: the grid after the first ``n`` ticks of readings."""
+"""The flagship query: the grid after the last tick of the readings."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridcast.config import TEST_GRID, TEST_TICK_MS, FoldSpec, GridSpec, set_utc
+from gridcast.config import TEST_GRID, TEST_TICK_MS, FoldSpec, GridSpec
 from gridcast.operators.align import align
 from gridcast.plans.fold import tick_fold
 from gridcast.plans.serve import present
 from gridcast.sources.readings import load_readings
 
 
-def first_ticks_state(
+def last_state(
     spark: SparkSession,
     sf_dir: str,
-    n_ticks: int = 3,
     grid: GridSpec = TEST_GRID,
     tick_ms: int = TEST_TICK_MS,
     spec: FoldSpec = FoldSpec(),
     dup: str = "avg",
 ) -> DataFrame:
-    set_utc(spark)
     aligned = align(load_readings(spark, sf_dir, grid), tick_ms, dup)
-    res = tick_fold(spark, aligned, grid, spec, tick_ms, n_ticks=n_ticks)
+    res = tick_fold(spark, aligned, grid, spec, tick_ms, method="step")
     return present(res.final(spark), grid).orderBy("i", "j")
 
 
-__all__ = ["first_ticks_state"]
+__all__ = ["last_state"]

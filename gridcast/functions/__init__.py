@@ -9,6 +9,7 @@ from gridcast.functions.grid import (
     cell_label,
     coord_x,
     coord_y,
+    in_domain,
     is_domain_edge,
     is_interior,
     is_left_stripe_edge,
@@ -31,6 +32,7 @@ __all__ = [
     "coord_x",
     "coord_y",
     "event_time",
+    "in_domain",
     "is_domain_edge",
     "is_interior",
     "is_left_stripe_edge",

@@ -29,6 +29,11 @@ def is_interior(i, j, grid: GridSpec) -> Column:
     return (i > 0) & (i < grid.nx - 1) & (j > 0) & (j < grid.ny - 1)
 
 
+def in_domain(i, j, grid: GridSpec) -> Column:
+    i, j = _col(i), _col(j)
+    return (i >= 0) & (i < grid.nx) & (j >= 0) & (j < grid.ny)
+
+
 def is_domain_edge(i, j, grid: GridSpec) -> Column:
     i, j = _col(i), _col(j)
     return (i == 0) | (i == grid.nx - 1) | (j == 0) | (j == grid.ny - 1)

@@ -1,13 +1,15 @@
 """Relational operators over readings and grid states."""
 
-from gridcast.operators.align import align, latest_per_cell, readings_per_tick, window_mean, with_tick
-from gridcast.operators.densify import dense_ticks, densify, densify_state, tick_bounds
+from gridcast.operators.align import align, align_windows, latest_per_cell, readings_per_tick, split_by_grid, window_mean, with_tick
+from gridcast.operators.densify import dense_ticks, densify, densify_state, reading_bounds, tick_bounds
 from gridcast.operators.halo import halo_branch, halo_rows, merge_halo
 from gridcast.operators.partition import partition_key_ranges, range_partition
-from gridcast.operators.stencil import contributions, neighbour_step, source_terms, step_by_lookup
+from gridcast.operators.stencil import chained_steps, contributions, neighbour_step, source_terms, step_by_lookup, striped_step
 
 __all__ = [
     "align",
+    "align_windows",
+    "chained_steps",
     "contributions",
     "dense_ticks",
     "densify",
@@ -19,9 +21,12 @@ __all__ = [
     "neighbour_step",
     "partition_key_ranges",
     "range_partition",
+    "reading_bounds",
     "readings_per_tick",
     "source_terms",
+    "split_by_grid",
     "step_by_lookup",
+    "striped_step",
     "tick_bounds",
     "window_mean",
     "with_tick",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridcast.config import GridSpec
 from gridcast.functions.grid import missing_as_zero
+from gridcast.functions.ticks import tick_snap
 from gridcast.sources.readings import grid_scaffold
 
 
@@ -18,6 +19,13 @@ def tick_bounds(aligned: DataFrame, tick_col: str = "tick") -> tuple[int, int] |
     return int(row["a"]), int(row["b"])
 
 
+def reading_bounds(readings: DataFrame, tick_ms: int) -> tuple[int, int] | None:
+    """(first, last) tick of raw readings: snapping keeps the order, so the
+    least and greatest times decide (one column, no shuffle of rows)."""
+    row = readings.agg(tick_snap(F.min("time"), tick_ms).alias("a"), tick_snap(F.max("time"), tick_ms).alias("b")).first()
+    return None if row["a"] is None else (int(row["a"]), int(row["b"]))
+
+
 def dense_ticks(
     spark: SparkSession, grid: GridSpec, first_tick: int, last_tick: int, tick_ms: int
 ) -> DataFrame:
@@ -29,7 +37,7 @@ def dense_ticks(
     """
     n_ticks = (last_tick - first_tick) // tick_ms + 1
     n = n_ticks * grid.n_cells
-    parts = max(1, min(n // 2_000_000 + 1, 1 << 16))
+    parts = n // 2_000_000 + 1
     cells = F.lit(grid.n_cells)
     cell = F.col("id") % cells
     return spark.range(0, n, 1, parts).select(

@@ -13,16 +13,6 @@ from pyspark.sql import functions as F
 from gridcast.functions.grid import branch_tag, is_left_stripe_edge, is_right_stripe_edge, missing_as_zero
 
 
-def _shift(df: DataFrame, di: int, tick_ms: int, value: str) -> DataFrame:
-    """Re-key to the neighbour column and move to the next tick."""
-    return df.select(
-        (F.col("tick") + F.lit(tick_ms)).cast("long").alias("tick"),
-        (F.col("i") + F.lit(di)).cast("int").alias("i"),
-        F.col("j"),
-        F.col(value).alias("val"),
-    )
-
-
 def halo_branch(df: DataFrame, nx: int, n_stripes: int) -> DataFrame:
     """Tag rows by ordered predicates (left edge 0, right edge 1); first match
     wins and rows matching neither are dropped."""
@@ -32,10 +22,20 @@ def halo_branch(df: DataFrame, nx: int, n_stripes: int) -> DataFrame:
 
 def halo_rows(df: DataFrame, nx: int, n_stripes: int, tick_ms: int, value: str = "f") -> DataFrame:
     """HALO rows: left-edge rows go to ``i-1``, right-edge rows to ``i+1``,
-    both at ``tick + T``.  A union, so a one-column stripe sends both ways."""
-    left = _shift(df.where(is_left_stripe_edge("i", nx, n_stripes)), -1, tick_ms, value)
-    right = _shift(df.where(is_right_stripe_edge("i", nx, n_stripes)), 1, tick_ms, value)
-    return left.unionByName(right)
+    both at ``tick + T``; a one-column stripe sends both ways.  One pass over
+    ``df``: each row opens into up to two."""
+
+    def sent(edge, di: int):
+        row = F.struct(
+            (F.col("tick") + F.lit(tick_ms)).cast("long").alias("tick"),
+            (F.col("i") + F.lit(di)).cast("int").alias("i"),
+            F.col("j").alias("j"),
+            F.col(value).alias("val"),
+        )
+        return F.when(edge, row)
+
+    both = F.array(sent(is_left_stripe_edge("i", nx, n_stripes), -1), sent(is_right_stripe_edge("i", nx, n_stripes), 1))
+    return df.select(F.inline(F.filter(both, lambda r: r.isNotNull())))
 
 
 def merge_halo(aligned: DataFrame, halo: DataFrame, coeff: float) -> DataFrame:

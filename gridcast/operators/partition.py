@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 
 def range_partition(df: DataFrame, n: int, *cols: str) -> DataFrame:
-    """``repartitionByRange(n, i, j)``: contiguous, disjoint key ranges per
-    partition (Spark samples the keys to pick the bounds)."""
-    return df.repartitionByRange(n, *(cols or ("i", "j")))
+    """``repartitionByRange(n, i, j, tick)``: contiguous, disjoint key ranges
+    per partition (Spark samples the keys to pick the bounds).  The tick is
+    last, so that a cell with very many ticks is cut as well."""
+    return df.repartitionByRange(n, *(cols or [c for c in ("i", "j", "tick") if c in df.columns]))
 
 
 def partition_key_ranges(df: DataFrame) -> DataFrame:

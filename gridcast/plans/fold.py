@@ -7,36 +7,35 @@ tick *metadata* (first and last tick), each iteration a distributed job.
 Two physical forms share one contract (``(tick, i, j, u)`` history written
 to a tick-partitioned table, initial state included at ``first - T``):
 
-* ``method="step"``: one ``explode`` + grouped sum per tick (one shuffle
-  per tick), pure DataFrame; each tick is written and read back, which cuts
-  the lineage at every step.
+* ``method="step"``: ``CHAIN_STEPS`` neighbour steps per job, each one
+  ``inline`` + grouped sum (one shuffle per tick), pure DataFrame; the ticks
+  of a chain are written in one job and the last is read back, which cuts
+  the lineage.
 * ``method="tiled"``: ``k`` ticks per shuffle.  Cells are grouped into
   rectangular tiles plus a ``k``-wide halo, each tile runs ``k`` steps on a
   dense array in ``applyInPandas``, and only owned cells are kept (see
   :mod:`gridcast.plans.tiled`).
 
 Sources are the aligned readings; ticks without readings are steps with
-source 0.  The aligned rows are persisted while the first/last tick is
-taken and they are written to the shared scratch area (one pass over the
-readings), partitioned by blocks of ticks; each round reads only the one or
-two blocks it overlaps, and the copy is removed when the fold ends.
+source 0.  The aligned rows are written once to the shared scratch area,
+partitioned by blocks of ticks; the tick range and the rows outside the grid
+come from the written copy, each round reads only the blocks it overlaps,
+and the copy is removed when the fold ends.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.config import FoldSpec, GridSpec, scratch_path
-from gridcast.operators.densify import densify_state, tick_bounds
-from gridcast.operators.stencil import neighbour_step
+from gridcast.functions.grid import in_domain
+from gridcast.operators.densify import densify_state
+from gridcast.operators.stencil import chained_steps
 from gridcast.plans import tiled
-from gridcast.sources.store import Layout, drop_scratch, ensure_layout, read_states, stored_ticks, read_tick, write_states, write_tick
-
-ALIGNED_DDL = "i int, j int, f double, tick long"
+from gridcast.sources.store import Layout, drop_scratch, ensure_layout, read_states, read_tick, write_states, write_tick
 
 
 @dataclass
@@ -63,91 +62,89 @@ def plan_rounds(
     tile: tuple[int, int] | None = None,
     steps_per_round: int | None = None,
 ) -> tuple[tuple[int, int], int]:
-    """Tile shape and steps per round (one shuffle per round)."""
+    """Tile shape and steps per round (one job per round)."""
     if method == "step":
-        return (grid.nx, grid.ny), 1
+        return (grid.nx, grid.ny), max(1, min(n_steps, steps_per_round or CHAIN_STEPS))
     if method != "tiled":
         raise ValueError("method must be 'tiled' or 'step'")
     tile = tile or tiled.default_tile(grid, spark.sparkContext.defaultParallelism)
     return tile, tiled.round_length(grid, tile, steps_per_round, max(n_steps, 1))
 
 
-# A staged block holds at least this many ticks (and at least one round).
-MIN_BLOCK_TICKS = 64
+# Ticks per block of the staged sources, counted from time 0.
+STAGE_BLOCK_TICKS = 64
+# Cells per file of a staged block.
+STAGE_CHUNK_CELLS = 1 << 20
+# Steps per job of the relational form.
+CHAIN_STEPS = 8
 
 
 @dataclass
 class StagedSources:
     """Aligned rows written once to the shared scratch area, partitioned by
-    blocks of ``block_ticks`` ticks counted from ``first``."""
+    blocks of ticks; ``first`` and ``last`` are their ticks (None without
+    rows) and ``outside`` counts the rows outside the grid."""
 
     spark: SparkSession
     path: str
-    first: int
-    tick_ms: int
-    block_ticks: int
-    blocks: list[int]
+    span: int
+    first: int | None = None
+    last: int | None = None
+    outside: int = 0
+
+    def rows(self) -> DataFrame:
+        return self.spark.read.schema("tick long, i int, j int, f double, blk long").parquet(self.path)
 
     def read(self, lo: int, hi: int) -> DataFrame:
-        """Rows of ticks ``lo..hi``: only the one or two block directories
-        that overlap the range are named to the reader."""
-        span = self.block_ticks * self.tick_ms
-        want = range((lo - self.first) // span, (hi - self.first) // span + 1)
-        have = set(self.blocks)
-        paths = [f"{self.path}/blk={b}" for b in want if b in have]
-        if not paths:
-            return self.spark.createDataFrame([], "tick long, i int, j int, f double")
-        return (
-            self.spark.read.schema("tick long, i int, j int, f double, blk long")
-            .option("basePath", self.path)
-            .parquet(*paths)
-            .where((F.col("tick") >= F.lit(lo)) & (F.col("tick") <= F.lit(hi)))
-            .select("tick", "i", "j", "f")
-        )
+        """Rows of ticks ``lo..hi``: only the overlapping blocks are read."""
+        blocks = F.col("blk").between(F.lit(lo // self.span), F.lit(hi // self.span))
+        return self.rows().where(blocks & F.col("tick").between(F.lit(lo), F.lit(hi))).select("tick", "i", "j", "f")
 
     def drop(self) -> None:
         drop_scratch(self.spark, self.path, created_here=True)
 
 
-def stage_sources(
-    spark: SparkSession,
-    aligned: DataFrame,
-    first: int,
-    last: int,
-    tick_ms: int,
-    block_ticks: int,
-    path: str | None = None,
-) -> StagedSources:
-    """Write the aligned rows of ticks ``first..last`` once, partitioned by
-    tick block, sorted by tick inside each file (so a round's tick filter
-    also prunes row groups).  Blocks keep the file count at about
-    ``tasks x blocks`` instead of ``tasks x ticks``."""
+def stage_sources(spark: SparkSession, aligned: DataFrame, grid: GridSpec, tick_ms: int, path: str | None = None) -> StagedSources:
+    """Write the aligned rows once, partitioned by tick block and dealt by
+    block and chunk of cells: the files of a block are as many as its chunks,
+    whatever the number of tasks.  Sorted by tick inside each file, so a
+    round's tick filter also prunes row groups."""
     path = path or scratch_path(spark, "aligned")
-    blk = F.call_function("div", F.col("tick") - F.lit(first), F.lit(block_ticks * tick_ms))
+    staged = StagedSources(spark, path, STAGE_BLOCK_TICKS * tick_ms)
+    blk = F.floor(F.col("tick") / F.lit(staged.span)).cast("long")
+    chunk = F.call_function("div", F.col("i") * F.lit(grid.ny) + F.col("j"), F.lit(STAGE_CHUNK_CELLS))
     (
         aligned.select("tick", "i", "j", "f")
-        .where((F.col("tick") >= F.lit(first)) & (F.col("tick") <= F.lit(last)))
-        .withColumn("blk", blk.cast("long"))
+        .withColumn("blk", blk)
+        .repartition(F.col("blk"), chunk)
         .sortWithinPartitions("blk", "tick", "i", "j")
         .write.mode("overwrite")
         .partitionBy("blk")
         .parquet(path)
     )
-    blocks = stored_ticks(spark, path, "blk", check_committed=False)
-    return StagedSources(spark, path, first, tick_ms, block_ticks, blocks)
+    inside = F.coalesce(in_domain("i", "j", grid), F.lit(False))
+    row = staged.rows().agg(F.min("tick").alias("a"), F.max("tick").alias("b"), F.count_if(~inside).alias("n")).first()
+    if row["a"] is not None:
+        staged.first, staged.last, staged.outside = int(row["a"]), int(row["b"]), int(row["n"])
+    return staged
 
 
-# Target rows per block of the state store (one file per block and task).
-BLOCK_ROWS = 1 << 20
+def reject_outside(staged: StagedSources, grid: GridSpec, rejects: str | None) -> None:
+    """Rows outside the grid go to the table ``rejects``, or the fold fails:
+    they are never dropped silently."""
+    if not staged.outside:
+        return
+    if rejects is None:
+        staged.drop()
+        raise ValueError(f"{staged.outside} aligned rows lie outside the {grid.nx} x {grid.ny} grid; name a table for them or filter them first")
+    inside = F.coalesce(in_domain("i", "j", grid), F.lit(False))
+    staged.rows().where(~inside).select("tick", "i", "j", "f").write.mode("append").parquet(rejects)
 
 
-def store_layout(grid: GridSpec, first: int, tick_ms: int, k: int, method: str) -> Layout:
-    """Ticks per stored block: about ``BLOCK_ROWS`` rows, at most one round,
-    one tick per block for the per-tick form and for grids of a million
-    cells or more (which is then one partition per tick)."""
-    if method == "step":
-        return Layout(first, tick_ms, 1)
-    return Layout(first, tick_ms, max(1, min(BLOCK_ROWS // grid.n_cells, k)))
+def store_layout(first: int, tick_ms: int, k: int) -> Layout:
+    """A stored block holds the ticks of one round: every tile (or task)
+    writes one sorted file of its own per round, with no further shuffle."""
+    return Layout(first, tick_ms, k)
 
 
 def tick_fold(
@@ -163,46 +160,35 @@ def tick_fold(
     steps_per_round: int | None = None,
     tile: tuple[int, int] | None = None,
     include_initial: bool = True,
-    n_ticks: int | None = None,
+    rejects: str | None = None,
 ) -> FoldResult | None:
     """Fold ``aligned`` (tick, i, j, f) over the grid; return where it went.
 
     ``initial`` is an optional ``(i, j, u)`` state before the first tick
-    (missing cells are 0).  ``bounds`` overrides the (first, last) tick;
-    ``n_ticks`` stops after that many ticks from the first one.
+    (missing cells are 0).  ``bounds`` overrides the (first, last) tick.
+    Rows outside the grid fail the fold, or go to the table ``rejects``.
     Returns None when there is no reading and no bound.
-
-    The aligned rows are persisted (memory and disk) while the tick bounds
-    are taken and the rows are staged, so the readings are scanned once.
     """
-    cached = aligned.select("tick", "i", "j", "f").persist(StorageLevel.MEMORY_AND_DISK)
+    staged = stage_sources(spark, aligned, grid, tick_ms)
     try:
-        bounds = bounds or tick_bounds(cached)
-        if bounds is None:
+        reject_outside(staged, grid, rejects)
+        if bounds is None and staged.first is None:
             return None
-        first, last = bounds
-        if n_ticks is not None:
-            last = min(last, first + (n_ticks - 1) * tick_ms)
+        first, last = bounds or (staged.first, staged.last)
         n_steps = (last - first) // tick_ms + 1
         tile, k = plan_rounds(spark, grid, n_steps, method, tile, steps_per_round)
-        layout = store_layout(grid, first, tick_ms, k, method)
-        if layout.block_ticks > 1 and k < n_steps:
-            k = max(layout.block_ticks, k - k % layout.block_ticks)  # rounds cover whole blocks
-        staged = stage_sources(spark, cached, first, last, tick_ms, max(k, MIN_BLOCK_TICKS))
+        sole = out_path is None  # a new table is filled in tick order by this fold alone
+        out_path = out_path or scratch_path(spark, "fold")
+        ensure_layout(spark, out_path, store_layout(first, tick_ms, k))
+        state = densify_state(spark, initial, grid)
+        prev = first - tick_ms
+        if include_initial:
+            write_tick(state, out_path, prev, sole=sole)
+            state = read_tick(spark, out_path, prev)
+        advance(spark, state, prev, last, staged.read, grid, spec, tick_ms, out_path, method, tile, k, sole)
+        return FoldResult(out_path, first, last, tick_ms)
     finally:
-        cached.unpersist()
-    sole = out_path is None  # a new table is filled in tick order by this fold alone
-    out_path = out_path or scratch_path(spark, "fold")
-    ensure_layout(spark, out_path, layout)
-    state0 = densify_state(spark, initial, grid)
-    prev = first - tick_ms
-    state = state0
-    if include_initial:
-        write_tick(state0, out_path, prev, sole=sole)
-        state = read_tick(spark, out_path, prev)
-    advance(spark, state, prev, last, staged.read, grid, spec, tick_ms, out_path, method, tile, k, sole)
-    staged.drop()  # intermediate copy of the sources
-    return FoldResult(out_path, first, last, tick_ms)
+        staged.drop()  # intermediate copy of the sources
 
 
 def advance(
@@ -229,17 +215,16 @@ def advance(
         return
     if tile is None or k is None:
         tile, k = plan_rounds(spark, grid, n_steps, method, tile, k)
-    layout = ensure_layout(spark, out_path, store_layout(grid, prev_tick + tick_ms, tick_ms, k, method))
+    ensure_layout(spark, out_path, store_layout(prev_tick + tick_ms, tick_ms, k))
     done = 0
     while done < n_steps:
         m = min(k, n_steps - done)
         t_prev = prev_tick + done * tick_ms
         src = sources(t_prev + tick_ms, t_prev + m * tick_ms)
         if method == "step":
-            write_tick(neighbour_step(state, src.select("i", "j", "f"), grid, spec), out_path, t_prev + tick_ms, sole=sole)
+            out = chained_steps(state, src, t_prev + tick_ms, m, tick_ms, grid, spec)
         else:
             out = tiled.advance_tiles(state, src, t_prev, m, grid, spec, tick_ms, tile)
-            out = tiled.file_layout(out, grid, tile, m, spark.sparkContext.defaultParallelism, layout)
-            write_states(out, out_path, t_prev + tick_ms, t_prev + m * tick_ms, sole=sole)
+        write_states(out, out_path, t_prev + tick_ms, t_prev + m * tick_ms, sole=sole)
         done += m
         state = read_tick(spark, out_path, prev_tick + done * tick_ms)

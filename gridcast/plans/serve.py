@@ -51,7 +51,8 @@ def wrap_step(step: Column | str, n_ticks: int) -> Column:
 
 
 def replay_loop(
-    states: DataFrame,
+    spark,
+    path: str,
     first_stored: int,
     n_stored: int,
     tick_ms: int,
@@ -62,15 +63,24 @@ def replay_loop(
 ) -> DataFrame:
     """A looping player: frame ``f`` shows stored tick number
     ``pmod(start + f, n_stored)``, so playback wraps to the first tick after
-    the last one.  The frame list is a generated range of ``n_frames`` rows
-    equi-joined with the store on ``tick`` (no driver-side list)."""
-    spark = states.sparkSession
+    the last one.  At most two runs of ticks are shown (one more per full
+    loop shows the whole table), and only their blocks are read; the frame
+    list is a generated range of ``n_frames`` rows joined on ``tick``."""
+    from gridcast.sources.store import read_ticks
+
     frames = spark.range(n_frames).select(
         F.col("id").alias("frame"),
         (F.lit(first_stored) + wrap_step(F.col("id") + F.lit(start), n_stored) * F.lit(tick_ms))
         .cast("long")
         .alias("tick"),
     )
+    lo = start % n_stored
+    shown = min(n_frames, n_stored)
+    runs = [(lo, min(lo + shown, n_stored) - 1)] + ([(0, lo + shown - n_stored - 1)] if lo + shown > n_stored else [])
+    states = None
+    for a, b in runs:
+        part = read_ticks(spark, path, first_stored + a * tick_ms, first_stored + b * tick_ms)
+        states = part if states is None else states.unionByName(part)
     return present(states.join(frames, "tick"), grid, anchor, extra=("frame",)).orderBy("frame", "i", "j")
 
 

@@ -26,20 +26,17 @@ from gridcast.config import FoldSpec, GridSpec
 # fixed however large the grid or the tick range is):
 MAX_GROUP_VALUES = 1 << 22  # owned (cell, tick) values emitted
 MAX_GROUP_WORK = 1 << 23  # extended cells x steps (dense sources: ~0.5 GB of rows at worst)
-HALO_REDUNDANCY = 4.0  # extended area / owned area, once the area is large
-SMALL_AREA = 1 << 16  # below this many extended cells, redundancy is free
-# Tile sides; file sizes are handled by `file_layout`, not by the tile shape.
-MIN_TILE_SIDE, MAX_TILE_SIDE = 16, 256
+HALO_REDUNDANCY = 2.0  # extended area / owned area, wherever there is a second tile
+# Tile sides.  A grid of up to MIN_TILE_SIDE cells a side is one tile: below
+# that a step's arithmetic is cheaper than moving its halo.
+MIN_TILE_SIDE, MAX_TILE_SIDE = 128, 256
 OUT_SCHEMA = "tick long, i int, j int, u double"
-# Target rows per written file of the state store.
-FILE_ROWS = 1 << 20
 
 
 def default_tile(grid: GridSpec, parallelism: int = 8) -> tuple[int, int]:
-    """Even tiles, about half as many as task slots (hash placement of few
-    groups is lumpy), each side 16..256 cells; large grids get as many
-    256 x 256 tiles as they need."""
-    side = int((grid.n_cells / max(parallelism / 2, 1)) ** 0.5)
+    """Even tiles, about one per task slot, each side 128..256 cells; large
+    grids get as many 256 x 256 tiles as they need."""
+    side = int((grid.n_cells / max(parallelism, 1)) ** 0.5)
     side = max(MIN_TILE_SIDE, min(MAX_TILE_SIDE, side))
 
     def even(n: int) -> int:
@@ -58,19 +55,24 @@ def round_length(grid: GridSpec, tile: tuple[int, int], steps_per_round: int | N
     """Steps per round (one shuffle each).
 
     The largest ``k <= n_steps`` (or the requested value) whose group stays
-    within the output, work and halo-redundancy bounds above.
+    within the output, work and halo-redundancy bounds above; a tile that
+    breaks them with one step is refused.
     """
     tw, th = tile
-    owned = tw * th
+    owned = min(tw, grid.nx) * min(th, grid.ny)
 
     def fits(k: int) -> bool:
         ext = _extended_area(grid, tile, k)
-        return (
-            owned * k <= MAX_GROUP_VALUES
-            and ext * k <= MAX_GROUP_WORK
-            and (ext <= SMALL_AREA or ext <= HALO_REDUNDANCY * owned)
-        )
-
+        return owned * k <= MAX_GROUP_VALUES and ext * k <= MAX_GROUP_WORK and ext <= HALO_REDUNDANCY * owned
+
+    if steps_per_round is not None:
+        # a caller's own choice of tile and round: bounded in memory only
+        k = max(1, min(n_steps, steps_per_round))
+        if owned * k > MAX_GROUP_VALUES or _extended_area(grid, tile, k) * k > MAX_GROUP_WORK:
+            raise ValueError(f"{k} steps of a {tw} x {th} tile exceed the size of a group")
+        return k
+    if not fits(1):
+        raise ValueError(f"one step of a {tw} x {th} tile exceeds the bounds of a group")
     hi = max(1, min(n_steps, steps_per_round or n_steps))
     if fits(hi):
         return hi
@@ -224,23 +226,3 @@ def advance_tiles(
     rows = replicate_to_tiles(st.unionByName(src), grid, tile, k)
     fn = _tile_fn(grid, spec, tile, k, k, t_prev, tick_ms)
     return rows.groupBy("ti", "tj").applyInPandas(fn, OUT_SCHEMA)
-
-
-def file_layout(out: DataFrame, grid: GridSpec, tile: tuple[int, int], k: int, parallelism: int, layout) -> DataFrame:
-    """Shape a round's output for the block-partitioned write.
-
-    Each tile would write one file per stored block; for tiles smaller than
-    ``FILE_ROWS`` that is a flood of small files.  Then rows are
-    hash-partitioned by ``(tick block, cell chunk)``, with chunks sized so a
-    file holds about ``FILE_ROWS`` rows, and the files spread over all
-    writer tasks.  Large tiles are written as they are (no extra shuffle).
-    """
-    tw, th = tile
-    if tw * th >= FILE_ROWS:
-        return out
-    chunk = max(1, FILE_ROWS // layout.block_ticks)
-    rows = grid.n_cells * k
-    keys = (-(-k // layout.block_ticks) + 1) * -(-grid.n_cells // chunk)
-    n_out = max(1, min(keys, max(-(-rows // FILE_ROWS), parallelism)))
-    cchunk = F.call_function("div", F.col("i") * F.lit(grid.ny) + F.col("j"), F.lit(chunk))
-    return out.repartition(n_out, layout.block_col(), cchunk)

@@ -4,7 +4,6 @@ from pyspark.sql.types import (
     DoubleType,
     IntegerType,
     LongType,
-    StringType,
     StructField,
     StructType,
 )
@@ -20,44 +19,6 @@ READINGS = StructType(
     ]
 )
 
-ALIGNED = StructType(
-    [
-        StructField("tick", LongType()),
-        StructField("i", IntegerType()),
-        StructField("j", IntegerType()),
-        StructField("f", DoubleType()),
-    ]
-)
-
-STATE = StructType(
-    [
-        StructField("tick", LongType()),
-        StructField("i", IntegerType()),
-        StructField("j", IntegerType()),
-        StructField("u", DoubleType()),
-    ]
-)
-
-SNAPSHOT = StructType(
-    [
-        StructField("tick", LongType()),
-        StructField("x", DoubleType()),
-        StructField("y", DoubleType()),
-        StructField("temp", DoubleType()),
-        StructField("colour", StringType()),
-        StructField("bucket", IntegerType()),
-    ]
-)
-
-HALO = StructType(
-    [
-        StructField("tick", LongType()),
-        StructField("i", IntegerType()),
-        StructField("j", IntegerType()),
-        StructField("val", DoubleType()),
-    ]
-)
-
 # The JSON-lines record format: field names as the text generator prints
 # them; `timestamp` is a double because it may be printed as `1e+06`.
 JSON_READING = StructType(

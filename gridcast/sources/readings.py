@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.config import GridSpec, TEST_GRID, set_utc
+from gridcast.config import GridSpec, TEST_GRID
 from gridcast.functions.grid import cell_key
 from gridcast.schemas import JSON_READING, JSON_RENAMES, READINGS
 
@@ -14,17 +14,24 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def utc_millis(df: DataFrame, name: str):
+    """Epoch milliseconds of a timestamp column; one without a zone is read
+    as UTC, by its distance from the epoch, and no session zone plays a part."""
+    if dict(df.dtypes)[name] != "timestamp_ntz":
+        return F.unix_millis(F.col(name))
+    return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', {name})")
+
+
 def readings_from_events(events: DataFrame, grid: GridSpec = TEST_GRID) -> DataFrame:
     """Map the ``events`` table onto READINGS.
 
     ``i = user_id % nx``, ``j = event_id % ny``, ``time`` = epoch ms of
-    ``ts`` read as UTC (the session zone must be UTC when the plan is built),
-    ``gen = value``, ``seq = event_id``.  Only these four source columns are
+    ``ts`` read as UTC (whatever the session's zone), ``gen = value``, ``seq = event_id``.  Only these four source columns are
     read, so the scan prunes the rest.
     """
     return events.select(
         F.col("event_id").cast("long").alias("seq"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("time"),
+        utc_millis(events, "ts").alias("time"),
         (F.col("user_id") % F.lit(grid.nx)).cast("int").alias("i"),
         (F.col("event_id") % F.lit(grid.ny)).cast("int").alias("j"),
         F.col("value").cast("double").alias("gen"),
@@ -32,7 +39,6 @@ def readings_from_events(events: DataFrame, grid: GridSpec = TEST_GRID) -> DataF
 
 
 def load_readings(spark: SparkSession, sf_dir: str, grid: GridSpec = TEST_GRID) -> DataFrame:
-    set_utc(spark)
     return readings_from_events(spark.read.parquet(table_path(sf_dir, "events")), grid)
 
 
@@ -51,7 +57,7 @@ def grid_scaffold(spark: SparkSession, grid: GridSpec) -> DataFrame:
     with the number of cells.
     """
     n = grid.n_cells
-    parts = max(1, min(n // 1_000_000 + 1, 1 << 16))
+    parts = n // 1_000_000 + 1
     return spark.range(0, n, 1, parts).select(
         F.call_function("div", F.col("id"), F.lit(grid.ny)).cast("int").alias("i"),
         (F.col("id") % F.lit(grid.ny)).cast("int").alias("j"),

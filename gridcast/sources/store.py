@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.config import GridSpec, scratch_path
+from gridcast.config import GridSpec, scratch_path, shared_dir
 from gridcast.functions.grid import coord_x, coord_y
 
 STATE_DDL = "tick long, i int, j int, u double, tick_block long"
@@ -40,7 +40,7 @@ def drop_scratch(spark: SparkSession, path: str, created_here: bool = False) ->
     """Delete an intermediate table this library created: a unique folder in
     its own scratch area, or (``created_here``) a folder the caller's code
     just wrote itself, such as one micro-batch's staged copy."""
-    if "/gridcast/" not in path and not created_here:
+    if not path.startswith(f"{shared_dir(spark)}/gridcast/") and not created_here:
         raise ValueError(f"refusing to delete a path outside the gridcast scratch area: {path}")
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -85,9 +85,12 @@ def read_layout(spark: SparkSession, path: str) -> Layout | None:
 
 def ensure_layout(spark: SparkSession, path: str, layout: Layout | None = None) -> Layout:
     """The table's layout; a new table records ``layout`` (default: one
-    tick per block)."""
+    tick per block).  A table of another tick length or phase is refused."""
     found = read_layout(spark, path)
     if found is not None:
+        if layout is not None and found != PER_TICK:
+            if found.tick_ms != layout.tick_ms or (found.origin - layout.origin) % found.tick_ms:
+                raise ValueError(f"{path} holds ticks of {found.tick_ms} ms from {found.origin}, not {layout.tick_ms} ms from {layout.origin}")
         return found
     layout = layout or PER_TICK
     _write_text(spark, f"{path}/{LAYOUT}", f"{layout.origin} {layout.tick_ms} {layout.block_ticks}")
@@ -115,14 +118,14 @@ def write_states(
     whole = sole or lay.block_ticks == 1 or (lo is not None and hi is not None and lay.covers_whole_blocks(lo, hi))
     if whole:
         (
-            rows.sortWithinPartitions("tick_block", "tick", "i", "j")
+            rows.sortWithinPartitions("tick_block", "tick", "i", "j")  # each task's file of a block is sorted
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("tick_block")
             .parquet(path)
         )
     else:
-        upsert_by_key(spark, rows, path, ("tick_block", "tick", "i", "j"), "tick_block", ("u",))
+        upsert_by_key(spark, rows, path, ("tick_block", "tick", "i", "j"), "tick_block", ("u",), ("u",))
 
 
 def write_tick(
@@ -138,20 +141,19 @@ def read_states(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ticks(spark: SparkSession, path: str, lo: int, hi: int) -> DataFrame:
-    """Ticks ``lo..hi``: only the block directories that hold them are named
-    to the reader (no listing of the table), and the tick filter prunes row
-    groups inside the blocks."""
+    """Ticks ``lo..hi``: the block directory is named to the reader when one
+    holds them all (no listing of the table); a longer range prunes the
+    partitions by block.  The tick filter prunes row groups inside."""
     lay = read_layout(spark, path) or PER_TICK
-    blocks = [b for b in range(lay.block(lo), lay.block(hi) + 1) if _fs_exists(spark, f"{path}/tick_block={b}")]
-    if not blocks:
-        return spark.createDataFrame([], "tick long, i int, j int, u double")
-    return (
-        spark.read.schema(STATE_DDL)
-        .option("basePath", path)
-        .parquet(*[f"{path}/tick_block={b}" for b in blocks])
-        .where((F.col("tick") >= F.lit(lo)) & (F.col("tick") <= F.lit(hi)))
-        .select("tick", "i", "j", "u")
-    )
+    a, b = lay.block(lo), lay.block(hi)
+    source = spark.read.schema(STATE_DDL).option("basePath", path)
+    if a == b:
+        if not _fs_exists(spark, f"{path}/tick_block={a}"):
+            return spark.createDataFrame([], "tick long, i int, j int, u double")
+        rows = source.parquet(f"{path}/tick_block={a}")
+    else:
+        rows = source.parquet(path).where((F.col("tick_block") >= F.lit(a)) & (F.col("tick_block") <= F.lit(b)))
+    return rows.where((F.col("tick") >= F.lit(lo)) & (F.col("tick") <= F.lit(hi))).select("tick", "i", "j", "u")
 
 
 def read_tick(spark: SparkSession, path: str, tick: int) -> DataFrame:
@@ -181,7 +183,7 @@ def stored_ticks(spark: SparkSession, path: str, column: str = "tick", check_com
     return sorted(out)
 
 
-MARKER = "_last_tick"
+MARKERS = "_progress"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -191,13 +193,12 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Small metadata file, written to a temp name and renamed into place."""
+    """A small metadata file that is written once and never replaced."""
     jvm, p, fs = _fs(spark, path)
     tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.tmp")
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode()))
     out.close()
-    fs.delete(p, False)
     fs.rename(tmp, p)
 
 
@@ -212,25 +213,48 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def _markers(spark: SparkSession, path: str) -> list[int]:
+    jvm, p, fs = _fs(spark, f"{path}/{MARKERS}")
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(int(n) for n in names if n.lstrip("-").isdigit())
+
+
 def write_marker(spark: SparkSession, path: str, tick: int) -> None:
-    """Record the newest folded tick next to the table."""
-    _write_text(spark, f"{path}/{MARKER}", str(int(tick)))
+    """Record the newest folded tick next to the table.  Every marker is a
+    new file named by its tick; older ones go only once it is in place, so
+    at no moment is there none."""
+    older = [t for t in _markers(spark, path) if t < tick]
+    _write_text(spark, f"{path}/{MARKERS}/{int(tick)}", str(int(tick)))
+    for t in older:
+        _, p, fs = _fs(spark, f"{path}/{MARKERS}/{t}")
+        fs.delete(p, False)
 
 
 def read_marker(spark: SparkSession, path: str) -> int | None:
-    text = _read_text(spark, f"{path}/{MARKER}")
-    return None if text is None else int(text)
+    return max(_markers(spark, path), default=None)
 
 
 def latest_tick_before(spark: SparkSession, path: str, tick: int, tick_ms: int) -> int | None:
     """Newest stored tick strictly before ``tick``, from the progress marker
     (no listing of the table).  Every tick from the first one up to the
     marker is stored, so a replayed batch (marker at or past ``tick``) reads
-    ``tick - T``.  None for a table without a marker."""
+    ``tick - T``.  Without a marker the stored blocks decide; None only for
+    a table that holds no tick before ``tick``, and a table that holds later
+    ticks alone is refused: it must not be started anew."""
     marked = read_marker(spark, path)
-    if marked is None:
+    if marked is not None:
+        return marked if marked < tick else tick - tick_ms
+    blocks = stored_ticks(spark, path, "tick_block")
+    if not blocks:
         return None
-    return marked if marked < tick else tick - tick_ms
+    lay = read_layout(spark, path) or PER_TICK
+    for b in reversed([b for b in blocks if b <= lay.block(tick - tick_ms)]):
+        found = spark.read.schema(STATE_DDL).option("basePath", path).parquet(f"{path}/tick_block={b}").where(F.col("tick") < F.lit(tick)).agg(F.max("tick")).first()[0]
+        if found is not None:
+            return int(found)
+    raise RuntimeError(f"{path} holds ticks but none before {tick}, and no progress marker")
 
 
 # --- results table: (tick_index, x, y, temp), key ((tick_index), x, y) -----
@@ -246,6 +270,9 @@ def to_results(states: DataFrame, grid: GridSpec, tick_ms: int, anchor: str = "n
     )
 
 
+UPSERT_CHUNKS = 16
+
+
 def upsert_by_key(
     spark: SparkSession,
     rows: DataFrame,
@@ -253,72 +280,56 @@ def upsert_by_key(
     key: tuple[str, ...],
     part: str,
     values: tuple[str, ...],
-    version: tuple[str, ...] = (),
+    version: tuple[str, ...],
 ) -> None:
     """Upsert ``rows`` into a Parquet table partitioned by ``part``.
 
     1. The batch is reduced to one row per ``key`` (largest ``version``
-       columns, compared in order) with one ``max_by`` aggregate — a hot key
-       is pre-reduced map-side — and staged by ``part``.  This is the only
-       pass over the input.
-    2. The touched partitions come from the staged listing; only those
-       partitions of the table are read (static partition pruning) and
-       merged, new rows winning.
-    3. The merged partitions replace the old ones (dynamic overwrite).
+       columns, compared in order, then the largest value) with one
+       ``max_by`` aggregate (a hot key is pre-reduced map-side) and staged.
+       This is the only pass over the input.
+    2. The touched partitions of the table, found by a join on ``part`` that
+       prunes the others at run time, are merged with it, new rows winning,
+       and replace the old ones in one write (dynamic overwrite: the new
+       files are complete before an old one goes).  Rows are dealt by
+       ``part`` and ``UPSERT_CHUNKS`` chunks of the key, which bounds the
+       files of a partition whatever the number of tasks.
     Running the same upsert twice leaves the table unchanged.  ``part`` must
     be one of the key columns (an integral bucket of the key).
     """
     key, cols = list(key), [*key, *values]
-    ver = F.struct(*[F.col(c) for c in version]) if version else F.lit(0)
     vals = F.struct(*[F.col(c) for c in values])
     stage_new = scratch_path(spark, "upsert-new")
-    (
-        rows.groupBy(*key)
-        .agg(F.max_by(vals, ver).alias("_v"))
-        .select(*key, *[F.col(f"_v.{c}").alias(c) for c in values])
-        .sortWithinPartitions(*key)
-        .write.mode("overwrite")
-        .partitionBy(part)
-        .parquet(stage_new)
-    )
-    schema = spark.read.parquet(stage_new).schema if _fs_exists(spark, stage_new) else None
-    touched = stored_ticks(spark, stage_new, part, check_committed=False)
-    if not touched or schema is None:
-        drop_scratch(spark, stage_new)
-        return
-    merged = spark.read.schema(schema).parquet(stage_new).select(*cols)
-    stage_merged = None
-    if _fs_exists(spark, path):
-        old = spark.read.schema(schema).parquet(path).where(F.col(part).isin(touched)).select(*cols)
-        both = merged.withColumn("_new", F.lit(1)).unionByName(old.withColumn("_new", F.lit(0)))
-        stage_merged = scratch_path(spark, "upsert-merged")
+    reduced = rows.groupBy(*key).agg(F.max_by(vals, F.struct(*[F.col(c) for c in version], vals.alias("_value"))).alias("_v"))
+    reduced = reduced.select(*key, *[F.col(f"_v.{c}").alias(c) for c in values])
+    try:
+        reduced.write.parquet(stage_new)
+        new = spark.read.schema(reduced.schema).parquet(stage_new)
+        if new.isEmpty():
+            return
+        merged = new
+        if stored_ticks(spark, path, part, check_committed=False):
+            old = spark.read.schema(reduced.schema).parquet(path).select(*cols).join(new.select(part).distinct(), part, "left_semi").select(*cols)
+            both = new.withColumn("_new", F.lit(1)).unionByName(old.withColumn("_new", F.lit(0)))
+            merged = both.groupBy(*key).agg(F.max_by(vals, F.col("_new")).alias("_v")).select(*key, *[F.col(f"_v.{c}").alias(c) for c in values])
+        chunk = F.pmod(F.xxhash64(*[c for c in key if c != part]), F.lit(UPSERT_CHUNKS))
         (
-            both.groupBy(*key)
-            .agg(F.max_by(vals, F.col("_new")).alias("_v"))
-            .select(*key, *[F.col(f"_v.{c}").alias(c) for c in values])
+            merged.repartition(F.col(part), chunk)
             .sortWithinPartitions(*key)
             .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
             .partitionBy(part)
-            .parquet(stage_merged)
+            .parquet(path)
         )
-        merged = spark.read.schema(schema).parquet(stage_merged).select(*cols)
-    (
-        merged.sortWithinPartitions(*key)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(part)
-        .parquet(path)
-    )
-    drop_scratch(spark, stage_new)
-    if stage_merged:
-        drop_scratch(spark, stage_merged)
+    finally:
+        drop_scratch(spark, stage_new)
 
 
 def upsert_results(
     spark: SparkSession,
     rows: DataFrame,
     path: str,
-    version: tuple[str, ...] = (),
+    version: tuple[str, ...],
     block_ticks: int = 1,
 ) -> None:
     """Upsert ``(tick_index, x, y, temp, *version)`` into the results table,
@@ -339,3 +350,11 @@ def upsert_results(
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     """The results table as ``(tick_index, x, y, temp)``."""
     return spark.read.schema(RESULTS_DDL).parquet(path).select("tick_index", "x", "y", "temp")
+
+
+def results_at(spark: SparkSession, path: str, tick_index: int) -> DataFrame:
+    """The results of one tick index: only its block is read."""
+    b = int(_read_text(spark, f"{path}/{RESULTS_LAYOUT}") or 1)
+    block = F.col("ti_block") == F.lit(int(tick_index / b))  # as SQL's div: towards zero
+    rows = spark.read.schema(RESULTS_DDL).parquet(path).where(block & (F.col("tick_index") == F.lit(tick_index)))
+    return rows.select("tick_index", "x", "y", "temp")

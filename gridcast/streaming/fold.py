@@ -5,7 +5,7 @@ the whole grid would put everything in one task, so the fold state lives in
 the tick-partitioned state table instead:
 
 1. the stream emits closed ``(tick, i, j, f)`` rows once (watermark, append);
-2. each micro-batch stages them (persisted once, written by tick block);
+2. each micro-batch stages them (one pass, written by tick block);
 3. it reads the newest stored state strictly before the first closed tick
    (or a zero grid), advances up to the last closed tick (ticks with no
    readings are steps with source 0) and merges those ticks into their
@@ -17,21 +17,20 @@ partitions, so a restart from the checkpoint gives the same table.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.config import FoldSpec, GridSpec
-from gridcast.operators.densify import densify_state, tick_bounds
+from gridcast.operators.densify import densify_state
 from gridcast.operators.halo import halo_rows
-from gridcast.plans.fold import MIN_BLOCK_TICKS, advance, stage_sources
+from gridcast.plans.fold import advance, reject_outside, stage_sources
 from gridcast.sources.store import (
     Layout,
     ensure_layout,
     latest_tick_before,
     read_marker,
-    read_states,
     read_tick,
+    read_ticks,
     to_results,
     upsert_by_key,
     upsert_results,
@@ -40,8 +39,9 @@ from gridcast.sources.store import (
 )
 
 
-# Target rows per stored block of a streaming state table.
-STREAM_BLOCK_ROWS = 1 << 16
+# Ticks per stored block of a streaming state table: micro-batches rewrite
+# their current block, so it is small.
+STREAM_BLOCK_TICKS = 16
 
 
 def fold_batch_fn(
@@ -56,74 +56,53 @@ def fold_batch_fn(
     steps_per_round: int | None = None,
     results_path: str | None = None,
     anchor: str = "node",
+    rejects: str | None = None,
 ):
     """The ``foreachBatch`` body of the streaming fold.
 
+    Rows outside the grid fail the batch, or go to the table ``rejects``.
+
     With ``results_path`` the newly computed ticks are also upserted into
     the results table ``(tick_index, x, y, temp)`` (tee of the state).
     """
 
     def fn(batch: DataFrame, epoch_id: int) -> None:
-        cached = batch.select("tick", "i", "j", "f").persist(StorageLevel.MEMORY_AND_DISK)
+        staged = stage_sources(spark, batch, grid, tick_ms, f"{stage_root}/epoch={epoch_id}")
         try:
-            bounds = tick_bounds(cached)
-            if bounds is None:
+            reject_outside(staged, grid, rejects)
+            if staged.first is None:
                 return
-            first, last = bounds
-            staged = stage_sources(
-                spark, cached, first, last, tick_ms, MIN_BLOCK_TICKS, f"{stage_root}/epoch={epoch_id}"
-            )
+            first, last = staged.first, staged.last
+            prev = latest_tick_before(spark, state_path, first, tick_ms)
+            if prev is None:
+                prev = first - tick_ms
+                ensure_layout(spark, state_path, Layout(first, tick_ms, STREAM_BLOCK_TICKS))
+                write_tick(densify_state(spark, None, grid), state_path, prev, sole=True)  # new table
+            state = read_tick(spark, state_path, prev)
+            advance(spark, state, prev, last, staged.read, grid, spec, tick_ms, state_path, method, tile, steps_per_round)
+            marked = read_marker(spark, state_path)
+            if marked is None or marked < last:
+                write_marker(spark, state_path, last)
         finally:
-            cached.unpersist()
-        prev = latest_tick_before(spark, state_path, first, tick_ms)
-        if prev is None:
-            prev = first - tick_ms
-            # micro-batches rewrite their current block: keep blocks small
-            ensure_layout(spark, state_path, Layout(first, tick_ms, max(1, STREAM_BLOCK_ROWS // grid.n_cells)))
-            write_tick(densify_state(spark, None, grid), state_path, prev, sole=True)  # new table
-        state = read_tick(spark, state_path, prev)
-        sources = staged.read
-        advance(spark, state, prev, last, sources, grid, spec, tick_ms, state_path, method, tile, steps_per_round)
-        marked = read_marker(spark, state_path)
-        if marked is None or marked < last:
-            write_marker(spark, state_path, last)
-        staged.drop()
+            staged.drop()
         if results_path is not None:
-            new = read_states(spark, state_path).where((F.col("tick") > F.lit(prev)) & (F.col("tick") <= F.lit(last)))
-            upsert_results(
-                spark, to_results(new, grid, tick_ms, anchor), results_path,
-                block_ticks=max(1, STREAM_BLOCK_ROWS // grid.n_cells),
-            )
+            new = read_ticks(spark, state_path, prev + tick_ms, last)
+            upsert_results(spark, to_results(new, grid, tick_ms, anchor), results_path, ("temp",), STREAM_BLOCK_TICKS)
 
     return fn
 
 
 def tee_batch_fn(out_path: str, halo_path: str, nx: int, n_stripes: int, tick_ms: int):
-    """Write each closed batch, then derive and write its halo rows (tee).
-
-    Both writes replace whole tick partitions, so a replay is harmless.
-    """
+    """Write each closed batch, then derive and write its halo rows (tee)
+    from the written copy.  Each batch is a folder of its own and replaces
+    it, so a replay is harmless."""
 
     def fn(batch: DataFrame, epoch_id: int) -> None:
-        b = batch.select("tick", "i", "j", "f").persist()
-        try:
-            (
-                b.sortWithinPartitions("tick", "i", "j")
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("tick")
-                .parquet(out_path)
-            )
-            (
-                halo_rows(b, nx, n_stripes, tick_ms)
-                .withColumn("src_tick", F.col("tick") - F.lit(tick_ms))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("src_tick")
-                .parquet(halo_path)
-            )
-        finally:
-            b.unpersist()
+        spark = batch.sparkSession
+        rows = batch.select("tick", "i", "j", "f")
+        rows.sortWithinPartitions("tick", "i", "j").write.mode("overwrite").parquet(f"{out_path}/epoch={epoch_id}")
+        written = spark.read.schema(rows.schema).parquet(f"{out_path}/epoch={epoch_id}")
+        halo_rows(written, nx, n_stripes, tick_ms).write.mode("overwrite").parquet(f"{halo_path}/epoch={epoch_id}")
 
     return fn
 
@@ -144,19 +123,25 @@ def poll_batch_fn(out_path: str, tick_ms: int):
     return fn
 
 
-def latest_batch_fn(out_path: str, block: int = 64):
-    """Update-mode result of the per-cell latest reading: each batch carries
-    only the cells that changed; they are upserted into a table partitioned
-    by column block ``i div block``, so a batch rewrites only the blocks it
-    touched."""
+def keyed_batch_fn(out_path: str, key: tuple[str, ...], block, values: tuple[str, ...], version: tuple[str, ...]):
+    """Update-mode result of a keyed aggregate: each batch carries only the
+    keys that changed; they are upserted into a table partitioned by the
+    column expression ``block`` (named ``block``), so a batch rewrites only
+    the blocks it touched and the newest groups are there without waiting
+    for the watermark."""
 
     def fn(batch: DataFrame, epoch_id: int) -> None:
-        rows = batch.withColumn("cblock", F.call_function("div", F.col("i"), F.lit(block)).cast("int"))
-        upsert_by_key(batch.sparkSession, rows, out_path, ("cblock", "i", "j"), "cblock", ("time", "gen"))
+        rows = batch.withColumn("block", block.cast("long"))
+        upsert_by_key(batch.sparkSession, rows, out_path, ("block", *key), "block", values, version)
 
     return fn
 
 
+def latest_batch_fn(out_path: str, block: int = 64):
+    """The latest reading per cell, in blocks of columns."""
+    return keyed_batch_fn(out_path, ("i", "j"), F.call_function("div", F.col("i"), F.lit(block)), ("time", "gen"), ("time",))
+
+
 def stream_tick_fold(
     spark: SparkSession,
     readings: DataFrame,
@@ -170,6 +155,7 @@ def stream_tick_fold(
     trigger: str | None = None,
     results_path: str | None = None,
     method: str = "tiled",
+    rejects: str | None = None,
 ):
     """Start the streaming tick fold over a READINGS stream.
 
@@ -185,6 +171,6 @@ def stream_tick_fold(
     closed = closed_ticks(readings, tick_ms, delay_ms, dup)
     fn = fold_batch_fn(
         spark, grid, spec, tick_ms, state_path, scratch_path(spark, "stream-fold-stage"),
-        method=method, results_path=results_path,
+        method=method, results_path=results_path, rejects=rejects,
     )
     return to_batches(closed, fn, checkpoint, trigger=trigger)

@@ -4,8 +4,10 @@ Each query streams the ``events`` file of a test-data folder through a
 Structured Streaming plan with ``trigger(availableNow=True)``, writes to a
 file sink (or ``foreachBatch``) under the session's shared checkpoint area,
 waits for the input to drain, and returns the written result as a
-DataFrame.  Only windows and ticks closed by the watermark appear; the
-oracles apply the same rule (``end <= max(time) - delay``).
+DataFrame.  Windows and deduplicated ticks are written in update mode and
+upserted, so the last ones are there; the folds and joins take only ticks
+closed by the watermark, and their oracles apply the same rule
+(``tick <= max(tick) - delay``).
 """
 
 from __future__ import annotations
@@ -15,11 +17,13 @@ from pyspark.sql import functions as F
 
 from gridcast.config import TEST_GRID, TEST_TICK_MS, FoldSpec, scratch_path
 from gridcast.functions.grid import is_left_stripe_edge, is_right_stripe_edge, stripe_of
+from gridcast.operators.align import align_windows, latest_per_cell, with_tick
+from gridcast.sources.readings import load_readings
 from gridcast.sources.store import read_states
-from gridcast.streaming.fold import fold_batch_fn, latest_batch_fn, poll_batch_fn, stream_tick_fold, tee_batch_fn
+from gridcast.streaming.fold import fold_batch_fn, keyed_batch_fn, latest_batch_fn, poll_batch_fn, stream_tick_fold, tee_batch_fn
 from gridcast.streaming.sinks import run, to_batches, to_files
-from gridcast.streaming.source import stream_events, with_event_time
-from gridcast.streaming.windows import closed_ticks, dedup_ticks, latest_stream, window_mean_stream
+from gridcast.streaming.source import delay, stream_events, stream_readings, with_event_time
+from gridcast.streaming.windows import closed_ticks, ticks_stream, window_mean_stream
 
 GRID = TEST_GRID
 NX, NY = GRID.nx, GRID.ny
@@ -49,22 +53,33 @@ def stream_tick_snap(spark, sf):
 def stream_latest(spark, sf):
     """Upsert view per cell: update mode, only changed cells are rewritten."""
     out = scratch_path(spark, "latest-out")
-    run(to_batches(latest_stream(stream_events(spark, sf, GRID)), latest_batch_fn(out), scratch_path(spark, "latest-ckpt"), mode="update"))
-    return spark.read.schema("i int, j int, time long, gen double, cblock int").parquet(out).select("i", "j", "time", "gen")
+    run(to_batches(latest_per_cell(stream_events(spark, sf, GRID)), latest_batch_fn(out), scratch_path(spark, "latest-ckpt"), mode="update"))
+    return spark.read.schema("i int, j int, time long, gen double, block long").parquet(out).select("i", "j", "time", "gen")
+
+
+def _block(tick: str = "tick"):
+    return F.floor(F.col(tick) / F.lit(16 * T))
 
 
 def _window_query(size: int, slide: int | None, name: str):
     def fn(spark, sf):
+        out = scratch_path(spark, f"{name}-out")
         w = window_mean_stream(stream_events(spark, sf, GRID), size, DELAY, slide, C)
-        df = spark.read.parquet(_files(spark, w, name))
+        sink = keyed_batch_fn(out, ("time", "i", "j"), _block("time"), ("f", "n_readings"), ("n_readings",))
+        run(to_batches(w, sink, scratch_path(spark, f"{name}-ckpt"), mode="update"))
+        df = spark.read.schema("time long, i int, j int, f double, n_readings long, block long").parquet(out)
         return df.select("time", "i", "j", q6("f").alias("f_e6"), "n_readings")
 
     return fn
 
 
 def stream_dedup(spark, sf):
-    d = dedup_ticks(stream_events(spark, sf, GRID), T, DELAY).select("tick", "i", "j")
-    return spark.read.parquet(_files(spark, d, "dedup")).select("tick", "i", "j")
+    """One reading per (tick, cell), the latest, as the stream stands."""
+    out = scratch_path(spark, "dedup-out")
+    d = ticks_stream(stream_events(spark, sf, GRID), T, DELAY)
+    sink = keyed_batch_fn(out, ("tick", "i", "j"), _block(), ("f",), ("f",))
+    run(to_batches(d, sink, scratch_path(spark, "dedup-ckpt"), mode="update"))
+    return spark.read.schema("tick long, i int, j int, f double, block long").parquet(out).select("tick", "i", "j", "f")
 
 
 def stream_interval_join(spark, sf):
@@ -93,18 +108,16 @@ def halo_stream(closed: DataFrame) -> DataFrame:
     """Halo rows of a closed-tick stream, keeping the event-time column
     (shifted by one tick) so the watermark carries over."""
     shift = F.expr(f"INTERVAL {T // 1000} SECONDS")
-
-    def side(pred, di):
-        return closed.where(pred).select(
-            (F.col("tick") + F.lit(T)).alias("h_tick"),
-            (F.col("tick_ts") + shift).alias("h_ts"),
-            (F.col("i") + F.lit(di)).cast("int").alias("h_i"),
-            F.col("j").alias("h_j"),
-            F.col("f").alias("val"),
-        )
-
-    return side(is_left_stripe_edge("i", NX, N_STRIPES), -1).unionByName(
-        side(is_right_stripe_edge("i", NX, N_STRIPES), 1)
+    sent = F.array(
+        F.when(is_left_stripe_edge("i", NX, N_STRIPES), (F.col("i") - 1).cast("int")),
+        F.when(is_right_stripe_edge("i", NX, N_STRIPES), (F.col("i") + 1).cast("int")),
+    )
+    return closed.select(
+        (F.col("tick") + F.lit(T)).alias("h_tick"),
+        (F.col("tick_ts") + shift).alias("h_ts"),
+        F.explode(F.filter(sent, lambda i: i.isNotNull())).alias("h_i"),
+        F.col("j").alias("h_j"),
+        F.col("f").alias("val"),
     )
 
 
@@ -112,16 +125,14 @@ def stream_tee(spark, sf):
     out, halo = scratch_path(spark, "tee-out"), scratch_path(spark, "tee-halo")
     s = closed_ticks(stream_events(spark, sf, GRID), T, DELAY, "last")
     run(to_batches(s, tee_batch_fn(out, halo, NX, N_STRIPES, T), scratch_path(spark, "tee-ckpt")))
-    return spark.read.schema("tick long, i int, j int, val double, src_tick long").parquet(halo).select(
-        "tick", "i", "j", "val"
-    )
+    return spark.read.schema("tick long, i int, j int, val double, epoch long").parquet(halo).select("tick", "i", "j", "val")
 
 
 def stream_partitioned_sink(spark, sf):
     s = closed_ticks(stream_events(spark, sf, GRID), T, DELAY, "last")
     # one directory per stripe; tasks split by (stripe, tick) so a busy
     # stripe is not written by a single task
-    s = s.withColumn("stripe", stripe_of("i", NX, N_STRIPES)).repartition(N_STRIPES, "stripe", "tick")
+    s = s.withColumn("stripe", stripe_of("i", NX, N_STRIPES)).repartition("stripe", "tick")
     out = _files(spark, s, "stripes", partition_by=("stripe",))
     return spark.read.schema("tick long, i int, j int, f double, stripe int").parquet(out).select(
         "tick", "i", "j", "f", "stripe"
@@ -145,6 +156,36 @@ def stream_fold(spark, sf):
     return read_states(spark, state).select("tick", "i", "j", q6("u").alias("u_e6"))
 
 
+def stream_fold_hopping(spark, sf):
+    """The streaming fold fed by closed hopping means: one tick a day."""
+    state = scratch_path(spark, "hop-fold-state")
+    ev = with_event_time(stream_events(spark, sf, GRID), DAY).withWatermark("event_time", delay(DELAY))
+    rows = align_windows(ev, 2 * DAY, DAY, C, F.col("event_time"))
+    fn = fold_batch_fn(spark, GRID, FoldSpec(coeff=C), DAY, state, scratch_path(spark, "hop-fold-stage"))
+    run(to_batches(rows, fn, scratch_path(spark, "hop-fold-ckpt")))
+    return read_states(spark, state).select("tick", "i", "j", q6("u").alias("u_e6"))
+
+
+def stream_restart(spark, sf):
+    """The streaming fold over four time slices of the readings: two arrive,
+    the query ends, the progress marker is lost, the others arrive and the
+    query starts again from its checkpoint."""
+    from gridcast.sources.store import MARKERS, drop_scratch
+
+    folder, state, ckpt = (scratch_path(spark, f"restart-{x}") for x in ("in", "state", "ckpt"))
+    rows = with_tick(load_readings(spark, sf, GRID), T)
+    first, last = rows.agg(F.min("tick"), F.max("tick")).first()
+    part = F.least(F.floor((F.col("tick") - F.lit(first)) * F.lit(4) / F.lit(last - first + 1)), F.lit(3))
+    for n in range(4):
+        rows.where(part == n).drop("tick").write.mode("append").parquet(folder)
+        if n % 2:
+            q = stream_tick_fold(spark, stream_readings(spark, folder), GRID, FoldSpec(coeff=C), T, DELAY, state, ckpt, dup="avg")
+            run(q)
+            if n == 1:
+                drop_scratch(spark, f"{state}/{MARKERS}")
+    return read_states(spark, state).select("tick", "i", "j", q6("u").alias("u_e6"))
+
+
 def stream_store_results(spark, sf):
     """Streaming fold that also upserts every new tick into the results table."""
     from gridcast.sources.store import read_results
@@ -171,7 +212,7 @@ def stream_log_round_trip(spark, sf):
     return spark.read.parquet(_files(spark, back, "log-read")).select("time", "i", "j", "gen")
 
 
-def stream_queries(base, fold_base, fold_sql, window_sql, halo_sql, q, x, stripe, y=None):
+def stream_queries(base, fold_base, fold_sql, window_sql, halo_sql, q, x, stripe, y, window_rows_sql):
     """``name -> (fn, oracle SQL)`` for the streaming queries; the SQL
     pieces come from the catalog so both forms share one definition."""
     closed = f"(SELECT max(tick) FROM ticked) - {DELAY}"
@@ -185,9 +226,9 @@ def stream_queries(base, fold_base, fold_sql, window_sql, halo_sql, q, x, stripe
             f"""{base} SELECT i, j, max(time) AS time, arg_max(gen, struct_pack(t := time, s := seq)) AS gen
             FROM readings GROUP BY i, j""",
         ),
-        "stream_window_avg": (_window_query(DAY, None, "win"), _wrap(window_sql(DAY, None), DELAY)),
-        "stream_hopping_avg": (_window_query(2 * DAY, DAY, "hop"), _wrap(window_sql(2 * DAY, DAY), DELAY)),
-        "stream_dedup": (stream_dedup, f"{base} SELECT DISTINCT tick, i, j FROM ticked"),
+        "stream_window_avg": (_window_query(DAY, None, "win"), window_sql(DAY, None)),
+        "stream_hopping_avg": (_window_query(2 * DAY, DAY, "hop"), window_sql(2 * DAY, DAY)),
+        "stream_dedup": (stream_dedup, f"{base} SELECT tick, i, j, f FROM last_rows"),
         "stream_interval_join": (
             stream_interval_join,
             f"""{base}, l AS (SELECT * FROM last_rows WHERE tick <= {closed}),
@@ -211,6 +252,16 @@ def stream_queries(base, fold_base, fold_sql, window_sql, halo_sql, q, x, stripe
             SELECT tick // {T} AS tick_index, {q(x('i'))} AS x_e6, {q(y('j'))} AS y_e6, {q('u')} AS temp_e6
             FROM hist WHERE tick >= (SELECT min(tick) FROM avg_rows)""",
         ),
+        "stream_fold_hopping": (
+            stream_fold_hopping,
+            f"""{fold_base}{window_rows_sql(2 * DAY, DAY)},
+            done AS (SELECT * FROM win_rows WHERE tick <= (SELECT max(time) FROM readings) - {DELAY}){fold_sql('zero', 'done')}
+            SELECT tick, i, j, {q('u')} AS u_e6 FROM hist""",
+        ),
+        "stream_restart": (
+            stream_restart,
+            f"{fold_base}{fold_sql('zero', 'avg_rows', f'b.t1 - {DELAY}')}\nSELECT tick, i, j, {q('u')} AS u_e6 FROM hist",
+        ),
         "stream_fold": (
             stream_fold,
             f"{fold_base}{fold_sql('zero', 'avg_rows', f'b.t1 - {DELAY}')}\nSELECT tick, i, j, {q('u')} AS u_e6 FROM hist",
@@ -218,12 +269,6 @@ def stream_queries(base, fold_base, fold_sql, window_sql, halo_sql, q, x, stripe
     }
 
 
-def _wrap(window_sql: str, delay: int) -> str:
-    """Keep only windows the watermark has closed: ``end <= max(time) - delay``."""
-    head, _, select = window_sql.rpartition("\n    SELECT ")
-    return f"{head}, agg AS (SELECT {select})\n    SELECT * FROM agg WHERE time <= (SELECT max(time) FROM readings) - {delay}"
-
-
 __all__ = ["stream_queries"]
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridcast.config import GridSpec, TEST_GRID, set_utc
+from gridcast.config import GridSpec, TEST_GRID
 from gridcast.functions.ticks import event_time, tick_snap, tick_ts
 from gridcast.schemas import READINGS
 from gridcast.sources.readings import readings_from_events, table_path
@@ -19,7 +19,6 @@ from gridcast.sources.readings import readings_from_events, table_path
 
 def stream_events(spark: SparkSession, sf_dir: str, grid: GridSpec = TEST_GRID, max_files: int | None = None) -> DataFrame:
     """The ``events`` table of a test-data folder as a stream of READINGS."""
-    set_utc(spark)
     schema = spark.read.parquet(table_path(sf_dir, "events")).schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
     if max_files:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridcast.operators.align import _dup_agg
+from gridcast.operators.align import _dup_agg, window_mean
 from gridcast.streaming.source import delay, with_event_time
 
 
@@ -40,34 +40,12 @@ def window_mean_stream(
     slide_ms: int | None = None,
     scale: float = 1.0,
 ) -> DataFrame:
-    """Windowed mean per cell on a stream (tumbling or hopping), append mode."""
-    ev = with_event_time(readings, window_ms).withWatermark("event_time", delay(delay_ms))
-    w = f"{window_ms} milliseconds"
-    win = F.window("event_time", w) if slide_ms is None else F.window("event_time", w, f"{slide_ms} milliseconds")
-    return (
-        ev.groupBy(win.alias("w"), "i", "j")
-        .agg(F.sum("gen").alias("s"), F.count(F.lit(1)).alias("n"))
-        .select(
-            F.unix_millis(F.col("w.end")).alias("time"),
-            "i",
-            "j",
-            (F.lit(scale) * F.col("s") / F.col("n")).alias("f"),
-            F.col("n").alias("n_readings"),
-        )
-    )
-
-
-def latest_stream(readings: DataFrame) -> DataFrame:
-    """Upsert view per cell (complete/update mode: no watermark needed)."""
-    return readings.groupBy("i", "j").agg(
-        F.max_by(F.struct("time", "seq", "gen"), F.struct("time", "seq")).alias("r")
-    ).select("i", "j", F.col("r.time").alias("time"), F.col("r.gen").alias("gen"))
+    """Windowed mean per cell on a stream (tumbling or hopping).  Append mode
+    gives closed windows once; update mode gives every window as it grows."""
+    return window_mean(with_event_time(readings, window_ms).withWatermark("event_time", delay(delay_ms)), window_ms, slide_ms, scale, F.col("event_time"))
 
 
-def dedup_ticks(readings: DataFrame, tick_ms: int, delay_ms: int) -> DataFrame:
-    """One row per (tick, i, j) key; repeats within the watermark are dropped."""
-    return (
-        with_event_time(readings, tick_ms)
-        .withWatermark("tick_ts", delay(delay_ms))
-        .dropDuplicatesWithinWatermark(["tick", "i", "j"])
-    )
+def ticks_stream(readings: DataFrame, tick_ms: int, delay_ms: int, dup: str = "last") -> DataFrame:
+    """Dedup on a stream: one row per (tick, i, j) as it stands (update
+    mode); the reading that survives is the one ``dup`` names."""
+    return closed_ticks(readings, tick_ms, delay_ms, dup)

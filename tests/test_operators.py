@@ -152,10 +152,59 @@ def test_results_blocks_keep_the_recorded_size(spark, tmp_dir):
     a = spark.createDataFrame(
         [(t, 0.0, 0.0, float(t)) for t in range(10)], "tick_index long, x double, y double, temp double"
     )
-    upsert_results(spark, a, path, block_ticks=4)
+    upsert_results(spark, a, path, ("temp",), block_ticks=4)
     b = spark.createDataFrame([(5, 0.0, 0.0, 50.0), (11, 0.0, 0.0, 11.0)], "tick_index long, x double, y double, temp double")
-    upsert_results(spark, b, path, block_ticks=1)  # the recorded size (4) wins
+    upsert_results(spark, b, path, ("temp",), block_ticks=1)  # the recorded size (4) wins
     got = {r.tick_index: r.temp for r in read_results(spark, path).collect()}
     assert got == {**{t: float(t) for t in range(10)}, 5: 50.0, 11: 11.0}
     dirs = sorted(d for d in __import__("os").listdir(path) if d.startswith("ti_block="))
     assert dirs == ["ti_block=0", "ti_block=1", "ti_block=2"]
+
+
+def test_equal_times_without_seq_have_one_winner(spark):
+    from gridcast.operators import align, latest_per_cell
+
+    rows = spark.createDataFrame([(None, 50, 1, 1, v) for v in (2.0, 9.0, 4.0)], "seq long, time long, i int, j int, gen double")
+    for df in (rows, rows.orderBy("gen"), rows.orderBy("gen", ascending=False)):
+        assert align(df, 100, "last").first().f == 9.0 and latest_per_cell(df).first().gen == 9.0
+
+
+def test_readings_outside_the_grid_are_never_lost(spark, tmp_dir):
+    import pytest
+
+    from gridcast.config import FoldSpec, GridSpec
+    from gridcast.plans.fold import tick_fold
+
+    rows = spark.createDataFrame([(100, 1, 1, 8.0), (100, 50, 1, 5.0)], "tick long, i int, j int, f double")
+    with pytest.raises(ValueError, match="1 aligned rows"):
+        tick_fold(spark, rows, GridSpec(4, 4), FoldSpec(), 100)
+    res = tick_fold(spark, rows, GridSpec(4, 4), FoldSpec(), 100, rejects=f"{tmp_dir}/rejects")
+    assert res.final(spark).agg({"u": "sum"}).first()[0] == 8.0
+    assert [(r.i, r.f) for r in spark.read.parquet(f"{tmp_dir}/rejects").collect()] == [(50, 5.0)]
+
+
+def test_event_times_do_not_depend_on_the_session_zone(spark):
+    from gridcast.sources.readings import load_readings
+
+    want = load_readings(spark, "/root/testdata/sf0.001").agg({"time": "sum"}).first()[0]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert load_readings(spark, "/root/testdata/sf0.001").agg({"time": "sum"}).first()[0] == want
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_a_table_of_another_tick_length_is_refused(spark, tmp_dir):
+    import pytest
+
+    from gridcast.sources.store import Layout, drop_scratch, ensure_layout
+
+    ensure_layout(spark, f"{tmp_dir}/s", Layout(0, 100, 4))
+    assert ensure_layout(spark, f"{tmp_dir}/s", Layout(300, 100, 9)) == Layout(0, 100, 4)
+    for other in (Layout(0, 200, 4), Layout(50, 100, 4)):
+        with pytest.raises(ValueError):
+            ensure_layout(spark, f"{tmp_dir}/s", other)
+    with pytest.raises(ValueError):
+        drop_scratch(spark, f"{tmp_dir}/gridcast/x")

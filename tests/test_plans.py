@@ -42,6 +42,68 @@ def test_tiled_round_has_one_exchange(spark, tmp_dir):
     assert "FlatMapGroupsInPandas" in p
 
 
+def _written_plans(spark, monkeypatch, run) -> list[str]:
+    """Plans of the rows that a fold writes, round by round."""
+    from gridcast.plans import fold
+
+    seen = []
+    write = fold.write_states
+    monkeypatch.setattr(fold, "write_states", lambda df, *a, **k: (seen.append(_plan(df)), write(df, *a, **k))[1])
+    run()
+    return seen
+
+
+def test_a_round_of_the_fold_has_one_exchange(spark, tmp_dir, monkeypatch):
+    from gridcast.plans.fold import tick_fold
+
+    rows = spark.createDataFrame([(100 * t, t % 12, t % 8, 1.0) for t in range(1, 9)], "tick long, i int, j int, f double")
+    plans = _written_plans(spark, monkeypatch, lambda: tick_fold(spark, rows, G, FoldSpec(), 100, tile=(6, 4), steps_per_round=4))
+    assert len(plans) == 2
+    assert all(p.count("Exchange hashpartitioning") == 1 for p in plans)
+
+
+def test_a_chain_of_steps_is_one_job_with_one_exchange_per_step(spark, tmp_dir, monkeypatch):
+    from gridcast.plans.fold import tick_fold
+
+    rows = spark.createDataFrame([(100 * t, t % 12, t % 8, 1.0) for t in range(1, 9)], "tick long, i int, j int, f double")
+    plans = _written_plans(spark, monkeypatch, lambda: tick_fold(spark, rows, G, FoldSpec(), 100, method="step", steps_per_round=4))
+    assert len(plans) == 2
+    # one per step, and the two sides of the join with the sources
+    assert all(4 <= p.count("Exchange hashpartitioning(i") <= 6 for p in plans)
+
+
+def test_halo_is_one_pass(spark):
+    from gridcast.operators import halo_rows
+
+    p = _plan(halo_rows(align(load_readings(spark, SF, G), 86_400_000, "last"), 12, 5, 86_400_000))
+    assert p.count("FileScan") == 1 and p.count("Exchange") == 1
+
+
+def test_results_and_ranges_prune_their_blocks(spark, tmp_dir):
+    from gridcast.sources.store import Layout, read_ticks, results_at, upsert_results, write_states
+
+    rows = spark.createDataFrame([(t, 0.0, 0.0, float(t)) for t in range(12)], "tick_index long, x double, y double, temp double")
+    upsert_results(spark, rows, f"{tmp_dir}/r", ("temp",), block_ticks=4)
+    point = results_at(spark, f"{tmp_dir}/r", 5)
+    assert "PartitionFilters: [isnotnull(ti_block" in _plan(point) and [r.temp for r in point.collect()] == [5.0]
+    st = spark.createDataFrame([(t, 0, 0, 1.0) for t in range(0, 1200, 100)], "tick long, i int, j int, u double")
+    write_states(st, f"{tmp_dir}/s", 0, 1100, Layout(0, 100, 4))
+    some = read_ticks(spark, f"{tmp_dir}/s", 300, 500)
+    assert "PartitionFilters: [isnotnull(tick_block" in _plan(some) and sorted(r.tick for r in some.collect()) == [300, 400, 500]
+
+
+def test_upsert_bounds_the_files_of_a_block(spark, tmp_dir):
+    import glob
+
+    from gridcast.sources import store
+
+    rows = spark.range(20_000).selectExpr("id % 40 as tick_index", "double(id) as x", "0D as y", "1D as temp").repartition(32)
+    for _ in range(2):
+        store.upsert_results(spark, rows, f"{tmp_dir}/r", ("temp",), block_ticks=20)
+    assert len(glob.glob(f"{tmp_dir}/r/ti_block=*/part-*")) <= 2 * store.UPSERT_CHUNKS
+    assert store.read_results(spark, f"{tmp_dir}/r").count() == 20_000
+
+
 def test_point_read_names_one_block_and_pushes_the_tick_filter(spark, tmp_dir):
     from gridcast.sources.store import Layout, read_ticks, write_states
 

@@ -39,20 +39,41 @@ def test_stripes_are_contiguous_and_cover(spark, nx, n):
     assert s == sorted(s) and s[0] == 0 and s[-1] == (nx - 1) * n // nx
 
 
-@given(st.integers(1, 3000), st.integers(1, 3000), st.integers(1, 400), st.integers(1, 10_000))
-def test_round_length_respects_bounds(nx, ny, side, n_steps):
+@given(st.integers(1, 3000), st.integers(1, 3000), st.integers(1, 2000), st.integers(1, 10_000))
+def test_round_length_respects_bounds(nx, ny, slots, n_steps):
     from gridcast.plans import tiled
 
     g = GridSpec(nx, ny)
-    tile = (min(nx, side), min(ny, side))
+    tile = tiled.default_tile(g, slots)
     k = round_length(g, tile, None, n_steps)
     assert 1 <= k <= n_steps
-    if k > 1:
-        owned = tile[0] * tile[1]
-        ext = min(tile[0] + 2 * k, nx) * min(tile[1] + 2 * k, ny)
-        assert owned * k <= tiled.MAX_GROUP_VALUES
-        assert ext * k <= tiled.MAX_GROUP_WORK
-        assert ext <= tiled.SMALL_AREA or ext <= tiled.HALO_REDUNDANCY * owned
+    owned = tile[0] * tile[1]
+    ext = min(tile[0] + 2 * k, nx) * min(tile[1] + 2 * k, ny)
+    assert owned * k <= tiled.MAX_GROUP_VALUES
+    assert ext * k <= tiled.MAX_GROUP_WORK
+    assert ext <= 2 * owned
+
+
+def test_no_group_holds_the_grid_of_several_tiles():
+    from gridcast.plans import tiled
+
+    for side in (40, 250, 1000):
+        for slots in (8, 1000):
+            g = GridSpec(side, side)
+            tile = tiled.default_tile(g, slots)
+            k = round_length(g, tile, None, 5001)
+            ext = min(tile[0] + 2 * k, side) * min(tile[1] + 2 * k, side)
+            assert ext <= 2 * tile[0] * tile[1]
+            assert tile == (side, side) if side <= tiled.MIN_TILE_SIDE else ext < side * side
+
+
+def test_a_round_beyond_the_bounds_is_refused():
+    import pytest
+
+    with pytest.raises(ValueError):
+        round_length(GridSpec(5000, 5000), (5000, 5000), None, 10)
+    with pytest.raises(ValueError):
+        round_length(GridSpec(300, 300), (256, 256), 1000, 1000)
 
 
 def _brute(nx, ny, ticks, src, coeff, edge):

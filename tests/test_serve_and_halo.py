@@ -4,7 +4,7 @@
 from gridcast.config import GridSpec
 from gridcast.operators import densify, halo_branch
 from gridcast.plans.serve import replay_loop
-from gridcast.sources.store import read_states, write_states
+from gridcast.sources.store import write_states
 
 
 def test_replay_loop_wraps_to_first_tick(spark, tmp_dir):
@@ -14,7 +14,7 @@ def test_replay_loop_wraps_to_first_tick(spark, tmp_dir):
         "tick long, i int, j int, u double",
     )
     write_states(st, f"{tmp_dir}/s")
-    r = replay_loop(read_states(spark, f"{tmp_dir}/s"), 0, 3, 100, -1, 5, g)
+    r = replay_loop(spark, f"{tmp_dir}/s", 0, 3, 100, -1, 5, g)
     frames = [(row.frame, row.tick) for row in r.select("frame", "tick").distinct().orderBy("frame").collect()]
     assert frames == [(0, 200), (1, 0), (2, 100), (3, 200), (4, 0)]
     assert r.count() == 5 * 4

@@ -127,7 +127,6 @@ def test_processing_time_trigger_fold_matches_available_now(spark):
 def test_latest_per_cell_update_mode_over_several_batches(spark, tmp_dir):
     from gridcast.operators import latest_per_cell
     from gridcast.streaming.fold import latest_batch_fn
-    from gridcast.streaming.windows import latest_stream
 
     src = f"{tmp_dir}/in"
     batches = [
@@ -141,7 +140,7 @@ def test_latest_per_cell_update_mode_over_several_batches(spark, tmp_dir):
             os.utime(f"{src}/b{k}/{f}", (2_000_000 + k, 2_000_000 + k))
     stream = spark.readStream.schema(READINGS).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(src)
     out = f"{tmp_dir}/latest"
-    q = run(to_batches(latest_stream(stream), latest_batch_fn(out), f"{tmp_dir}/ck", mode="update"))
+    q = run(to_batches(latest_per_cell(stream), latest_batch_fn(out), f"{tmp_dir}/ck", mode="update"))
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
     got = sorted(spark.read.schema("i int, j int, time long, gen double, cblock int").parquet(out).select("i", "j", "time", "gen").collect())
     allrows = spark.createDataFrame([r for b in batches for r in b], READINGS)
@@ -201,3 +200,38 @@ def test_stream_fold_fills_gap_ticks_between_batches(spark, tmp_dir):
     want = sorted((r.tick, r.i, r.j, round(r.u, 12)) for r in batch.collect())
     assert [t for t in sorted({x[0] for x in streamed})] == [0, 100, 200, 300, 400, 500, 600]
     assert streamed == want
+
+
+def test_a_lost_marker_neither_restarts_nor_loses_ticks(spark, tmp_dir):
+    """The marker vanishes between two batches, as after a crash."""
+    import shutil
+
+    from gridcast.sources.store import MARKERS, read_marker
+
+    g, spec, path = GridSpec(4, 4), FoldSpec(), f"{tmp_dir}/state"
+    fn = fold_batch_fn(spark, g, spec, 100, path, f"{tmp_dir}/stage")
+    ddl = "tick long, i int, j int, f double"
+    fn(spark.createDataFrame([(100, 1, 1, 8.0), (200, 2, 2, 4.0)], ddl), 0)
+    assert read_marker(spark, path) == 200
+    shutil.rmtree(f"{path}/{MARKERS}")
+    fn(spark.createDataFrame([(300, 1, 1, 1.0)], ddl), 1)
+    fn(spark.createDataFrame([(300, 1, 1, 1.0)], ddl), 1)  # the epoch again
+    want = tick_fold(spark, spark.createDataFrame([(100, 1, 1, 8.0), (200, 2, 2, 4.0), (300, 1, 1, 1.0)], ddl), g, spec, 100).history(spark)
+    rows = lambda df: sorted((r.tick, r.i, r.j, round(r.u, 9)) for r in df.collect())
+    assert rows(read_states(spark, path)) == rows(want)
+    assert read_marker(spark, path) == 300
+
+
+def test_a_table_with_only_later_ticks_is_not_started_anew(spark, tmp_dir):
+    import shutil
+
+    import pytest
+
+    from gridcast.sources.store import MARKERS
+
+    fn = fold_batch_fn(spark, GridSpec(4, 4), FoldSpec(), 100, f"{tmp_dir}/state", f"{tmp_dir}/stage")
+    ddl = "tick long, i int, j int, f double"
+    fn(spark.createDataFrame([(5000, 1, 1, 8.0)], ddl), 0)
+    shutil.rmtree(f"{tmp_dir}/state/{MARKERS}")
+    with pytest.raises(RuntimeError):
+        fn(spark.createDataFrame([(100, 1, 1, 8.0)], ddl), 1)
