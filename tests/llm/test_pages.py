@@ -4,6 +4,8 @@ import base64
 import hashlib
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from gridcast.config import scratch_path
 from gridcast.llm import queries, toxicity, urlfilter, warc
 
@@ -76,7 +78,7 @@ def test_url_filter(spark):
         ("http:///path", None, "allow"),
     ]
     pages = spark.createDataFrame([(i, u, "extra") for i, (u, _, _) in enumerate(urls)], "page_id long, url string, rule string")
-    listed = spark.createDataFrame([("https://site.net/p?a=1&b=2",), ("bad",), (None,)], "url string").select(urlfilter.canonical("url" and __import__("pyspark").sql.functions.col("url")).alias("canon"))
+    listed = spark.createDataFrame([("https://site.net/p?a=1&b=2",), ("bad",), (None,)], "url string").select(urlfilter.canonical(F.col("url")).alias("canon"))
     out = {r.page_id: r for r in urlfilter.judge(pages, listed).collect()}
     for i, (u, rule, verdict) in enumerate(urls):
         assert (out[i].rule, out[i].verdict) == (rule, verdict), u
