@@ -37,3 +37,18 @@ def test_stages_take_effect(spark):
 def test_run(spark):
     first, again = (corpus_pipeline.run(spark, SF) for _ in range(2))
     assert Counter(map(tuple, first.collect())) == Counter(map(tuple, again.collect()))
+
+
+def test_stages_take_odd_tables(spark, odd, odd_rows, none):
+    for docs in (odd, none):
+        rows = docs
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, rows, SF)
+            if name != "sharding":
+                assert out.columns == docs.columns
+            rows = corpus_pipeline.staged(out, f"odd-{name}")
+        found = rows.collect()
+        assert {r.law for r in found} <= {"bytes"} and all(0 <= r.shard < 40 for r in found)
+        for s in {r.shard for r in found}:
+            slots = sorted(r.slot for r in found if r.shard == s)
+            assert slots == list(range(len(slots)))
