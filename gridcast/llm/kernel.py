@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
 
