@@ -12,10 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from gridcast.llm import decontam, minhash, mixing, quality, shard
 from gridcast.llm.common import load, staged
 
+#: A line in ten texts of a host goes, however large the host is.
+LINE_RULES = quality.QualityRules(max_docs=10)
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; lines above the limits leave the others."""
-    return quality.clean(docs)
+    return quality.clean(docs, LINE_RULES)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

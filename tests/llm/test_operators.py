@@ -1,9 +1,11 @@
 """Each operator against its plain definition: odd rows and a given table."""
 
+import dataclasses
 import random
 from collections import Counter
 
 import brute
+import corpus_pipeline
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
@@ -54,6 +56,23 @@ def test_quality_clean(spark, odd, none):
     assert quality.clean(none).count() == 0
 
 
+def test_quality_limit_does_not_grow_with_the_host(spark, odd):
+    """A line in ten texts goes from a host of 500 as from one of 99; near
+    copies, all of whose lines are common, still leave one text."""
+    line = "this page is part of our archive"
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    rows = [(f"{h}{i}", own(f"{h}{i}") + ("\n" + line if i < 10 else ""), h) for h, n in (("a", 500), ("b", 99)) for i in range(n)]
+    rows += [(f"c{i}", "\n".join(own(f"c{k}") if k != i % 5 else own(f"c{k}") + f" v{i}" for k in range(5)), "a") for i in range(60)]
+    docs = spark.createDataFrame([(i, t, "en", h, len(t), None, None, None) for i, (_, t, h) in enumerate(rows)], odd.schema)
+    out = {rows[r.doc_id][0]: r.text for r in corpus_pipeline.quality_rules(spark, docs, "").collect()}
+    assert all(out[f"{h}{i}"] == own(f"{h}{i}") for h, n in (("a", 500), ("b", 99)) for i in range(n))
+    family = [k for k in out if k[0] == "c"]
+    assert 1 <= len(family) < 60 and any(len(out[k].split("\n")) == 5 for k in family)
+    want = Counter(map(tuple, quality.clean(docs, corpus_pipeline.LINE_RULES).collect()))
+    joined = dataclasses.replace(corpus_pipeline.LINE_RULES, broadcast_lines=0)
+    assert Counter(map(tuple, quality.clean(docs, joined).collect())) == want
+
+
 def check_shards(got, texts, shards):
     by = {}
     for doc_id, size, crc, law, sh, slot, grown in got:
