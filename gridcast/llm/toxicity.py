@@ -26,6 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +57,7 @@ FEATURES = ("plain", "aimed", "negated", "reported", "threat", "best", "clauses"
 
 TOKEN = re.compile(r"\w+")
 IN_TOKEN = np.zeros(256, bool)
-IN_TOKEN[0x30:0x3A] = IN_TOKEN[0x41:0x5B] = IN_TOKEN[0x61:0x7B] = IN_TOKEN[0x5F] = IN_TOKEN[0x80:] = True
+IN_TOKEN[0x30:0x3A] = IN_TOKEN[0x41:0x5B] = IN_TOKEN[0x61:0x7B] = IN_TOKEN[0x5F] = True
 ENDS_CLAUSE = np.zeros(256, bool)
 ENDS_CLAUSE[list(b".!?;:\n|")] = True
 
@@ -154,6 +155,33 @@ def _fold(code: np.ndarray) -> np.ndarray:
     return (code * np.uint32(2654435761)) >> np.uint32(16)
 
 
+@cache
+def _word_points() -> np.ndarray:
+    """Which code points TOKEN takes as part of a word."""
+    out = np.zeros(0x110000, bool)
+    for m in TOKEN.finditer("".join(map(chr, range(len(out))))):
+        out[m.start() : m.end()] = True
+    return out
+
+
+def _in_token(data: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 text belong to a token, by the rule of TOKEN."""
+    inside = IN_TOKEN[data]
+    lead = np.flatnonzero(data >= 0xC0)
+    if not len(lead):
+        return inside
+    size = 2 + (data[lead] >= 0xE0).astype(np.int64) + (data[lead] >= 0xF0)
+    point = (data[lead] & (0x7F >> size)).astype(np.int64)
+    for k in range(1, 4):
+        more = size > k
+        point[more] = point[more] << 6 | (data[lead[more] + k] & 0x3F)
+    word = _word_points()[point]
+    for k in range(4):
+        some = lead[word & (size > k)]
+        inside[some + k] = True
+    return inside
+
+
 class Grammar:
     """The composed grammar over whole texts."""
 
@@ -173,7 +201,7 @@ class Grammar:
             data = t.data
             if not len(data):
                 continue
-            inside = IN_TOKEN[data]
+            inside = _in_token(data)
             edge = np.zeros(len(data) + 1, bool)
             edge[t.off] = True
             before = np.concatenate(([False], inside[:-1])) & ~edge[:-1]

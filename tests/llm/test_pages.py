@@ -4,6 +4,8 @@ import base64
 import hashlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from gridcast.config import scratch_path
@@ -119,3 +121,19 @@ def test_toxicity_edges(spark, odd, none):
     assert out.count() == odd.count() and out.where("score is null or held_out is null").count() == 0
     assert toxicity.score(odd, labels.limit(0)).select("score").distinct().count() == 1
     assert toxicity.score(none, labels).count() == 0
+
+
+def test_toxicity_beside_non_ascii_punctuation():
+    """Each mark in front of and behind a lexicon word: scored as if apart."""
+    grammar = toxicity.Grammar(toxicity.Lexicon({"idiot": 4.0, "tonto": 4.0}, {"lowei": 3.0}))
+    marks = "¿¡“”„‘’«»‹›…–—\u00a0\u2009\u202f\u3000、。（）\u0301€🙂"
+    words = ["idiot", "tonto", "loweient", "kill you"]
+    texts = [f"you {a}{w}{b} x" for w in words for m in marks for a, b in ((m, ""), ("", m), (m, m))]
+    plain = [f"you {a} {w} {b} x" for w in words for m in marks for a, b in ((m, ""), ("", m), (m, m))]
+    got = grammar.features(pa.array(texts))
+    assert (got == grammar.features(pa.array(plain))).all() and (got[:, 5] > 0).all()
+    assert not grammar.features(pa.array(["you éidiot", "you idiotß", "you 日idiot", "you _idiot", "you ٣idiot"])).any()
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    inside = toxicity._in_token(np.frombuffer(every.encode(), np.uint8)).tobytes()
+    want = b"".join(bytes([bool(toxicity.TOKEN.match(c))]) * len(c.encode()) for c in every)
+    assert inside == want
