@@ -1,12 +1,14 @@
 """Each operator against its plain definition: odd rows and a given table."""
 
 import dataclasses
+import math
 import random
 from collections import Counter
 
 import brute
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
@@ -153,6 +155,21 @@ def test_near_copies_of_an_original_that_is_not_the_smallest(spark, none):
     assert got[60] == got[61] == 0 and got[62] == 62
 
 
+def test_screen_loses_no_pair_at_the_threshold():
+    """Bags at 0.85 whose registers agree in 65 % by chance are still linked,
+    and the chance to miss one at the threshold is far below the bands'."""
+    n, least = minhash.REGISTERS, minhash.THRESHOLD - minhash.SCREEN
+    missed = sum(math.comb(n, k) * 0.8**k * 0.2 ** (n - k) for k in range(math.ceil(least * n)))
+    assert missed < 1e-3 * (1 - 0.8**minhash.ROWS) ** minhash.BANDS
+    left = np.arange(n, dtype=np.uint16)
+    right = np.where(np.arange(n) < 0.65 * n, left, left + 1000).astype(np.uint16)
+    bands = [[0, *range(1, 36)], [0, *range(101, 136)]]
+    elements = [np.arange(200), np.concatenate((np.arange(185), np.arange(900, 915)))]
+    rows = {"part": [1, 1], "id": [1, 2], "label": [1, 2], "half": [0, 0], "band": [0, 0], "sig": [left.tobytes(), right.tobytes()], "bands": bands, "elements": elements}
+    links = minhash._compare(minhash.THRESHOLD, least)(iter([pa.RecordBatch.from_pydict(rows)]))
+    assert [(x["a"], x["b"]) for batch in links for x in batch.to_pylist()] == [(1, 2)]
+
+
 def test_keep_one(spark, odd, odd_rows, none):
     out = minhash.keep_one(odd)
     assert out.columns == odd.columns
