@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, linedup, minhash, mixing, quality, shard, substring, toxicity, urlfilter, warc
+from . import codes, decontam, linedup, minhash, mixing, notices, quality, repair, shard, substring, toxicity, urlfilter, warc
 from .common import load
 
 
@@ -54,6 +54,21 @@ def op10_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op11_gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(load(spark, sf_dir, "embeddings"))
+
+
+def op12_fuzzy_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans as text, ``label:first-last:edits`` in order."""
+    found = notices.scan(load(spark, sf_dir, "documents"))
+    parts = F.transform("spans", lambda s: F.concat(s["label"], F.lit(":"), s["first_word"], F.lit("-"), s["last_word"], F.lit(":"), s["edits"]))
+    return found.withColumn("spans", F.array_join(parts, ","))
+
+
+def op13_lattice_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.damage_and_repair(load(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -67,11 +82,66 @@ QUERIES = {
         op8_pattern_grammar,
         op9_poisson_mix,
         op10_minhash_containment,
+        op11_gnat_codes,
+        op12_fuzzy_notices,
+        op13_lattice_repair,
     )
 }
 
 _HOST = "translate(coalesce(regexp_extract(rest, '^([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_LOW = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _assigned(n: int) -> str:
+    """Assignment of the parts to the codebooks ``c{n}``."""
+    return f"""a{n} AS MATERIALIZED (
+            SELECT r, q.p, arg_min(e, (d, e)) AS e, min(d) AS d, any_value(x) AS x
+            FROM (SELECT q.r, q.p, q.x, c.e, list_sum(list_transform(list_zip(q.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM q JOIN c{n} c ON q.p = c.p) q
+            GROUP BY r, q.p
+        )"""
+
+
+def _moved(n: int) -> str:
+    """Codebooks ``c{n + 1}``: floored means of the parts of ``a{n}``."""
+    return f"""c{n + 1} AS MATERIALIZED (
+            SELECT c.p, c.e, coalesce(m.x, c.x) AS x
+            FROM c{n} c LEFT JOIN (
+                SELECT p, e, list(floor(s / n)::BIGINT ORDER BY i) AS x
+                FROM (SELECT p, e, i, sum(x[i])::DOUBLE AS s, count(*) AS n FROM (SELECT p, e, x, unnest(range(1, len(x) + 1)) AS i FROM a{n}) GROUP BY p, e, i)
+                GROUP BY p, e
+            ) m ON c.p = m.p AND c.e = m.e
+        )"""
+
+
+def _label(label: str, cost: int | str, letter: str) -> str:
+    """A lattice label (12 digits of cost, then the audit) after an edit."""
+    return f"CASE WHEN {label} < '9' THEN lpad((substr({label}, 1, 12)::BIGINT + {cost})::VARCHAR, 12, '0') || substr({label}, 13) || '{letter}' ELSE '9' END"
+
+
+def _lattice() -> str:
+    """Fold of the rows' codes over the labels of the states nothing, s, u, a."""
+    more = "(x[1] IN ('S', 'U', 'A', 'O'))::INT"
+    stays = "x[1] NOT IN ('b', 'd')"
+    when = lambda test, value: f"CASE WHEN {test} THEN {value} ELSE '9' END"
+    keep = lambda role, label: when(f"x[1] IN ('{role}', '{role.upper()}')", _label(label, more, "K"))
+    rerole = lambda label: when(stays, _label(label, f"2 + {more}", "R"))
+    old = [f"l[{i}]" for i in range(1, 5)]
+    before = (old[0], old[1], old[3])
+    row = [
+        _label(old[0], 3, "D"),
+        f"least({_label(old[1], 3, 'D')}, {keep('s', old[0])})",
+        f"least({_label(old[2], 3, 'D')}, {', '.join(keep('u', b) for b in before)}, {', '.join(map(rerole, before))})",
+        f"least({_label(old[3], 3, 'D')}, {keep('a', old[2])}, {rerole(old[2])})",
+    ]
+    user = f"least(l[3], {', '.join(_label(b, 2, 'I') for b in before)})"
+    wide = f"list_transform([[{', '.join(row)}]], lambda l: [l[1], l[2], {user}, l[4]])[1]"
+    closed = f"list_transform([{wide}], lambda l: [l[1], l[2], l[3], least(l[4], {_label('l[3]', 2, 'I')})])[1]"
+    zero = "lpad('0', 12, '0')"
+    start = f"[{zero}, '9', lpad('2', 12, '0') || 'I', lpad('4', 12, '0') || 'II']"
+    return f"list_reduce(list_prepend({start}, list_transform(codes, lambda c: [c])), lambda l, x: {closed})"
+
+
 ORACLE: dict[str, str] = {
     "op1_warc_index": """
         WITH p AS (
@@ -218,4 +288,96 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, item_id, count(*) AS n_shared, any_value(n_shingles) AS n_shingles
         FROM grams JOIN wanted USING (g) JOIN size USING (item_id) GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * any_value(n_shingles)
     """,
+    "op11_gnat_codes": f"""
+        WITH v AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), q AS MATERIALIZED (
+            SELECT r, p, list_slice(v, p * len(v) // 16 + 1, (p + 1) * len(v) // 16) AS x FROM (SELECT r, v, unnest(range(16)) AS p FROM v)
+        ), c0 AS MATERIALIZED (
+            SELECT p, r - 1 AS e, x FROM q WHERE r <= 64
+        ), {_assigned(0)}, {_moved(0)}, {_assigned(1)}, {_moved(1)}, {_assigned(2)}, books AS (
+            SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c2
+        ), coded AS (
+            SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a2 GROUP BY r
+        )
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM coded JOIN v USING (r), books
+    """,
+    "op12_fuzzy_notices": rf"""
+        WITH d AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOW.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+        ), phrases(phrase, label, words) AS (
+            SELECT phrase, label, len(string_split(phrase, ' ')) FROM (VALUES {", ".join(f"('{p}', '{x}')" for p, x in notices.PHRASES.items())}) v(phrase, label)
+        ), listed(notice, label, n, k, words) AS (
+            SELECT notice, label, strlen(notice), strlen(notice) // 8, len(string_split(notice, ' ')) FROM (VALUES {", ".join(f"('{p}', '{x}')" for p, x in notices.NOTICES.items())}) v(notice, label)
+        ), word AS MATERIALIZED (
+            SELECT r, i, list(x) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 10 FOLLOWING) AS run
+            FROM (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d)
+        ), spanned AS MATERIALIZED (
+            SELECT r, i, m, array_to_string(list_slice(run, 1, m), ' ') AS part FROM (SELECT r, i, run, unnest(range(1, len(run) + 1)) AS m FROM word)
+        ), base AS (
+            SELECT r, i - 1 AS place, label FROM spanned JOIN phrases ON part = phrase
+        ), own AS (
+            SELECT r, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word FROM base GROUP BY r
+        ), edits AS (
+            SELECT r, i, i + m - 1 AS j, notice, label, n, k, levenshtein(part, notice) AS e FROM spanned, listed WHERE strlen(part) BETWEEN n - k AND n + k
+        ), span AS (
+            SELECT r, i, notice, label, n, min((e, j)) AS best FROM edits WHERE e <= k GROUP BY r, i, notice, label, n
+        ), named AS (
+            SELECT r, max(1.0::DOUBLE - best[1]::DOUBLE / n::DOUBLE) AS score,
+                   string_agg(label || ':' || (i - 1) || '-' || (best[2] - 1) || ':' || best[1], ',' ORDER BY i, label, best[2]) AS spans
+            FROM span GROUP BY r
+        ), every AS (
+            SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT r, label FROM base UNION SELECT r, label FROM span) GROUP BY r
+        ), plain AS (
+            SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY r
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+               coalesce(labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(score, 0.0::DOUBLE) END AS score, coalesce(spans, '') AS spans
+        FROM d LEFT JOIN own USING (r) LEFT JOIN named USING (r) LEFT JOIN every USING (r) LEFT JOIN plain USING (r)
+    """,
+    "op13_lattice_repair": rf"""
+        WITH crc AS MATERIALIZED (
+            SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t FROM range(256) r(b)
+        ), keyed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT) AS bytes
+            FROM conversations
+        ), hurt AS (
+            SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM keyed, crc
+        ), damaged AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+            FROM hurt, range(2) c(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)
+        ), line AS MATERIALIZED (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+                   regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS shown, CASE WHEN substr(role, 1, 1) IN ('s', 'u', 'a') THEN substr(role, 1, 1) ELSE 'o' END AS initial
+            FROM damaged
+        ), coded AS MATERIALIZED (
+            SELECT *, CASE WHEN shown = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'd' WHEN regexp_matches(shown, '[.!?]$') THEN initial ELSE upper(initial) END AS code,
+                   lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY place) || substr(role, 1, 1) AS pair
+            FROM line
+        ), per AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (code = 'b') AS blank, count(*) FILTER (code = 'd') AS duplicate,
+                   count(*) FILTER (code IN ('S', 'U', 'A', 'O')) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, list(code ORDER BY place) AS codes
+            FROM coded GROUP BY conv_id
+        ), walked AS (
+            SELECT *, {_lattice()} AS ends FROM per
+        ), best AS MATERIALIZED (
+            SELECT *, substr(least(ends[1], ends[4]), 1, 12)::BIGINT AS cost, substr(least(ends[1], ends[4]), 13) AS audit FROM walked
+        ), letter AS (
+            SELECT conv_id, i, x, sum((x <> 'I')::INT) OVER w AS place, sum((x <> 'D')::INT) OVER w AS nth
+            FROM (SELECT conv_id, i, substr(audit, i, 1) AS x FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS i FROM best)) WINDOW w AS (PARTITION BY conv_id ORDER BY i)
+        ), joined AS (
+            SELECT l.conv_id, i, x, l.nth, c.role, c.text, max((x = 'K' AND l.nth = 1 AND c.initial = 's')::INT) OVER (PARTITION BY l.conv_id) AS led
+            FROM letter l LEFT JOIN coded c ON l.conv_id IS NOT DISTINCT FROM c.conv_id AND l.place = c.place AND x <> 'I' WHERE x <> 'D'
+        ), repaired AS (
+            SELECT conv_id, string_agg(CASE WHEN x = 'K' THEN role WHEN (nth - led) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN x = 'I' THEN '' ELSE text END, chr(10) ORDER BY i) AS whole
+            FROM joined GROUP BY conv_id
+        ), ids AS (
+            SELECT DISTINCT conv_id FROM conversations
+        )
+        SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+               coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+        FROM ids LEFT JOIN best b ON ids.conv_id IS NOT DISTINCT FROM b.conv_id LEFT JOIN repaired t ON ids.conv_id IS NOT DISTINCT FROM t.conv_id
+    """,
 }
