@@ -47,9 +47,11 @@ from gridcast.operators import (
     densify,
     halo_branch,
     halo_rows,
+    hopping_mean,
     latest_per_cell,
     merge_halo,
     neighbour_step,
+    range_join,
     range_partition,
     readings_per_tick,
     split_by_grid,
@@ -60,6 +62,7 @@ from gridcast.operators import (
 )
 from gridcast.plans.fold import tick_fold
 from gridcast.plans.serve import replay_loop, replay_table, snapshot_table
+from gridcast.sources.bucketed import bucketed, merge_halo_bucketed, with_state
 from gridcast.sources.readings import (
     grid_scaffold,
     load_readings,
@@ -588,12 +591,12 @@ def q_fold_final(spark, sf):
     return _hist_q(_fold(spark, sf, "tiled").final(spark))
 
 
-@register(
-    "readings_with_state",
-    f"""{FOLD_BASE}{fold_sql('zero')}
+WITH_STATE_SQL = f"""{FOLD_BASE}{fold_sql('zero')}
     SELECT l.tick, l.i, l.j, l.f, {Q(f'coalesce(h.u, {D(0.0)})')} AS u_prev_e6
-    FROM last_rows l LEFT JOIN hist h ON h.tick = l.tick - {T} AND h.i = l.i AND h.j = l.j""",
-)
+    FROM last_rows l LEFT JOIN hist h ON h.tick = l.tick - {T} AND h.i = l.i AND h.j = l.j"""
+
+
+@register("readings_with_state", WITH_STATE_SQL)
 def q_readings_with_state(spark, sf):
     h = _fold(spark, sf, "tiled").history(spark)
     prev = h.select((F.col("tick") + F.lit(T)).alias("tick"), "i", "j", F.col("u").alias("u_prev"))
@@ -788,14 +791,14 @@ def q_halo_rows(spark, sf):
     return halo_rows(_aligned(spark, sf, "last"), NX, N_STRIPES, T)
 
 
-@register(
-    "halo_merge",
-    f"""{BASE}, h0 AS ({_halo_sql_rows()}),
+HALO_MERGE_SQL = f"""{BASE}, h0 AS ({_halo_sql_rows()}),
     h AS (SELECT tick, i, j, sum(val) AS val FROM h0 GROUP BY tick, i, j)
     SELECT coalesce(l.tick, h.tick) AS tick, coalesce(l.i, h.i) AS i, coalesce(l.j, h.j) AS j,
            {Q(f'coalesce(l.f, {D(0.0)}) + {D(C)} * coalesce(h.val, {D(0.0)})')} AS f_e6
-    FROM last_rows l FULL OUTER JOIN h ON l.tick = h.tick AND l.i = h.i AND l.j = h.j""",
-)
+    FROM last_rows l FULL OUTER JOIN h ON l.tick = h.tick AND l.i = h.i AND l.j = h.j"""
+
+
+@register("halo_merge", HALO_MERGE_SQL)
 def q_halo_merge(spark, sf):
     a = _aligned(spark, sf, "last")
     m = merge_halo(a, halo_rows(a, NX, N_STRIPES, T), C)
@@ -818,6 +821,76 @@ def q_range_partitioned(spark, sf):
     return range_partition(_aligned(spark, sf, "last"), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+# --------------------------------------- range joins, panes, co-partitioning
+
+
+def _range_sql(closed: bool) -> str:
+    """Readings and halo rows within the time range; ``closed`` keeps only
+    the unmatched rows that the watermark has passed."""
+    before, after = sq.RANGE_BEFORE, sq.RANGE_AFTER
+    inside = f"l.i = h.i AND l.j = h.j AND h.h_time BETWEEN l.time - {before} AND l.time + {after}"
+    mark = f"(SELECT least((SELECT max(time) FROM l), (SELECT max(h_time) FROM h)) - {sq.DELAY})"
+    old_l = f" AND l.time + {after} <= {mark}" if closed else ""
+    old_h = f" AND h.h_time + {before} <= {mark}" if closed else ""
+    return f"""{RBASE}, l AS (SELECT i, j, time, gen FROM readings),
+    h AS (SELECT tick AS h_time, i, j, val FROM ({_halo_sql_rows('(SELECT time AS tick, i, j, gen AS f FROM readings)')}))
+    SELECT l.i, l.j, l.time, l.gen, h.h_time, h.val FROM l JOIN h ON {inside}
+    UNION ALL
+    SELECT l.i, l.j, l.time, l.gen, NULL, NULL FROM l WHERE NOT EXISTS (SELECT 1 FROM h WHERE {inside}){old_l}
+    UNION ALL
+    SELECT h.i, h.j, NULL, NULL, h.h_time, h.val FROM h WHERE NOT EXISTS (SELECT 1 FROM l WHERE {inside}){old_h}"""
+
+
+@register("range_join", _range_sql(False))
+def q_range_join(spark, sf):
+    """Readings with the halo rows of their cell from three hours before to
+    one hour after them, unmatched rows of both sides included."""
+    left, right = sq.range_sides(_r(spark, sf))
+    j = range_join(left, right, ("i", "j"), "time", "h_time", sq.RANGE_BEFORE, sq.RANGE_AFTER, "full")
+    return j.select("i", "j", "time", "gen", "h_time", "val")
+
+
+HOUR = 3_600_000
+
+
+def _panes_sql(size: int, slide: int) -> str:
+    return f"""{RBASE}, ws AS (
+      SELECT (time // {slide}) * {slide} - unnest(range({size // slide})) * {slide} AS ws, i, j, gen FROM readings)
+    SELECT CAST(ws + {size} AS BIGINT) AS time, i, j, {Q(f'{D(C)} * sum(gen) / count(*)')} AS f_e6, count(*) AS n_readings
+    FROM ws GROUP BY ws, i, j"""
+
+
+def _panes_query(size: int, slide: int):
+    def fn(spark, sf):
+        return hopping_mean(_r(spark, sf), size, slide, C).select("time", "i", "j", q6("f").alias("f_e6"), "n_readings")
+
+    return fn
+
+
+# 30-day windows each hour, and the windows of avg_hopping
+register("avg_panes_monthly", _panes_sql(30 * DAY, HOUR))(_panes_query(30 * DAY, HOUR))
+register("avg_panes", _window_sql(2 * DAY, DAY))(_panes_query(2 * DAY, DAY))
+
+
+@register("halo_merge_bucketed", HALO_MERGE_SQL)
+def q_halo_merge_bucketed(spark, sf):
+    """Sources and halo rows as co-partitioned tables, joined without a shuffle."""
+    a = _aligned(spark, sf, "last")
+    sent = halo_rows(a, NX, N_STRIPES, T).groupBy("tick", "i", "j").agg(F.sum("val").alias("val"))
+    key = ("tick", "i", "j")
+    return merge_halo_bucketed(bucketed(a, key), bucketed(sent, key), C).select("tick", "i", "j", q6("f").alias("f_e6"))
+
+
+@register("readings_with_state_bucketed", WITH_STATE_SQL)
+def q_with_state_bucketed(spark, sf):
+    """Readings and the states before them as co-partitioned tables."""
+    h = _fold(spark, sf, "step").history(spark)
+    prev = h.select((F.col("tick") + F.lit(T)).alias("tick"), "i", "j", F.col("u").alias("u_prev"))
+    key = ("tick", "i", "j")
+    j = with_state(bucketed(_aligned(spark, sf, "last"), key), bucketed(prev, key))
+    return j.select("tick", "i", "j", "f", q6("u_prev").alias("u_prev_e6"))
+
+
 # ---------------------------------------------------------------- streaming
 
 for _name, (_fn, _sql) in sq.stream_queries(
@@ -831,6 +904,8 @@ for _name, (_fn, _sql) in sq.stream_queries(
     stripe=STRIPE,
     y=Y,
     window_rows_sql=window_rows_sql,
+    range_sql=_range_sql,
+    merge_sql=HALO_MERGE_SQL,
 ).items():
     register(_name, _sql)(_fn)
 

@@ -17,12 +17,17 @@ from pyspark.sql import functions as F
 
 from gridcast.config import TEST_GRID, TEST_TICK_MS, FoldSpec, scratch_path
 from gridcast.functions.grid import is_left_stripe_edge, is_right_stripe_edge, stripe_of
+from gridcast.functions.ticks import event_time
 from gridcast.operators.align import align_windows, latest_per_cell, with_tick
+from gridcast.operators.halo import halo_rows
 from gridcast.sources.readings import load_readings
 from gridcast.sources.store import read_states
 from gridcast.streaming.fold import fold_batch_fn, keyed_batch_fn, latest_batch_fn, poll_batch_fn, stream_tick_fold, tee_batch_fn
+from gridcast.streaming.joins import range_join_stream
+from gridcast.streaming.late import LateFold
 from gridcast.streaming.sinks import run, to_batches, to_files
 from gridcast.streaming.source import delay, stream_events, stream_readings, with_event_time
+from gridcast.streaming.tables import merge_halo_stream, rocksdb
 from gridcast.streaming.windows import closed_ticks, ticks_stream, window_mean_stream
 
 GRID = TEST_GRID
@@ -121,6 +126,59 @@ def halo_stream(closed: DataFrame) -> DataFrame:
     )
 
 
+RANGE_BEFORE, RANGE_AFTER = 3 * 3_600_000, 3_600_000
+
+
+def range_sides(readings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Readings, and the halo rows that the readings at stripe edges send to
+    the next column a tick later, both with their own times."""
+    sent = halo_rows(readings.withColumn("tick", F.col("time")), NX, N_STRIPES, T, "gen")
+    return readings.select("i", "j", "time", "gen"), sent.select("i", "j", F.col("tick").alias("h_time"), "val")
+
+
+def stream_range_join(spark, sf):
+    """Full outer join of the readings with the halo rows of a second read of
+    the stream whose time lies within three hours before and one after."""
+    left, _ = range_sides(stream_events(spark, sf, GRID))
+    _, right = range_sides(stream_events(spark, sf, GRID))
+    left = left.withColumn("ts", event_time("time")).withWatermark("ts", delay(DELAY))
+    right = right.withColumn("h_ts", event_time("h_time")).withWatermark("h_ts", delay(DELAY))
+    j = range_join_stream(left, right, ("i", "j"), "ts", "h_ts", RANGE_BEFORE, RANGE_AFTER, "full")
+    return spark.read.parquet(_files(spark, j, "range-join")).select("i", "j", "time", "gen", "h_time", "val")
+
+
+def stream_halo_merge(spark, sf):
+    """The outer join of sources and halo rows as two tables that change: the
+    readings come in four slices dealt at random, and every change upserts."""
+    folder, out, ckpt = (scratch_path(spark, f"tables-{x}") for x in ("in", "out", "ckpt"))
+    rows = load_readings(spark, sf, GRID)
+    sink = keyed_batch_fn(out, ("tick", "i", "j"), _block(), ("f", "version"), ("version",))
+    for n in range(4):
+        rows.where(F.pmod(F.xxhash64("seq"), F.lit(4)) == n).write.mode("append").parquet(folder)
+        with rocksdb(spark):
+            run(to_batches(merge_halo_stream(stream_readings(spark, folder), NX, N_STRIPES, T, C), sink, ckpt, mode="update"))
+    df = spark.read.schema("tick long, i int, j int, f double, version long, block long").parquet(out)
+    return df.select("tick", "i", "j", q6("f").alias("f_e6"))
+
+
+LATE_SLICES = 4
+
+
+def stream_late_fold(spark, sf):
+    """The fold over four time slices in which one reading in 17 comes two
+    slices late: the history is that of all readings."""
+    folder, out, ckpt = (scratch_path(spark, f"late-{x}") for x in ("in", "out", "ckpt"))
+    rows = with_tick(load_readings(spark, sf, GRID), T)
+    first, last = rows.agg(F.min("tick"), F.max("tick")).first()
+    part = F.least(F.floor((F.col("tick") - F.lit(first)) * F.lit(LATE_SLICES) / F.lit(last - first + 1)), F.lit(LATE_SLICES - 1))
+    slice_ = F.least(part + F.when(F.col("seq") % 17 == 0, 2).otherwise(0), F.lit(LATE_SLICES - 1))
+    fold = LateFold(spark, out, GRID, FoldSpec(coeff=C), T, DELAY, "avg")
+    for n in range(LATE_SLICES):
+        rows.where(slice_ == n).drop("tick").write.mode("append").parquet(folder)
+        run(to_batches(stream_readings(spark, folder), fold.batch, ckpt))
+    return fold.history().select("tick", "i", "j", q6("u").alias("u_e6"))
+
+
 def stream_tee(spark, sf):
     out, halo = scratch_path(spark, "tee-out"), scratch_path(spark, "tee-halo")
     s = closed_ticks(stream_events(spark, sf, GRID), T, DELAY, "last")
@@ -212,7 +270,7 @@ def stream_log_round_trip(spark, sf):
     return spark.read.parquet(_files(spark, back, "log-read")).select("time", "i", "j", "gen")
 
 
-def stream_queries(base, fold_base, fold_sql, window_sql, halo_sql, q, x, stripe, y, window_rows_sql):
+def stream_queries(base, fold_base, fold_sql, window_sql, halo_sql, q, x, stripe, y, window_rows_sql, range_sql, merge_sql):
     """``name -> (fn, oracle SQL)`` for the streaming queries; the SQL
     pieces come from the catalog so both forms share one definition."""
     closed = f"(SELECT max(tick) FROM ticked) - {DELAY}"
@@ -237,6 +295,12 @@ def stream_queries(base, fold_base, fold_sql, window_sql, halo_sql, q, x, stripe
             FROM l FULL OUTER JOIN h ON l.tick = h.tick AND l.i = h.i AND l.j = h.j
             WHERE coalesce(l.tick, h.tick) <= {closed}""",
         ),
+        "stream_range_join": (stream_range_join, range_sql(True)),
+        "stream_halo_merge": (stream_halo_merge, merge_sql),
+        "stream_late_fold": (
+            stream_late_fold,
+            f"{fold_base}{fold_sql('zero', 'avg_rows', f'b.t1 - {DELAY}')}\nSELECT tick, i, j, {q('u')} AS u_e6 FROM hist",
+        ),
         "stream_tee": (
             stream_tee,
             f"""{base}, l AS (SELECT * FROM last_rows WHERE tick <= {closed}) {halo_sql('l')}""",
