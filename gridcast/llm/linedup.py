@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import small_enough, staged
 
 MIN_WORDS = 8
-#: Up to so many line keys the lines with a possible partner are broadcast.
+#: Tables of line keys are broadcast up to so many rows.
 BROADCAST_LINES = 400_000
 
 
@@ -49,6 +49,11 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return split.select("doc_id", "line_no", normal(F.col("raw")).alias("line")).where("line <> ''")
 
 
+def _side(keys: DataFrame) -> DataFrame:
+    """A staged table of keys: broadcast up to its limit, else shuffled."""
+    return F.broadcast(keys) if small_enough(keys, BROADCAST_LINES) else keys
+
+
 def _xor(hashes: Column) -> Column:
     return F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(h))
 
@@ -73,31 +78,27 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     # 1. lines with a half in common with another line
     halves = held.where("halves is not null").select("id", F.explode("halves").alias("half"))
     common = staged(halves.groupBy("half").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select("half"), "lines-common")
-    wanted = staged(halves.join(common, "half", "left_semi").select("id").distinct(), "lines-wanted")
-    pick = wanted.withColumnRenamed("id", "w")
-    if small_enough(pick, BROADCAST_LINES):
-        pick = F.broadcast(pick)
-    firsts = staged(held.groupBy("id", "id2").agg(F.min(F.struct("doc_id", "line_no")).alias("first")), "lines-first")
+    pick = staged(halves.join(_side(common), "half", "left_semi").select(F.col("id").alias("w")).distinct(), "lines-wanted")
+    pick = _side(pick)
+    firsts = staged(held.groupBy("id", "id2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("copies")), "lines-first")
     texts = lines.withColumn("id", F.xxhash64("line")).join(pick, F.col("id") == F.col("w"), "left_semi")
     texts = texts.select("id", F.xxhash64(F.lit(7), "line").alias("id2"), "line").dropDuplicates(["id", "id2"])
-    near = staged(
-        texts.join(firsts, ["id", "id2"]).select("id", "id2", "first", F.split("line", " ").alias("words")).withColumn("n", F.size("words")),
-        "lines-near",
-    )
+    mine = firsts.join(pick, F.col("id") == F.col("w"), "left_semi").select("id", "id2", "first")
+    near = staged(texts.join(mine, ["id", "id2"]).select("id", "id2", "first", F.split("line", " ").alias("words")).withColumn("n", F.size("words")), "lines-near")
 
     # 2. the neighbourhood: word positions are left out of the key here, so
     # that a variant meets lines of equal length and lines one word shorter
-    hashed = near.select("id", "n", F.transform("words", lambda w: F.xxhash64(w)).alias("h")).withColumn("all", _xor(F.col("h")))
-    variants = hashed.select("id", "n", F.posexplode(F.transform("h", lambda h: F.col("all").bitwiseXOR(h))).alias("at", "key"))
-    whole = hashed.select("id", F.col("n"), F.lit(-1).alias("at"), F.col("all").alias("key"))
-    every = variants.select("id", F.col("n") - 1, "at", "key").toDF("id", "m", "at", "key").union(whole.toDF("id", "m", "at", "key"))
+    hashed = near.select("id", "id2", "n", F.transform("words", lambda w: F.xxhash64(w)).alias("h")).withColumn("all", _xor(F.col("h")))
+    variants = hashed.select("id", "id2", "n", F.posexplode(F.transform("h", lambda h: F.col("all").bitwiseXOR(h))).alias("at", "key"))
+    whole = hashed.select("id", "id2", F.col("n"), F.lit(-1).alias("at"), F.col("all").alias("key"))
+    every = variants.select("id", "id2", F.col("n") - 1, "at", "key").toDF("id", "id2", "m", "at", "key").union(whole.toDF("id", "id2", "m", "at", "key"))
     shared = staged(every.groupBy("m", "key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select("m", "key"), "lines-shared")
-    met = staged(every.join(shared, ["m", "key"]), "lines-met")
+    met = staged(every.join(_side(shared), ["m", "key"]), "lines-met")
 
     # 3. and 4. equal length: the group of a left-out word
-    member = met.where("at >= 0").select("id", "at").join(near, "id")
+    member = met.where("at >= 0").select("id", "id2", "at").join(near, ["id", "id2"])
     rest = F.concat(F.slice("words", F.lit(1), F.col("at")), F.slice("words", F.col("at") + 2, F.greatest(F.col("n") - 1 - F.col("at"), F.lit(0))))
-    spot = staged(member.select("id", "id2", "first", "n", "at", F.xxhash64("n", "at", rest).alias("k1"), F.xxhash64(F.lit(7), "n", "at", rest).alias("k2")).distinct(), "lines-spot")
+    spot = staged(member.select("id", "id2", "first", "n", "at", F.xxhash64("n", "at", rest).alias("k1"), F.xxhash64(F.lit(7), "n", "at", rest).alias("k2")), "lines-spot")
     groups = staged(spot.groupBy("k1", "k2").agg(F.count("*").alias("size"), F.min(F.struct("first", "id", "id2")).alias("top")).where("size > 1"), "lines-groups")
     replaced = spot.join(groups, ["k1", "k2"]).select("id", "id2", "at", "size", F.col("top.first").alias("other"), F.col("top.id").alias("tid"), F.col("top.id2").alias("tid2"))
     mine = near.select("id", "id2", F.col("words").alias("mine"))
@@ -116,8 +117,11 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     links = links.union(fit.select("id", "id2", one, "first_short")).union(fit.select("sid", "sid2", one, "first_long"))
     found = staged(links.groupBy("id", "id2").agg(F.sum("links").alias("n_links"), F.min("other").alias("other")), "lines-links")
 
-    # every line with its earliest equal or near line
-    info = staged(firsts.join(found, ["id", "id2"], "left"), "lines-info").select("id", "id2", F.least("first", "other").alias("earliest"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
-    out = held.select("doc_id", "line_no", "id", "id2").join(info, ["id", "id2"])
-    kept = F.struct("doc_id", "line_no") == F.col("earliest")
-    return out.select("doc_id", "line_no", F.col("earliest.doc_id").alias("first_doc_id"), F.col("earliest.line_no").alias("first_line_no"), "n_links", kept.alias("kept"))
+    # lines that stand alone are their own earliest; the others are looked up
+    own = found.join(near.select("id", "id2", "first"), ["id", "id2"]).select("id", "id2", F.least("first", "other").alias("earliest"), "n_links")
+    again = firsts.where("copies > 1").select("id", "id2", F.col("first").alias("earliest"), F.lit(0).cast("long").alias("n_links"))
+    info = staged(own.union(again).groupBy("id", "id2").agg(F.min("earliest").alias("earliest"), F.max("n_links").alias("n_links")), "lines-info")
+    here = F.struct("doc_id", "line_no")
+    out = held.select("doc_id", "line_no", "id", "id2").join(_side(info), ["id", "id2"], "left").withColumn("earliest", F.coalesce("earliest", here))
+    links = F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")
+    return out.select("doc_id", "line_no", F.col("earliest.doc_id").alias("first_doc_id"), F.col("earliest.line_no").alias("first_line_no"), links, (here == F.col("earliest")).alias("kept"))
