@@ -27,6 +27,12 @@ def text_key(text: Column) -> Column:
     return F.concat(F.xxhash64(filled).cast("string"), F.lit(":"), F.xxhash64(F.lit(11), filled).cast("string"))
 
 
+def shielded(docs: DataFrame, *used: str) -> DataFrame:
+    """``docs`` with every column but the ``used`` ones under a plain number,
+    so that helper columns clash with none; ``toDF(*docs.columns)`` undoes it."""
+    return docs.select(*[docs[f"`{c}`"].alias(c if c in used else f"other{i}") for i, c in enumerate(docs.columns)])
+
+
 def columns_of(df: DataFrame, *names: str) -> list[Column]:
     """The named columns, whatever other columns a table carries."""
     return [df[n] for n in names]

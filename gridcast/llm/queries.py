@@ -14,7 +14,7 @@ def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(load(spark, sf_dir, "documents"))
+    return quality.judge(load(spark, sf_dir, "documents"), quality.PRODUCTION)
 
 
 def op3_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,13 +175,17 @@ ORACLE: dict[str, str] = {
         ), dup AS (
             SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines WHERE n > 0 GROUP BY r
         ), over AS (
-            SELECT h.source, h.norm
-            FROM (SELECT source, norm, count(DISTINCT text) AS docs FROM lines WHERE n > 0 GROUP BY source, norm) h
+            SELECT h.source, h.norm, CASE WHEN docs <= texts * 0.1 THEN first END AS first
+            FROM (SELECT source, norm, count(DISTINCT text) AS docs, min(md5(text)) AS first FROM lines WHERE n > 0 GROUP BY source, norm) h
             JOIN (SELECT source, count(DISTINCT text) AS texts FROM base GROUP BY source) s ON h.source IS NOT DISTINCT FROM s.source
-            WHERE docs >= 10 AND docs > texts * 0.1
+            WHERE docs >= 10
+        ), hit AS (
+            SELECT l.r, n, coalesce(first = md5(text), false) AS own FROM lines l JOIN over o ON l.norm = o.norm AND l.source IS NOT DISTINCT FROM o.source WHERE n > 0
+        ), lost AS (
+            SELECT r, sum(n) AS gone FROM hit GROUP BY r
         ), boiler AS (
-            SELECT l.r, sum(n)::BIGINT AS n_boiler_words, count(*) AS n_boiler_lines
-            FROM lines l JOIN over o ON l.norm = o.norm AND l.source IS NOT DISTINCT FROM o.source WHERE n > 0 GROUP BY l.r
+            SELECT r, sum(n) FILTER (NOT (own AND depleted))::BIGINT AS n_boiler_words, count(*) FILTER (NOT (own AND depleted)) AS n_boiler_lines
+            FROM (SELECT r, hit.n, own, len(w) - gone < 0.3 * len(w) AS depleted FROM hit JOIN lost USING (r) JOIN base USING (r)) GROUP BY r
         ), m AS (
             SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
                    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,

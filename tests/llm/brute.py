@@ -30,21 +30,31 @@ def lower(text):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
 
 
-def quality(rows, min_docs=10, max_share=0.1, min_left=0.3):
-    """rows: (doc_id, text, source); verdict per row, and the removed lines."""
+def quality(rows, min_docs=10, max_share=0.1, min_left=0.3, max_docs=None):
+    """rows: (doc_id, text, source); verdict per row, and the removed lines,
+    each with its first text unless it is above the share."""
     norm = lambda line: " ".join(words(lower(line)))
+    key = lambda text: hashlib.md5((text or "").encode()).hexdigest()
     texts, held = defaultdict(set), defaultdict(set)
     for _, text, host in rows:
         texts[host].add(text or "")
         for line in (text or "").split("\n"):
             if words(line):
                 held[host, norm(line)].add(text or "")
-    over = {k for k, v in held.items() if len(v) >= min_docs and len(v) > max_share * len(texts[k[0]])}
+    over = {}
+    for k, v in held.items():
+        if len(v) >= min_docs and len(v) > max_share * len(texts[k[0]]):
+            over[k] = None
+        elif max_docs and len(v) >= max(min_docs, max_docs):
+            over[k] = min(map(key, v))
     out = []
     for doc_id, text, host in rows:
         base = quality_base(text)
         gone = [x for x in (text or "").split("\n") if words(x) and (host, norm(x)) in over]
-        boiler = sum(len(words(x)) for x in gone)
+        size = lambda lines: sum(len(words(x)) for x in lines)
+        if base[0] - size(gone) < min_left * base[0]:
+            gone = [x for x in gone if over[host, norm(x)] != key(text)]
+        boiler = size(gone)
         out.append((doc_id, *base[:5], boiler, len(gone), base[5], not base[5] and base[0] - boiler >= min_left * base[0]))
     return out, over
 
