@@ -29,9 +29,10 @@ out.
 
 Cases: texts without a word (null, empty, blank) have no shingle and are a
 class of their own each; texts of one to four words have their whole word
-sequence as one shingle; equal rows share a class; rows with a null doc_id
-are a class of their own with a null class_id; an empty table gives no rows;
-other columns are carried by ``keep_one`` and ignored else.
+sequence as one shingle; equal rows share a class; texts that share a doc_id,
+or have none, are judged each for itself; a class without any id has a null
+class_id; an empty table gives no rows; other columns are carried by
+``keep_one`` and ignored else.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .common import connected, staged, text_key
+from .common import connected, shielded, staged, text_key
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -173,18 +174,53 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float
     return rows.mapInArrow(_verify(shingle, threshold), "a long, b long")
 
 
-def near_classes(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
-    """``doc_id, class_id`` for every row; class_id is the smallest doc_id."""
+def _texts(docs: DataFrame, shingle: int, rows: int, bands: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Signatures and texts under ids that name one text each.
+
+    The id is the doc_id.  Where a doc_id stands over several texts, or is
+    null, each text gets a negative number of its own instead; the last value
+    tells whether there are any.  Signatures keep the doc_id as ``own``."""
     base = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     keyed = base.withColumn("key", text_key(F.col("text")))
-    signed = staged(keyed.where("doc_id is not null").mapInArrow(_sign(shingle, rows, bands), "doc_id long, key string, bands array<long>, sig binary"), "minhash-bands")
+    signed = staged(keyed.mapInArrow(_sign(shingle, rows, bands), "doc_id long, key string, bands array<long>, sig binary"), "minhash-bands")
+    per_id = signed.groupBy("doc_id").agg(F.min("key").alias("x"), F.max("key").alias("y"))
+    several = staged(per_id.where("x < y OR doc_id IS NULL").select(F.col("doc_id").alias("several"), F.lit(True).alias("many")), "minhash-several")
+    if several.isEmpty():
+        return signed.withColumn("own", F.col("doc_id")), base, False
+    number = F.lit(-1) - F.xxhash64("key").bitwiseAND(F.lit((1 << 62) - 1))
+
+    def named(rows: DataFrame) -> DataFrame:
+        found = rows.join(several, F.col("doc_id").eqNullSafe(F.col("several")), "left").withColumn("own", F.col("doc_id"))
+        return found.withColumn("doc_id", F.when(F.col("many"), number).otherwise(F.col("doc_id"))).drop("several", "many")
+
+    return staged(named(signed), "minhash-named"), named(keyed).select("doc_id", "text"), True
+
+
+def _members(docs: DataFrame, shingle: int, threshold: float, rows: int, bands: int) -> tuple[DataFrame, bool]:
+    """``own, key, label`` of every distinct text that has a word: its doc_id,
+    its key, and the name of its class."""
+    signed, base, odd = _texts(docs, shingle, rows, bands)
     # equal texts collapse to their smallest id
     groups = staged(signed.groupBy("key").agg(F.min("doc_id").alias("rep")), "minhash-groups")
     reps = signed.join(groups.select(F.col("rep").alias("doc_id"), "key"), ["doc_id", "key"]).dropDuplicates(["doc_id"])
-    colliding = _buckets(reps)
-    labels = _link(colliding, reps, base, shingle, threshold)
-    members = signed.select("doc_id", "key").join(groups, "key").join(labels.withColumnRenamed("id", "rep"), "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("label", "rep")).alias("class_id"))
-    return docs.select(docs["doc_id"].alias("doc_id")).join(members.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"), "left").select("doc_id", F.coalesce("class_id", F.col("doc_id").cast("long")).alias("class_id"))
+    labels = _link(_buckets(reps), reps, base, shingle, threshold)
+    members = signed.select("own", "key").join(groups, "key").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+    return members.select("own", "key", F.coalesce("label", "rep").alias("label")), odd
+
+
+def near_classes(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
+    """``doc_id, class_id`` for every row; class_id is the smallest doc_id."""
+    members, odd = _members(docs, shingle, threshold, rows, bands)
+    if not odd:
+        found = members.groupBy("own").agg(F.min("label").alias("class_id"))
+        ids = docs.select(docs["doc_id"].alias("doc_id"))
+        return ids.join(found, F.col("doc_id") == F.col("own"), "left").select("doc_id", F.coalesce("class_id", F.col("doc_id").cast("long")).alias("class_id"))
+    members = staged(members.distinct(), "minhash-members-odd")
+    named = members.groupBy(F.col("label").alias("l")).agg(F.min("own").alias("class_id"))
+    found = members.join(named, F.col("label") == F.col("l")).select("own", "key", "class_id")
+    ids = docs.select(docs["doc_id"].alias("doc_id"), text_key(docs["text"]).alias("k"))
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col("own")) & (F.col("k") == F.col("key"))
+    return ids.join(found, on, "left").select("doc_id", F.coalesce("class_id", F.col("doc_id").cast("long")).alias("class_id"))
 
 
 def _buckets(reps: DataFrame) -> DataFrame:
@@ -302,12 +338,23 @@ def _link(members: DataFrame, reps: DataFrame, base: DataFrame, shingle: int, th
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs`` with one document of each class: the smallest id.
-    Of repeated rows with that id all stay but one go."""
-    classes = staged(near_classes(docs, shingle, threshold), "minhash-classes")
-    lost = staged(classes.where("doc_id <> class_id").select(F.col("doc_id").alias("__lost")).distinct(), "minhash-lost")
-    twice = classes.groupBy("doc_id").count().where("count > 1").where("doc_id is not null")
-    rest = docs.join(lost, docs["doc_id"] == F.col("__lost"), "left_anti")
-    if twice.isEmpty():
-        return rest
-    return rest.where("doc_id is not null").dropDuplicates(["doc_id"]).union(rest.where("doc_id is null"))
+    """Rows of ``docs`` with one document of each class: the smallest id (of
+    one id over several texts the least text key; a null id comes last).  Of
+    repeated rows one stays; rows without a word all stay but repeated ones."""
+    members, odd = _members(docs, shingle, threshold, ROWS, BANDS)
+    members = staged(members, "minhash-classes")
+    plain = shielded(docs, "doc_id", "text")
+    key = text_key(plain["text"])
+    if not odd:
+        lost = staged(members.where("own <> label").select(F.col("own").alias("lost")).distinct(), "minhash-lost")
+        rest = plain.join(lost, plain["doc_id"] == F.col("lost"), "left_anti")
+    else:
+        order = F.struct(F.col("own").isNull().alias("none"), "own", "key")
+        kept = members.groupBy("label").agg(F.min(order).alias("kept")).select(F.col("label").alias("l"), "kept")
+        lost = members.join(kept, F.col("label") == F.col("l")).where(order != F.col("kept")).select(F.col("own").alias("lost"), F.col("key").alias("lost_key"))
+        lost = staged(lost.distinct(), "minhash-lost")
+        rest = plain.join(lost, plain["doc_id"].cast("long").eqNullSafe(F.col("lost")) & (key == F.col("lost_key")), "left_anti")
+    twice = rest.groupBy("doc_id").count().where("count > 1")
+    if not twice.isEmpty():
+        rest = rest.withColumn("key", text_key(F.col("text"))).dropDuplicates(["doc_id", "key"]).drop("key")
+    return rest.toDF(*docs.columns)
