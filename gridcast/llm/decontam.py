@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .common import staged
+from .common import shielded, staged, text_key
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -135,6 +135,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of documents that hold no benchmark item, with all columns."""
-    found = staged(contaminated(docs, benchmark, shingle, threshold).select(F.col("doc_id").alias("__leaked")).distinct(), "bench-found")
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("__leaked")), "left_anti")
+    """Rows of documents that hold no benchmark item, with all columns.  A
+    text decides for itself: rows that share an id (or have none) do not
+    decide for each other."""
+    texts = docs.select(text_key(docs["text"]).alias("doc_id"), docs["text"].alias("text"))
+    found = staged(contaminated(texts, benchmark, shingle, threshold).select(F.col("doc_id").alias("leaked")).distinct(), "bench-found")
+    plain = shielded(docs, "text")
+    return plain.join(found, text_key(plain["text"]) == F.col("leaked"), "left_anti").toDF(*docs.columns)

@@ -3,7 +3,7 @@
 A source with weight share ``s`` and ``n`` documents has the mean repetition
 rate ``s * total / n``.  Each document draws its number of copies by
 inverting the Poisson distribution with that mean at a uniform number hashed
-from seed, document and its place among equal rows; it is exploded by that
+from seed and document; it is exploded by that
 number and the copies are shuffled by a second hash.  The draw needs no
 state: the same rows and seed give the same mix in any order of execution.
 
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_enough, staged
+from .common import shielded, small_enough, staged
 
 SEED = 20_240_601
 #: Weight of a source with n documents is n ** TEMPERATURE unless given.
@@ -73,11 +73,14 @@ def replicate(docs: DataFrame, weights: dict[str, float] | None = None, total: i
     per = staged(rates(docs, weights, total, temperature).select(F.col("src").alias("__src"), F.col("cdf").alias("__cdf")), "mix-rates")
     side = F.broadcast(per) if small_enough(per, BROADCAST_SOURCES) else per
     drawn = docs.join(side, docs["source"].eqNullSafe(F.col("__src")))
-    u = uniform(f"{seed}:draw", docs["doc_id"])
+    name = docs["doc_id"].cast("string")
+    if "text" in docs.columns:
+        name = F.coalesce(name, F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary")))
+    u = uniform(f"{seed}:draw", name)
     copies = F.size(F.filter("__cdf", lambda c: c <= F.col("__u")))
     rows = drawn.withColumn("__u", u).withColumn("__n", copies).where("__n > 0")
     exploded = rows.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
-    key = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}:order"), F.coalesce(docs["doc_id"].cast("string"), F.lit("")), F.col("__copy").cast("string")).cast("binary")), 1, 15), 16, 10).cast("long")
+    key = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}:order"), F.coalesce(name, F.lit("")), F.col("__copy").cast("string")).cast("binary")), 1, 15), 16, 10).cast("long")
     return exploded.withColumn("__order", key).drop("__src", "__cdf", "__u", "__n")
 
 
@@ -88,5 +91,6 @@ def shuffled(rows: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, total: int | None = None, seed: int = SEED, temperature: float = TEMPERATURE) -> DataFrame:
     """The mixed corpus with the columns of ``docs``, shuffled globally."""
-    rows = replicate(docs, weights, total, seed, temperature)
-    return shuffled(rows).select(*[F.col(c) for c in docs.columns])
+    plain = shielded(docs, "doc_id", "text", "source")
+    rows = replicate(plain, weights, total, seed, temperature)
+    return shuffled(rows).select(*plain.columns).toDF(*docs.columns)

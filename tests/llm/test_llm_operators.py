@@ -29,6 +29,15 @@ def test_quality(spark, odd, odd_rows, none):
     got = Counter(map(tuple, quality.judge(odd).collect()))
     assert got == Counter(brute.quality([(r[0], r[1], r[3]) for r in odd_rows])[0])
     assert quality.judge(none).count() == 0
+    w = lambda seed, n: " ".join(f"w{seed}x{k}" for k in range(n))
+    rows = [(i, "\n".join(w(f"f{k}", 12) if k != i % 5 else w(f"v{i}", 3) for k in range(6)), "en", "big") for i in range(14)]
+    rows += [(100 + i, w(f"o{i}", 60) + ("\nSome   Shared line" if i < 11 else ""), "en", "big") for i in range(150)]
+    df = spark.createDataFrame([(*r, 0, None, None, None) for r in rows], odd.schema)
+    got = Counter(map(tuple, quality.judge(df, quality.PRODUCTION).collect()))
+    want, over = brute.quality([(r[0], r[1], r[3]) for r in rows], max_docs=10)
+    assert got == Counter(want) and any(over.values())
+    # depleted documents are rejected, and not all of their family
+    assert 0 < sum(not r[-2] and not r[-1] for r in want) < 14
     d = given("documents")
     rules = quality.QualityRules(min_docs=2, max_share=0.02, min_left=0.9)
     got = Counter(map(tuple, quality.judge(common.load(spark, SF, "documents"), rules).collect()))
@@ -132,7 +141,8 @@ def test_near_classes(spark, odd, odd_rows, none):
     got = rows_of(minhash.near_classes(odd), "doc_id", "class_id")
     assert len(got) == len(odd_rows)
     assert {k: v for k, v in got if k is not None} == brute.near_classes(list(distinct.items()))
-    assert [v for k, v in got if k is None] == [None, None]
+    # a null id is judged by its text: a copy of 11, and one without a word
+    assert {v for k, v in got if k is None} == {dict(got)[11], None}
     assert minhash.near_classes(none).count() == 0
 
 
@@ -176,7 +186,8 @@ def test_keep_one(spark, odd, odd_rows, none):
     kept = Counter(r.doc_id for r in out.collect())
     classes = brute.near_classes(list({r[0]: r[1] for r in odd_rows if r[0] is not None}.items()))
     assert {k for k in kept if k is not None} == set(classes.values())
-    assert all(n == 1 for k, n in kept.items() if k is not None) and kept[None] == 2
+    # of the null ids one is a copy and goes, the other has no word and stays
+    assert all(n == 1 for n in kept.values()) and None in kept
     assert minhash.keep_one(none).count() == 0
 
 
@@ -225,8 +236,9 @@ def test_containment(spark, odd, odd_rows, none):
     assert decontam.contaminated(odd, bench.limit(0)).count() == 0
     left = decontam.decontaminate(odd, bench)
     assert left.columns == odd.columns
-    hit = {k[0] for k in got}
-    assert sorted((r.doc_id for r in left.collect()), key=str) == sorted((r[0] for r in odd_rows if r[0] not in hit), key=str)
+    # a text decides for itself: of the two null ids only the one with the passage goes
+    hit = {t for _, t in docs if brute.contained([(0, t)], items)}
+    assert sorted((r.doc_id for r in left.collect()), key=str) == sorted((r[0] for r in odd_rows if r[1] not in hit), key=str)
     d, b = given("documents"), given("benchmark")
     got = set(map(tuple, decontam.contaminated(common.load(spark, SF, "documents"), common.load(spark, SF, "benchmark")).collect()))
     assert got == brute.contained(list(zip(d["doc_id"], d["text"], strict=True)), list(zip(b["item_id"], b["text"], strict=True)))
@@ -317,3 +329,34 @@ def test_mix_follows_the_poisson_law(spark):
         p = p * lam / (k + 1)
     rates = mixing.rates(docs, {"b": 1.0}, total=5_000 * 2_000).first()
     assert rates["rate"] == 2000.0 and abs(rates["cdf"][-1] - 1) < 1e-9
+
+
+def test_one_id_over_several_texts(spark, none):
+    """Rows that share a doc_id (or have none) are judged each by its text."""
+    words = lambda seed, n: " ".join(f"w{seed}x{k}" for k in range(n))
+    long, other = words("a", 300), words("b", 80)
+    near = long.replace("wax150", "changed")
+    texts = [(1, long), (2, long), (2, other), (2, words("c", 60)), (3, near), (4, other), (None, near), (None, words("d", 70)), (None, words("d", 70)), (5, words("e", 9))]
+    df = spark.createDataFrame([(i, t, "en", "s", 1, None, None, None) for i, t in texts], none.schema)
+    got = Counter(map(tuple, substring.remove_repeats(df).collect()))
+    assert got == Counter(brute.without_repeats(texts))
+    classes = rows_of(minhash.near_classes(df), "doc_id", "class_id")
+    want = [(1, 1), (2, 1), (2, 2), (2, 2), (3, 1), (4, 2), (None, 1), (None, None), (None, None), (5, 5)]
+    assert Counter(classes) == Counter(want)
+    kept = Counter((r.doc_id, r.text) for r in minhash.keep_one(df).collect())
+    assert kept == Counter([(1, long), (2, other), (2, words("c", 60)), (None, words("d", 70)), (5, words("e", 9))])
+    bench = spark.createDataFrame([(9, words("c", 20))], "item_id long, text string")
+    left = Counter((r.doc_id, r.text) for r in decontam.decontaminate(df, bench).collect())
+    assert left == Counter(texts) - Counter([(2, words("c", 60))])
+
+
+def test_columns_that_clash_with_helpers(spark, none):
+    """Stages carry any other column through, whatever its name."""
+    names = ["__host", "__key", "__lines", "__u", "__n", "__cdf", "__src", "__copy", "__order", "leaked", "lost", "key", "label", "own", "other0"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` int" for n in names)
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(60)), "en", f"s{i % 2}", 1, *range(len(names))) for i in range(30)]
+    df = spark.createDataFrame(rows, schema)
+    bench = spark.createDataFrame([(1, "some words that stand in no document")], "item_id long, text string")
+    for out in (quality.clean(df, quality.PRODUCTION), quality.clean(df, dataclasses.replace(quality.PRODUCTION, broadcast_lines=0)), minhash.keep_one(df), decontam.decontaminate(df, bench), mixing.mix(df)):
+        assert out.columns == df.columns
+        assert all(tuple(r)[5:] == tuple(range(len(names))) for r in out.collect())
