@@ -13,7 +13,9 @@ Only the number of groups of each size decides the cuts, so the driver gets
 one row per distinct group size: at most ``sqrt(2 * total bytes)`` rows, and
 never more than the largest group has bytes.  Ranks and offsets come from
 one global sort of (size, key, doc_id) rows plus one total per sorted
-partition; no shard or group is gathered into a task.
+partition; no shard or group is gathered into a task.  The keys of the cuts
+are looked up by row number among the sorted groups of the cuts' sizes: one
+row per shard.
 
 Cases: a null text has no bytes and counts as the empty text; a null doc_id
 is a row like others; repeated rows stay separate rows of one group; an
@@ -23,7 +25,7 @@ empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged, text_key
@@ -98,21 +100,13 @@ def assign(docs: DataFrame, shards: int = 40, overhead: int = OVERHEAD) -> DataF
     # groups in order: offsets of each sorted partition from its totals
     many = groups.where("copies > 1").select(F.col("key").alias("k"), "bytes")
     rows = slim.join(many, F.col("key") == F.col("k"), "left").withColumn("bytes", F.coalesce("bytes", "size"))
-    ordered = rows.repartitionByRange(F.desc("bytes"), "key", "doc_id").sortWithinPartitions(F.desc("bytes"), "key", "doc_id")
-    # the id counts up inside a partition; a partition's rows follow those of the one before
-    local = staged(ordered.select("doc_id", "size", "text_crc32", "bytes", "key", F.monotonically_increasing_id().alias("at")), "shard-order")
+    local, offset = _numbered(rows.select("doc_id", "size", "text_crc32", "bytes", "key"), (F.desc("bytes"), "key", "doc_id"), "shard-order")
     part, row = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-    totals = local.groupBy(part.alias("part")).agg(F.count("*").alias("rows"), F.min("at").alias("lo")).orderBy("part").collect()
-    before, offset = 0, []
-    for t in totals:
-        offset.append((t["part"], before))
-        before += t["rows"]
-    offsets = F.broadcast(spark.createDataFrame(offset, "p long, before long"))
+    offsets = F.broadcast(spark.createDataFrame([(p, before) for p, before, _ in offset], "p long, before long"))
     ranked = local.join(offsets, part == F.col("p")).withColumn("rank", F.col("before") + row)
 
     # a cut at group g is the key and size of that group: found by rank among groups
-    heads = groups.select("bytes", "key")
-    marks = _marks(heads, size, count, first, spark)
+    marks = _marks(groups.select("bytes", "key"), size, count, first)
     shard = F.lit(-1)
     for b, k in marks:
         if b is None:
@@ -127,44 +121,37 @@ def assign(docs: DataFrame, shards: int = 40, overhead: int = OVERHEAD) -> DataF
     )
 
 
-def _marks(heads: DataFrame, size: np.ndarray, count: np.ndarray, first: list[int], spark) -> list[tuple]:
+def _numbered(rows: DataFrame, order: tuple, name: str) -> tuple[DataFrame, list[tuple]]:
+    """``rows`` in global order, staged with a number ``at`` that counts up
+    inside each sorted partition, and (partition, rows before it, its rows):
+    a partition's rows follow those of the one before."""
+    local = staged(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), name)
+    before, offset = 0, []
+    for t in local.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count("*").alias("rows")).orderBy("part").collect():
+        offset.append((t["part"], before, t["rows"]))
+        before += t["rows"]
+    return local, offset
+
+
+def _marks(heads: DataFrame, size: np.ndarray, count: np.ndarray, first: list[int]) -> list[tuple]:
     """(bytes, key) of the first group of each shard; None for empty shards.
 
-    A cut falls into the groups of one size; its key is the r-th of them.
-    Keys are hashes, so the r-th is found by counting per key prefix and
-    sorting one prefix only.
+    The groups of the sizes that hold a cut are numbered in order, so a cut
+    is one row number: at most one row per shard reaches the driver.
     """
     count_sum = np.concatenate(([0], np.cumsum(count)))
-    wanted = []
-    for g in first:
-        if g >= int(count_sum[-1]):
-            wanted.append((None, None))
-            continue
-        run = int(np.searchsorted(count_sum, g, side="right")) - 1
-        wanted.append((int(size[run]), g - int(count_sum[run])))
-    some = sorted({b for b, _ in wanted if b is not None})
-    if not some:
-        return wanted
-    inside = heads.where(F.col("bytes").isin(some)).withColumn("prefix", F.substring("key", 1, 5))
-    counts: dict[int, list] = {}
-    for r in inside.groupBy("bytes", "prefix").count().orderBy("bytes", "prefix").collect():
-        counts.setdefault(r["bytes"], []).append((r["prefix"], r["count"]))
-    picks = []
-    for b, r in wanted:
-        if b is None:
-            continue
-        for prefix, n in counts[b]:
-            if r < n:
-                picks.append((b, prefix, r))
-                break
-            r -= n
-    keep = F.lit(False)
-    for b, prefix, _ in picks:
-        keep = keep | ((F.col("bytes") == b) & (F.col("prefix") == prefix))
-    ranks = inside.where(keep).withColumn("r", F.row_number().over(Window.partitionBy("bytes", "prefix").orderBy("key")) - 1)
-    hit = F.lit(False)
-    for b, prefix, r in picks:
-        hit = hit | ((F.col("bytes") == b) & (F.col("prefix") == prefix) & (F.col("r") == r))
-    key = {(x["bytes"], x["prefix"], x["r"]): x["key"] for x in ranks.where(hit).collect()}
-    found = iter([(b, key[b, prefix, r]) for b, prefix, r in picks])
-    return [(None, None) if b is None else next(found) for b, _ in wanted]
+    groups = int(count_sum[-1])
+    runs = {g: int(np.searchsorted(count_sum, g, side="right")) - 1 for g in first if g < groups}
+    if not runs:
+        return [(None, None)] * len(first)
+    held = sorted(set(runs.values()))
+    skipped = dict(zip(held, np.concatenate(([0], np.cumsum(count[held])))))  # staged groups of larger sizes
+    inside = heads.where(F.col("bytes").isin([int(size[r]) for r in held]))
+    local, offset = _numbered(inside, (F.desc("bytes"), "key"), "shard-cuts")
+    at = {}
+    for g, r in runs.items():
+        rank = int(skipped[r]) + g - int(count_sum[r])
+        part, before = next((p, lo) for p, lo, n in offset if lo <= rank < lo + n)
+        at[g] = (part << 33) + rank - before
+    found = {x["at"]: (x["bytes"], x["key"]) for x in local.where(F.col("at").isin(list(at.values()))).collect()}
+    return [found[at[g]] if g in at else (None, None) for g in first]

@@ -112,6 +112,18 @@ def test_shards(spark, odd, odd_rows, none):
         assert len(sizes) == shards
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_marks_are_the_groups_at_the_cuts(spark, seed):
+    """Cuts inside runs of equally large groups, at their borders and past the end."""
+    r = random.Random(seed)
+    groups = sorted(((r.choice((20, 50, 90)), f"{r.getrandbits(60):016x}") for _ in range(700)), key=lambda g: (-g[0], g[1]))
+    runs = sorted(Counter(b for b, _ in groups).items(), reverse=True)
+    first = sorted([0, runs[0][1], runs[0][1] - 1, *r.sample(range(700), 9), 700, 700])
+    heads = spark.createDataFrame(r.sample(groups, 700), "bytes long, key string").repartition(5)
+    got = shard._marks(heads, np.array([b for b, _ in runs]), np.array([n for _, n in runs]), first)
+    assert got == [groups[g] if g < 700 else (None, None) for g in first]
+
+
 def optimum(sizes, shards):
     """Smallest largest part over all contiguous partitions (dynamic programming)."""
     total = np.concatenate(([0], np.cumsum(sizes)))
