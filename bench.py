@@ -76,7 +76,7 @@ def main() -> None:
     ref_grid, ref_tick = GridSpec(40, 40), 518_400
     ref = timed(
         "fold_tiled_40x40_5000_steps",
-        lambda: tick_fold(spark, align(load_readings(spark, sf_dir, ref_grid), ref_tick, "avg"), ref_grid, FoldSpec(), ref_tick),
+        lambda: tick_fold(spark, align(load_readings(spark, sf_dir, ref_grid), ref_tick, "avg"), ref_grid, FoldSpec(), ref_tick, method="tiled"),
     )
     ref_steps = (ref.last_tick - ref.first_tick) // ref_tick + 1
     # a large grid: 1,000 x 1,000 cells, daily ticks over all readings

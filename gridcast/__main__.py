@@ -110,7 +110,8 @@ def main(argv: list[str] | None = None) -> int:
     f.add_argument("--events", action="store_true", help="input is an events table")
     f.add_argument("--out", required=True)
     f.add_argument("--results", default=None, help="also upsert (tick_index, x, y, temp) here")
-    f.add_argument("--method", choices=("tiled", "step"), default="tiled")
+    f.add_argument("--method", choices=("tiled", "step", "auto"), default="tiled",
+                   help="tiled: fewest jobs (a grid of up to 128 x 128 cells in one task); step: every step over all tasks; auto: step on such grids")
 
     s = sub.add_parser("stream", help="fold a stream of READINGS files")
     common(s)

@@ -588,7 +588,7 @@ def q_fold_fixed(spark, sf):
     f"{FOLD_BASE}{fold_sql('zero')}\nSELECT tick, i, j, {Q('u')} AS u_e6 FROM hist WHERE tick = (SELECT max(tick) FROM hist)",
 )
 def q_fold_final(spark, sf):
-    return _hist_q(_fold(spark, sf, "tiled").final(spark))
+    return _hist_q(_fold(spark, sf, "auto").final(spark))
 
 
 WITH_STATE_SQL = f"""{FOLD_BASE}{fold_sql('zero')}
@@ -598,7 +598,7 @@ WITH_STATE_SQL = f"""{FOLD_BASE}{fold_sql('zero')}
 
 @register("readings_with_state", WITH_STATE_SQL)
 def q_readings_with_state(spark, sf):
-    h = _fold(spark, sf, "tiled").history(spark)
+    h = _fold(spark, sf, "auto").history(spark)
     prev = h.select((F.col("tick") + F.lit(T)).alias("tick"), "i", "j", F.col("u").alias("u_prev"))
     a = _aligned(spark, sf, "last")
     return a.join(prev, ["tick", "i", "j"], "left").select(
@@ -711,7 +711,7 @@ SNAP_TICK_SQL = f"(SELECT min(tick) FROM avg_rows) + {SNAPSHOT_OFFSET_TICKS * T}
     FROM hist WHERE tick = {SNAP_TICK_SQL}""",
 )
 def q_snapshot(spark, sf):
-    res = _fold(spark, sf, "tiled")
+    res = _fold(spark, sf, "auto")
     s = snapshot_table(spark, res.path, res.first_tick + SNAPSHOT_OFFSET_TICKS * T, GRID)
     return s.select(
         "tick",
@@ -731,7 +731,7 @@ def q_snapshot(spark, sf):
     FROM hist WHERE tick BETWEEN {SNAP_TICK_SQL} AND {SNAP_TICK_SQL} + {(REPLAY_TICKS - 1) * T}""",
 )
 def q_replay(spark, sf):
-    res = _fold(spark, sf, "tiled")
+    res = _fold(spark, sf, "auto")
     a = res.first_tick + SNAPSHOT_OFFSET_TICKS * T
     r = replay_table(spark, res.path, a, a + (REPLAY_TICKS - 1) * T, GRID)
     first_stored = res.first_tick - T
@@ -757,7 +757,7 @@ LOOP_FRAMES, LOOP_START = 5, -2
 )
 def q_replay_loop(spark, sf):
     """A player that starts two ticks before the end and wraps to the start."""
-    res = _fold(spark, sf, "tiled")
+    res = _fold(spark, sf, "auto")
     n_stored = (res.last_tick - res.first_tick) // T + 2  # with the initial state
     r = replay_loop(spark, res.path, res.first_tick - T, n_stored, T, LOOP_START, LOOP_FRAMES, GRID)
     return r.select("frame", "tick", "i", "j", q6("temp").alias("temp_e6"))

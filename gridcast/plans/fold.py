@@ -16,6 +16,11 @@ to a tick-partitioned table, initial state included at ``first - T``):
   dense array in ``applyInPandas``, and only owned cells are kept (see
   :mod:`gridcast.plans.tiled`).
 
+``method="auto"``, the default, takes tiles wherever there are several.  A
+grid of one tile (up to 128 x 128 cells) is folded by the relational form, so
+that no task holds the whole grid; ``"tiled"`` can be asked for there: it is
+faster by the stage overhead of each step, on one core.
+
 Sources are the aligned readings; ticks without readings are steps with
 source 0.  The aligned rows are written once to the shared scratch area,
 partitioned by blocks of ticks; the tick range and the rows outside the grid
@@ -61,14 +66,22 @@ def plan_rounds(
     method: str,
     tile: tuple[int, int] | None = None,
     steps_per_round: int | None = None,
-) -> tuple[tuple[int, int], int]:
-    """Tile shape and steps per round (one job per round)."""
-    if method == "step":
-        return (grid.nx, grid.ny), max(1, min(n_steps, steps_per_round or CHAIN_STEPS))
-    if method != "tiled":
-        raise ValueError("method must be 'tiled' or 'step'")
+) -> tuple[str, tuple[int, int], int]:
+    """Method, tile shape and steps per round (one job per round).
+
+    ``"auto"`` takes tiles where the default tiles (or the caller's own) are
+    several, and the relational form on a grid that would be one tile: its
+    whole history would else be computed by one task.
+    """
+    if method not in ("auto", "tiled", "step"):
+        raise ValueError("method must be 'auto', 'tiled' or 'step'")
+    own = tile is not None
     tile = tile or tiled.default_tile(grid, spark.sparkContext.defaultParallelism)
-    return tile, tiled.round_length(grid, tile, steps_per_round, max(n_steps, 1))
+    if method == "auto":
+        method = "step" if not own and tile[0] >= grid.nx and tile[1] >= grid.ny else "tiled"
+    if method == "step":
+        return method, (grid.nx, grid.ny), max(1, min(n_steps, steps_per_round or CHAIN_STEPS))
+    return method, tile, tiled.round_length(grid, tile, steps_per_round, max(n_steps, 1))
 
 
 # Ticks per block of the staged sources, counted from time 0.
@@ -156,7 +169,7 @@ def tick_fold(
     out_path: str | None = None,
     initial: DataFrame | None = None,
     bounds: tuple[int, int] | None = None,
-    method: str = "tiled",
+    method: str = "auto",
     steps_per_round: int | None = None,
     tile: tuple[int, int] | None = None,
     include_initial: bool = True,
@@ -176,7 +189,7 @@ def tick_fold(
             return None
         first, last = bounds or (staged.first, staged.last)
         n_steps = (last - first) // tick_ms + 1
-        tile, k = plan_rounds(spark, grid, n_steps, method, tile, steps_per_round)
+        method, tile, k = plan_rounds(spark, grid, n_steps, method, tile, steps_per_round)
         sole = out_path is None  # a new table is filled in tick order by this fold alone
         out_path = out_path or scratch_path(spark, "fold")
         ensure_layout(spark, out_path, store_layout(first, tick_ms, k))
@@ -201,7 +214,7 @@ def advance(
     spec: FoldSpec,
     tick_ms: int,
     out_path: str,
-    method: str = "tiled",
+    method: str = "auto",
     tile: tuple[int, int] | None = None,
     k: int | None = None,
     sole: bool = False,
@@ -213,8 +226,8 @@ def advance(
     n_steps = (last_tick - prev_tick) // tick_ms
     if n_steps <= 0:
         return
-    if tile is None or k is None:
-        tile, k = plan_rounds(spark, grid, n_steps, method, tile, k)
+    if method == "auto" or tile is None or k is None:
+        method, tile, k = plan_rounds(spark, grid, n_steps, method, tile, k)
     ensure_layout(spark, out_path, store_layout(prev_tick + tick_ms, tick_ms, k))
     done = 0
     while done < n_steps:

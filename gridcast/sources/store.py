@@ -183,9 +183,6 @@ def stored_ticks(spark: SparkSession, path: str, column: str = "tick", check_com
     return sorted(out)
 
 
-MARKERS = "_progress"
-
-
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -213,48 +210,34 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def _markers(spark: SparkSession, path: str) -> list[int]:
-    jvm, p, fs = _fs(spark, f"{path}/{MARKERS}")
-    if not fs.exists(p):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(p)]
-    return sorted(int(n) for n in names if n.lstrip("-").isdigit())
-
-
-def write_marker(spark: SparkSession, path: str, tick: int) -> None:
-    """Record the newest folded tick next to the table.  Every marker is a
-    new file named by its tick; older ones go only once it is in place, so
-    at no moment is there none."""
-    older = [t for t in _markers(spark, path) if t < tick]
-    _write_text(spark, f"{path}/{MARKERS}/{int(tick)}", str(int(tick)))
-    for t in older:
-        _, p, fs = _fs(spark, f"{path}/{MARKERS}/{t}")
-        fs.delete(p, False)
-
-
-def read_marker(spark: SparkSession, path: str) -> int | None:
-    return max(_markers(spark, path), default=None)
-
-
-def latest_tick_before(spark: SparkSession, path: str, tick: int, tick_ms: int) -> int | None:
-    """Newest stored tick strictly before ``tick``, from the progress marker
-    (no listing of the table).  Every tick from the first one up to the
-    marker is stored, so a replayed batch (marker at or past ``tick``) reads
-    ``tick - T``.  Without a marker the stored blocks decide; None only for
-    a table that holds no tick before ``tick``, and a table that holds later
-    ticks alone is refused: it must not be started anew."""
-    marked = read_marker(spark, path)
-    if marked is not None:
-        return marked if marked < tick else tick - tick_ms
-    blocks = stored_ticks(spark, path, "tick_block")
-    if not blocks:
+def latest_tick_before(spark: SparkSession, path: str, tick: int, tick_ms: int, cells: int) -> int | None:
+    """Newest tick strictly before ``tick`` that is stored with all its
+    ``cells`` (a write that was cut short may leave fewer).
+
+    Mostly it is the tick before, in a block that is named to the reader.
+    After a gap the blocks are listed and the newest ones before ``tick`` are
+    looked into.  None only for a table that holds no tick at all: one that
+    holds later ticks alone is refused, it must not be started anew.
+    """
+    lay = read_layout(spark, path)
+    if lay is None:
         return None
-    lay = read_layout(spark, path) or PER_TICK
-    for b in reversed([b for b in blocks if b <= lay.block(tick - tick_ms)]):
-        found = spark.read.schema(STATE_DDL).option("basePath", path).parquet(f"{path}/tick_block={b}").where(F.col("tick") < F.lit(tick)).agg(F.max("tick")).first()[0]
+
+    def newest(lo: int, hi: int) -> int | None:
+        return read_ticks(spark, path, lo, hi).groupBy("tick").count().where(F.col("count") == F.lit(cells)).agg(F.max("tick")).first()[0]
+
+    before = tick - tick_ms
+    if newest(before, before) is not None:
+        return before
+    blocks = stored_ticks(spark, path, "tick_block", check_committed=False)
+    for b in reversed([b for b in blocks if b <= lay.block(before)]):
+        start = lay.origin + b * lay.span
+        found = newest(start, min(start + lay.span - lay.tick_ms, before))
         if found is not None:
             return int(found)
-    raise RuntimeError(f"{path} holds ticks but none before {tick}, and no progress marker")
+    if blocks:
+        raise RuntimeError(f"{path} holds ticks but no whole one before {tick}")
+    return None
 
 
 # --- results table: (tick_index, x, y, temp), key ((tick_index), x, y) -----

@@ -9,10 +9,14 @@ the tick-partitioned state table instead:
 3. it reads the newest stored state strictly before the first closed tick
    (or a zero grid), advances up to the last closed tick (ticks with no
    readings are steps with source 0) and merges those ticks into their
-   blocks of the state table; a progress marker records the newest tick.
-
-Replaying an epoch reads the same earlier state and rewrites the same
-partitions, so a restart from the checkpoint gives the same table.
+   blocks of the state table.
+
+Progress is Spark's checkpoint alone: which rows an epoch holds, and whether
+it was committed.  The table keeps no record beside its ticks.  A replayed
+epoch holds the same closed ticks, starts from the newest whole tick before
+the first of them and rewrites the same blocks; if it had ended half-way, the
+whole ticks it left before its first closed tick are steps with source 0 from
+a committed state, hence right, and those behind it are written again.
 """
 
 from __future__ import annotations
@@ -28,13 +32,11 @@ from gridcast.sources.store import (
     Layout,
     ensure_layout,
     latest_tick_before,
-    read_marker,
     read_tick,
     read_ticks,
     to_results,
     upsert_by_key,
     upsert_results,
-    write_marker,
     write_tick,
 )
 
@@ -51,7 +53,7 @@ def fold_batch_fn(
     tick_ms: int,
     state_path: str,
     stage_root: str,
-    method: str = "tiled",
+    method: str = "auto",
     tile: tuple[int, int] | None = None,
     steps_per_round: int | None = None,
     results_path: str | None = None,
@@ -73,16 +75,13 @@ def fold_batch_fn(
             if staged.first is None:
                 return
             first, last = staged.first, staged.last
-            prev = latest_tick_before(spark, state_path, first, tick_ms)
+            prev = latest_tick_before(spark, state_path, first, tick_ms, grid.n_cells)
             if prev is None:
                 prev = first - tick_ms
                 ensure_layout(spark, state_path, Layout(first, tick_ms, STREAM_BLOCK_TICKS))
                 write_tick(densify_state(spark, None, grid), state_path, prev, sole=True)  # new table
             state = read_tick(spark, state_path, prev)
             advance(spark, state, prev, last, staged.read, grid, spec, tick_ms, state_path, method, tile, steps_per_round)
-            marked = read_marker(spark, state_path)
-            if marked is None or marked < last:
-                write_marker(spark, state_path, last)
         finally:
             staged.drop()
         if results_path is not None:
@@ -154,7 +153,7 @@ def stream_tick_fold(
     dup: str = "last",
     trigger: str | None = None,
     results_path: str | None = None,
-    method: str = "tiled",
+    method: str = "auto",
     rejects: str | None = None,
 ):
     """Start the streaming tick fold over a READINGS stream.

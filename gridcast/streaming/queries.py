@@ -226,10 +226,7 @@ def stream_fold_hopping(spark, sf):
 
 def stream_restart(spark, sf):
     """The streaming fold over four time slices of the readings: two arrive,
-    the query ends, the progress marker is lost, the others arrive and the
-    query starts again from its checkpoint."""
-    from gridcast.sources.store import MARKERS, drop_scratch
-
+    the query ends, the others arrive and it starts again from its checkpoint."""
     folder, state, ckpt = (scratch_path(spark, f"restart-{x}") for x in ("in", "state", "ckpt"))
     rows = with_tick(load_readings(spark, sf, GRID), T)
     first, last = rows.agg(F.min("tick"), F.max("tick")).first()
@@ -239,8 +236,6 @@ def stream_restart(spark, sf):
         if n % 2:
             q = stream_tick_fold(spark, stream_readings(spark, folder), GRID, FoldSpec(coeff=C), T, DELAY, state, ckpt, dup="avg")
             run(q)
-            if n == 1:
-                drop_scratch(spark, f"{state}/{MARKERS}")
     return read_states(spark, state).select("tick", "i", "j", q6("u").alias("u_e6"))
 
 

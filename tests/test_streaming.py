@@ -202,36 +202,30 @@ def test_stream_fold_fills_gap_ticks_between_batches(spark, tmp_dir):
     assert streamed == want
 
 
-def test_a_lost_marker_neither_restarts_nor_loses_ticks(spark, tmp_dir):
-    """The marker vanishes between two batches, as after a crash."""
-    import shutil
-
-    from gridcast.sources.store import MARKERS, read_marker
+def test_a_half_written_tick_is_not_a_state_to_start_from(spark, tmp_dir):
+    """An epoch ended after a part of its ticks, and of one tick's cells, was
+    written: its replay starts from the newest whole tick."""
+    from gridcast.sources.store import latest_tick_before, write_states
 
     g, spec, path = GridSpec(4, 4), FoldSpec(), f"{tmp_dir}/state"
     fn = fold_batch_fn(spark, g, spec, 100, path, f"{tmp_dir}/stage")
     ddl = "tick long, i int, j int, f double"
     fn(spark.createDataFrame([(100, 1, 1, 8.0), (200, 2, 2, 4.0)], ddl), 0)
-    assert read_marker(spark, path) == 200
-    shutil.rmtree(f"{path}/{MARKERS}")
-    fn(spark.createDataFrame([(300, 1, 1, 1.0)], ddl), 1)
-    fn(spark.createDataFrame([(300, 1, 1, 1.0)], ddl), 1)  # the epoch again
-    want = tick_fold(spark, spark.createDataFrame([(100, 1, 1, 8.0), (200, 2, 2, 4.0), (300, 1, 1, 1.0)], ddl), g, spec, 100).history(spark)
+    write_states(spark.createDataFrame([(400, 1, 1, 99.0)], "tick long, i int, j int, u double"), path, 400, 400)
+    assert latest_tick_before(spark, path, 500, 100, g.n_cells) == 200
+    for _ in range(2):  # and the epoch again
+        fn(spark.createDataFrame([(500, 1, 1, 1.0)], ddl), 1)
+    want = tick_fold(spark, spark.createDataFrame([(100, 1, 1, 8.0), (200, 2, 2, 4.0), (500, 1, 1, 1.0)], ddl), g, spec, 100).history(spark)
     rows = lambda df: sorted((r.tick, r.i, r.j, round(r.u, 9)) for r in df.collect())
     assert rows(read_states(spark, path)) == rows(want)
-    assert read_marker(spark, path) == 300
+    assert sorted(os.listdir(path)) == sorted(x for x in os.listdir(path) if x.startswith(("tick_block=", "_layout", "._layout", "_SUCCESS", "._SUCCESS")))
 
 
 def test_a_table_with_only_later_ticks_is_not_started_anew(spark, tmp_dir):
-    import shutil
-
     import pytest
 
-    from gridcast.sources.store import MARKERS
-
     fn = fold_batch_fn(spark, GridSpec(4, 4), FoldSpec(), 100, f"{tmp_dir}/state", f"{tmp_dir}/stage")
     ddl = "tick long, i int, j int, f double"
     fn(spark.createDataFrame([(5000, 1, 1, 8.0)], ddl), 0)
-    shutil.rmtree(f"{tmp_dir}/state/{MARKERS}")
     with pytest.raises(RuntimeError):
         fn(spark.createDataFrame([(100, 1, 1, 8.0)], ddl), 1)
