@@ -60,9 +60,11 @@ from gridcast.operators import (
     reading_bounds,
     window_mean,
 )
+from gridcast.plans.changes import replay_changes, write_changes
 from gridcast.plans.fold import tick_fold
 from gridcast.plans.serve import replay_loop, replay_table, snapshot_table
 from gridcast.sources.bucketed import bucketed, merge_halo_bucketed, with_state
+from gridcast.sources.cells import history_of_rectangle, write_cells
 from gridcast.sources.readings import (
     grid_scaffold,
     load_readings,
@@ -763,6 +765,41 @@ def q_replay_loop(spark, sf):
     return r.select("frame", "tick", "i", "j", q6("temp").alias("temp_e6"))
 
 
+KEY_EVERY = 4
+
+
+@register(
+    "replay_changes",
+    f"""{FOLD_BASE}{fold_sql('zero')}
+    SELECT tick, i, j, {Q('u')} AS temp_e6
+    FROM hist WHERE tick BETWEEN {SNAP_TICK_SQL} AND {SNAP_TICK_SQL} + {(REPLAY_TICKS - 1) * T}""",
+)
+def q_replay_changes(spark, sf):
+    """The replay from a table of keyframes and changes."""
+    res = _fold(spark, sf, "auto")
+    path, origin = scratch_path(spark, "changes"), res.first_tick - T
+    write_changes(res.history(spark), path, T, KEY_EVERY, origin)
+    a = res.first_tick + SNAPSHOT_OFFSET_TICKS * T
+    r = replay_changes(spark, path, a, min(a + (REPLAY_TICKS - 1) * T, res.last_tick), GRID, T, KEY_EVERY, origin)
+    return r.select("tick", "i", "j", q6("temp").alias("temp_e6"))
+
+
+RECTANGLE = ((3, 8), (2, 5))
+
+
+@register(
+    "history_of_rectangle",
+    f"""{FOLD_BASE}{fold_sql('zero')}
+    SELECT tick, i, j, {Q('u')} AS u_e6 FROM hist
+    WHERE i BETWEEN {RECTANGLE[0][0]} AND {RECTANGLE[0][1]} AND j BETWEEN {RECTANGLE[1][0]} AND {RECTANGLE[1][1]}""",
+)
+def q_history_of_rectangle(spark, sf):
+    """All ticks of a rectangle of cells from the copy laid out by cells."""
+    path = scratch_path(spark, "cells")
+    write_cells(_fold(spark, sf, "auto").history(spark), path, T, side=4, span_ticks=16)
+    return _hist_q(history_of_rectangle(spark, path, *RECTANGLE, T, side=4, span_ticks=16))
+
+
 # ------------------------------------------------------------- halo, merge
 
 

@@ -25,6 +25,7 @@ from gridcast.sources.store import read_states
 from gridcast.streaming.fold import fold_batch_fn, keyed_batch_fn, latest_batch_fn, poll_batch_fn, stream_tick_fold, tee_batch_fn
 from gridcast.streaming.joins import range_join_stream
 from gridcast.streaming.late import LateFold
+from gridcast.streaming.metrics import METRICS_DDL, PollListener, observed
 from gridcast.streaming.sinks import run, to_batches, to_files
 from gridcast.streaming.source import delay, stream_events, stream_readings, with_event_time
 from gridcast.streaming.tables import merge_halo_stream, rocksdb
@@ -204,6 +205,27 @@ def stream_poll(spark, sf):
     return polled.groupBy("tick").agg(F.sum("n_readings").alias("n_readings"))
 
 
+def stream_poll_metrics(spark, sf):
+    """Input rows, observed rows and times, and rows that the watermark
+    dropped, over all polls of a stream of closed ticks."""
+    listener = PollListener()
+    spark.streams.addListener(listener)
+    try:
+        rows = closed_ticks(observed(stream_events(spark, sf, GRID)), T, DELAY, "avg")
+        out, ckpt, saved = (scratch_path(spark, f"metrics-{x}") for x in ("out", "ckpt", "table"))
+        listener.wait(run(to_files(rows, out, ckpt)))
+        listener.save(spark, saved)
+    finally:
+        spark.streams.removeListener(listener)
+    return spark.read.schema(METRICS_DDL).parquet(saved).agg(
+        F.sum("n_input").alias("n_input"),
+        F.sum("n_readings").alias("n_readings"),
+        F.min("first_time").alias("first_time"),
+        F.max("last_time").alias("last_time"),
+        F.sum("n_dropped").alias("n_dropped"),
+    )
+
+
 def stream_fold(spark, sf):
     state = scratch_path(spark, "stream-fold-state")
     q = stream_tick_fold(
@@ -305,6 +327,11 @@ def stream_queries(base, fold_base, fold_sql, window_sql, halo_sql, q, x, stripe
             f"""{base} SELECT tick, i, j, f, CAST({stripe('i')} AS INTEGER) AS stripe FROM last_rows WHERE tick <= {closed}""",
         ),
         "stream_poll": (stream_poll, f"{base} SELECT tick, count(*) AS n_readings FROM ticked GROUP BY tick"),
+        "stream_poll_metrics": (
+            stream_poll_metrics,
+            f"""{base} SELECT count(*) AS n_input, count(*) AS n_readings, min(time) AS first_time, max(time) AS last_time,
+            CAST(0 AS BIGINT) AS n_dropped FROM readings""",
+        ),
         "stream_store_results": (
             stream_store_results,
             f"""{fold_base}{fold_sql('zero', 'avg_rows', f'b.t1 - {DELAY}')}
