@@ -48,6 +48,8 @@ from .common import staged
 BLOCK = 2000
 FILE_BYTES = 1 << 30
 READ_BYTES = 4 << 20
+#: Archived bytes that one task reads back.
+TASK_BYTES = 64 << 20
 LEVEL = 4
 DATE = "2024-01-01T00:00:00Z"
 
@@ -285,8 +287,15 @@ def _read(root: str):
 
 
 def read_records(captures: DataFrame, root: str) -> DataFrame:
-    """Rows of RECORD, read by range from the archives under ``root``."""
-    return captures.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset").mapInArrow(_read(root), RECORD)
+    """Rows of RECORD, read by range from the archives under ``root``.
+
+    Capture rows are small and the records behind them are not, so the number
+    of tasks follows from the bytes to read; ``captures`` is read twice and
+    should be a staged table."""
+    order = ["file", "offset"]
+    total = captures.agg(F.sum("length")).first()[0] or 0
+    tasks = max(captures.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    return captures.repartitionByRange(tasks, *order).sortWithinPartitions(*order).mapInArrow(_read(root), RECORD)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
