@@ -79,6 +79,8 @@ def plan_rounds(
     tile = tile or tiled.default_tile(grid, spark.sparkContext.defaultParallelism)
     if method == "auto":
         method = "step" if not own and tile[0] >= grid.nx and tile[1] >= grid.ny else "tiled"
+        if method == "step":  # a long round of tiles would be a long plan
+            steps_per_round = min(steps_per_round or CHAIN_STEPS, CHAIN_STEPS)
     if method == "step":
         return method, (grid.nx, grid.ny), max(1, min(n_steps, steps_per_round or CHAIN_STEPS))
     return method, tile, tiled.round_length(grid, tile, steps_per_round, max(n_steps, 1))

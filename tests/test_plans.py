@@ -163,7 +163,7 @@ def test_no_task_holds_a_whole_grid_unless_asked_to(spark, monkeypatch):
     rows = spark.createDataFrame([(100 * t, t % 12, t % 8, 1.0) for t in range(1, 4)], "tick long, i int, j int, f double")
     plans = _written_plans(spark, monkeypatch, lambda: tick_fold(spark, rows, G, FoldSpec(), 100))
     assert not any("FlatMapGroupsInPandas" in p for p in plans)
-    assert plan_rounds(spark, GridSpec(40, 40), 5000, "auto")[0] == "step"
+    assert plan_rounds(spark, GridSpec(40, 40), 5000, "auto", steps_per_round=500) == ("step", (40, 40), 8)
     assert plan_rounds(spark, GridSpec(1000, 1000), 30, "auto")[0] == "tiled"
     assert plan_rounds(spark, G, 30, "auto", tile=(6, 4), steps_per_round=2) == ("tiled", (6, 4), 2)
     assert plan_rounds(spark, G, 30, "tiled")[0] == "tiled"
