@@ -22,6 +22,7 @@ from gridcast.operators.align import align_windows, latest_per_cell, with_tick
 from gridcast.operators.halo import halo_rows
 from gridcast.sources.readings import load_readings
 from gridcast.sources.store import read_states
+from gridcast.streaming.blocks import BlockFold
 from gridcast.streaming.fold import fold_batch_fn, keyed_batch_fn, latest_batch_fn, poll_batch_fn, stream_tick_fold, tee_batch_fn
 from gridcast.streaming.joins import range_join_stream
 from gridcast.streaming.late import LateFold
@@ -180,6 +181,25 @@ def stream_late_fold(spark, sf):
     return fold.history().select("tick", "i", "j", q6("u").alias("u_e6"))
 
 
+def stream_block_fold(spark, sf):
+    """The fold with its state per block in Spark's state store: four blocks
+    that exchange halo rows every four ticks, over four time slices of the
+    readings, stopped and started again after two."""
+    folder, out, ckpt = (scratch_path(spark, f"blocks-{x}") for x in ("in", "out", "ckpt"))
+    rows = with_tick(load_readings(spark, sf, GRID), T)
+    first, last = rows.agg(F.min("tick"), F.max("tick")).first()
+    if first is None:
+        return spark.createDataFrame([], "tick long, i int, j int, u_e6 long")
+    part = F.least(F.floor((F.col("tick") - F.lit(first)) * F.lit(4) / F.lit(last - first + 1)), F.lit(3))
+    fold = BlockFold(spark, out, GRID, FoldSpec(coeff=C), T, first, steps=4, tile=(-(-NX // 2), -(-NY // 2)))
+    fold.seed()
+    for n in range(4):
+        rows.where(part == n).drop("tick").coalesce(1).write.mode("append").parquet(folder)
+        if n % 2:
+            fold.drain(stream_readings(spark, folder, max_files=1), ckpt, DELAY, "avg")
+    return fold.history().select("tick", "i", "j", q6("u").alias("u_e6"))
+
+
 def stream_tee(spark, sf):
     out, halo = scratch_path(spark, "tee-out"), scratch_path(spark, "tee-halo")
     s = closed_ticks(stream_events(spark, sf, GRID), T, DELAY, "last")
@@ -318,6 +338,10 @@ def stream_queries(base, fold_base, fold_sql, window_sql, halo_sql, q, x, stripe
             stream_late_fold,
             f"{fold_base}{fold_sql('zero', 'avg_rows', f'b.t1 - {DELAY}')}\nSELECT tick, i, j, {q('u')} AS u_e6 FROM hist",
         ),
+        "stream_block_fold": (
+            stream_block_fold,
+            f"{fold_base}{fold_sql('zero', 'avg_rows', f'b.t1 - {DELAY}')}\nSELECT tick, i, j, {q('u')} AS u_e6 FROM hist",
+        ),
         "stream_tee": (
             stream_tee,
             f"""{base}, l AS (SELECT * FROM last_rows WHERE tick <= {closed}) {halo_sql('l')}""",
