@@ -1,15 +1,22 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Small transducers run one after the other over the tokens of a clause: one
-tags insults, threats, targets, negations and reporting words; then negation,
-reported speech and target each rewrite the tags in their scope.  A clause
-scores by the weights of the insults and threats on its path and by the tags
-they ended with, not by isolated words.  Clauses without a core (insult or
-threat) score nothing, so only clauses around a core are run.
+Transducers are tables of states: from a state and a tag, an arc leads to a
+next state, an output tag and a weight.  A first transducer tags the tokens of
+a clause as insults, threats, targets, negations, reporting words and turns
+("but"); the others rewrite the tags: negation and reported speech reach from
+their word to a turn or the clause's end, a target aims insults and threats up
+to four tokens behind it, and the same machine run from the right those before
+it.  The machines that read from the left are composed into one table, which
+is run once over a clause.  Weights of insults and threats are multiplied by
+the arcs on their path and summed by the tag they ended with, so that matched
+clauses score, not isolated words.  Clauses without a core (insult or threat)
+score nothing, so only clauses around a core are run.
 
 Insults, as whole words or stems (``lowe*``), and their weights are learned
 from the labelled rows: log odds of the share of toxic and clean texts that
-hold them.  A logistic regression on the clause sums turns the tags into a
+hold them.  Threats are learned in the same way, as words between an intent
+("will", "threatened to") and a target, beside a short list.  A logistic
+regression on the clause sums turns the tags into a
 score.  At most about ``sample_rows`` labelled rows are used, chosen by a
 hash of their id; every document is scored on its whole text.
 
@@ -46,15 +53,25 @@ MAX_LEXICON = 2000
 STEMS = (4, 5, 6, 7, 8)
 FOLDS = 5
 
-#: Function words of the grammar in four languages.
+#: Function words of the grammar in four languages (fixed values).
 THREATS = frozenset("kill killing hurt destroy murder strangle umbringen töten schlagen tuer frapper matar golpear".split())
 TARGETS = frozenset("you your yours yourself u he she him her they them du dich dir euch ihr sie tu toi te vous il elle ils elles tú ti usted él ella ellos ellas".split())
 NEGATIONS = frozenset("not no never nobody nicht kein keine keinen nie ne pas jamais nunca jamás ni".split())
 REPORTS = frozenset("said says say wrote writes called calls quoted sagte sagt schrieb nannte dit écrit appelle dijo dice escribió llamó".split())
-NEGATION_SCOPE = 3
+TURNS = frozenset("but yet though although however aber doch sondern jedoch mais cependant pourtant pero sino aunque".split())
+INTENTS = frozenset("will ll gonna going want wants threaten threatens threatened werde wird will drohte vais va menace voy amenaza amenazó".split())
 TARGET_SCOPE = 4
+INTENT_SCOPE = 3
 FEATURES = ("plain", "aimed", "negated", "reported", "threat", "best", "clauses")
 
+#: What the first transducer writes, and what the others may add.
+TAGS = ("", "insult", "threat", "target", "negation", "report", "turn")
+REWRITTEN = ("negated", "reported", "aimed", "menace")
+CORES = ("insult", "threat")
+#: Feature that the final tag of a token counts for; a threat that is aimed at
+#: nobody counts for none.
+FINAL = {"insult": "plain", "aimed": "aimed", "negated": "negated", "reported": "reported", "menace": "threat"}
+
 TOKEN = re.compile(r"\w+")
 IN_TOKEN = np.zeros(256, bool)
 IN_TOKEN[0x30:0x3A] = IN_TOKEN[0x41:0x5B] = IN_TOKEN[0x61:0x7B] = IN_TOKEN[0x5F] = True
@@ -64,10 +81,11 @@ ENDS_CLAUSE[list(b".!?;:\n|")] = True
 
 @dataclass(frozen=True)
 class Lexicon:
-    """Insult weights by whole word and by stem."""
+    """Insult weights by whole word and by stem; threat weights by word."""
 
     words: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
+    threats: dict[str, float] = field(default_factory=dict)
 
     def weight(self, token: str) -> float:
         found = self.words.get(token, 0.0)
@@ -76,66 +94,98 @@ class Lexicon:
         return found
 
 
+    def threat(self, token: str) -> float:
+        return self.threats.get(token, 1.0 if token in THREATS else 0.0)
+
+    def core(self, token: str) -> bool:
+        return bool(self.threat(token) or self.weight(token))
+
+
+@dataclass(frozen=True)
+class Transducer:
+    """Letter transducer that reads every tag in every state.
+
+    ``arcs[state, tag]`` is (next state, output tag, weight); state 0 starts."""
+
+    states: int
+    arcs: dict[tuple[int, str], tuple[int, str, float]]
+
+    def run(self, tags: list[tuple[str, float]]) -> list[tuple[str, float]]:
+        state, out = 0, []
+        for name, w in tags:
+            state, name, by = self.arcs[state, name]
+            out.append((name, w * by))
+        return out
+
+    def then(self, other: Transducer) -> Transducer:
+        """Composition: one machine that does what this one and then
+        ``other`` would do; states that cannot be reached are left out."""
+        number, todo, arcs = {(0, 0): 0}, [(0, 0)], {}
+        for p, q in todo:
+            for tag in (*TAGS, *REWRITTEN):
+                p2, mid, w = self.arcs[p, tag]
+                q2, out, by = other.arcs[q, mid]
+                if (p2, q2) not in number:
+                    number[p2, q2] = len(number)
+                    todo.append((p2, q2))
+                arcs[number[p, q], tag] = (number[p2, q2], out, w * by)
+        return Transducer(len(number), arcs)
+
+
+def _machine(states: int, arc) -> Transducer:
+    return Transducer(states, {(s, t): arc(s, t) for s in range(states) for t in (*TAGS, *REWRITTEN)})
+
+
+def scope(opens: str, becomes: str) -> Transducer:
+    """Cores between the tag ``opens`` and a turn or the end are rewritten."""
+    return _machine(2, lambda s, t: (1 if t == opens else 0 if t == "turn" else s, becomes if s and t in CORES else t, 1.0))
+
+
+def near(opens: str, reach: int, becomes: dict[str, str]) -> Transducer:
+    """Cores up to ``reach`` tokens behind the tag ``opens`` are rewritten."""
+    return _machine(reach + 1, lambda s, t: (reach if t == opens else max(s - 1, 0), becomes.get(t, t) if s else t, 1.0))
+
+
+NEGATE = scope("negation", "negated")
+REPORT = scope("report", "reported")
+AIM = near("target", TARGET_SCOPE, {"insult": "aimed", "threat": "menace"})
+#: The grammar: one machine from the left, one from the right.
+FROM_LEFT = NEGATE.then(REPORT).then(AIM)
+FROM_RIGHT = AIM
+
+
 def tag(tokens: list[str], lexicon: Lexicon) -> list[tuple[str, float]]:
-    """First transducer: a tag and a weight for each token."""
+    """First transducer (one state): a tag and a weight for each token."""
     out = []
     for t in tokens:
         if w := lexicon.weight(t):
             out.append(("insult", w))
-        elif t in THREATS:
-            out.append(("threat", 1.0))
+        elif w := lexicon.threat(t):
+            out.append(("threat", w))
         elif t in TARGETS:
             out.append(("target", 0.0))
         elif t in NEGATIONS:
             out.append(("negation", 0.0))
         elif t in REPORTS:
             out.append(("report", 0.0))
+        elif t in TURNS:
+            out.append(("turn", 0.0))
         else:
             out.append(("", 0.0))
     return out
 
 
-def negate(tags: list[tuple[str, float]]) -> list[tuple[str, float]]:
-    """Cores within the scope of a negation become negated."""
-    left, out = 0, []
-    for name, w in tags:
-        out.append(("negated" if left and name in ("insult", "threat") else name, w))
-        left = NEGATION_SCOPE if name == "negation" else max(left - 1, 0)
-    return out
-
-
-def report(tags: list[tuple[str, float]]) -> list[tuple[str, float]]:
-    """Insults behind a reporting word, up to the clause's end, are reported."""
-    open_, out = False, []
-    for name, w in tags:
-        open_ = open_ or name == "report"
-        out.append(("reported" if open_ and name == "insult" else name, w))
-    return out
-
-
-def aim(tags: list[tuple[str, float]]) -> list[tuple[str, float]]:
-    """Insults near a target are aimed; threats count only near a target."""
-    at = [i for i, (name, _) in enumerate(tags) if name == "target"]
-    out, j = [], 0
-    for i, (name, w) in enumerate(tags):
-        while j < len(at) and at[j] < i - TARGET_SCOPE:
-            j += 1
-        near = j < len(at) and at[j] <= i + TARGET_SCOPE
-        if name == "insult" and near:
-            name = "aimed"
-        elif name == "threat" and not near:
-            name, w = "", 0.0
-        out.append((name, w))
-    return out
+def rewrite(tags: list[tuple[str, float]]) -> list[tuple[str, float]]:
+    """The composed grammar over the tags of a clause."""
+    return FROM_RIGHT.run(FROM_LEFT.run(tags)[::-1])[::-1]
 
 
 def clause(tokens: list[str], lexicon: Lexicon) -> np.ndarray:
     """Sums of a clause's weights by final tag (FEATURES)."""
     out = np.zeros(len(FEATURES))
-    for name, w in aim(report(negate(tag(tokens, lexicon)))):
-        name = "plain" if name == "insult" else name
-        if w and name in FEATURES:
-            out[FEATURES.index(name)] += w
+    for name, w in rewrite(tag(tokens, lexicon)):
+        if w and name in FINAL:
+            out[FEATURES.index(FINAL[name])] += w
     if out.any():
         out[5] = out[:5].max()
         out[6] = 1.0
@@ -188,7 +238,7 @@ class Grammar:
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
         self.table = np.zeros(1 << 16, bool)
-        entries = [*lexicon.words, *lexicon.stems, *THREATS]
+        entries = [*lexicon.words, *lexicon.stems, *lexicon.threats, *THREATS]
         raw = [x.encode()[:4] for x in entries]
         if raw:
             code = np.array([int.from_bytes(x.ljust(4, b"\0"), "little") for x in raw], np.uint32)
@@ -214,7 +264,7 @@ class Grammar:
             seen = set()
             for h in hit.tolist():
                 token = data[start[h] : end[h]].tobytes().decode()
-                if not (self.lexicon.weight(token) or token in THREATS):
+                if not self.lexicon.core(token):
                     continue
                 c = int(np.searchsorted(cut, start[h], side="right"))
                 doc = int(np.searchsorted(t.off, start[h], side="right")) - 1
@@ -245,9 +295,16 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataF
 
 
 def _forms(text: str) -> set[str]:
-    """Whole words (``=word``) and stems (``stem*``) of a text."""
-    tokens = {t for t in TOKEN.findall(text.lower()) if len(t) >= 3 and not t.isdigit()}
-    return {f"={t}" for t in tokens} | {f"{t[:n]}*" for t in tokens for n in STEMS if len(t) >= n}
+    """Whole words (``=word``), stems (``stem*``) and words between an intent
+    and a target (``!word``) of a text."""
+    every = TOKEN.findall(text.lower())
+    tokens = {t for t in every if len(t) >= 3 and not t.isdigit()}
+    out = {f"={t}" for t in tokens} | {f"{t[:n]}*" for t in tokens for n in STEMS if len(t) >= n}
+    for at in (i for i, t in enumerate(every) if t in INTENTS):
+        for i in range(at + 1, min(at + 1 + INTENT_SCOPE, len(every))):
+            if every[i] in tokens and not TARGETS.isdisjoint(every[i + 1 : i + 1 + INTENT_SCOPE]):
+                out.add(f"!{every[i]}")
+    return out
 
 
 def _emit_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,7 +331,7 @@ def _evidence(n: int, m: int, bad: int, good: int) -> float:
 
 
 def learn_lexicon(rows: DataFrame, min_support: int = MIN_SUPPORT, max_size: int = MAX_LEXICON) -> Lexicon:
-    """Insults from labelled rows (``text, toxic``)."""
+    """Insults and threats from labelled rows (``text, toxic``)."""
     spark = rows.sparkSession
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = sizes.get(True, 0), sizes.get(False, 0)
@@ -290,7 +347,8 @@ def learn_lexicon(rows: DataFrame, min_support: int = MIN_SUPPORT, max_size: int
     odds = {f: float(np.log((n + 0.5) / (bad + 1)) - np.log((misses.get(f, 0) + 0.5) / (good + 1))) for f, n in hits.items()}
     sure = {f: _evidence(n, misses.get(f, 0), bad, good) for f, n in hits.items() if odds[f] >= MIN_LOG_ODDS}
     best = sorted((f for f in sure if sure[f] >= MIN_EVIDENCE), key=lambda f: (-sure[f], f))[:max_size]
-    return Lexicon({f[1:]: odds[f] for f in best if f[0] == "="}, {f[:-1]: odds[f] for f in best if f[0] != "="})
+    words, threats = ({f[1:]: odds[f] for f in best if f[0] == mark} for mark in "=!")
+    return Lexicon(words, {f[:-1]: odds[f] for f in best if f[0] not in "=!"}, threats)
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> np.ndarray:
@@ -323,7 +381,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[
     """The lexicon and the weights of the clause sums."""
     chosen = staged(sample(docs, labels, rows), "toxic-sample")
     lexicon = learn_lexicon(chosen)
-    if not lexicon.words and not lexicon.stems:
+    if not lexicon.words and not lexicon.stems and not lexicon.threats:
         return lexicon, np.array([-2.0, *[0.0] * len(FEATURES)])
     # bounded by the sample: a few numbers per row
     seen = chosen.mapInArrow(_emit_features(lexicon), "toxic boolean, " + ", ".join(f"{f} double" for f in FEATURES)).toPandas()

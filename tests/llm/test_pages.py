@@ -2,10 +2,13 @@
 
 import base64
 import hashlib
+import itertools
+import random
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from gridcast.config import scratch_path
@@ -123,6 +126,62 @@ def test_toxicity_edges(spark, odd, none):
     assert toxicity.score(none, labels).count() == 0
 
 
+def test_toxicity_clauses():
+    lexicon = toxicity.Lexicon({"idiot": 4.0}, {}, {"shoot": 2.0, "burn": 2.5})
+    f = lambda text: dict(zip(toxicity.FEATURES, toxicity.clause(text.split(), lexicon), strict=True))
+    assert f("you do not have to be an idiot")["negated"] == 4
+    two = f("they said he is an idiot but you are an idiot")
+    assert two["reported"] == 4 and two["aimed"] == 4
+    assert f("i will shoot you")["threat"] == 2 and not any(f("i will shoot the scene").values())
+    assert f("he threatened to burn your house")["threat"] == 2.5
+    assert f("she wrote that he will burn your house")["reported"] == 2.5
+    assert f("no one will shoot you")["negated"] == 2
+
+
+def _tags_by_definition(tags):
+    """The final tag of every token, from what stands around it."""
+    out = []
+    for i, t in enumerate(tags):
+        since = max((k + 1 for k in range(i) if tags[k] == "turn"), default=0)
+        if t in ("insult", "threat"):
+            near = any(tags[k] == "target" for k in range(max(i - 4, 0), min(i + 5, len(tags))))
+            if "negation" in tags[since:i]:
+                t = "negated"
+            elif "report" in tags[since:i]:
+                t = "reported"
+            elif near:
+                t = {"insult": "aimed", "threat": "menace"}[t]
+        out.append(t)
+    return out
+
+
+def test_toxicity_grammar_equals_its_definition():
+    """Every sequence of up to five tags, and random long ones; the composed
+    machine does what its parts do one after the other."""
+    rng = random.Random(8)
+    some = [[*t] for n in range(6) for t in itertools.product(toxicity.TAGS, repeat=n)]
+    some += [rng.choices(toxicity.TAGS, k=rng.randrange(6, 60)) for _ in range(3000)]
+    for tags in some:
+        weighted = [(t, float(i + 1)) for i, t in enumerate(tags)]
+        got = toxicity.rewrite(weighted)
+        assert [t for t, _ in got] == _tags_by_definition(tags)
+        assert [w for _, w in got] == [w for _, w in weighted]
+        apart = toxicity.AIM.run(toxicity.REPORT.run(toxicity.NEGATE.run(weighted)))
+        assert toxicity.FROM_LEFT.run(weighted) == apart
+    doubled = toxicity._machine(1, lambda s, t: (0, t, 2.0))
+    assert doubled.then(doubled).run([("insult", 1.5)]) == [("insult", 6.0)]
+    assert toxicity.FROM_LEFT.states <= toxicity.NEGATE.states * toxicity.REPORT.states * toxicity.AIM.states
+
+
+def test_toxicity_learns_threats(spark):
+    rows = [(f"so i will {'smash' if bad else 'greet'} you tomorrow {i}", bad) for i in range(60) for bad in (True, False)]
+    rows += [(f"they smash the nuts {i}", False) for i in range(60)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic boolean"))
+    assert "smash" in lexicon.threats and "greet" not in lexicon.threats
+    grammar = toxicity.Grammar(toxicity.Lexicon(threats=lexicon.threats))
+    assert grammar.features(pa.array(["I will SMASH you", "smash the nuts"]))[:, 4].tolist() == [pytest.approx(np.log1p(lexicon.threats["smash"])), 0]
+
+
 def test_toxicity_beside_non_ascii_punctuation():
     """Each mark in front of and behind a lexicon word: scored as if apart."""
     grammar = toxicity.Grammar(toxicity.Lexicon({"idiot": 4.0, "tonto": 4.0}, {"lowei": 3.0}))
