@@ -19,8 +19,9 @@ first.  A bucket's hub (the member that collides most) is paired with the
 bucket's other members; pairs are verified by exact bag overlap and joined
 to components, so that a group of thousands of copies costs a star, not a
 square.  In a bucket that still holds several components the members are
-compared inside a task (in blocks of ``BLOCK`` members, which bounds its
-memory): registers first, and where these agree in the threshold less
+compared inside a task, in blocks of about ``BLOCK`` members or
+``BLOCK_ELEMENTS`` shingles, which bounds its memory up to one text's own
+shingles: registers first, and where these agree in the threshold less
 ``SCREEN`` or more, the bags themselves.  A pair at the threshold falls below
 that by seven standard deviations of its registers, with a probability under
 1e-10, far less than the bands lose.  Only links leave the task, each from
@@ -53,6 +54,7 @@ ROWS = 6
 BANDS = 36
 REGISTERS = ROWS * BANDS
 BLOCK = 2048
+BLOCK_ELEMENTS = 1 << 21
 SCREEN = 0.2  # below the threshold
 
 
@@ -301,15 +303,19 @@ def _compare(threshold: float, screen: float):
     return run
 
 
-def _across(open_: DataFrame, reps: DataFrame, base: DataFrame, shingle: int, threshold: float, block: int) -> DataFrame:
+def _across(open_: DataFrame, reps: DataFrame, base: DataFrame, shingle: int, threshold: float, block: int, block_elements: int) -> DataFrame:
     """Links across components (``a``, ``b``) in buckets of several.  A
-    bucket of more than ``block`` members is compared block by block: each
-    member goes to every pair of blocks with its own."""
+    bucket of more than ``block`` members or ``block_elements`` shingles is
+    compared block by block: each member goes to every pair of blocks with
+    its own."""
     ids = staged(open_.select(F.col("id").alias("i")).distinct(), "minhash-open")
     texts = base.join(ids, F.col("doc_id") == F.col("i")).select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"])
     bags_ = texts.mapInArrow(_elements(shingle), "id long, elements array<long>")
     whole = staged(bags_.join(reps.select(F.col("doc_id").alias("id"), "sig", "bands"), "id"), "minhash-bags")
-    rows = open_.withColumn("n", F.ceil(F.col("size") / block).cast("int"))
+    lengths = whole.select(F.col("id").alias("i"), F.size("elements").alias("length"))
+    total = staged(open_.join(lengths, F.col("id") == F.col("i")).groupBy("bucket").agg(F.sum("length").alias("total")), "minhash-totals")
+    parts = F.greatest(F.ceil(F.col("size") / block), F.ceil(F.col("total") / block_elements), F.lit(1))
+    rows = open_.join(total, "bucket").withColumn("n", parts.cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     rows = rows.withColumn("part", F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")))
@@ -320,7 +326,7 @@ def _across(open_: DataFrame, reps: DataFrame, base: DataFrame, shingle: int, th
     return dealt.mapInArrow(_compare(threshold, threshold - SCREEN), "a long, b long")
 
 
-def _link(members: DataFrame, reps: DataFrame, base: DataFrame, shingle: int, threshold: float, block: int = BLOCK) -> DataFrame:
+def _link(members: DataFrame, reps: DataFrame, base: DataFrame, shingle: int, threshold: float, block: int = BLOCK, block_elements: int = BLOCK_ELEMENTS) -> DataFrame:
     """Components (``id``, ``label``) of the verified links."""
     hubs = members.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("id")).alias("least"))).alias("top"))
     hubs = staged(hubs.select("bucket", (-F.col("top.least")).alias("hub")), "minhash-hubs")
@@ -333,7 +339,7 @@ def _link(members: DataFrame, reps: DataFrame, base: DataFrame, shingle: int, th
     open_ = staged(marked.where("size > 2").join(spread, "bucket"), "minhash-several")
     if open_.isEmpty():
         return labels
-    more = staged(_across(open_, reps, base, shingle, threshold, block), "minhash-more")
+    more = staged(_across(open_, reps, base, shingle, threshold, block, block_elements), "minhash-more")
     return labels if more.isEmpty() else connected(links.union(more))
 
 

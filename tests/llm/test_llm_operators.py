@@ -177,6 +177,28 @@ def test_near_copies_of_an_original_that_is_not_the_smallest(spark, none):
     assert got[60] == got[61] == 0 and got[62] == 62
 
 
+@pytest.mark.parametrize("block,elements", [(3, 1 << 30), (2048, 150), (2048, 1)])
+def test_blocks_of_a_bucket_lose_no_link(spark, monkeypatch, block, elements):
+    """A chain of texts, each a few words from the next, and one very long
+    text: buckets hold several components and are cut into blocks."""
+    rng = random.Random(5)
+    text, rows = [f"w{k}" for k in range(60)], []
+    for i in range(40):
+        rows.append((i, " ".join(text)))
+        for _ in range(rng.choice((1, 1, 3))):
+            text[rng.randrange(60)] = f"x{i}"
+    rows.append((99, " ".join(rows[0][1].split() * 200)))
+    want = brute.near_classes(rows)
+    assert len(set(want.values())) > 3
+    monkeypatch.setattr(minhash._link, "__defaults__", (block, elements))
+    used = []
+    across = minhash._across
+    monkeypatch.setattr(minhash, "_across", lambda *a: used.append(a[-2:]) or across(*a))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert dict(rows_of(minhash.near_classes(df), "doc_id", "class_id")) == want
+    assert used == [(block, elements)]
+
+
 def test_screen_loses_no_pair_at_the_threshold():
     """Bags at 0.85 whose registers agree in 65 % by chance are still linked,
     and the chance to miss one at the threshold is far below the bands'."""
