@@ -1,6 +1,9 @@
 """The streaming range join by buckets of time."""
 
+import glob
+import os
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,3 +46,21 @@ def test_stream_range_join_equals_the_batch_join(spark, tmp_dir, before, after,
     want = range_join(left, right, ("i", "j"), "time", "h_time", before, after, how)
     closed = "(time is not null and h_time is not null) or coalesce(time, h_time) < 100000"
     assert _rows(got) == _rows(want.where(closed)) and got.where("time is not null").count() > 50
+
+
+def test_query_writes_the_columns_of_its_result(spark, tmp_dir):
+    """Event times of every pair would be most of the files."""
+    from gridcast.streaming.queries import stream_range_join
+
+    start = 1_704_067_200
+    r = random.Random(5)
+    rows = [(n, start + r.randrange(5 * 86_400), r.randrange(60), "view", float(n), "{}") for n in range(600)]
+    events = spark.createDataFrame(rows, "event_id long, s long, user_id long, event_type string, value double, props string")
+    events = events.withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz")).drop("s")
+    events.coalesce(1).write.parquet(f"{tmp_dir}/made")
+    os.mkdir(f"{tmp_dir}/sf")
+    shutil.copy(*glob.glob(f"{tmp_dir}/made/part-*"), f"{tmp_dir}/sf/events.parquet")
+    got = stream_range_join(spark, f"{tmp_dir}/sf")
+    assert got.where("time is not null and h_time is not null").count() > 0
+    written = spark.read.parquet(*got.inputFiles())
+    assert written.columns == got.columns == ["i", "j", "time", "gen", "h_time", "val"]
